@@ -15,6 +15,8 @@ from stockroom.operators.orders import get_orders as _get_orders
 from stockroom.plans import procedures, views
 from stockroom.sources import batches
 from stockroom.sources.tables import load
+from stockroom.session import scratch_dir
+from stockroom.streaming import triggers
 
 
 def q_product_list(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -96,6 +98,47 @@ def q_call_order_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """)
 
 
+# Landings for the trigger queries: all orders arrive in two files split by
+# order date; the second overlaps the first by half a year (repeated keys).
+LANDING_SPLIT = ("1998-01-01", "1997-07-01")
+_TRIGGER_RUNS: dict = {}
+
+
+def landed_orders_run(spark: SparkSession, sf_dir: str) -> str:
+    """Land the two order files one after the other, firing the trigger
+    after each; returns the trigger's output folder (one run per session
+    and scale)."""
+    memo = (id(spark), sf_dir)
+    if memo in _TRIGGER_RUNS:
+        return _TRIGGER_RUNS[memo]
+    from pyspark.sql import functions as F
+    t = load(spark, sf_dir, register=False)
+    work = scratch_dir(spark, "order-trigger")
+    in_dir, out_dir = f"{work}/landing", f"{work}/out"
+    trig = triggers.InsertTrigger(spark, in_dir, out_dir, triggers.ORDER_RULES,
+                                  reference=t["customer"])
+    before, since = LANDING_SPLIT
+    t["orders"].filter(F.col("o_orderdate") < F.lit(before)).write.parquet(f"{in_dir}/0")
+    trig.run_available()
+    t["orders"].filter(F.col("o_orderdate") >= F.lit(since)).write.parquet(f"{in_dir}/1")
+    trig.run_available()
+    _TRIGGER_RUNS[memo] = out_dir
+    return out_dir
+
+
+def q_trigger_accepted_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return triggers.accepted_rows(spark, landed_orders_run(spark, sf_dir))
+
+
+def q_trigger_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return (triggers.audit_log(spark, landed_orders_run(spark, sf_dir))
+            .select("key", "verdict", "batch_id"))
+
+
+def q_trigger_order_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return triggers.kept_totals(spark, landed_orders_run(spark, sf_dir))
+
+
 QUERIES = {
     "product_list": q_product_list,
     "product_page": q_product_page,
@@ -109,6 +152,9 @@ QUERIES = {
     "order_totals": q_order_totals,
     "call_get_orders": q_call_get_orders,
     "call_order_lines": q_call_order_lines,
+    "trigger_accepted_orders": q_trigger_accepted_orders,
+    "trigger_audit": q_trigger_audit,
+    "trigger_order_totals": q_trigger_order_totals,
 }
 
 
@@ -172,6 +218,13 @@ _ORDER_VERDICTS = """
     FROM ranked
 """
 
+_ORDER_TOTALS = """
+    SELECT o_custkey, COUNT(*) AS n_orders,
+           CAST(SUM(CAST(o_totalprice AS DECIMAL(12,2))) AS DECIMAL(38,2)) AS total_price,
+           MAX(o_orderdate) AS last_order_date
+    FROM orders GROUP BY o_custkey
+"""
+
 _PRODUCT_COLS = "p_partkey, p_name, p_brand, p_type, p_size, p_retailprice"
 
 ORACLE = {
@@ -231,12 +284,7 @@ ORACLE = {
         JOIN orders ON l_orderkey = o_orderkey
         JOIN part ON l_partkey = p_partkey
     """,
-    "order_totals": """
-        SELECT o_custkey, COUNT(*) AS n_orders,
-               CAST(SUM(CAST(o_totalprice AS DECIMAL(12,2))) AS DECIMAL(38,2)) AS total_price,
-               MAX(o_orderdate) AS last_order_date
-        FROM orders GROUP BY o_custkey
-    """,
+    "order_totals": _ORDER_TOTALS,
     "call_get_orders": """
         SELECT c_custkey, c_name, o_orderkey, o_orderstatus, o_totalprice, o_orderdate
         FROM customer JOIN orders ON o_custkey = c_custkey
@@ -245,4 +293,19 @@ ORACLE = {
         SELECT o_orderkey, o_custkey, l_linenumber, l_partkey, l_quantity
         FROM orders JOIN lineitem ON l_orderkey = o_orderkey
     """,
+    "trigger_accepted_orders": """
+        SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate, o_orderpriority,
+               CAST(CASE WHEN o_orderdate < DATE '1998-01-01' THEN 0 ELSE 1 END AS BIGINT) AS batch_id
+        FROM orders
+    """,
+    "trigger_audit": """
+        SELECT o_orderkey AS key, 'accepted' AS verdict, CAST(0 AS BIGINT) AS batch_id
+        FROM orders WHERE o_orderdate < DATE '1998-01-01'
+        UNION ALL
+        SELECT o_orderkey,
+               CASE WHEN o_orderdate < DATE '1998-01-01' THEN 'already_exists' ELSE 'accepted' END,
+               CAST(1 AS BIGINT)
+        FROM orders WHERE o_orderdate >= DATE '1997-07-01'
+    """,
+    "trigger_order_totals": _ORDER_TOTALS,
 }

@@ -1,0 +1,25 @@
+"""Small file-system checks through Hadoop's FileSystem (any scheme the
+cluster supports: file, hdfs, s3a, ...)."""
+
+from __future__ import annotations
+
+from pyspark.sql import SparkSession
+
+
+def _fs(spark: SparkSession, path: str):
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    fs, p = _fs(spark, path)
+    return bool(fs.exists(p))
+
+
+def child_names(spark: SparkSession, path: str) -> list[str]:
+    """Names directly below ``path`` (empty if it does not exist)."""
+    fs, p = _fs(spark, path)
+    if not fs.exists(p):
+        return []
+    return [s.getPath().getName() for s in fs.listStatus(p)]
