@@ -13,18 +13,25 @@ verdict, the first that applies in this fixed order:
 Every input row appears exactly once in the output.
 
 Plan shape, chosen so that one key holding a third of the batch never
-lands on one task:
+lands on one task, and so that the existing and reference tables (which
+grow with the warehouse) are scanned but not shuffled for a bounded batch:
 
 * null keys are split off first (a shuffle sends all nulls to one task);
-* the first row of each key is found by ``min(struct(seq, ref))`` grouped by
-  key, a partial aggregate that collapses a hot key on the map side;
-* existence and reference checks run on those first rows only (unique keys)
-  as semi / anti joins;
-* the verdicts are joined back to the batch on ``(key, seq)``, which is
-  unique per row, so the rows of a hot key spread over all partitions.
+* the first row of each key is found by ``min(seq)`` / ``min_by(ref, seq)``
+  grouped by key: a hash aggregate with map-side partial combine, so a hot
+  key collapses before the shuffle;
+* if the number of first rows passes a size check, their keys and
+  reference values are broadcast and probed against the existing and
+  reference tables (semi joins over a scan, no shuffle of the big side);
+  the hits are at most as many as the probe, so joining them back is a
+  broadcast too.  Above the bound every join is a shuffled join and AQE
+  splits skewed partitions;
+* the verdicts are joined back to the batch on ``(key, seq)``, unique per
+  row, so the rows of a hot key spread over all partitions.
 
 ``seq`` must be non-null and unique within the batch (an insertion number).
-It may be any orderable column, a struct included.
+It may be any orderable column, a struct included (then the aggregate
+sorts instead of hashing).
 """
 
 from __future__ import annotations
@@ -32,7 +39,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from stockroom.plans.joins import bounded_broadcast
+from stockroom.plans.joins import LOOKUP_MAX_ROWS, PROBE_MAX_ROWS, keys_present, row_count_at_most
 
 VERDICT = "verdict"
 NULL_KEY = "null_key"
@@ -41,35 +48,48 @@ EXISTS = "already_exists"
 ACCEPTED = "accepted"
 
 
+def _no_hint(df: DataFrame) -> DataFrame:
+    return df
+
+
 def admit(batch: DataFrame, *, key: str, seq: str, existing: DataFrame, existing_key: str,
           ref_col: str, reference: DataFrame, reference_key: str, unknown: str,
-          small_reference: bool = False) -> DataFrame:
+          small_reference: bool = False, probe_max_rows: int = PROBE_MAX_ROWS) -> DataFrame:
     """Batch rows with a ``verdict`` column (see module doc).
 
     ``existing`` may be any frame holding the keys already present (for a
-    trigger: the base table plus earlier accepted batches).  With
-    ``small_reference`` the reference side is broadcast if a size check
-    allows it (a lookup such as nations); otherwise Spark decides.
+    trigger: the base table plus earlier accepted batches).
+    ``small_reference`` marks a lookup table (such as nations) that is
+    broadcast when its own size check allows.
     """
     nulls = batch.filter(F.col(key).isNull()).withColumn(VERDICT, F.lit(NULL_KEY))
     keyed = batch.filter(F.col(key).isNotNull())
 
     first = (keyed.groupBy(key)
-             .agg(F.min(F.struct(F.col(seq).alias("s"), F.col(ref_col).alias("r"))).alias("_f"))
-             .select(key, F.col("_f.s").alias(seq), F.col("_f.r").alias("_ref")))
-
-    known = existing.select(F.col(existing_key).alias(key))
-    exists = first.join(known, key, "left_semi").withColumn(VERDICT, F.lit(EXISTS))
-    fresh = first.join(known, key, "left_anti")
-
-    ref = reference.select(F.col(reference_key).alias("_ref"))
-    if small_reference:
-        ref = bounded_broadcast(ref)
-    ok = fresh.join(ref, "_ref", "left_semi").withColumn(VERDICT, F.lit(ACCEPTED))
-    missing = fresh.join(ref, "_ref", "left_anti").withColumn(VERDICT, F.lit(unknown))
-
-    decided = exists.unionByName(ok).unionByName(missing).select(key, seq, VERDICT)
-    judged = (keyed.join(decided, [key, seq], "left")
+             .agg(F.min(seq).alias(seq), F.min_by(ref_col, seq).alias("_ref")))
+    small = row_count_at_most(first, probe_max_rows)
+
+    seen = (keys_present(existing.select(F.col(existing_key).alias(key)), first, key, small)
+            .withColumn("_exists", F.lit(True)))
+    ref_all = reference.select(F.col(reference_key).alias("_ref"))
+    if small:
+        found = keys_present(ref_all, first.select("_ref").distinct(), "_ref", True)
+        found_hint = F.broadcast
+    elif small_reference and row_count_at_most(ref_all, LOOKUP_MAX_ROWS):
+        found, found_hint = ref_all.distinct(), F.broadcast
+    else:
+        found = keys_present(ref_all, first.select("_ref").distinct(), "_ref", False)
+        found_hint = _no_hint
+    found = found.withColumn("_found", F.lit(True))
+
+    hint = F.broadcast if small else _no_hint
+    verdict = (F.when(F.col("_exists").isNotNull(), F.lit(EXISTS))
+                .when(F.col("_found").isNotNull(), F.lit(ACCEPTED))
+                .otherwise(F.lit(unknown)))
+    decided = (first.join(hint(seen), key, "left")
+                    .join(found_hint(found), "_ref", "left")
+                    .select(key, seq, verdict.alias(VERDICT)))
+    judged = (keyed.join(hint(decided), [key, seq], "left")
                    .withColumn(VERDICT, F.coalesce(F.col(VERDICT), F.lit(DUPLICATE))))
     cols = batch.columns + [VERDICT]
     return judged.select(*cols).unionByName(nulls.select(*cols))

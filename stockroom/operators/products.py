@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from stockroom.plans.joins import PROBE_MAX_ROWS, keys_present, row_count_at_most
+
 KEY = "p_partkey"
 ATTRS = ["p_name", "p_brand", "p_type", "p_size", "p_retailprice"]
 COLUMNS = [KEY] + ATTRS
@@ -35,7 +37,8 @@ def product_page(part: DataFrame, size: int = 50, after: tuple | None = None) ->
 INSERTED, UPDATED, UNCHANGED, KEPT, REJECTED = "inserted", "updated", "unchanged", "kept", "rejected"
 
 
-def upsert_products(current: DataFrame, batch: DataFrame, seq: str | None = None) -> DataFrame:
+def upsert_products(current: DataFrame, batch: DataFrame, seq: str | None = None,
+                    probe_max_rows: int = PROBE_MAX_ROWS) -> DataFrame:
     """Keep the product list: merge ``batch`` into ``current``, batch wins.
 
     One row per key in the result, with ``action``:
@@ -49,6 +52,12 @@ def upsert_products(current: DataFrame, batch: DataFrame, seq: str | None = None
     repeats in a third of the batch does not land whole on one task.
     Without ``seq`` the batch keys must be unique.
 
+    Plan: when the batch passes a size check it is broadcast and
+    ``current`` (the big side) is only scanned: a left join against the
+    broadcast batch labels every current row, and the batch keys found in
+    ``current`` (at most the batch size) are broadcast back to pick out the
+    inserts.  Above the bound it is one shuffled full outer join.
+
     The result is a new table: write it to a new directory, never over the
     one ``current`` is read from.
     """
@@ -64,7 +73,16 @@ def upsert_products(current: DataFrame, batch: DataFrame, seq: str | None = None
     cur = current.filter(F.col(KEY).isNotNull()).select(
         KEY, *[F.col(c).alias(f"_cur_{c}") for c in ATTRS], F.lit(True).alias("_in_cur"))
 
-    merged = cur.join(new, KEY, "full_outer")
+    if row_count_at_most(new, probe_max_rows):
+        labelled = cur.join(F.broadcast(new), KEY, "left")
+        found = keys_present(cur, new, KEY, small_probe=True)
+        inserts = (new.join(F.broadcast(found), KEY, "left_anti")
+                      .select("*", *[F.lit(None).alias(f"_cur_{c}") for c in ATTRS],
+                              F.lit(None).cast("boolean").alias("_in_cur")))
+        merged = labelled.unionByName(inserts)
+    else:
+        merged = cur.join(new, KEY, "full_outer")
+
     same: Column = F.lit(True)
     for c in ATTRS:
         same = same & F.col(f"_cur_{c}").eqNullSafe(F.col(f"_new_{c}"))

@@ -7,14 +7,36 @@ from pyspark.sql import functions as F
 
 # A lookup side is broadcast only when it has at most this many rows.
 LOOKUP_MAX_ROWS = 100_000
+# Keys of an incoming batch are broadcast to probe a big table only up to
+# this many rows (2M longs: tens of MB per executor).
+PROBE_MAX_ROWS = 2_000_000
+
+
+def row_count_at_most(df: DataFrame, max_rows: int) -> bool:
+    """True if ``df`` has at most ``max_rows`` rows.
+
+    A distributed count (partial counts per task, one number to the
+    driver).  ``limit(n).count()`` is avoided on purpose: it gathers up to
+    ``n`` rows into a single partition.
+    """
+    return df.count() <= max_rows
 
 
 def bounded_broadcast(df: DataFrame, max_rows: int = LOOKUP_MAX_ROWS) -> DataFrame:
-    """Broadcast hint for ``df`` if it holds at most ``max_rows`` rows.
+    """Broadcast hint for ``df`` if it holds at most ``max_rows`` rows;
+    above the bound Spark picks a shuffled join (or an AQE broadcast from
+    measured sizes)."""
+    return F.broadcast(df) if row_count_at_most(df, max_rows) else df
+
+
+def keys_present(big: DataFrame, probe: DataFrame, col: str, small_probe: bool) -> DataFrame:
+    """Distinct values of ``col`` in ``big`` that also occur in ``probe``.
 
-    The check reads at most ``max_rows + 1`` rows.  Above the bound the
-    frame is returned unhinted and Spark picks a shuffled join (or an AQE
-    broadcast from measured sizes).
+    With ``small_probe`` (the caller has checked the probe's size) the
+    probe is broadcast and ``big`` is only scanned, never shuffled; the
+    result has at most as many rows as the probe.  Otherwise a shuffled
+    semi join.
     """
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
+    p = probe.select(col)
+    hits = big.select(col).join(F.broadcast(p) if small_probe else p, col, "left_semi")
+    return hits.distinct()
