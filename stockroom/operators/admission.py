@@ -22,7 +22,9 @@ grow with the warehouse) are scanned but not shuffled for a bounded batch:
   key collapses before the shuffle;
 * if the number of first rows passes a size check, their keys and
   reference values are broadcast and probed against the existing and
-  reference tables (semi joins over a scan, no shuffle of the big side);
+  reference tables (semi joins over a scan, no shuffle of the big side),
+  and the scans carry the batch's key range as a pushed filter so parquet
+  skips row groups that cannot match;
   the hits are at most as many as the probe, so joining them back is a
   broadcast too.  Above the bound every join is a shuffled join and AQE
   splits skewed partitions;
@@ -67,13 +69,19 @@ def admit(batch: DataFrame, *, key: str, seq: str, existing: DataFrame, existing
 
     first = (keyed.groupBy(key)
              .agg(F.min(seq).alias(seq), F.min_by(ref_col, seq).alias("_ref")))
-    small = row_count_at_most(first, probe_max_rows)
-
-    seen = (keys_present(existing.select(F.col(existing_key).alias(key)), first, key, small)
+    # One small job: how many first rows, and the ranges of their keys and
+    # reference values (four numbers reach the driver).
+    st = first.agg(F.count(F.lit(1)).alias("n"), F.min(key).alias("k0"), F.max(key).alias("k1"),
+                   F.min("_ref").alias("r0"), F.max("_ref").alias("r1")).first()
+    small = st["n"] <= probe_max_rows
+
+    seen = (keys_present(existing.select(F.col(existing_key).alias(key)), first, key, small,
+                         key_range=(st["k0"], st["k1"]) if small else None)
             .withColumn("_exists", F.lit(True)))
     ref_all = reference.select(F.col(reference_key).alias("_ref"))
     if small:
-        found = keys_present(ref_all, first.select("_ref").distinct(), "_ref", True)
+        found = keys_present(ref_all, first.select("_ref").distinct(), "_ref", True,
+                             key_range=(st["r0"], st["r1"]))
         found_hint = F.broadcast
     elif small_reference and row_count_at_most(ref_all, LOOKUP_MAX_ROWS):
         found, found_hint = ref_all.distinct(), F.broadcast

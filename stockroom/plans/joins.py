@@ -29,14 +29,23 @@ def bounded_broadcast(df: DataFrame, max_rows: int = LOOKUP_MAX_ROWS) -> DataFra
     return F.broadcast(df) if row_count_at_most(df, max_rows) else df
 
 
-def keys_present(big: DataFrame, probe: DataFrame, col: str, small_probe: bool) -> DataFrame:
+def keys_present(big: DataFrame, probe: DataFrame, col: str, small_probe: bool,
+                 key_range: tuple | None = None) -> DataFrame:
     """Distinct values of ``col`` in ``big`` that also occur in ``probe``.
 
     With ``small_probe`` (the caller has checked the probe's size) the
     probe is broadcast and ``big`` is only scanned, never shuffled; the
     result has at most as many rows as the probe.  Otherwise a shuffled
     semi join.
+
+    ``key_range=(lo, hi)``, the probe's smallest and largest value, becomes
+    a filter on ``big`` that reaches the parquet scan: row groups whose
+    min/max statistics lie outside it are skipped (for keys that grow over
+    time, such as new order numbers, that is almost all of them).
     """
     p = probe.select(col)
-    hits = big.select(col).join(F.broadcast(p) if small_probe else p, col, "left_semi")
+    b = big.select(col)
+    if key_range is not None and key_range[0] is not None:
+        b = b.filter(F.col(col).between(F.lit(key_range[0]), F.lit(key_range[1])))
+    hits = b.join(F.broadcast(p) if small_probe else p, col, "left_semi")
     return hits.distinct()

@@ -26,18 +26,22 @@ def customer_orders(customer: DataFrame, orders: DataFrame) -> DataFrame:
     The anti join needs only distinct order keys, which a partial aggregate
     reduces before the shuffle.
     """
-    c = customer.select("c_custkey", "c_name", "c_mktsegment")
+    cols = ["c_custkey", "c_name", "c_mktsegment"]
+    c = customer.filter(F.col("c_custkey").isNotNull()).select(*cols)
     o = orders.select(F.col("o_custkey").alias("c_custkey"),
                       "o_orderkey", "o_orderstatus", "o_totalprice", "o_orderdate")
     matched = c.join(o, "c_custkey", "inner")
     buyers = orders.select(F.col("o_custkey").alias("c_custkey")).distinct()
-    lonely = (c.join(buyers, "c_custkey", "left_anti")
-               .select("c_custkey", "c_name", "c_mktsegment",
-                       F.lit(None).cast("bigint").alias("o_orderkey"),
-                       F.lit(None).cast("string").alias("o_orderstatus"),
-                       F.lit(None).cast("double").alias("o_totalprice"),
-                       F.lit(None).cast("timestamp_ntz").alias("o_orderdate")))
-    return matched.select(*CUSTOMER_ORDER_COLUMNS).unionByName(lonely)
+    # Both branches shuffle the same keyed customers, so the exchange is
+    # reused; customers without a key cannot match and need no shuffle.
+    lonely = c.join(buyers, "c_custkey", "left_anti").unionByName(
+        customer.filter(F.col("c_custkey").isNull()).select(*cols))
+    no_order = [F.lit(None).cast("bigint").alias("o_orderkey"),
+                F.lit(None).cast("string").alias("o_orderstatus"),
+                F.lit(None).cast("double").alias("o_totalprice"),
+                F.lit(None).cast("timestamp_ntz").alias("o_orderdate")]
+    return (matched.select(*CUSTOMER_ORDER_COLUMNS)
+                   .unionByName(lonely.select(*cols, *no_order)))
 
 
 def order_lines(orders: DataFrame, lineitem: DataFrame, part: DataFrame) -> DataFrame:
