@@ -96,3 +96,15 @@ def upsert_products(current: DataFrame, batch: DataFrame, seq: str | None = None
         *[F.when(in_new, F.col(f"_new_{c}")).otherwise(F.col(f"_cur_{c}")).alias(c) for c in ATTRS],
         action.alias("action"))
     return out.unionByName(cur_null).unionByName(new_null)
+
+
+def keep_products(current: DataFrame, batch: DataFrame, out_path: str,
+                  seq: str | None = None) -> DataFrame:
+    """Upsert and write the new product list to ``out_path`` (a new
+    directory; never the one ``current`` is read from).  Rejected batch
+    rows are not part of the table.  Returns the written table."""
+    from stockroom.schemas import PART
+    from stockroom.sources.sinks import write_table
+    merged = upsert_products(current, batch, seq)
+    write_table(merged.filter(F.col("action") != REJECTED).select(*COLUMNS), out_path)
+    return current.sparkSession.read.schema(PART).parquet(out_path)

@@ -62,6 +62,11 @@ PROCEDURES: dict[str, Procedure] = {
         lambda s, batch, seq=None: products.upsert_products(_t(s, "part"), batch, seq),
         required=("batch",), optional=("seq",),
         doc="merge a product batch into the product list"),
+    "keep_products": Procedure(
+        lambda s, batch, out_path, seq=None: products.keep_products(_t(s, "part"), batch,
+                                                                    out_path, seq),
+        required=("batch", "out_path"), optional=("seq",),
+        doc="upsert a product batch and write the new product list to a new directory"),
     "customer_orders": Procedure(
         lambda s: views.customer_orders(_t(s, "customer"), _t(s, "orders")),
         doc="customers with their orders"),

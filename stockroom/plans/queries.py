@@ -139,6 +139,29 @@ def q_trigger_order_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
     return triggers.kept_totals(spark, landed_orders_run(spark, sf_dir))
 
 
+def landed_customers_run(spark: SparkSession, sf_dir: str) -> str:
+    """The customer batch lands as five files (one per part, in arrival
+    order) over a base table of the existing customers; one trigger run."""
+    memo = (id(spark), sf_dir, "customers")
+    if memo in _TRIGGER_RUNS:
+        return _TRIGGER_RUNS[memo]
+    t = load(spark, sf_dir, register=False)
+    work = scratch_dir(spark, "customer-trigger")
+    in_dir, out_dir = f"{work}/landing", f"{work}/out"
+    for i, part in enumerate(batches.customer_batch_parts(t["customer"])):
+        part.drop("seq").write.parquet(f"{in_dir}/{i}")
+    triggers.InsertTrigger(spark, in_dir, out_dir, triggers.CUSTOMER_RULES,
+                           reference=t["nation"],
+                           base=batches.existing_customers(t["customer"])).run_available()
+    _TRIGGER_RUNS[memo] = out_dir
+    return out_dir
+
+
+def q_trigger_add_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return (triggers.audit_log(spark, landed_customers_run(spark, sf_dir))
+            .select("key", "verdict", "batch_id"))
+
+
 QUERIES = {
     "product_list": q_product_list,
     "product_page": q_product_page,
@@ -155,6 +178,7 @@ QUERIES = {
     "trigger_accepted_orders": q_trigger_accepted_orders,
     "trigger_audit": q_trigger_audit,
     "trigger_order_totals": q_trigger_order_totals,
+    "trigger_add_customers": q_trigger_add_customers,
 }
 
 
@@ -308,4 +332,8 @@ ORACLE = {
         FROM orders WHERE o_orderdate >= DATE '1997-07-01'
     """,
     "trigger_order_totals": _ORDER_TOTALS,
+    "trigger_add_customers": f"""
+        WITH v AS ({_CUSTOMER_VERDICTS})
+        SELECT c_custkey AS key, verdict, CAST(0 AS BIGINT) AS batch_id FROM v
+    """,
 }

@@ -22,9 +22,9 @@ def existing_customers(customer: DataFrame) -> DataFrame:
     return customer.filter(F.col("c_custkey") % 10 != 0)
 
 
-def customer_batch(customer: DataFrame) -> DataFrame:
-    """Incoming customers with ``seq``: new, already present, repeated,
-    unknown nation, null key."""
+def customer_batch_parts(customer: DataFrame) -> list[DataFrame]:
+    """The five parts of the incoming customers, in arrival order, each
+    with ``seq``: new, already present, repeated, unknown nation, null key."""
     k = F.col("c_custkey")
 
     def part(cond, seq_add, key=None, nation=None):
@@ -38,11 +38,20 @@ def customer_batch(customer: DataFrame) -> DataFrame:
                 cols.append(F.col(c))
         return customer.filter(cond).select(*cols, (k * 10 + seq_add).alias("seq"))
 
-    return (part(k % 10 == 0, 0)
-            .unionByName(part(k % 100 == 1, 1))
-            .unionByName(part(k % 50 == 0, 2))
-            .unionByName(part(k % 75 == 0, 3, key=k + 1000000, nation=F.lit(99).cast("int")))
-            .unionByName(part(k % 50 == 3, 4, key=F.lit(None).cast("bigint"))))
+    return [part(k % 10 == 0, 0),
+            part(k % 100 == 1, 1),
+            part(k % 50 == 0, 2),
+            part(k % 75 == 0, 3, key=k + 1000000, nation=F.lit(99).cast("int")),
+            part(k % 50 == 3, 4, key=F.lit(None).cast("bigint"))]
+
+
+def customer_batch(customer: DataFrame) -> DataFrame:
+    """All incoming customers with ``seq``."""
+    parts = customer_batch_parts(customer)
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
 
 
 def existing_orders(orders: DataFrame) -> DataFrame:

@@ -4,6 +4,7 @@ import pytest
 
 from stockroom.operators.orders import get_orders
 from stockroom.plans.procedures import PROCEDURES, ProcedureError, call, register_sql_functions
+from stockroom.session import scratch_dir
 from stockroom.sources import load
 from stockroom.sources.batches import customer_batch
 from tests.conftest import SF001
@@ -47,8 +48,26 @@ def test_every_procedure_runs(spark, db):
     params = {"add_customers": {"batch": batch},
               "accept_orders": {"batch": db["orders"].withColumn("seq", db["orders"].o_orderkey)},
               "upsert_products": {"batch": db["part"]},
+              "keep_products": {"batch": db["part"],
+                                "out_path": scratch_dir(spark, "keep-products")},
               "get_orders": {"custkey": 7}}
     for name in PROCEDURES:
         df = call(spark, name, **params.get(name, {}))
         assert df.count() >= 0
     assert call(spark, "add_customers", batch=batch).count() == batch.count()
+
+
+def test_keep_products_refuses_its_own_source(spark, db):
+    with pytest.raises(ValueError, match="refusing"):
+        call(spark, "keep_products", batch=db["part"], out_path=f"{SF001}/part.parquet")
+
+
+def test_keep_products_writes_new_table(spark, db):
+    from pyspark.sql import functions as F
+    from stockroom.sources.batches import product_batch
+    out = call(spark, "keep_products", batch=product_batch(db["part"]),
+               out_path=scratch_dir(spark, "keep-products"))
+    assert out.count() == 210
+    assert out.select("p_partkey").distinct().count() == 210
+    assert out.filter(F.col("p_partkey") == 0).first()["p_retailprice"] == \
+        db["part"].filter(F.col("p_partkey") == 0).first()["p_retailprice"] + 1
