@@ -14,35 +14,47 @@ from stockroom.operators import admission, products, totals
 from stockroom.operators.orders import get_orders as _get_orders
 from stockroom.plans import procedures, views
 from stockroom.sources import batches
-from stockroom.sources.tables import load
+from stockroom.sources.tables import load, read_table
 from stockroom.session import scratch_dir
 from stockroom.streaming import triggers
 
 
+class _Tables(dict):
+    """Reads a table on first use only."""
+
+    def __init__(self, spark: SparkSession, sf_dir: str):
+        super().__init__()
+        self.spark, self.sf_dir = spark, sf_dir
+
+    def __missing__(self, name: str) -> DataFrame:
+        df = self[name] = read_table(self.spark, self.sf_dir, name)
+        return df
+
+
 def q_product_list(spark: SparkSession, sf_dir: str) -> DataFrame:
-    t = load(spark, sf_dir, register=False)
+    t = _Tables(spark, sf_dir)
     return products.product_list(t["part"])
 
 
 def q_product_page(spark: SparkSession, sf_dir: str) -> DataFrame:
-    t = load(spark, sf_dir, register=False)
+    t = _Tables(spark, sf_dir)
     return products.product_page(t["part"], 50)
 
 
 def q_upsert_products(spark: SparkSession, sf_dir: str) -> DataFrame:
-    t = load(spark, sf_dir, register=False)
+    t = _Tables(spark, sf_dir)
     return products.upsert_products(t["part"], batches.product_batch(t["part"]))
 
 
 def q_add_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    t = load(spark, sf_dir, register=False)
+    t = _Tables(spark, sf_dir)
     c = t["customer"]
     return admission.add_customers(batches.existing_customers(c), batches.customer_batch(c),
                                    t["nation"])
 
 
 def q_customers_after_add(spark: SparkSession, sf_dir: str) -> DataFrame:
-    t = load(spark, sf_dir, register=False)
+    t = _Tables(spark, sf_dir)
     c = t["customer"]
     existing = batches.existing_customers(c)
     verdicts = admission.add_customers(existing, batches.customer_batch(c), t["nation"])
@@ -50,29 +62,29 @@ def q_customers_after_add(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_get_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
-    t = load(spark, sf_dir, register=False)
+    t = _Tables(spark, sf_dir)
     return _get_orders(t["orders"], 7, "1996-01-01", "1998-01-01")
 
 
 def q_accept_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
-    t = load(spark, sf_dir, register=False)
+    t = _Tables(spark, sf_dir)
     o = t["orders"]
     return admission.accept_orders(batches.existing_orders(o), batches.order_batch(o),
                                    t["customer"])
 
 
 def q_customer_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
-    t = load(spark, sf_dir, register=False)
+    t = _Tables(spark, sf_dir)
     return views.customer_orders(t["customer"], t["orders"])
 
 
 def q_order_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    t = load(spark, sf_dir, register=False)
+    t = _Tables(spark, sf_dir)
     return views.order_lines(t["orders"], t["lineitem"], t["part"])
 
 
 def q_order_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
-    t = load(spark, sf_dir, register=False)
+    t = _Tables(spark, sf_dir)
     first, second = batches.order_partials(t["orders"])
     return totals.merge_totals(totals.order_totals_partial(first),
                                totals.order_totals_partial(second))
@@ -112,7 +124,7 @@ def landed_orders_run(spark: SparkSession, sf_dir: str) -> str:
     if memo in _TRIGGER_RUNS:
         return _TRIGGER_RUNS[memo]
     from pyspark.sql import functions as F
-    t = load(spark, sf_dir, register=False)
+    t = _Tables(spark, sf_dir)
     work = scratch_dir(spark, "order-trigger")
     in_dir, out_dir = f"{work}/landing", f"{work}/out"
     trig = triggers.InsertTrigger(spark, in_dir, out_dir, triggers.ORDER_RULES,
@@ -145,7 +157,7 @@ def landed_customers_run(spark: SparkSession, sf_dir: str) -> str:
     memo = (id(spark), sf_dir, "customers")
     if memo in _TRIGGER_RUNS:
         return _TRIGGER_RUNS[memo]
-    t = load(spark, sf_dir, register=False)
+    t = _Tables(spark, sf_dir)
     work = scratch_dir(spark, "customer-trigger")
     in_dir, out_dir = f"{work}/landing", f"{work}/out"
     for i, part in enumerate(batches.customer_batch_parts(t["customer"])):
