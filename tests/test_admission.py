@@ -113,3 +113,33 @@ def test_add_customers_uses_default_seq(spark):
     existing = _cust(spark, [(1, "one", 0, 1.0, "X")])
     batch = spark.createDataFrame([(3, "three", 1, 0.0, "X", 1)], BATCH)
     assert _verdicts(add_customers(existing, batch, _nation(spark))) == {(3, 1): "accepted"}
+
+
+@pytest.mark.parametrize("probe", [2_000_000, 0])
+def test_hot_key_third_of_batch(spark, probe):
+    """One key holds a third of the batch: exactly one row of it gets a real
+    verdict, the rest are duplicates, and no window sorts the key as a whole."""
+    import contextlib
+    import io
+
+    from pyspark.sql import functions as F
+    n = 3000
+    batch = (spark.range(n)
+             .select(F.when(F.col("id") % 3 == 0, F.lit(42)).otherwise(F.col("id") + 1000)
+                      .cast("long").alias("c_custkey"),
+                     F.lit("x").alias("c_name"), (F.col("id") % 3).cast("int").alias("c_nationkey"),
+                     F.lit(0.0).alias("c_acctbal"), F.lit("S").alias("c_mktsegment"),
+                     (n - F.col("id")).alias("seq")))
+    existing = _cust(spark, [(42, "hot", 0, 0.0, "S")])
+    v = add_customers(existing, batch, _nation(spark)) if probe else admit(
+        batch, key="c_custkey", seq="seq", existing=existing, existing_key="c_custkey",
+        ref_col="c_nationkey", reference=_nation(spark), reference_key="n_nationkey",
+        unknown="unknown_nation", probe_max_rows=0)
+    got = {r["verdict"]: r["count"] for r in v.groupBy("verdict").count().collect()}
+    assert got == {"already_exists": 1, "duplicate_in_batch": n // 3 - 1, "accepted": n - n // 3}
+    hot_first = v.filter("c_custkey = 42 AND verdict = 'already_exists'").first()
+    assert hot_first["seq"] == n - (n - 3)   # lowest seq of the hot key (largest id % 3 == 0)
+    buf = io.StringIO()
+    with contextlib.redirect_stdout(buf):
+        v.explain()
+    assert "Window" not in buf.getvalue()
