@@ -152,7 +152,9 @@ class InsertTrigger:
                                   F.col("_metadata.row_index").alias("row")).alias(LANDED))
 
     def _check_checkpoint(self) -> None:
-        fresh = not files.child_names(self.spark, f"{self.checkpoint}/commits")
+        # New means no batch was ever planned.  A checkpoint with planned but
+        # uncommitted batches is a restart: Spark replays them, which is safe.
+        fresh = not files.child_names(self.spark, f"{self.checkpoint}/offsets")
         done = [n for n in files.child_names(self.spark, _rows_path(self.out_dir))
                 if n.startswith("batch_id=")]
         if fresh and done:

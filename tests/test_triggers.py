@@ -112,3 +112,21 @@ def test_replay_through_checkpoint(spark, tables001):
                       ref_col="o_custkey", reference=customer, reference_key="c_custkey",
                       unknown="unknown_customer")
     assert unguarded.filter("verdict = 'accepted'").count() == 0
+
+
+class _CrashFirstBatch(InsertTrigger):
+    def handle(self, batch, batch_id):
+        super().handle(batch, batch_id)
+        raise RuntimeError("simulated crash in the first batch")
+
+
+def test_restart_after_crash_in_first_batch(spark, tables001):
+    work = scratch_dir(spark, "test-trigger-crash0")
+    in_dir, out_dir = f"{work}/in", f"{work}/out"
+    tables001["orders"].filter(F.col("o_orderkey") < 40).write.parquet(f"{in_dir}/0")
+    with pytest.raises(Exception, match="simulated crash"):
+        _CrashFirstBatch(spark, in_dir, out_dir, ORDER_RULES,
+                         reference=tables001["customer"]).run_available()
+    # batch 0 was planned (offsets) but not committed: the restart is not refused
+    InsertTrigger(spark, in_dir, out_dir, ORDER_RULES, reference=tables001["customer"]).run_available()
+    assert accepted_rows(spark, out_dir).count() == 40
