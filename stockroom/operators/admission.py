@@ -97,7 +97,9 @@ def admit(batch: DataFrame, *, key: str, seq: str, existing: DataFrame, existing
     decided = (first.join(hint(seen), key, "left")
                     .join(found_hint(found), "_ref", "left")
                     .select(key, seq, verdict.alias(VERDICT)))
-    judged = (keyed.join(hint(decided), [key, seq], "left")
+    # ``decided`` holds seq (for streams: file names), so its broadcast is
+    # left to AQE's measured size; the join back is batch-sized either way.
+    judged = (keyed.join(decided, [key, seq], "left")
                    .withColumn(VERDICT, F.coalesce(F.col(VERDICT), F.lit(DUPLICATE))))
     cols = batch.columns + [VERDICT]
     return judged.select(*cols).unionByName(nulls.select(*cols))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from stockroom.plans.joins import PROBE_MAX_ROWS, keys_present, row_count_at_most
+from stockroom.plans.joins import PROBE_MAX_ROWS
 
 KEY = "p_partkey"
 ATTRS = ["p_name", "p_brand", "p_type", "p_size", "p_retailprice"]
@@ -52,11 +52,12 @@ def upsert_products(current: DataFrame, batch: DataFrame, seq: str | None = None
     repeats in a third of the batch does not land whole on one task.
     Without ``seq`` the batch keys must be unique.
 
-    Plan: when the batch passes a size check it is broadcast and
-    ``current`` (the big side) is only scanned: a left join against the
-    broadcast batch labels every current row, and the batch keys found in
-    ``current`` (at most the batch size) are broadcast back to pick out the
-    inserts.  Above the bound it is one shuffled full outer join.
+    Plan: when the batch keys pass a size check, only they are broadcast
+    and ``current`` (the big side) is scanned twice without a shuffle: an
+    anti join gives the kept rows, a semi join (its scan pruned to the
+    batch's key range) the current rows the batch touches.  Those are at
+    most as many as the batch, so meeting them with the batch is a
+    batch-sized join.  Above the bound it is one shuffled full outer join.
 
     The result is a new table: write it to a new directory, never over the
     one ``current`` is read from.
@@ -73,13 +74,16 @@ def upsert_products(current: DataFrame, batch: DataFrame, seq: str | None = None
     cur = current.filter(F.col(KEY).isNotNull()).select(
         KEY, *[F.col(c).alias(f"_cur_{c}") for c in ATTRS], F.lit(True).alias("_in_cur"))
 
-    if row_count_at_most(new, probe_max_rows):
-        labelled = cur.join(F.broadcast(new), KEY, "left")
-        found = keys_present(cur, new, KEY, small_probe=True)
-        inserts = (new.join(F.broadcast(found), KEY, "left_anti")
-                      .select("*", *[F.lit(None).alias(f"_cur_{c}") for c in ATTRS],
-                              F.lit(None).cast("boolean").alias("_in_cur")))
-        merged = labelled.unionByName(inserts)
+    st = new.agg(F.count(F.lit(1)).alias("n"), F.min(KEY).alias("k0"),
+                 F.max(KEY).alias("k1")).first()
+    if st["n"] <= probe_max_rows:
+        keys = F.broadcast(new.select(KEY))
+        kept = (cur.join(keys, KEY, "left_anti")
+                   .select("*", *[F.lit(None).alias(f"_new_{c}") for c in ATTRS],
+                           F.lit(None).cast("boolean").alias("_in_new")))
+        hit = (cur.filter(F.col(KEY).between(F.lit(st["k0"]), F.lit(st["k1"])))
+                  .join(keys, KEY, "left_semi"))
+        merged = kept.unionByName(new.join(hit, KEY, "left"))
     else:
         merged = cur.join(new, KEY, "full_outer")
 

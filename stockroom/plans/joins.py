@@ -22,13 +22,6 @@ def row_count_at_most(df: DataFrame, max_rows: int) -> bool:
     return df.count() <= max_rows
 
 
-def bounded_broadcast(df: DataFrame, max_rows: int = LOOKUP_MAX_ROWS) -> DataFrame:
-    """Broadcast hint for ``df`` if it holds at most ``max_rows`` rows;
-    above the bound Spark picks a shuffled join (or an AQE broadcast from
-    measured sizes)."""
-    return F.broadcast(df) if row_count_at_most(df, max_rows) else df
-
-
 def keys_present(big: DataFrame, probe: DataFrame, col: str, small_probe: bool,
                  key_range: tuple | None = None) -> DataFrame:
     """Distinct values of ``col`` in ``big`` that also occur in ``probe``.
