@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -57,16 +56,3 @@ def scratch_dir(spark: SparkSession, name: str) -> str:
     """A fresh folder below the shared folder, one per call."""
     base = shared_dir(spark)
     return base.rstrip("/") + f"/stockroom/{name}-{uuid.uuid4().hex[:12]}"
-
-
-def local_path(path: str) -> str:
-    """Strip a ``file:`` scheme so plain Python file calls can use the path."""
-    if path.startswith("file://"):
-        return path[len("file://"):]
-    if path.startswith("file:"):
-        return path[len("file:"):]
-    return path
-
-
-def is_local(path: str) -> bool:
-    return path.startswith("/") or path.startswith("file:") or os.path.exists(path)

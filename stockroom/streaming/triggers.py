@@ -25,6 +25,7 @@ already holds batches is refused.  One writer per output directory.
 
 from __future__ import annotations
 
+import zlib
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -167,7 +168,7 @@ class InsertTrigger:
         w = (self.source().writeStream
              .foreachBatch(self.handle)
              .option("checkpointLocation", self.checkpoint)
-             .queryName(f"insert_trigger_{self.rules.table}_{abs(hash(self.out_dir)) % 10**8}"))
+             .queryName(f"insert_trigger_{self.rules.table}_{zlib.crc32(self.out_dir.encode()):08x}"))
         if available_now:
             w = w.trigger(availableNow=True)
         elif processing_time:
@@ -206,7 +207,10 @@ class InsertTrigger:
 
         # O11 and O12 read back what was written: cheap column reads, and
         # they describe exactly the committed rows.
-        written = self.spark.read.parquet(rows_n)
+        written = (self.spark.read
+                   .schema(T.StructType(list(_row_schema(r).fields)
+                                        + [T.StructField(VERDICT, T.StringType())]))
+                   .option("basePath", rows_n).parquet(rows_n))
         (written.select(F.col(r.key).cast("bigint").alias("key"), VERDICT,
                         F.col(f"{LANDED}.file").alias("landed_file"),
                         F.col(f"{LANDED}.row").alias("landed_row"))

@@ -143,3 +143,10 @@ def test_hot_key_third_of_batch(spark, probe):
     with contextlib.redirect_stdout(buf):
         v.explain()
     assert "Window" not in buf.getvalue()
+
+
+def test_only_null_keys(spark):
+    existing = _cust(spark, [(1, "one", 0, 1.0, "X")])
+    batch = spark.createDataFrame([(None, "a", 0, 0.0, "X", 1), (None, "b", 0, 0.0, "X", 2)], BATCH)
+    assert _verdicts(add_customers(existing, batch, _nation(spark))) == {
+        (None, 1): "null_key", (None, 2): "null_key"}

@@ -130,3 +130,17 @@ def test_restart_after_crash_in_first_batch(spark, tables001):
     # batch 0 was planned (offsets) but not committed: the restart is not refused
     InsertTrigger(spark, in_dir, out_dir, ORDER_RULES, reference=tables001["customer"]).run_available()
     assert accepted_rows(spark, out_dir).count() == 40
+
+
+def test_empty_landing_and_no_landing(spark, tables001):
+    work = scratch_dir(spark, "test-trigger-empty")
+    in_dir, out_dir = f"{work}/in", f"{work}/out"
+    trig = InsertTrigger(spark, in_dir, out_dir, ORDER_RULES, reference=tables001["customer"])
+    spark.createDataFrame([], ORDER_RULES.schema).write.parquet(f"{in_dir}/0")
+    trig.run_available()
+    trig.run_available()            # nothing new: no batch
+    assert accepted_rows(spark, out_dir).count() == 0
+    assert kept_totals(spark, out_dir).count() == 0
+    tables001["orders"].filter(F.col("o_orderkey") < 5).write.parquet(f"{in_dir}/1")
+    trig.run_available()
+    assert accepted_rows(spark, out_dir).count() == 5
