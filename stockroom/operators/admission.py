@@ -20,7 +20,7 @@ grow with the warehouse) are scanned but not shuffled for a bounded batch:
 * the first row of each key is found by ``min(seq)`` / ``min_by(ref, seq)``
   grouped by key: a hash aggregate with map-side partial combine, so a hot
   key collapses before the shuffle;
-* if the number of first rows passes a size check, their keys and
+* if the number of keyed rows passes a size check, the first rows' keys and
   reference values are broadcast and probed against the existing and
   reference tables (semi joins over a scan, no shuffle of the big side),
   and the scans carry the batch's key range as a pushed filter so parquet
@@ -69,10 +69,12 @@ def admit(batch: DataFrame, *, key: str, seq: str, existing: DataFrame, existing
 
     first = (keyed.groupBy(key)
              .agg(F.min(seq).alias(seq), F.min_by(ref_col, seq).alias("_ref")))
-    # One small job: how many first rows, and the ranges of their keys and
-    # reference values (four numbers reach the driver).
-    st = first.agg(F.count(F.lit(1)).alias("n"), F.min(key).alias("k0"), F.max(key).alias("k1"),
-                   F.min("_ref").alias("r0"), F.max("_ref").alias("r1")).first()
+    # One scan with a global partial aggregate, no shuffle: the number of
+    # keyed rows bounds the number of first rows, and the ranges over all
+    # keyed rows contain those of the first rows.  Five numbers reach the
+    # driver.
+    st = keyed.agg(F.count(F.lit(1)).alias("n"), F.min(key).alias("k0"), F.max(key).alias("k1"),
+                   F.min(ref_col).alias("r0"), F.max(ref_col).alias("r1")).first()
     small = st["n"] <= probe_max_rows
 
     seen = (keys_present(existing.select(F.col(existing_key).alias(key)), first, key, small,

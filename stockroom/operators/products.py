@@ -66,6 +66,9 @@ def upsert_products(current: DataFrame, batch: DataFrame, seq: str | None = None
     new_null = batch.filter(F.col(KEY).isNull()).select(*COLUMNS).withColumn("action", F.lit(REJECTED))
 
     new = batch.filter(F.col(KEY).isNotNull())
+    # Size and key range from one scan of the batch (before any dedupe).
+    st = new.agg(F.count(F.lit(1)).alias("n"), F.min(KEY).alias("k0"),
+                 F.max(KEY).alias("k1")).first()
     if seq is not None:
         new = (new.groupBy(KEY)
                   .agg(F.max_by(F.struct(*ATTRS), F.col(seq)).alias("_row"))
@@ -74,8 +77,6 @@ def upsert_products(current: DataFrame, batch: DataFrame, seq: str | None = None
     cur = current.filter(F.col(KEY).isNotNull()).select(
         KEY, *[F.col(c).alias(f"_cur_{c}") for c in ATTRS], F.lit(True).alias("_in_cur"))
 
-    st = new.agg(F.count(F.lit(1)).alias("n"), F.min(KEY).alias("k0"),
-                 F.max(KEY).alias("k1")).first()
     if st["n"] <= probe_max_rows:
         keys = F.broadcast(new.select(KEY))
         kept = (cur.join(keys, KEY, "left_anti")
