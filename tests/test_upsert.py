@@ -45,3 +45,41 @@ def test_seq_dedupes_batch(spark):
     out = {r["p_partkey"]: (r["action"], r["p_retailprice"])
            for r in upsert_products(current, batch, seq="seq").collect()}
     assert out == {1: ("updated", 12.0), 5: ("inserted", 6.0)}
+
+
+from hypothesis import HealthCheck, given, settings  # noqa: E402
+from hypothesis import strategies as st  # noqa: E402
+
+_row = st.tuples(st.one_of(st.none(), st.integers(0, 8)),
+                 st.one_of(st.none(), st.sampled_from(["a", "b"])),
+                 st.one_of(st.none(), st.sampled_from([1.0, 2.0])))
+
+
+def _model(current, batch):
+    """Brute force: merge row by row."""
+    cur = {k: (n, p) for k, n, p in current if k is not None}
+    new = {k: (n, p) for k, n, p in batch if k is not None}
+    out = []
+    for k in cur.keys() | new.keys():
+        if k not in cur:
+            out.append((k, *new[k], "inserted"))
+        elif k not in new:
+            out.append((k, *cur[k], "kept"))
+        else:
+            out.append((k, *new[k], "unchanged" if cur[k] == new[k] else "updated"))
+    out += [(None, n, p, "kept") for k, n, p in current if k is None]
+    out += [(None, n, p, "rejected") for k, n, p in batch if k is None]
+    return sorted(out, key=repr)
+
+
+@settings(max_examples=10, deadline=None, suppress_health_check=list(HealthCheck))
+@given(st.lists(_row, max_size=12, unique_by=lambda r: r[0] if r[0] is not None else object()),
+       st.lists(_row, max_size=12, unique_by=lambda r: r[0] if r[0] is not None else object()),
+       st.booleans())
+def test_matches_brute_force(spark, current, batch, small):
+    def df(rows):
+        return spark.createDataFrame([(k, n, "B", "T", 1, p) for k, n, p in rows], PART)
+    out = upsert_products(df(current), df(batch), probe_max_rows=2_000_000 if small else 0)
+    got = sorted(((r["p_partkey"], r["p_name"], r["p_retailprice"], r["action"])
+                  for r in out.collect()), key=repr)
+    assert got == _model(current, batch)

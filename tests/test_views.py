@@ -55,3 +55,23 @@ def test_product_pages_walk_the_whole_list(spark, tables001):
         seen.extend(page)
         after = page[-1]
     assert seen == want
+
+
+from hypothesis import HealthCheck, given, settings  # noqa: E402
+from hypothesis import strategies as st  # noqa: E402
+
+
+@settings(max_examples=8, deadline=None, suppress_health_check=list(HealthCheck))
+@given(st.lists(st.one_of(st.none(), st.integers(0, 5)), max_size=8),
+       st.lists(st.one_of(st.none(), st.integers(0, 7)), max_size=15))
+def test_customer_orders_is_a_left_join(spark, cust_keys, order_custs):
+    c = spark.createDataFrame([(k, f"c{i}", 0, 0.0, "S") for i, k in enumerate(cust_keys)], CUSTOMER)
+    o = spark.createDataFrame([(i, k, "O", 1.0, dt.datetime(1996, 1, 1), "1")
+                               for i, k in enumerate(order_custs)], ORDERS)
+    got = sorted(((r["c_name"], r["o_orderkey"]) for r in customer_orders(c, o).collect()),
+                 key=repr)
+    want = []
+    for i, k in enumerate(cust_keys):
+        hits = [j for j, ok in enumerate(order_custs) if k is not None and ok == k]
+        want += [(f"c{i}", j) for j in hits] or [(f"c{i}", None)]
+    assert got == sorted(want, key=repr)
