@@ -35,3 +35,14 @@ def test_small_batch_probes_existing_without_shuffling_it(spark):
     text = _formatted(spark, QUERIES["accept_orders"](spark, SF01))
     assert "SortMergeJoin" not in text
     assert "BroadcastHashJoin LeftSemi" in text
+
+
+def test_views_compose_with_pushdown(spark):
+    from stockroom.plans.views import register_views
+    from stockroom.sources import load
+    register_views(spark, load(spark, SF01, register=True))
+    assert spark.table("order_lines").count() == 60000
+    df = spark.table("customer_orders").filter("c_custkey = 7")
+    text = _formatted(spark, df)
+    assert "EqualTo(c_custkey,7)" in text and "EqualTo(o_custkey,7)" in text
+    assert df.count() == spark.table("orders").filter("o_custkey = 7").count()
