@@ -105,19 +105,59 @@ def audit_log(spark: SparkSession, out_dir: str) -> DataFrame:
     return spark.read.schema(AUDIT_SCHEMA).option("basePath", path).parquet(path)
 
 
-def kept_totals(spark: SparkSession, out_dir: str) -> DataFrame:
-    """O12 view: current per-customer totals from the per-batch partials."""
-    path = f"{out_dir}/totals"
-    schema = T.StructType([
-        T.StructField("o_custkey", T.LongType()),
-        T.StructField("n_orders", T.LongType()),
-        T.StructField("total_price", T.DecimalType(38, 2)),
-        T.StructField("last_order_date", T.TimestampNTZType()),
-        T.StructField("batch_id", T.LongType()),
-    ])
+TOTALS_SCHEMA = T.StructType([
+    T.StructField("o_custkey", T.LongType()),
+    T.StructField("n_orders", T.LongType()),
+    T.StructField("total_price", T.DecimalType(38, 2)),
+    T.StructField("last_order_date", T.TimestampNTZType()),
+])
+
+
+def _with_batch(schema: T.StructType) -> T.StructType:
+    return T.StructType(list(schema.fields) + [T.StructField("batch_id", T.LongType())])
+
+
+def _snapshot_path(out_dir: str, what: str) -> str:
+    return f"{out_dir}/snapshots/{what}"
+
+
+def latest_snapshot(spark: SparkSession, out_dir: str, what: str) -> int | None:
+    """Highest N of a complete ``snapshots/<what>/upto=N`` (one with _SUCCESS)."""
+    path = _snapshot_path(out_dir, what)
+    done = [int(n[len("upto="):]) for n in files.child_names(spark, path)
+            if n.startswith("upto=") and files.exists(spark, f"{path}/{n}/_SUCCESS")]
+    return max(done) if done else None
+
+
+def _read_batches(spark: SparkSession, path: str, schema: T.StructType,
+                  after: int | None, before: int | None = None) -> DataFrame:
+    """Per-batch output under ``path`` with ``after < batch_id < before``."""
     if not files.exists(spark, path):
-        return merge_totals(spark.createDataFrame([], schema))
-    return merge_totals(spark.read.schema(schema).option("basePath", path).parquet(path))
+        return spark.createDataFrame([], _with_batch(schema))
+    df = spark.read.schema(_with_batch(schema)).option("basePath", path).parquet(path)
+    if after is not None:
+        df = df.filter(F.col("batch_id") > F.lit(after))
+    if before is not None:
+        df = df.filter(F.col("batch_id") < F.lit(before))
+    return df
+
+
+def kept_totals(spark: SparkSession, out_dir: str) -> DataFrame:
+    """O12 view: current per-customer totals, the latest snapshot merged
+    with the partials of the batches after it."""
+    m = latest_snapshot(spark, out_dir, "totals")
+    parts = _read_batches(spark, f"{out_dir}/totals", TOTALS_SCHEMA, after=m).drop("batch_id")
+    if m is None:
+        return merge_totals(parts)
+    snap = spark.read.schema(TOTALS_SCHEMA).parquet(f"{_snapshot_path(out_dir, 'totals')}/upto={m}")
+    return merge_totals(snap, parts)
+
+
+def committed_batch(spark: SparkSession, checkpoint: str) -> int | None:
+    """Highest batch id the stream has committed (from the checkpoint's
+    commit log); batches above it may still be replayed."""
+    ids = [int(n) for n in files.child_names(spark, f"{checkpoint}/commits") if n.isdigit()]
+    return max(ids) if ids else None
 
 
 class InsertTrigger:
@@ -184,14 +224,57 @@ class InsertTrigger:
 
     # -- one micro-batch ---------------------------------------------------
     def existing_keys(self, batch_id: int) -> DataFrame:
-        """Base table keys plus keys accepted by earlier batches only."""
+        """Base table keys plus keys accepted by earlier batches only: the
+        latest key snapshot (if it is older than this batch) and the rows of
+        the batches after it."""
+        key = self.rules.key
+        m = latest_snapshot(self.spark, self.out_dir, "keys")
+        if m is not None and m >= batch_id:
+            m = None
+        earlier = _read_rows(self.spark, self.out_dir, self.rules).filter(
+            (F.col("batch_id") < F.lit(batch_id)) & (F.col(VERDICT) == ACCEPTED))
+        if m is not None:
+            earlier = earlier.filter(F.col("batch_id") > F.lit(m))
+        keys = earlier.select(key)
+        if m is not None:
+            keys = keys.unionByName(self.spark.read.parquet(
+                f"{_snapshot_path(self.out_dir, 'keys')}/upto={m}").select(key))
+        if self.base is not None:
+            keys = self.base.select(key).unionByName(keys)
+        return keys
+
+    def compact(self) -> int | None:
+        """Fold the committed batches into snapshots: all accepted keys
+        (range-partitioned and sorted, so parquet statistics prune probes)
+        and merged totals.  Later batches and ``kept_totals`` read the
+        snapshot instead of every earlier batch.  Each snapshot goes to a
+        new ``upto=N`` directory and counts only once complete (_SUCCESS),
+        so compaction may run beside the stream.  Returns N."""
+        n = committed_batch(self.spark, self.checkpoint)
+        m = latest_snapshot(self.spark, self.out_dir, "keys")
+        if n is None or (m is not None and m >= n):
+            return m
         key = self.rules.key
-        earlier = (_read_rows(self.spark, self.out_dir, self.rules)
-                   .filter((F.col("batch_id") < F.lit(batch_id)) & (F.col(VERDICT) == ACCEPTED))
-                   .select(key))
-        if self.base is None:
-            return earlier
-        return self.base.select(key).unionByName(earlier)
+        accepted = _read_rows(self.spark, self.out_dir, self.rules).filter(
+            (F.col(VERDICT) == ACCEPTED) & (F.col("batch_id") <= F.lit(n)))
+        if m is not None:
+            accepted = accepted.filter(F.col("batch_id") > F.lit(m))
+        new_keys = accepted.select(key)
+        if m is not None:
+            new_keys = new_keys.unionByName(self.spark.read.parquet(
+                f"{_snapshot_path(self.out_dir, 'keys')}/upto={m}").select(key))
+        (new_keys.repartitionByRange(key).sortWithinPartitions(key)
+                 .write.mode("overwrite").parquet(f"{_snapshot_path(self.out_dir, 'keys')}/upto={n}"))
+        if self.rules.keeps_totals:
+            t = latest_snapshot(self.spark, self.out_dir, "totals")
+            parts = _read_batches(self.spark, f"{self.out_dir}/totals", TOTALS_SCHEMA,
+                                  after=t, before=n + 1).drop("batch_id")
+            if t is not None:
+                parts = parts.unionByName(self.spark.read.schema(TOTALS_SCHEMA).parquet(
+                    f"{_snapshot_path(self.out_dir, 'totals')}/upto={t}"))
+            (merge_totals(parts).write.mode("overwrite")
+             .parquet(f"{_snapshot_path(self.out_dir, 'totals')}/upto={n}"))
+        return n
 
     def handle(self, batch: DataFrame, batch_id: int) -> None:
         r = self.rules
