@@ -302,3 +302,15 @@ class InsertTrigger:
         if r.keeps_totals:
             (order_totals_partial(written.filter(F.col(VERDICT) == ACCEPTED))
              .write.mode("overwrite").parquet(f"{self.out_dir}/totals/batch_id={batch_id}"))
+
+
+def register_trigger_views(spark: SparkSession, out_dir: str, rules: InsertRules = ORDER_RULES,
+                           prefix: str | None = None) -> None:
+    """Temp views over a trigger's output for SQL users:
+    ``<table>_accepted``, ``<table>_audit`` and, for orders,
+    ``<table>_kept_totals``."""
+    name = prefix or rules.table
+    accepted_rows(spark, out_dir, rules).createOrReplaceTempView(f"{name}_accepted")
+    audit_log(spark, out_dir).createOrReplaceTempView(f"{name}_audit")
+    if rules.keeps_totals:
+        kept_totals(spark, out_dir).createOrReplaceTempView(f"{name}_kept_totals")

@@ -183,3 +183,25 @@ def test_compaction_keeps_results(spark, tables001):
     assert verdicts(3) == {"accepted": 40, "already_exists": 10}
     assert accepted_rows(spark, out_dir).count() == 200
     assert totals_match(199)
+
+
+def test_continuous_stream_and_sql_views(spark, tables001):
+    from stockroom.streaming import register_trigger_views
+    work = scratch_dir(spark, "test-trigger-live")
+    in_dir, out_dir = f"{work}/in", f"{work}/out"
+    orders = tables001["orders"]
+    k = F.col("o_orderkey")
+    orders.filter(k < 30).write.parquet(f"{in_dir}/0")
+    q = InsertTrigger(spark, in_dir, out_dir, ORDER_RULES, reference=tables001["customer"]) \
+        .start(available_now=False, processing_time="1 second")
+    try:
+        q.processAllAvailable()
+        orders.filter(k.between(20, 49)).write.parquet(f"{in_dir}/1")
+        q.processAllAvailable()
+    finally:
+        q.stop()
+    register_trigger_views(spark, out_dir, prefix="live_orders")
+    assert spark.sql("SELECT count(*) AS n FROM live_orders_accepted").first()["n"] == 50
+    assert spark.sql("SELECT count(*) AS n FROM live_orders_audit "
+                     "WHERE verdict = 'already_exists'").first()["n"] == 10
+    assert spark.sql("SELECT sum(n_orders) AS n FROM live_orders_kept_totals").first()["n"] == 50
