@@ -46,3 +46,39 @@ def test_views_compose_with_pushdown(spark):
     text = _formatted(spark, df)
     assert "EqualTo(c_custkey,7)" in text and "EqualTo(o_custkey,7)" in text
     assert df.count() == spark.table("orders").filter("o_custkey = 7").count()
+
+
+def test_hot_customer_join_is_split_by_aqe(spark):
+    """One customer holds a third of all orders: AQE splits that partition
+    of the inner join (the reason customer_orders avoids an outer join)."""
+    from pyspark.sql import functions as F
+
+    from stockroom.plans.views import customer_orders
+    n = 300_000
+    orders = spark.range(n).select(
+        F.col("id").alias("o_orderkey"),
+        F.when(F.col("id") % 3 == 0, F.lit(7)).otherwise(F.col("id") % 5000).alias("o_custkey"),
+        F.lit("O").alias("o_orderstatus"), F.lit(1.0).alias("o_totalprice"),
+        F.lit(None).cast("timestamp_ntz").alias("o_orderdate"))
+    customer = spark.range(5000).select(F.col("id").alias("c_custkey"),
+                                        F.lit("c").alias("c_name"), F.lit("S").alias("c_mktsegment"))
+    conf = {"spark.sql.autoBroadcastJoinThreshold": "-1",
+            "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "64k",
+            "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+            "spark.sql.adaptive.advisoryPartitionSizeInBytes": "64k",
+            "spark.sql.shuffle.partitions": "16"}
+    old = {k: spark.conf.get(k) for k in conf}
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    try:
+        df = customer_orders(customer, orders)
+        assert len(df.collect()) == n
+        buf = io.StringIO()
+        with contextlib.redirect_stdout(buf):
+            df.explain()          # after execution: the final adaptive plan
+        text = buf.getvalue()
+        assert "isFinalPlan=true" in text
+        assert "isSkewJoin=true" in text or "skew=true" in text, text
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
