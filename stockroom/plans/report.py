@@ -55,7 +55,7 @@ def plan_summary(df) -> str:
     tree = text.split("\n\n\n")[0].replace("== Physical Plan ==\n", "")
     details = []
     for block in text.split("\n\n"):
-        lines = block.splitlines()
+        lines = block.strip().splitlines()
         if lines and "Scan parquet" in lines[0]:
             info = {k: v for k, v in (ln.split(": ", 1) for ln in lines[1:] if ": " in ln)}
             details.append(f"{lines[0].strip()}  {info.get('Location', '').split('[')[-1].rstrip(']')}\n"
