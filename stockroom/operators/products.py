@@ -28,8 +28,12 @@ def product_page(part: DataFrame, size: int = 50, after: tuple | None = None) ->
     df = part.select(*COLUMNS)
     if after is not None:
         name, key = after
-        df = df.filter((F.col("p_name") > F.lit(name))
-                       | ((F.col("p_name") == F.lit(name)) & (F.col(KEY) > F.lit(key))))
+        nm, k = F.col("p_name"), F.col(KEY)
+        if name is None:          # nulls sort last: only later null names remain
+            df = df.filter(nm.isNull() & (k > F.lit(key)))
+        else:
+            df = df.filter((nm > F.lit(name)) | ((nm == F.lit(name)) & (k > F.lit(key)))
+                           | nm.isNull())
     return df.orderBy(F.col("p_name").asc_nulls_last(), F.col(KEY).asc_nulls_last()).limit(size)
 
 

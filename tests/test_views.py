@@ -75,3 +75,19 @@ def test_customer_orders_is_a_left_join(spark, cust_keys, order_custs):
         hits = [j for j, ok in enumerate(order_custs) if k is not None and ok == k]
         want += [(f"c{i}", j) for j in hits] or [(f"c{i}", None)]
     assert got == sorted(want, key=repr)
+
+
+def test_product_pages_include_null_names(spark):
+    from stockroom.schemas import PART as P
+    part = spark.createDataFrame([(i, None if i % 4 == 0 else f"n{i % 3}", "B", "T", 1, 1.0)
+                                  for i in range(23)], P)
+    seen, after = [], None
+    while True:
+        page = [(r["p_name"], r["p_partkey"]) for r in product_page(part, 5, after).collect()]
+        if not page:
+            break
+        seen.extend(page)
+        after = page[-1]
+    want = sorted(((r["p_name"], r["p_partkey"]) for r in part.collect()),
+                  key=lambda t: (t[0] is None, t[0] or "", t[1]))
+    assert seen == want
