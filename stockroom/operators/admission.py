@@ -41,7 +41,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from stockroom.plans.joins import LOOKUP_MAX_ROWS, PROBE_MAX_ROWS, keys_present, row_count_at_most
+from stockroom.plans.joins import LOOKUP_MAX_ROWS, keys_present, probe_limit, row_count_at_most
 
 VERDICT = "verdict"
 NULL_KEY = "null_key"
@@ -56,7 +56,7 @@ def _no_hint(df: DataFrame) -> DataFrame:
 
 def admit(batch: DataFrame, *, key: str, seq: str, existing: DataFrame, existing_key: str,
           ref_col: str, reference: DataFrame, reference_key: str, unknown: str,
-          small_reference: bool = False, probe_max_rows: int = PROBE_MAX_ROWS) -> DataFrame:
+          small_reference: bool = False, probe_max_rows: int | None = None) -> DataFrame:
     """Batch rows with a ``verdict`` column (see module doc).
 
     ``existing`` may be any frame holding the keys already present (for a
@@ -75,7 +75,7 @@ def admit(batch: DataFrame, *, key: str, seq: str, existing: DataFrame, existing
     # driver.
     st = keyed.agg(F.count(F.lit(1)).alias("n"), F.min(key).alias("k0"), F.max(key).alias("k1"),
                    F.min(ref_col).alias("r0"), F.max(ref_col).alias("r1")).first()
-    small = st["n"] <= probe_max_rows
+    small = st["n"] <= probe_limit(batch.sparkSession, probe_max_rows)
 
     seen = (keys_present(existing.select(F.col(existing_key).alias(key)), first, key, small,
                          key_range=(st["k0"], st["k1"]) if small else None)

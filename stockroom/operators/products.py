@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from stockroom.plans.joins import PROBE_MAX_ROWS
+from stockroom.plans.joins import probe_limit
 
 KEY = "p_partkey"
 ATTRS = ["p_name", "p_brand", "p_type", "p_size", "p_retailprice"]
@@ -42,7 +42,7 @@ INSERTED, UPDATED, UNCHANGED, KEPT, REJECTED = "inserted", "updated", "unchanged
 
 
 def upsert_products(current: DataFrame, batch: DataFrame, seq: str | None = None,
-                    probe_max_rows: int = PROBE_MAX_ROWS) -> DataFrame:
+                    probe_max_rows: int | None = None) -> DataFrame:
     """Keep the product list: merge ``batch`` into ``current``, batch wins.
 
     One row per key in the result, with ``action``:
@@ -81,7 +81,7 @@ def upsert_products(current: DataFrame, batch: DataFrame, seq: str | None = None
     cur = current.filter(F.col(KEY).isNotNull()).select(
         KEY, *[F.col(c).alias(f"_cur_{c}") for c in ATTRS], F.lit(True).alias("_in_cur"))
 
-    if st["n"] <= probe_max_rows:
+    if st["n"] <= probe_limit(batch.sparkSession, probe_max_rows):
         keys = F.broadcast(new.select(KEY))
         kept = (cur.join(keys, KEY, "left_anti")
                    .select("*", *[F.lit(None).alias(f"_new_{c}") for c in ATTRS],

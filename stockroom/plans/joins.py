@@ -8,8 +8,19 @@ from pyspark.sql import functions as F
 # A lookup side is broadcast only when it has at most this many rows.
 LOOKUP_MAX_ROWS = 100_000
 # Keys of an incoming batch are broadcast to probe a big table only up to
-# this many rows (2M longs: tens of MB per executor).
+# this many rows (2M longs: tens of MB per executor).  A session may set
+# ``spark.stockroom.probe.maxRows`` instead (0 forces the shuffled plans).
 PROBE_MAX_ROWS = 2_000_000
+PROBE_CONF = "spark.stockroom.probe.maxRows"
+
+
+def probe_limit(spark, given: int | None = None) -> int:
+    """The probe bound: an explicit argument, else the session setting,
+    else ``PROBE_MAX_ROWS``."""
+    if given is not None:
+        return given
+    v = spark.conf.get(PROBE_CONF, None)
+    return int(v) if v not in (None, "") else PROBE_MAX_ROWS
 
 
 def row_count_at_most(df: DataFrame, max_rows: int) -> bool:
