@@ -1,3 +1,3 @@
-from stockroom.functions.money import AMOUNT, MONEY, TOTAL, line_amount, money
+from stockroom.functions.money import AMOUNT, MONEY, TOTAL, as_double, line_amount, money, total
 
-__all__ = ["AMOUNT", "MONEY", "TOTAL", "line_amount", "money"]
+__all__ = ["AMOUNT", "MONEY", "TOTAL", "as_double", "line_amount", "money", "total"]

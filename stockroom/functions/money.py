@@ -33,3 +33,10 @@ def line_amount(price="l_extendedprice", discount="l_discount") -> Column:
 def total(c) -> Column:
     """Exact sum of a money column, typed wide enough for any group."""
     return F.sum(money(c)).cast(TOTAL)
+
+
+def as_double(c) -> Column:
+    """An exact decimal result presented as a double: one correctly rounded
+    conversion at the end, after all arithmetic and sums were exact.  The
+    source tables carry money as doubles, so outputs do too."""
+    return _col(c).cast("double")

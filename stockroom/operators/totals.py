@@ -7,7 +7,7 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from stockroom.functions.money import TOTAL, total
+from stockroom.functions.money import TOTAL, as_double, total
 
 TOTAL_COLUMNS = ["o_custkey", "n_orders", "total_price", "last_order_date"]
 
@@ -31,3 +31,9 @@ def merge_totals(*partials: DataFrame) -> DataFrame:
             .agg(F.sum("n_orders").alias("n_orders"),
                  F.sum("total_price").cast(TOTAL).alias("total_price"),
                  F.max("last_order_date").alias("last_order_date")))
+
+
+def present_totals(totals: DataFrame) -> DataFrame:
+    """Totals for readers: the exact decimal total as a double.  Partials
+    and snapshots stay decimal so that merging them stays exact."""
+    return totals.withColumn("total_price", as_double("total_price"))

@@ -86,8 +86,8 @@ def q_order_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 def q_order_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
     t = _Tables(spark, sf_dir)
     first, second = batches.order_partials(t["orders"])
-    return totals.merge_totals(totals.order_totals_partial(first),
-                               totals.order_totals_partial(second))
+    return totals.present_totals(totals.merge_totals(totals.order_totals_partial(first),
+                                                     totals.order_totals_partial(second)))
 
 
 def q_call_get_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -148,7 +148,7 @@ def q_trigger_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_trigger_order_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return triggers.kept_totals(spark, landed_orders_run(spark, sf_dir))
+    return totals.present_totals(triggers.kept_totals(spark, landed_orders_run(spark, sf_dir)))
 
 
 def landed_customers_run(spark: SparkSession, sf_dir: str) -> str:
@@ -256,7 +256,7 @@ _ORDER_VERDICTS = """
 
 _ORDER_TOTALS = """
     SELECT o_custkey, COUNT(*) AS n_orders,
-           CAST(SUM(CAST(o_totalprice AS DECIMAL(12,2))) AS DECIMAL(38,2)) AS total_price,
+           CAST(SUM(CAST(o_totalprice AS DECIMAL(12,2))) AS DOUBLE) AS total_price,
            MAX(o_orderdate) AS last_order_date
     FROM orders GROUP BY o_custkey
 """
@@ -314,8 +314,8 @@ ORACLE = {
     "order_lines": """
         SELECT o_orderkey, o_custkey, o_orderdate, l_linenumber, l_partkey, p_name, p_brand,
                l_quantity, l_extendedprice, l_discount,
-               CAST(CAST(l_extendedprice AS DECIMAL(12,2)) * (1 - CAST(l_discount AS DECIMAL(4,2)))
-                    AS DECIMAL(18,4)) AS amount
+               CAST(CAST(CAST(l_extendedprice AS DECIMAL(12,2)) * (1 - CAST(l_discount AS DECIMAL(4,2)))
+                         AS DECIMAL(18,4)) AS DOUBLE) AS amount
         FROM lineitem
         JOIN orders ON l_orderkey = o_orderkey
         JOIN part ON l_partkey = p_partkey

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stockroom.functions.money import line_amount
+from stockroom.functions.money import as_double, line_amount
 from stockroom.operators.products import product_list
 
 CUSTOMER_ORDER_COLUMNS = ["c_custkey", "c_name", "c_mktsegment",
@@ -45,7 +45,8 @@ def customer_orders(customer: DataFrame, orders: DataFrame) -> DataFrame:
 
 
 def order_lines(orders: DataFrame, lineitem: DataFrame, part: DataFrame) -> DataFrame:
-    """Order x line x product with the exact discounted amount.
+    """Order x line x product with the discounted amount (computed exactly
+    in decimal, presented as a double like the source prices).
 
     Two inner equi-joins; Spark picks broadcast or sort-merge from sizes
     (AQE re-decides at runtime and splits a hot order or product key).
@@ -57,7 +58,7 @@ def order_lines(orders: DataFrame, lineitem: DataFrame, part: DataFrame) -> Data
     p = part.select(F.col("p_partkey").alias("l_partkey"), "p_name", "p_brand")
     return (li.join(o, "o_orderkey", "inner")
               .join(p, "l_partkey", "inner")
-              .withColumn("amount", line_amount())
+              .withColumn("amount", as_double(line_amount()))
               .select(*ORDER_LINE_COLUMNS))
 
 

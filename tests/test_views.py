@@ -3,6 +3,7 @@
 import datetime as dt
 from decimal import Decimal
 
+from stockroom.functions.money import line_amount
 from stockroom.operators.orders import get_orders
 from stockroom.operators.products import product_page
 from stockroom.plans.views import customer_orders, order_lines
@@ -27,7 +28,9 @@ def test_order_lines_amount_is_exact(spark):
     ], LINEITEM)
     p = spark.createDataFrame([(3, "bolt", "B", "T", 1, 1.0)], PART)
     got = sorted(r["amount"] for r in order_lines(o, li, p).collect())
-    assert got == [Decimal("0.2790"), Decimal("900.0450")]
+    assert got == [0.279, 900.045]
+    exact = sorted(r["a"] for r in li.select(line_amount().alias("a")).collect())
+    assert exact == [Decimal("0.2790"), Decimal("900.0450")]
 
 
 def test_get_orders_bounds(spark):
