@@ -82,7 +82,8 @@ def admit(batch: DataFrame, *, key: str, seq: str, existing: DataFrame, existing
             .withColumn("_exists", F.lit(True)))
     ref_all = reference.select(F.col(reference_key).alias("_ref"))
     if small:
-        found = keys_present(ref_all, first.select("_ref").distinct(), "_ref", True,
+        # the probe may repeat a value; its size is bounded by the check above
+        found = keys_present(ref_all, first.select("_ref"), "_ref", True,
                              key_range=(st["r0"], st["r1"]))
         found_hint = F.broadcast
     elif small_reference and row_count_at_most(ref_all, LOOKUP_MAX_ROWS):
