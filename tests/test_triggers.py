@@ -205,3 +205,18 @@ def test_continuous_stream_and_sql_views(spark, tables001):
     assert spark.sql("SELECT count(*) AS n FROM live_orders_audit "
                      "WHERE verdict = 'already_exists'").first()["n"] == 10
     assert spark.sql("SELECT sum(n_orders) AS n FROM live_orders_kept_totals").first()["n"] == 50
+
+
+def test_max_files_per_trigger_splits_batches(spark, tables001):
+    work = scratch_dir(spark, "test-trigger-maxfiles")
+    in_dir, out_dir = f"{work}/in", f"{work}/out"
+    orders = tables001["orders"]
+    k = F.col("o_orderkey")
+    for i, (lo, hi) in enumerate([(0, 19), (10, 29), (25, 39)]):
+        orders.filter(k.between(lo, hi)).coalesce(1).write.parquet(f"{in_dir}/{i}")
+    InsertTrigger(spark, in_dir, out_dir, ORDER_RULES, reference=tables001["customer"],
+                  max_files_per_trigger=1).run_available()
+    audit = audit_log(spark, out_dir)
+    assert {r["batch_id"] for r in audit.select("batch_id").distinct().collect()} == {0, 1, 2}
+    assert accepted_rows(spark, out_dir).count() == 40
+    assert audit.filter("verdict = 'already_exists'").count() == 15
