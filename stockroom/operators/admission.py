@@ -24,10 +24,11 @@ grow with the warehouse) are scanned but not shuffled for a bounded batch:
   reference values are broadcast and probed against the existing and
   reference tables (semi joins over a scan, no shuffle of the big side),
   and the scans carry the batch's key range as a pushed filter so parquet
-  skips row groups that cannot match;
-  the hits are at most as many as the probe, so joining them back is a
-  broadcast too.  Above the bound every join is a shuffled join and AQE
-  splits skewed partitions;
+  skips row groups that cannot match.  The hits are at most as many as the
+  probe, so joining them back is a broadcast too;
+* above the bound the first rows go through shuffled semi / anti joins
+  against the existing and reference tables; their children are plain
+  shuffles, so AQE can split the partition of a hot reference value;
 * the verdicts are joined back to the batch on ``(key, seq)``, unique per
   row, so the rows of a hot key spread over all partitions.
 
@@ -50,10 +51,6 @@ EXISTS = "already_exists"
 ACCEPTED = "accepted"
 
 
-def _no_hint(df: DataFrame) -> DataFrame:
-    return df
-
-
 def admit(batch: DataFrame, *, key: str, seq: str, existing: DataFrame, existing_key: str,
           ref_col: str, reference: DataFrame, reference_key: str, unknown: str,
           small_reference: bool = False, probe_max_rows: int | None = None) -> DataFrame:
@@ -77,29 +74,33 @@ def admit(batch: DataFrame, *, key: str, seq: str, existing: DataFrame, existing
                    F.min(ref_col).alias("r0"), F.max(ref_col).alias("r1")).first()
     small = st["n"] <= probe_limit(batch.sparkSession, probe_max_rows)
 
-    seen = (keys_present(existing.select(F.col(existing_key).alias(key)), first, key, small,
-                         key_range=(st["k0"], st["k1"]) if small else None)
-            .withColumn("_exists", F.lit(True)))
+    known = existing.select(F.col(existing_key).alias(key))
     ref_all = reference.select(F.col(reference_key).alias("_ref"))
     if small:
+        # Probe hits are at most as many as the first rows: broadcast them
+        # back and label the first rows with two broadcast joins.
+        seen = keys_present(known, first, key, True, key_range=(st["k0"], st["k1"]))
         # the probe may repeat a value; its size is bounded by the check above
         found = keys_present(ref_all, first.select("_ref"), "_ref", True,
                              key_range=(st["r0"], st["r1"]))
-        found_hint = F.broadcast
-    elif small_reference and row_count_at_most(ref_all, LOOKUP_MAX_ROWS):
-        found, found_hint = ref_all.distinct(), F.broadcast
+        verdict = (F.when(F.col("_exists").isNotNull(), F.lit(EXISTS))
+                    .when(F.col("_found").isNotNull(), F.lit(ACCEPTED))
+                    .otherwise(F.lit(unknown)))
+        decided = (first.join(F.broadcast(seen.withColumn("_exists", F.lit(True))), key, "left")
+                        .join(F.broadcast(found.withColumn("_found", F.lit(True))), "_ref", "left")
+                        .select(key, seq, verdict.alias(VERDICT)))
     else:
-        found = keys_present(ref_all, first.select("_ref").distinct(), "_ref", False)
-        found_hint = _no_hint
-    found = found.withColumn("_found", F.lit(True))
-
-    hint = F.broadcast if small else _no_hint
-    verdict = (F.when(F.col("_exists").isNotNull(), F.lit(EXISTS))
-                .when(F.col("_found").isNotNull(), F.lit(ACCEPTED))
-                .otherwise(F.lit(unknown)))
-    decided = (first.join(hint(seen), key, "left")
-                    .join(found_hint(found), "_ref", "left")
-                    .select(key, seq, verdict.alias(VERDICT)))
+        # Shuffled semi / anti joins straight against the big tables: they
+        # need no distinct (duplicates on the right do not multiply rows),
+        # and with both children plain shuffles AQE can split a hot
+        # reference value on the left side.
+        exists = first.join(known, key, "left_semi").withColumn(VERDICT, F.lit(EXISTS))
+        fresh = first.join(known, key, "left_anti")
+        if small_reference and row_count_at_most(ref_all, LOOKUP_MAX_ROWS):
+            ref_all = F.broadcast(ref_all)
+        ok = fresh.join(ref_all, "_ref", "left_semi").withColumn(VERDICT, F.lit(ACCEPTED))
+        missing = fresh.join(ref_all, "_ref", "left_anti").withColumn(VERDICT, F.lit(unknown))
+        decided = exists.unionByName(ok).unionByName(missing).select(key, seq, VERDICT)
     # ``decided`` holds seq (for streams: file names), so its broadcast is
     # left to AQE's measured size; the join back is batch-sized either way.
     judged = (keyed.join(decided, [key, seq], "left")

@@ -82,3 +82,49 @@ def test_hot_customer_join_is_split_by_aqe(spark):
     finally:
         for k, v in old.items():
             spark.conf.set(k, v)
+
+
+def test_hot_reference_in_a_big_batch_is_split_by_aqe(spark):
+    """Shuffled admission plan (probe limit 0): one customer is the reference
+    of a third of the incoming orders; AQE splits that partition of the
+    reference join, and the verdicts stay exact."""
+    from pyspark.sql import functions as F
+
+    from stockroom.operators.admission import accept_orders
+    n = 300_000
+    batch = spark.range(n).select(
+        F.col("id").alias("o_orderkey"),
+        F.when(F.col("id") % 3 == 0, F.lit(7)).otherwise(F.col("id") % 5000).alias("o_custkey"),
+        F.lit("O").alias("o_orderstatus"), F.lit(1.0).alias("o_totalprice"),
+        F.lit(None).cast("timestamp_ntz").alias("o_orderdate"),
+        F.lit("1").alias("o_orderpriority"), F.col("id").alias("seq"))
+    customer = spark.range(4000).select(F.col("id").alias("c_custkey"))
+    existing = spark.range(0).select(F.col("id").alias("o_orderkey"))
+    conf = {"spark.sql.autoBroadcastJoinThreshold": "-1",
+            "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+            "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "64k",
+            "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+            "spark.sql.adaptive.advisoryPartitionSizeInBytes": "64k",
+            "spark.sql.shuffle.partitions": "16",
+            "spark.stockroom.probe.maxRows": "0"}
+    old = {k: spark.conf.get(k, None) for k in conf}
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    try:
+        v = accept_orders(existing, batch, customer)
+        rows = v.collect()
+        buf = io.StringIO()
+        with contextlib.redirect_stdout(buf):
+            v.explain()
+        text = buf.getvalue()
+    finally:
+        for k, val in old.items():
+            if val is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, val)
+    assert len(rows) == n
+    unknown = sum(1 for r in rows if r["verdict"] == "unknown_customer")
+    assert unknown == sum(1 for r in rows if r["o_custkey"] >= 4000)
+    assert "isFinalPlan=true" in text
+    assert "isSkewJoin=true" in text or "skew=true" in text, text
