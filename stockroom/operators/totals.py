@@ -37,3 +37,9 @@ def present_totals(totals: DataFrame) -> DataFrame:
     """Totals for readers: the exact decimal total as a double.  Partials
     and snapshots stay decimal so that merging them stays exact."""
     return totals.withColumn("total_price", as_double("total_price"))
+
+
+def order_totals(*accepted_deltas: DataFrame) -> DataFrame:
+    """O12 over batches of accepted orders: one partial per delta, then
+    the merge (what the trigger does across micro-batches)."""
+    return merge_totals(*[order_totals_partial(d) for d in accepted_deltas])

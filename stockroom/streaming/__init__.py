@@ -1,6 +1,6 @@
 from stockroom.streaming.triggers import (CUSTOMER_RULES, ORDER_RULES, InsertRules, InsertTrigger,
-                                          accepted_rows, audit_log, kept_totals,
+                                          accepted_rows, audit_log, kept_totals, on_insert,
                                           register_trigger_views)
 
 __all__ = ["CUSTOMER_RULES", "ORDER_RULES", "InsertRules", "InsertTrigger",
-           "accepted_rows", "audit_log", "kept_totals", "register_trigger_views"]
+           "accepted_rows", "audit_log", "kept_totals", "on_insert", "register_trigger_views"]

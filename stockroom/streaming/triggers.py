@@ -314,3 +314,15 @@ def register_trigger_views(spark: SparkSession, out_dir: str, rules: InsertRules
     audit_log(spark, out_dir).createOrReplaceTempView(f"{name}_audit")
     if rules.keeps_totals:
         kept_totals(spark, out_dir).createOrReplaceTempView(f"{name}_kept_totals")
+
+
+def on_insert(spark: SparkSession, in_dir: str, out_dir: str, checkpoint: str | None = None,
+              rules: InsertRules = ORDER_RULES, reference: DataFrame | None = None,
+              base: DataFrame | None = None, available_now: bool = True) -> StreamingQuery:
+    """O10-O12 in one call: start the insert trigger for files landing in
+    ``in_dir``.  ``reference`` defaults to the session's registered table
+    (``customer`` for orders, ``nation`` for customers)."""
+    if reference is None:
+        reference = spark.table("customer" if rules.table == "orders" else "nation")
+    return InsertTrigger(spark, in_dir, out_dir, rules, reference=reference, base=base,
+                         checkpoint=checkpoint).start(available_now=available_now)

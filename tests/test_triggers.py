@@ -220,3 +220,18 @@ def test_max_files_per_trigger_splits_batches(spark, tables001):
     assert {r["batch_id"] for r in audit.select("batch_id").distinct().collect()} == {0, 1, 2}
     assert accepted_rows(spark, out_dir).count() == 40
     assert audit.filter("verdict = 'already_exists'").count() == 15
+
+
+def test_on_insert_and_order_totals(spark, tables001):
+    from stockroom.operators.totals import order_totals
+    from stockroom.streaming import on_insert
+    work = scratch_dir(spark, "test-on-insert")
+    in_dir, out_dir = f"{work}/in", f"{work}/out"
+    orders = tables001["orders"]
+    k = F.col("o_orderkey")
+    orders.filter(k < 50).write.parquet(f"{in_dir}/0")
+    q = on_insert(spark, in_dir, out_dir, reference=tables001["customer"])
+    q.awaitTermination()
+    want = order_totals(orders.filter(k < 25), orders.filter(k.between(25, 49)))
+    got = kept_totals(spark, out_dir)
+    assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
