@@ -53,14 +53,22 @@ ACCEPTED = "accepted"
 
 def admit(batch: DataFrame, *, key: str, seq: str, existing: DataFrame, existing_key: str,
           ref_col: str, reference: DataFrame, reference_key: str, unknown: str,
-          small_reference: bool = False, probe_max_rows: int | None = None) -> DataFrame:
+          small_reference: bool = False, probe_max_rows: int | None = None,
+          check_seq: bool = False) -> DataFrame:
     """Batch rows with a ``verdict`` column (see module doc).
 
     ``existing`` may be any frame holding the keys already present (for a
     trigger: the base table plus earlier accepted batches).
     ``small_reference`` marks a lookup table (such as nations) that is
-    broadcast when its own size check allows.
+    broadcast when its own size check allows.  ``check_seq`` first verifies
+    that ``(key, seq)`` is unique and raises ``ValueError`` otherwise (one
+    extra aggregate, grouped by both columns, so a hot key still spreads).
     """
+    if check_seq:
+        ties = (batch.filter(F.col(key).isNotNull()).groupBy(key, seq).count()
+                     .filter(F.col("count") > 1).count())
+        if ties:
+            raise ValueError(f"{ties} (key, seq) pair(s) repeat in the batch; seq must be unique")
     nulls = batch.filter(F.col(key).isNull()).withColumn(VERDICT, F.lit(NULL_KEY))
     keyed = batch.filter(F.col(key).isNotNull())
 
@@ -110,20 +118,20 @@ def admit(batch: DataFrame, *, key: str, seq: str, existing: DataFrame, existing
 
 
 def add_customers(existing: DataFrame, batch: DataFrame, nation: DataFrame,
-                  seq: str = "seq") -> DataFrame:
+                  seq: str = "seq", check_seq: bool = False) -> DataFrame:
     """O4: verdicts for incoming customers (reference: nation)."""
     return admit(batch, key="c_custkey", seq=seq, existing=existing, existing_key="c_custkey",
                  ref_col="c_nationkey", reference=nation, reference_key="n_nationkey",
-                 unknown="unknown_nation", small_reference=True)
+                 unknown="unknown_nation", small_reference=True, check_seq=check_seq)
 
 
 def accept_orders(existing: DataFrame, batch: DataFrame, customer: DataFrame,
-                  seq: str = "seq") -> DataFrame:
+                  seq: str = "seq", check_seq: bool = False) -> DataFrame:
     """O6: verdicts for incoming orders (reference: customer, not broadcast:
     it grows with the data)."""
     return admit(batch, key="o_orderkey", seq=seq, existing=existing, existing_key="o_orderkey",
                  ref_col="o_custkey", reference=customer, reference_key="c_custkey",
-                 unknown="unknown_customer")
+                 unknown="unknown_customer", check_seq=check_seq)
 
 
 def accepted_rows(verdicts: DataFrame) -> DataFrame:

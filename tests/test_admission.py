@@ -150,3 +150,12 @@ def test_only_null_keys(spark):
     batch = spark.createDataFrame([(None, "a", 0, 0.0, "X", 1), (None, "b", 0, 0.0, "X", 2)], BATCH)
     assert _verdicts(add_customers(existing, batch, _nation(spark))) == {
         (None, 1): "null_key", (None, 2): "null_key"}
+
+
+def test_check_seq_rejects_repeated_pairs(spark):
+    existing = _cust(spark, [(1, "one", 0, 1.0, "X")])
+    good = spark.createDataFrame([(3, "a", 1, 0.0, "X", 1), (3, "b", 1, 0.0, "X", 2)], BATCH)
+    assert add_customers(existing, good, _nation(spark), check_seq=True).count() == 2
+    bad = spark.createDataFrame([(3, "a", 1, 0.0, "X", 1), (3, "b", 1, 0.0, "X", 1)], BATCH)
+    with pytest.raises(ValueError, match="seq must be unique"):
+        add_customers(existing, bad, _nation(spark), check_seq=True)
