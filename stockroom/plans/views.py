@@ -64,6 +64,8 @@ def order_lines(orders: DataFrame, lineitem: DataFrame, part: DataFrame) -> Data
 
 def register_views(spark: SparkSession, tables: dict[str, DataFrame]) -> None:
     """Register the views over the loaded tables (temp views over temp views)."""
+    from stockroom.operators.totals import order_totals, present_totals
     product_list(tables["part"]).createOrReplaceTempView("product_list")
+    present_totals(order_totals(tables["orders"])).createOrReplaceTempView("order_totals")
     customer_orders(tables["customer"], tables["orders"]).createOrReplaceTempView("customer_orders")
     order_lines(tables["orders"], tables["lineitem"], tables["part"]).createOrReplaceTempView("order_lines")

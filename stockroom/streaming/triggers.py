@@ -160,17 +160,24 @@ def committed_batch(spark: SparkSession, checkpoint: str) -> int | None:
     return max(ids) if ids else None
 
 
+# A backlog is cut into micro-batches of at most this many files, so the
+# first run over months of landings is not one unbounded batch.
+DEFAULT_MAX_FILES = 10_000
+
+
 class InsertTrigger:
     """Validate-audit-total trigger for files landing in ``in_dir``.
 
     ``base`` is the table as it was before the trigger started (may be
     None), ``reference`` the table the reference column must point into
-    (customers for orders, nations for customers).
+    (customers for orders, nations for customers).  ``max_files_per_trigger``
+    bounds a micro-batch (None: everything new at once).
     """
 
     def __init__(self, spark: SparkSession, in_dir: str, out_dir: str, rules: InsertRules,
                  reference: DataFrame, base: DataFrame | None = None,
-                 checkpoint: str | None = None, max_files_per_trigger: int | None = None):
+                 checkpoint: str | None = None,
+                 max_files_per_trigger: int | None = DEFAULT_MAX_FILES):
         self.spark = spark
         self.in_dir = in_dir.rstrip("/")
         self.out_dir = out_dir.rstrip("/")

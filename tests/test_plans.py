@@ -42,6 +42,7 @@ def test_views_compose_with_pushdown(spark):
     from stockroom.sources import load
     register_views(spark, load(spark, SF01, register=True))
     assert spark.table("order_lines").count() == 60000
+    assert spark.sql("SELECT sum(n_orders) AS n FROM order_totals").first()["n"] == 15000
     df = spark.table("customer_orders").filter("c_custkey = 7")
     text = _formatted(spark, df)
     assert "EqualTo(c_custkey,7)" in text and "EqualTo(o_custkey,7)" in text
