@@ -26,6 +26,7 @@ already holds batches is refused.  One writer per output directory.
 from __future__ import annotations
 
 import zlib
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -301,14 +302,21 @@ class InsertTrigger:
                    .schema(T.StructType(list(_row_schema(r).fields)
                                         + [T.StructField(VERDICT, T.StringType())]))
                    .option("basePath", rows_n).parquet(rows_n))
-        (written.select(F.col(r.key).cast("bigint").alias("key"), VERDICT,
-                        F.col(f"{LANDED}.file").alias("landed_file"),
-                        F.col(f"{LANDED}.row").alias("landed_row"))
-                .withColumn("batch_id", F.lit(batch_id).cast("bigint"))
-                .write.mode("overwrite").parquet(f"{self.out_dir}/audit/batch_id={batch_id}"))
+        audit = (written.select(F.col(r.key).cast("bigint").alias("key"), VERDICT,
+                                F.col(f"{LANDED}.file").alias("landed_file"),
+                                F.col(f"{LANDED}.row").alias("landed_row"))
+                        .withColumn("batch_id", F.lit(batch_id).cast("bigint")))
+        writes = [lambda: audit.write.mode("overwrite")
+                  .parquet(f"{self.out_dir}/audit/batch_id={batch_id}")]
         if r.keeps_totals:
-            (order_totals_partial(written.filter(F.col(VERDICT) == ACCEPTED))
-             .write.mode("overwrite").parquet(f"{self.out_dir}/totals/batch_id={batch_id}"))
+            partial = order_totals_partial(written.filter(F.col(VERDICT) == ACCEPTED))
+            writes.append(lambda: partial.write.mode("overwrite")
+                          .parquet(f"{self.out_dir}/totals/batch_id={batch_id}"))
+        # The two writes are independent jobs over the committed rows: run
+        # them side by side.  Any failure is raised, so the batch is retried.
+        with ThreadPoolExecutor(max_workers=len(writes)) as pool:
+            for f in [pool.submit(w) for w in writes]:
+                f.result()
 
 
 def register_trigger_views(spark: SparkSession, out_dir: str, rules: InsertRules = ORDER_RULES,
