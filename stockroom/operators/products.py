@@ -74,8 +74,10 @@ def upsert_products(current: DataFrame, batch: DataFrame, seq: str | None = None
     st = new.agg(F.count(F.lit(1)).alias("n"), F.min(KEY).alias("k0"),
                  F.max(KEY).alias("k1")).first()
     if seq is not None:
+        # max over (seq, attributes): a null seq sorts lowest, so a key whose
+        # rows all lack a seq still keeps one of its rows
         new = (new.groupBy(KEY)
-                  .agg(F.max_by(F.struct(*ATTRS), F.col(seq)).alias("_row"))
+                  .agg(F.max(F.struct(F.col(seq).alias("_seq"), *ATTRS)).alias("_row"))
                   .select(KEY, *[F.col(f"_row.{c}").alias(c) for c in ATTRS]))
     new = new.select(KEY, *[F.col(c).alias(f"_new_{c}") for c in ATTRS], F.lit(True).alias("_in_new"))
     cur = current.filter(F.col(KEY).isNotNull()).select(

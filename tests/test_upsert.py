@@ -83,3 +83,15 @@ def test_matches_brute_force(spark, current, batch, small):
     got = sorted(((r["p_partkey"], r["p_name"], r["p_retailprice"], r["action"])
                   for r in out.collect()), key=repr)
     assert got == _model(current, batch)
+
+
+def test_seq_null_keeps_a_row(spark):
+    current = spark.createDataFrame([(1, "a", "B1", "T", 1, 10.0)], PART)
+    batch = spark.createDataFrame([
+        (1, "a", "B1", "T", 1, 12.0, None),
+        (1, "a", "B1", "T", 1, 11.0, 3),
+        (7, "g", "B1", "T", 1, 7.0, None),
+    ], SEQ)
+    out = {r["p_partkey"]: (r["action"], r["p_retailprice"])
+           for r in upsert_products(current, batch, seq="seq").collect()}
+    assert out == {1: ("updated", 11.0), 7: ("inserted", 7.0)}
