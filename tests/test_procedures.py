@@ -71,3 +71,12 @@ def test_keep_products_writes_new_table(spark, db):
     assert out.select("p_partkey").distinct().count() == 210
     assert out.filter(F.col("p_partkey") == 0).first()["p_retailprice"] == \
         db["part"].filter(F.col("p_partkey") == 0).first()["p_retailprice"] + 1
+
+
+def test_order_lines_of_matches_lineitem(spark, db):
+    from pyspark.sql import functions as F
+    k = db["orders"].first()["o_orderkey"]
+    via = spark.sql(f"SELECT * FROM order_lines_of({k})")
+    direct = (db["lineitem"].filter(F.col("l_orderkey") == k)
+              .select("l_linenumber", "l_partkey", "l_quantity", "l_extendedprice", "l_discount"))
+    assert _rows(via) == _rows(direct) and len(_rows(via)) > 0
