@@ -2,8 +2,9 @@
 
 Method.  Examples are a bounded sample of labelled documents: at most
 ``TOXIC_EXAMPLES`` and ``CLEAN_EXAMPLES`` rows, taken in the order of a hash
-of the id.  Terms are lower-case words and their first four and five letters;
-those that mark toxic examples (log-likelihood ratio of at least ``MIN_G2``,
+of the id.  Terms are lower-case words, their first four to seven letters, and each
+of these with its density in the text (a power of two of words a use); those
+that mark toxic examples (log-likelihood ratio of at least ``MIN_G2``,
 at most ``MAX_TERMS``) span a TF-IDF space.  Every document is scored by its
 ``NEIGHBOURS`` nearest examples by exact cosine: an inverted index holds the
 postings of a term in blocks of ``BLOCK`` examples with the largest weight of
@@ -43,7 +44,8 @@ NEIGHBOURS = 15
 BLOCK = 64
 PRIOR = 0.25
 THRESHOLD = 0.3
-PREFIXES = (4, 5)
+PREFIXES = (4, 5, 6, 7)
+SPARSEST = 9           # density level of a use in 2**9 words or more
 CACHE = 500_000
 
 WORD = re.compile(r"[^\W\d_]+")
@@ -53,6 +55,19 @@ def terms_of(word: str) -> list[str]:
     return ["=" + word] + [word[:n] for n in PREFIXES if len(word) >= n]
 
 
+def at_density(term: str, uses: int, n_words: int) -> str:
+    return f"{term}|{min(SPARSEST, (n_words // uses).bit_length() - 1)}"
+
+
+def features(text: str) -> set[str]:
+    words = WORD.findall(text.lower())
+    uses: Counter = Counter()
+    for w, c in Counter(words).items():
+        for t in terms_of(w):
+            uses[t] += c
+    return uses.keys() | {at_density(t, c, len(words)) for t, c in uses.items()}
+
+
 def _count_terms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Task: documents with each term, by class; flushed when large."""
     seen = (Counter(), Counter())
@@ -66,8 +81,7 @@ def _count_terms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             c.clear()
     for batch in batches:
         for text, label in zip(batch.column(0), batch.column(1).to_pylist()):
-            words = set(WORD.findall((text.as_py() or "").lower()))
-            seen[label].update({t for w in words for t in terms_of(w)})
+            seen[label].update(features(text.as_py() or ""))
             if len(seen[0]) + len(seen[1]) > 2 * CACHE:
                 yield from flush()
     yield from flush()
@@ -88,6 +102,7 @@ class Vectoriser:
 
     def __init__(self, idf: dict[str, tuple[int, float]]):
         self.idf = idf
+        self.plain = {t.partition("|")[0] for t in idf}
         self.cache: dict[str, tuple] = {}
 
     def __call__(self, text: str) -> tuple[np.ndarray, np.ndarray]:
@@ -98,20 +113,23 @@ class Vectoriser:
             if f is None:
                 if len(self.cache) > CACHE:
                     self.cache.clear()
-                f = self.cache[w] = tuple(self.idf[t] for t in terms_of(w) if t in self.idf)
+                f = self.cache[w] = tuple(t for t in terms_of(w) if t in self.plain)
             if f:
                 hits.append((w, f))
-        if not hits:
-            return np.zeros(0, np.int64), np.zeros(0)
-        count = Counter(words)
-        tf: dict[int, int] = {}
         weight: dict[int, float] = {}
-        for w, f in hits:
-            for i, x in f:
-                tf[i] = tf.get(i, 0) + count[w]
-                weight[i] = x
-        idx = np.array(sorted(tf), np.int64)
-        val = np.array([(1 + math.log(tf[i])) * weight[i] for i in idx.tolist()])
+        if hits:
+            count = Counter(words)
+            uses: Counter = Counter()
+            for w, f in hits:
+                for t in f:
+                    uses[t] += count[w]
+            for t, c in uses.items():
+                for name in (t, at_density(t, c, len(words))):
+                    if name in self.idf:
+                        i, x = self.idf[name]
+                        weight[i] = (1 + math.log(c)) * x
+        idx = np.array(sorted(weight), np.int64)
+        val = np.array([weight[i] for i in idx.tolist()])
         norm = float(np.sqrt((val * val).sum()))
         return (idx, val / norm) if norm else (np.zeros(0, np.int64), np.zeros(0))
 
