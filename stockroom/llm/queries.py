@@ -71,3 +71,9 @@ QUERIES = {
     "op9_fingerprints": op9_fingerprints,
     "pipeline": pipeline,
 }
+
+# Shingles of five words, exact similarities of all pairs that share one, and
+# the closure of the links; the other operators have no SQL form (README).
+WORDS = r"list_filter(string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+'), w -> w <> '')"
+
+ORACLE: dict[str, str] = {}
