@@ -14,11 +14,11 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 from stockroom.session import shared_dir
 
-CHUNK_BYTES = 2 << 20
+CHUNK_BYTES = 1 << 20
 U = np.uint64
 
 
@@ -158,13 +158,24 @@ def shingle_sets(w: Words, size: int) -> list[np.ndarray]:
     return out
 
 
-def stash(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` as Parquet below the cluster's shared folder and read it
-    back: the lineage is cut and survives lost executors."""
+def stash_at(df: DataFrame, name: str) -> tuple[DataFrame, str]:
+    """``stash`` that also tells the folder, for ``discard``."""
     spark = df.sparkSession
     path = f"{shared_dir(spark).rstrip('/')}/stockroom/{name}-{uuid.uuid4().hex[:12]}"
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return spark.read.schema(df.schema).parquet(path), path
+
+
+def stash(df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` as Parquet below the cluster's shared folder and read it
+    back: the lineage is cut and survives lost executors."""
+    return stash_at(df, name)[0]
+
+
+def discard(spark: SparkSession, path: str) -> None:
+    """Remove a stash that nothing reads any more."""
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
 
 
 def signed(a: np.ndarray) -> np.ndarray:

@@ -5,7 +5,7 @@ Method.
    the smallest hash among its 8-word shingles.  Neighbouring windows mostly
    have the same key, so a run of them is one increment (about one in 22
    windows).  Each task fills its own count-min sketch (``ROWS`` rows of
-   2-bit-saturating counters) and emits it in blocks; blocks are added up
+   counters that stop at two) and emits it in blocks; blocks are added up
    by Spark.  Counts are never too low, so a window that occurs in two
    documents always has an estimate of two or more.
 2. *Exact pass.*  Only windows whose estimate is two or more are kept, with
@@ -35,7 +35,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from stockroom.llm.kernels import (RW1, RW2, U, mix64, seeds, signed, stash, text_column,
+from stockroom.llm.kernels import (RW1, RW2, U, discard, mix64, seeds, signed, stash, stash_at, text_column,
                                    window_hashes, word_groups)
 
 WINDOW = 50            # words
@@ -90,10 +90,26 @@ def _cells(keys: np.ndarray, log2: int) -> list[np.ndarray]:
             for r, s in enumerate(seeds(ROWS, 21))]
 
 
+def _add(one: np.ndarray, two: np.ndarray, cell: np.ndarray) -> None:
+    """Count cells; bit sets of the cells counted once and twice or more."""
+    if not len(cell):
+        return
+    cell = np.sort(cell)
+    again = np.append(False, cell[1:] == cell[:-1])
+    bit = (128 >> (cell & 7)).astype(np.uint8)
+    at = cell >> 3
+    first = np.flatnonzero(np.append(True, at[1:] != at[:-1]))
+    byte = at[first]
+    new = np.bitwise_or.reduceat(bit, first)
+    twice = np.bitwise_or.reduceat(np.where(again, bit, 0).astype(np.uint8), first)
+    two[byte] |= twice | (one[byte] & new)
+    one[byte] |= new
+
+
 def _sketch(log2: int):
     """Task: the task's sketch, as blocks of saturated counts, packed."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        count = np.zeros(1 << log2, np.uint8)
+        one, two = (np.zeros(1 << (log2 - 3), np.uint8) for _ in range(2))
         for batch in batches:
             for _, _, w in word_groups(batch, "text", lower=False):
                 keys = window_keys(w.h)
@@ -105,16 +121,13 @@ def _sketch(log2: int):
                 fresh[starts] = ok[starts]
                 keys = keys[fresh]
                 for cell in _cells(keys, log2):
-                    cell, n = np.unique(cell, return_counts=True)
-                    count[cell] = np.minimum(2, count[cell] + np.minimum(n, 2))
-        for b in range(0, len(count), BLOCK):
-            part = count[b:b + BLOCK]
-            if part.any():
+                    _add(one, two, cell)
+        step = BLOCK >> 3
+        for b in range(0, len(one), step):
+            if one[b:b + step].any():
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array([b // BLOCK], pa.int32()),
-                     pa.array([np.packbits(part > 0).tobytes()], pa.binary()),
-                     pa.array([np.packbits(part > 1).tobytes()], pa.binary())],
-                    names=["block", "one", "two"])
+                    [pa.array([b // step], pa.int32()), pa.array([one[b:b + step].tobytes()], pa.binary()),
+                     pa.array([two[b:b + step].tobytes()], pa.binary())], names=["block", "one", "two"])
     return run
 
 
@@ -217,23 +230,26 @@ def repeated_windows(docs: DataFrame) -> DataFrame:
                 .filter("doc_id is not null")
     log2, bits = repeated_cells(texts)
     shared = spark.sparkContext.broadcast(bits)
-    found = stash(texts.select(F.monotonically_increasing_id().alias("rid"), "doc_id",
-                               F.xxhash64("text").alias("th"), "text")
-                  .mapInArrow(_candidates(log2, shared), CANDIDATES), "windows")
+    found, at_found = stash_at(
+        texts.select(F.monotonically_increasing_id().alias("rid"), "doc_id", F.xxhash64("text").alias("th"), "text")
+        .mapInArrow(_candidates(log2, shared), CANDIDATES), "windows")
     same = ["c1", "c2", "n"]
     classes = stash(found.groupBy(*same).agg(F.min("doc_id").alias("least")), "classes")
-    classed = found.join(classes, same)
-    copies = (classed.filter("doc_id > least")
-              .select("doc_id", "th", F.expr(f"transform(sequence(0, (n - 1) div {WINDOW}), "
-                                             f"i -> cast(least(i * {WINDOW}, n - {WINDOW}) as int))").alias("starts")))
-    first_of = classed.filter("doc_id = least")
-    wins = (first_of.select("rid", "doc_id", F.explode(F.arrays_zip("h1", "h2", "pos")).alias("w"))
-            .select("rid", "doc_id", "w.h1", "w.h2", "w.pos"))
+    marked = stash(found.select("rid", "doc_id", "th", *same).join(classes, same)
+                   .select("rid", "doc_id", "th", "n", (F.col("doc_id") > F.col("least")).alias("copy")), "marked")
+    copies = marked.filter("copy").select(
+        "doc_id", "th", F.expr(f"transform(sequence(0, (n - 1) div {WINDOW}), "
+                               f"i -> cast(least(i * {WINDOW}, n - {WINDOW}) as int))").alias("starts"))
+    wins = stash(found.select("rid", "doc_id", "h1", "h2", "pos")
+                 .join(marked.filter("not copy").select("rid"), "rid", "left_semi")
+                 .select("rid", "doc_id", F.explode(F.arrays_zip("h1", "h2", "pos")).alias("w"))
+                 .select("rid", "doc_id", "w.h1", "w.h2", "w.pos"), "wins")
+    discard(spark, at_found)
     least = stash(wins.groupBy("h1", "h2").agg(F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi"))
                   .filter("lo < hi").select("h1", "h2", "lo"), "least")
     mine = (wins.join(least, ["h1", "h2"]).filter("doc_id > lo")
             .groupBy("rid").agg(F.collect_list("pos").alias("starts")))   # at most a document's windows
-    mine = found.select("rid", "doc_id", "th").join(mine, "rid").select("doc_id", "th", "starts")
+    mine = marked.select("rid", "doc_id", "th").join(mine, "rid").select("doc_id", "th", "starts")
     return mine.unionByName(copies).groupBy("doc_id", "th").agg(F.first("starts").alias("starts"))
 
 
