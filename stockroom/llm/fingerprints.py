@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 SHINGLE = 5
-K = 192
+K = 256
 SPACE = 2.0 ** 64
 DOCS_PER_BUCKET = 400      # of the ordering in ``with_next``
 MAX_BUCKETS = 16384        # bounds what the driver holds (one id a bucket)

@@ -2,21 +2,28 @@
 
 Method.  A document is the set of its distinct 5-word shingles.  Documents
 with equal sets form a class; only classes are compared.  A class has a
-signature of ``M`` minimum hashes; it is posted under (coordinate, value)
-pairs.  Two sets of similarity J agree in each coordinate with probability
-J, so a pair is a candidate when at least ``T`` coordinates agree (at
-J = 0.85, M = 64, T = 38 the expected count is 54.4 with deviation 2.9;
-fewer than T has odds of about 1e-6).
-
-*Skip*: values that only one class holds can't collide and are not posted.
-*Prefix*: in the common order (rarest pair first), two classes that share at
-least T of M pairs share one of the first M - T + 1 pairs of each, so the
-most frequent pairs of a class - those of boilerplate lines - are never
-merged.  Within a posting list no all-pairs are made: members are first
-joined with the hub of the list, the member whose lists are the longest in
-total; confirmed links are closed into components; then only members of
-*different* components that meet in a list are compared, each pair at its
-first common pair only.  Every candidate is confirmed on full shingle sets.
+signature of ``M`` minimum hashes, posted under (coordinate, value) pairs.
+Two sets of similarity J agree in each coordinate with probability J, so a
+pair is a candidate when at least ``T`` coordinates agree (at J = 0.85, M =
+256, T = 192 the expected count is 217.6 with deviation 5.7; fewer than T has
+odds of about 1e-5, at J = 0.7 the odds of T or more are about 5 %).
+
+*Skip*: values that only one class holds can't collide and are not posted,
+and a class that shares too few of its first coordinates with any other
+(``FUNNEL``) is left out before its other coordinates are made.  *Prefix*: in
+the common order (rarest pair first), two classes that share at least T of M
+pairs share one of the first M - T + 1 pairs of each, so the most frequent
+pairs of a class - those of boilerplate lines - are never merged.  Within a
+posting list no all-pairs are made.  Members are joined with the hub of the
+list (first the member whose lists are longest in total, later rounds take
+others); confirmed links are closed into components, and rounds go on while
+the pairs of *different* components that meet in a list outnumber the
+postings and still shrink.  Then just those remaining pairs are compared,
+each at its first common list.  Sizes must allow J (100 * smaller >= 85 *
+larger), and every candidate is confirmed on full shingle sets.
+
+The joins that move sets and texts are always sort-merge joins, so the plan
+is alike at every size.
 
 Defined cases.  Null and empty texts, and texts without words, have an empty
 set, no links and are their own component.  A null ``doc_id`` gives a null
@@ -40,8 +47,11 @@ from stockroom.llm.components import connected_components
 from stockroom.llm.kernels import U, mix64, seeds, shingle_sets, signed, stash, word_groups
 
 SHINGLE = 5
-M = 64                 # signature coordinates
-T = 38                 # agreeing coordinates of a candidate pair
+M = 256                # signature coordinates
+T = 192                # agreeing coordinates of a candidate pair
+# (n, t): a class goes on if t of its first n coordinates are shared with others;
+# a class with a link of J = 0.85 fails with odds of about 1e-7 and 1e-6
+FUNNEL = ((16, 5), (64, 38))
 PERCENT = 85           # 100 * intersection >= PERCENT * union
 
 SIGNED = T_.StructType([
@@ -55,37 +65,53 @@ SETS = T_.StructType([
     T_.StructField("doc_id", T_.LongType()),
     T_.StructField("hashes", T_.ArrayType(T_.LongType(), False)),
 ])
+SKETCHED = T_.StructType([
+    T_.StructField("cls", T_.LongType()),
+    T_.StructField("size", T_.IntegerType()),
+    T_.StructField("sig", T_.ArrayType(T_.IntegerType(), False)),
+    T_.StructField("bits", T_.ArrayType(T_.LongType(), False)),
+])
+
+
+def signature(s: np.ndarray, n: int) -> np.ndarray:
+    """The first n coordinates of a non-empty set, as 32-bit values."""
+    mul, add = (seeds(M, 11) | U(1))[:n, None], seeds(M, 12)[:n, None]
+    low = np.full((n, 1), 0xFFFFFFFFFFFFFFFF, U)
+    for i in range(0, len(s), 2048):
+        low = np.minimum(low, (s[None, i:i + 2048] * mul + add).min(axis=1, keepdims=True))
+    return (mix64(low[:, 0]) >> U(32)).astype(np.uint32).view(np.int32)
 
 
 def _signatures(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    mul = (seeds(M, 11) | U(1))[:, None]
-    add = seeds(M, 12)[:, None]
+    head = FUNNEL[-1][0]
     for batch in batches:
         ids = batch.column(0)
         for d, e, w in word_groups(batch, "text", lower=True):
-            n, c1, c2, sig, has = [], [], [], [], []
-            for s in shingle_sets(w, SHINGLE):
-                n.append(len(s))
-                c1.append(int(np.add.reduce(s)) if len(s) else 0)
-                c2.append(int(np.add.reduce(mix64(s ^ U(0x5851F42D4C957F2D)))) if len(s) else 0)
-                if len(s):
-                    low = np.full((M, 1), 0xFFFFFFFFFFFFFFFF, U)
-                    for i in range(0, len(s), 4096):
-                        part = s[None, i:i + 4096] * mul + add
-                        low = np.minimum(low, part.min(axis=1, keepdims=True))
-                    sig.append((mix64(low[:, 0]) >> U(32)).astype(np.uint32).view(np.int32))
-                has.append(len(s) > 0)
-            lens = np.array([M if x else 0 for x in has])
-            flat = np.concatenate(sig) if sig else np.zeros(0, np.int32)
+            sets = shingle_sets(w, SHINGLE)
+            c1 = [np.add.reduce(s) for s in sets]
+            c2 = [np.add.reduce(mix64(s ^ U(0x5851F42D4C957F2D))) for s in sets]
+            sig = [signature(s, head) for s in sets if len(s)]
+            at = np.append(0, np.cumsum([head if len(s) else 0 for s in sets])).astype(np.int32)
             yield pa.RecordBatch.from_arrays([
                 ids.slice(d, e - d),
-                pa.array(np.array(n, np.int64)),
+                pa.array(np.array([len(s) for s in sets], np.int64)),
                 pa.array(signed(np.array(c1, U))),
                 pa.array(signed(np.array(c2, U))),
-                pa.ListArray.from_arrays(pa.array(np.append(0, lens.cumsum()).astype(np.int32)), pa.array(flat)),
+                pa.ListArray.from_arrays(pa.array(at), pa.array(np.concatenate(sig) if sig else np.zeros(0, np.int32))),
             ], names=SIGNED.fieldNames())
 
 
+def _sketches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Signatures of sets, and the lowest bit of each coordinate, packed."""
+    for batch in batches:
+        sig = [signature(np.array(h.values, np.int64).view(U), M) for h in batch.column(1)]
+        low = [np.packbits((x & 1).astype(np.uint8)).view(np.int64).tolist() for x in sig]
+        yield pa.RecordBatch.from_arrays(
+            [batch.column(0), pa.array([len(h.values) for h in batch.column(1)], pa.int32()),
+             pa.array([x.tolist() for x in sig], pa.list_(pa.int32())), pa.array(low, pa.list_(pa.int64()))],
+            names=SKETCHED.fieldNames())
+
+
 def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         ids = batch.column(0)
@@ -102,65 +128,127 @@ def _matches(x: str, y: str):
     return F.aggregate(F.zip_with(x, y, lambda p, q: (p == q).cast("int")), F.lit(0), lambda s, v: s + v)
 
 
-def _confirm(pairs: DataFrame, texts: DataFrame) -> DataFrame:
-    """Pairs (a, b) of class ids whose full sets are similar enough.
-    ``texts``: (doc_id, text) with the representatives of the classes."""
-    pairs = stash(pairs, "pairs")
-    ids = pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b")).distinct()
-    sets = stash(texts.join(ids, "doc_id", "left_semi").dropDuplicates(["doc_id"])
+def _sets_of(ids: DataFrame, texts: DataFrame) -> DataFrame:
+    """(doc_id, hashes) of the texts with these ids."""
+    return stash(texts.hint("merge").join(ids, "doc_id", "left_semi").dropDuplicates(["doc_id"])
                  .mapInArrow(_sets, SETS), "sets")
+
+
+def _side(reps: DataFrame, name: str) -> DataFrame:
+    return reps.select(F.col("cls").alias(name), F.col("sig").alias("s" + name), F.col("size").alias("n" + name),
+                       F.col("bits").alias("l" + name))
+
+
+def _may_link():
+    """Size, then packed low bits, then all coordinates.  Low bits of equal
+    coordinates are equal, so M - T at most differ if T coordinates agree."""
+    apart = sum((F.bit_count(F.element_at("la", i).bitwiseXOR(F.element_at("lb", i))) for i in range(2, M // 64 + 1)),
+                F.bit_count(F.element_at("la", 1).bitwiseXOR(F.element_at("lb", 1))))
+    return ((100 * F.least("na", "nb") >= PERCENT * F.greatest("na", "nb")) & (apart <= M - T)
+            & (_matches("sa", "sb") >= T))
+
+
+def _candidates(pairs: DataFrame, reps: DataFrame) -> DataFrame:
+    """Pairs (a, b) whose signatures and set sizes agree enough."""
+    return pairs.join(_side(reps, "a"), "a").join(_side(reps, "b"), "b").filter(_may_link()).select("a", "b")
+
+
+def _confirm(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """Pairs (a, b) of class ids whose full sets are similar enough."""
+    pairs = stash(pairs, "pairs")
     sa = sets.select(F.col("doc_id").alias("a"), F.col("hashes").alias("ha"))
     sb = sets.select(F.col("doc_id").alias("b"), F.col("hashes").alias("hb"))
     inter = F.size(F.array_intersect("ha", "hb"))
-    return stash(pairs.join(sa, "a").join(sb, "b")
+    return stash(pairs.join(sa.hint("merge"), "a").join(sb.hint("merge"), "b")
                  .withColumn("i", inter)
                  .filter(100 * F.col("i") >= PERCENT * (F.size("ha") + F.size("hb") - F.col("i")))
                  .select("a", "b"), "confirmed")
 
 
-def class_links(reps: DataFrame, texts: DataFrame) -> DataFrame:
-    """Confirmed links (a, b) between class representatives that connect
-    every true component.  ``reps``: (cls, sig), one row per class."""
-    posts = reps.select("cls", F.posexplode("sig").alias("c", "v")) \
-                .select("cls", F.xxhash64("c", "v").alias("key"))
-    shared = posts.groupBy("key").agg(F.count("*").alias("n")).filter("n > 1")
+def _post(reps: DataFrame, n: int) -> DataFrame:
+    return (reps.select("cls", F.posexplode(F.slice("sig", 1, n)).alias("c", "v"))
+            .select("cls", F.xxhash64("c", "v").alias("key")))
+
+
+def _shared(posts: DataFrame) -> DataFrame:
+    return posts.groupBy("key").agg(F.count("*").alias("n")).filter("n > 1")
+
+
+def postings(reps: DataFrame) -> DataFrame:
+    """(cls, key, n): the prefix postings; n is the length of the whole list."""
     mine = Window.partitionBy("cls")
-    prefix = stash(
-        posts.join(shared, "key")
-        .select("cls", "key", "n", F.count("*").over(mine).alias("k"),
-                F.row_number().over(mine.orderBy("n", "key")).alias("r"))
-        .filter(F.col("r") <= F.col("k") - (T - 1))
-        .select("cls", "key", "n"), "postings")
-
-    # hubs: one per posting list
-    weight = prefix.groupBy("cls").agg(F.sum("n").alias("w"))
-    hub = prefix.join(weight, "cls").groupBy("key").agg(
-        F.max_by(F.col("cls"), F.struct(F.col("w"), -F.col("cls"))).alias("hub"))
-    star = (prefix.join(hub, "key").filter("cls <> hub")
-            .select(F.least("cls", "hub").alias("a"), F.greatest("cls", "hub").alias("b")).distinct())
-    sa = reps.select(F.col("cls").alias("a"), F.col("sig").alias("sa"))
-    sb = reps.select(F.col("cls").alias("b"), F.col("sig").alias("sb"))
-    star = (star.join(sa, "a").join(sb, "b").filter(_matches("sa", "sb") >= T).select("a", "b"))
-    links = _confirm(star, texts)
-    comp = connected_components(links)
+    posts = _post(reps, M)
+    return (posts.join(_shared(posts).hint("merge"), "key")
+            .select("cls", "key", "n", F.count("*").over(mine).alias("k"),
+                    F.row_number().over(mine.orderBy("n", "key")).alias("r"))
+            .filter(F.col("r") <= F.col("k") - (T - 1))
+            .select("cls", "key", "n"))
+
+
+def _open_pairs(lab: DataFrame) -> int:
+    """How many pairs of different components meet in a list (over all lists)."""
+    by = lab.groupBy("key", "comp").agg(F.count("*").cast("double").alias("c"))
+    per = by.groupBy("key").agg((F.pow(F.sum("c"), 2) - F.sum(F.col("c") * F.col("c"))).alias("p"))
+    return int((per.agg(F.sum("p")).first()[0] or 0) / 2)
+
+
+def _through_funnel(reps: DataFrame) -> DataFrame:
+    for n, t in FUNNEL:
+        posts = _post(reps, n)
+        some = (posts.join(_shared(posts).hint("merge"), "key").groupBy("cls").agg(F.count("*").alias("c"))
+                .filter(F.col("c") >= t).select("cls"))
+        reps = stash(reps.join(some, "cls", "left_semi"), "survivors")
+    return reps
+
+
+def class_components(reps: DataFrame, texts: DataFrame) -> DataFrame:
+    """(node, component) of the linked class representatives.  ``reps``:
+    (cls, sig), one row per class, with the coordinates that FUNNEL needs;
+    ``texts``: (doc_id, text)."""
+    sets = _sets_of(_through_funnel(reps).select(F.col("cls").alias("doc_id")), texts)
+    reps = stash(sets.mapInArrow(_sketches, SKETCHED), "sketches")
+    lists = stash(postings(reps), "postings")
+    n_posts = lists.count()
+    sets = _sets_of(lists.select(F.col("cls").alias("doc_id")).distinct(), texts)
+    weight = lists.groupBy("cls").agg(F.sum("n").alias("w"))
+    lab = lists.withColumn("comp", F.col("cls"))
+    comp, rounds, last = None, 0, None
+    while True:
+        if rounds == 0:
+            first = F.struct(F.col("w"), -F.col("cls"))
+            members = lab.join(weight, "cls")
+        else:
+            first = F.struct(F.xxhash64("cls", "key", F.lit(rounds)), F.col("cls"))
+            members = lab
+        hub = stash(members.groupBy("key").agg(F.max_by(F.struct("cls", "comp"), first).alias("hub")), "hubs")
+        star = (lab.join(hub, "key").filter("comp <> hub.comp")
+                .select(F.least("cls", "hub.cls").alias("a"), F.greatest("cls", "hub.cls").alias("b")).distinct())
+        links = _confirm(_candidates(star, reps), sets)
+        if comp is not None:
+            links = links.unionByName(comp.select(F.col("node").alias("a"), F.col("component").alias("b")))
+        comp = connected_components(links)
+        lab = stash(lists.join(comp, F.col("cls") == F.col("node"), "left")
+                    .select("cls", "key", "n", F.coalesce("component", "cls").alias("comp")), "open")
+        left, rounds = _open_pairs(lab), rounds + 1
+        if left <= n_posts or (last is not None and left > 0.9 * last):
+            break
+        last = left
 
     # what the hubs did not settle: members of different components in a list
-    lab = stash(prefix.join(comp, F.col("cls") == F.col("node"), "left")
-                .select("cls", "key", "n", F.coalesce("component", "cls").alias("comp")), "open")
     unsettled = (lab.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"))
                  .filter("lo < hi").select("key"))
-    lists = lab.select("cls", F.struct("n", "key").alias("nk")).groupBy("cls") \
-               .agg(F.sort_array(F.collect_list("nk")).alias("nks")) \
-               .select("cls", F.transform("nks", lambda s: s["key"]).alias("keys"))  # at most M
-    left = stash(lab.join(unsettled, "key").join(lists, "cls").join(reps, "cls"), "left")
-    x = left.select("key", F.col("cls").alias("a"), F.col("comp").alias("ca"),
-                    F.col("keys").alias("ka"), F.col("sig").alias("sa"))
-    y = left.select("key", F.col("cls").alias("b"), F.col("comp").alias("cb"),
-                    F.col("keys").alias("kb"), F.col("sig").alias("sb"))
-    cond = ((x.key == y.key) & (x.a < y.b) & (x.ca != y.cb) & (_matches("sa", "sb") >= T)
+    keys = lab.groupBy("cls").agg(F.sort_array(F.collect_list(F.struct("n", "key"))).alias("nks")) \
+              .select("cls", F.transform("nks", lambda s: s["key"]).alias("keys"))      # at most M
+    open_ = stash(lab.join(unsettled, "key").join(keys, "cls").join(reps, "cls"), "left")
+    x = open_.select("key", F.col("comp").alias("ca"), F.col("keys").alias("ka"), F.col("cls").alias("a"),
+                     F.col("sig").alias("sa"), F.col("size").alias("na"), F.col("bits").alias("la"))
+    y = open_.select("key", F.col("comp").alias("cb"), F.col("keys").alias("kb"), F.col("cls").alias("b"),
+                     F.col("sig").alias("sb"), F.col("size").alias("nb"), F.col("bits").alias("lb"))
+    cond = ((x.key == y.key) & (x.a < y.b) & (x.ca != y.cb) & _may_link()
             & (F.element_at(F.array_intersect("ka", "kb"), 1) == x.key))
-    rest = x.join(y, cond).select("a", "b")
-    return links.unionByName(_confirm(rest, texts))
+    rest = _confirm(x.join(y, cond).select("a", "b"), sets)
+    return connected_components(rest.unionByName(
+        comp.select(F.col("node").alias("a"), F.col("component").alias("b"))))
 
 
 def signatures(docs: DataFrame) -> DataFrame:
@@ -177,9 +265,8 @@ def near_duplicate_groups(docs: DataFrame) -> DataFrame:
                     .agg(F.min("doc_id").alias("cls"), F.first("sig").alias("sig")), "classes")
     # a doc_id that repeats with other texts stands once
     reps = classes.select("cls", "sig").dropDuplicates(["cls"])
-    links = class_links(reps, docs.select(F.col("doc_id").cast("long").alias("doc_id"),
-                                          F.col("text").cast("string").alias("text")))
-    comp = connected_components(links)
+    comp = class_components(reps, docs.select(F.col("doc_id").cast("long").alias("doc_id"),
+                                              F.col("text").cast("string").alias("text")))
     named = stash(classes.join(comp, F.col("cls") == F.col("node"), "left")
                   .select("c1", "c2", "n_shingles", F.coalesce("component", "cls").alias("component")),
                   "components")

@@ -19,6 +19,9 @@ The sketch has ``CELLS_PER_KEY`` cells for each expected key, at most
 64 MB.  A fuller sketch only lets more windows through to the exact pass,
 which is an ordinary shuffle; no window is lost at any size.
 
+The joins that move windows and texts are always sort-merge joins, so the
+plan is alike at every size.
+
 Defined cases.  Null texts count as empty; a text with fewer than 50 words
 has no window.  A row with a null ``doc_id`` neither removes nor loses words.
 Rows with equal ``doc_id`` don't remove each other's words (only a *smaller*
@@ -235,19 +238,19 @@ def repeated_windows(docs: DataFrame) -> DataFrame:
         .mapInArrow(_candidates(log2, shared), CANDIDATES), "windows")
     same = ["c1", "c2", "n"]
     classes = stash(found.groupBy(*same).agg(F.min("doc_id").alias("least")), "classes")
-    marked = stash(found.select("rid", "doc_id", "th", *same).join(classes, same)
+    marked = stash(found.select("rid", "doc_id", "th", *same).join(classes.hint("merge"), same)
                    .select("rid", "doc_id", "th", "n", (F.col("doc_id") > F.col("least")).alias("copy")), "marked")
     copies = marked.filter("copy").select(
         "doc_id", "th", F.expr(f"transform(sequence(0, (n - 1) div {WINDOW}), "
                                f"i -> cast(least(i * {WINDOW}, n - {WINDOW}) as int))").alias("starts"))
     wins = stash(found.select("rid", "doc_id", "h1", "h2", "pos")
-                 .join(marked.filter("not copy").select("rid"), "rid", "left_semi")
+                 .join(marked.filter("not copy").select("rid").hint("merge"), "rid", "left_semi")
                  .select("rid", "doc_id", F.explode(F.arrays_zip("h1", "h2", "pos")).alias("w"))
                  .select("rid", "doc_id", "w.h1", "w.h2", "w.pos"), "wins")
     discard(spark, at_found)
     least = stash(wins.groupBy("h1", "h2").agg(F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi"))
                   .filter("lo < hi").select("h1", "h2", "lo"), "least")
-    mine = (wins.join(least, ["h1", "h2"]).filter("doc_id > lo")
+    mine = (wins.join(least.hint("merge"), ["h1", "h2"]).filter("doc_id > lo")
             .groupBy("rid").agg(F.collect_list("pos").alias("starts")))   # at most a document's windows
     mine = marked.select("rid", "doc_id", "th").join(mine, "rid").select("doc_id", "th", "starts")
     return mine.unionByName(copies).groupBy("doc_id", "th").agg(F.first("starts").alias("starts"))
@@ -284,7 +287,7 @@ def remove_repeats(docs: DataFrame, only: list[str] | None = None) -> DataFrame:
     cols = [c for c in (only or docs.columns) if c not in ("n_words", "n_removed", "kept_text", "_starts")]
     base = docs.select(*[F.col(c) for c in dict.fromkeys([*cols, "doc_id", "text"])])
     cuts = repeated_windows(docs).select(F.col("doc_id").alias("_id"), F.col("th").alias("_th"),
-                                         F.col("starts").alias("_starts"))
+                                         F.col("starts").alias("_starts")).hint("merge")
     text = F.coalesce(base["text"].cast("string"), F.lit(""))
     joined = (base.join(cuts, (base["doc_id"].cast("long") == cuts["_id"]) & (F.xxhash64(text) == cuts["_th"]), "left")
               .drop("_id", "_th"))
