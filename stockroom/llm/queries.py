@@ -6,7 +6,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stockroom.llm import (fingerprints, minhash_dedup, packing, secret_scan, substring_dedup, toxicity)
+from stockroom.llm import (byte_bpe, fingerprints, forest_search, minhash_dedup, mixing_lm, packing, pii,
+                           secret_scan, substring_dedup, toxicity)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -35,6 +36,11 @@ def op3_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash_dedup.near_duplicate_groups(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
+def op4_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    return forest_search.nearest(rows, rows.filter("vec_id % 50 = 0"))
+
+
 def op5_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = secret_scan.scan(table(spark, sf_dir, "documents").select("doc_id", "text"))
     base = secret_scan.spans_text(F.col("spans"))
@@ -47,16 +53,39 @@ def op5_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
         secret_scan.spans_text(F.concat("spans", "linked")).alias("spans"))
 
 
+# A fixed key, so that results can be compared; a real run passes its own.
+PII_KEY = b"public demonstration key"
+
+
+def op6_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = pii.pseudonymise(table(spark, sf_dir, "documents").select("doc_id", "text"), PII_KEY)
+    return out.select("doc_id", F.size("pii_spans").cast("long").alias("n_found"),
+                      F.array_join(F.transform("pii_spans", lambda p: F.concat_ws(
+                          ":", p["kind"], p["start"].cast("string"), p["end"].cast("string"))), ",").alias("spans"), "text")
+
+
 def op7_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return substring_dedup.remove_repeats(docs, ["doc_id"]).select(
         "doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
 
 
+def op8_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return byte_bpe.encode_digests(table(spark, sf_dir, "documents").select("doc_id", "text"),
+                                   public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN)
+
+
 def op9_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.fingerprints(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
+def op10_mixing_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    out = mixing_lm.score(docs, id_crc(10) != 0)
+    return out.select("doc_id", F.coalesce(id_crc(10) == 0, F.lit(False)).alias("held_out"), "n_tokens", "n_known",
+                      "train_tokens", "base_score", "score", "bits_per_byte")
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     from corpus_pipeline import run
     return run(spark, sf_dir)
@@ -66,9 +95,13 @@ QUERIES = {
     "op1_best_fit_packing": op1_best_fit_packing,
     "op2_toxicity": op2_toxicity,
     "op3_minhash_dedup": op3_minhash_dedup,
+    "op4_nearest_neighbours": op4_nearest_neighbours,
     "op5_secret_scan": op5_secret_scan,
+    "op6_pii": op6_pii,
     "op7_substring_dedup": op7_substring_dedup,
+    "op8_byte_bpe": op8_byte_bpe,
     "op9_fingerprints": op9_fingerprints,
+    "op10_mixing_lm": op10_mixing_lm,
     "pipeline": pipeline,
 }
 
