@@ -76,7 +76,7 @@ SKETCHED = T_.StructType([
 
 def signature(s: np.ndarray, n: int) -> np.ndarray:
     """The first n coordinates of a non-empty set, as 32-bit values."""
-    mul, add = (seeds(M, 11) | U(1))[:n, None], seeds(M, 12)[:n, None]
+    mul, add = (seeds(LOW, 11) | U(1))[:n, None], seeds(LOW, 12)[:n, None]
     low = np.full((n, 1), 0xFFFFFFFFFFFFFFFF, U)
     for i in range(0, len(s), 512):
         low = np.minimum(low, (s[None, i:i + 512] * mul + add).min(axis=1, keepdims=True))
