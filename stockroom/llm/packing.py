@@ -14,8 +14,8 @@ then dissolved and their pieces evolve again in fewer, joint groups, until
 one group is left, so group borders cost next to nothing.
 
 Tokens: text is split at ASCII white space, which the tokenizer drops and
-never crosses; each distinct chunk is encoded by the tokenizer once per task
-(``CACHE`` chunks at most are kept) and ids are joined as bytes.
+never crosses; each distinct chunk is encoded once per worker (``CACHE`` chunks at
+most are kept) and ids are joined as bytes.
 
 Defined cases.  Null and empty texts are the one end id.  Rows are told apart
 by their place, so null and repeated ``doc_id`` pack as rows of their own.
@@ -25,8 +25,11 @@ An empty table gives no rows.  Other columns are not looked at.
 from __future__ import annotations
 
 import random
+import unicodedata
 import zlib
+from array import array
 from collections.abc import Iterator
+from functools import lru_cache
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -43,7 +46,7 @@ EPOCHS = 2
 GENERATIONS = 6        # per epoch
 POPULATION = 4
 WELL = 0.995           # of CAPACITY; bins below are evolved again
-CACHE = 500_000
+CACHE = 1_200_000
 
 PIECES = T.StructType([
     T.StructField("rid", T.LongType()), T.StructField("doc_id", T.LongType()),
@@ -53,36 +56,68 @@ PIECES = T.StructType([
 
 
 class ChunkEncoder:
-    """Little-endian 32-bit ids of texts, with a cache of chunks."""
+    """Little-endian 32-bit ids of texts, with a cache of chunks.
+
+    A chunk of lower-case letters, with or without one full stop or comma
+    behind, is one word to the tokenizer (and one punctuation mark), so the
+    merge model alone encodes it; any other chunk takes the whole tokenizer.
+    """
 
     def __init__(self, path: str):
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, pre_tokenizers
         self.tokenizer = Tokenizer.from_file(path)
+        self.model = self.tokenizer.model
+        level = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
+        # the tokenizer's character of each byte of two-byte letters
+        self.level = lambda s: "".join(p for p, _ in level.pre_tokenize_str(s))
         self.cache: dict[bytes, bytes] = {}
-
-    def learn(self, chunks: list[bytes]) -> None:
-        for i in range(0, len(chunks), 4096):
-            part = chunks[i:i + 4096]
-            for c, e in zip(part, self.tokenizer.encode_batch([c.decode() for c in part], add_special_tokens=False)):
-                self.cache[c] = b"".join(x.to_bytes(4, "little") for x in e.ids)
+        self.mark = {m: self._whole(m) for m in (b".", b",")}
+
+    def _whole(self, chunk: bytes) -> bytes:
+        ids = self.tokenizer.encode(chunk.decode(), add_special_tokens=False).ids
+        return array("I", ids).tobytes()
+
+    def _word(self, word: str) -> bytes | None:
+        if word.isascii():
+            if not (word.isalpha() and word.islower()):
+                return None
+        elif not (word.isalpha() and word == word.lower() and unicodedata.is_normalized("NFC", word)):
+            return None
+        else:
+            word = self.level(word)
+        return array("I", [t.id for t in self.model.tokenize(word)]).tobytes()
+
+    def learn(self, chunk: bytes) -> bytes:
+        if len(self.cache) > CACHE:
+            self.cache.clear()
+        low = chunk.lower() if chunk.isascii() else chunk
+        tail = low[-1:] if low[-1:] in self.mark else b""
+        core = low[:len(low) - len(tail)]
+        ids = None
+        if core:
+            ids = self.cache.get(core) if core != chunk else None
+            if ids is None and (ids := self._word(core.decode())) is not None:
+                self.cache[core] = ids
+        ids = self._whole(chunk) if ids is None else ids + self.mark.get(tail, b"")
+        self.cache[chunk] = ids
+        return ids
 
     def encode(self, text: bytes) -> bytes:
-        chunks = text.split()
-        cache = self.cache
-        try:
-            return b"".join([cache[c] for c in chunks])
-        except KeyError:
-            if len(cache) > CACHE:
-                cache.clear()
-            self.learn([c for c in dict.fromkeys(chunks) if c not in cache])
-            return b"".join([cache[c] for c in chunks])
+        cache, learn = self.cache, self.learn
+        return b"".join([cache[c] if c in cache else learn(c) for c in text.split()])
+
+
+@lru_cache(1)
+def _encoder(path: str) -> ChunkEncoder:
+    """One for a worker process, which runs many tasks."""
+    return ChunkEncoder(path)
 
 
 def _tokenize(path: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import os
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        encoder = ChunkEncoder(path)
+        encoder = _encoder(path)
         end = END_ID.to_bytes(4, "little")
         width = 4 * CAPACITY
         for batch in batches:
