@@ -12,8 +12,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DecimalType
 
 MONEY = DecimalType(12, 2)     # one price
-RATE = DecimalType(4, 2)       # a discount or tax rate
-AMOUNT = DecimalType(18, 4)    # price * (1 - discount)
+RATE = DecimalType(7, 6)       # a discount or tax rate, to six decimals
+AMOUNT = DecimalType(20, 8)    # price * (1 - discount), exact for both
 TOTAL = DecimalType(38, 2)     # sum of prices; room for one customer holding a third of all orders
 
 
@@ -26,7 +26,7 @@ def money(c) -> Column:
 
 
 def line_amount(price="l_extendedprice", discount="l_discount") -> Column:
-    """Discounted line amount, exact: decimal(12,2) * (1 - decimal(4,2))."""
+    """Discounted line amount, exact: decimal(12,2) * (1 - decimal(7,6))."""
     return (money(price) * (F.lit(1) - _col(discount).cast(RATE))).cast(AMOUNT)
 
 

@@ -32,8 +32,9 @@ grow with the warehouse) are scanned but not shuffled for a bounded batch:
 * the verdicts are joined back to the batch on ``(key, seq)``, unique per
   row, so the rows of a hot key spread over all partitions.
 
-``seq`` must be non-null and unique within the batch (an insertion number).
-It may be any orderable column, a struct included (then the aggregate
+``seq`` must be non-null and unique among the rows of a key (an insertion
+number).  This is checked first, by an aggregate on ``(key, seq)``, and a
+batch that breaks it is refused: no verdict would be right for it.  It may be any orderable column, a struct included (then the aggregate
 sorts instead of hashing).
 """
 
@@ -54,21 +55,23 @@ ACCEPTED = "accepted"
 def admit(batch: DataFrame, *, key: str, seq: str, existing: DataFrame, existing_key: str,
           ref_col: str, reference: DataFrame, reference_key: str, unknown: str,
           small_reference: bool = False, probe_max_rows: int | None = None,
-          check_seq: bool = False) -> DataFrame:
+          check_seq: bool = True) -> DataFrame:
     """Batch rows with a ``verdict`` column (see module doc).
 
     ``existing`` may be any frame holding the keys already present (for a
     trigger: the base table plus earlier accepted batches).
     ``small_reference`` marks a lookup table (such as nations) that is
     broadcast when its own size check allows.  ``check_seq`` first verifies
-    that ``(key, seq)`` is unique and raises ``ValueError`` otherwise (one
-    extra aggregate, grouped by both columns, so a hot key still spreads).
+    that ``seq`` is never null and ``(key, seq)`` unique and raises
+    ``ValueError`` otherwise (one extra aggregate, grouped by both columns, so
+    a hot key still spreads).  Pass False only for a ``seq`` that is unique by
+    how it is made, such as a file and row number.
     """
     if check_seq:
-        ties = (batch.filter(F.col(key).isNotNull()).groupBy(key, seq).count()
-                     .filter(F.col("count") > 1).count())
-        if ties:
-            raise ValueError(f"{ties} (key, seq) pair(s) repeat in the batch; seq must be unique")
+        bad = (batch.filter(F.col(key).isNotNull()).groupBy(key, seq).count()
+                    .filter((F.col("count") > 1) | F.col(seq).isNull()).count())
+        if bad:
+            raise ValueError(f"{bad} (key, seq) pair(s) repeat or have a null seq; seq must be unique and not null")
     nulls = batch.filter(F.col(key).isNull()).withColumn(VERDICT, F.lit(NULL_KEY))
     keyed = batch.filter(F.col(key).isNotNull())
 
@@ -118,7 +121,7 @@ def admit(batch: DataFrame, *, key: str, seq: str, existing: DataFrame, existing
 
 
 def add_customers(existing: DataFrame, batch: DataFrame, nation: DataFrame,
-                  seq: str = "seq", check_seq: bool = False) -> DataFrame:
+                  seq: str = "seq", check_seq: bool = True) -> DataFrame:
     """O4: verdicts for incoming customers (reference: nation)."""
     return admit(batch, key="c_custkey", seq=seq, existing=existing, existing_key="c_custkey",
                  ref_col="c_nationkey", reference=nation, reference_key="n_nationkey",
@@ -126,7 +129,7 @@ def add_customers(existing: DataFrame, batch: DataFrame, nation: DataFrame,
 
 
 def accept_orders(existing: DataFrame, batch: DataFrame, customer: DataFrame,
-                  seq: str = "seq", check_seq: bool = False) -> DataFrame:
+                  seq: str = "seq", check_seq: bool = True) -> DataFrame:
     """O6: verdicts for incoming orders (reference: customer, not broadcast:
     it grows with the data)."""
     return admit(batch, key="o_orderkey", seq=seq, existing=existing, existing_key="o_orderkey",
@@ -142,3 +145,14 @@ def accepted_rows(verdicts: DataFrame) -> DataFrame:
 def customers_after_add(existing: DataFrame, verdicts: DataFrame) -> DataFrame:
     """Existing customers UNION ALL the accepted ones."""
     return existing.unionByName(accepted_rows(verdicts).select(*existing.columns))
+
+
+def store(verdicts: DataFrame, existing: DataFrame, out_path: str) -> DataFrame:
+    """Write ``out_path/table`` (existing and accepted rows) and
+    ``out_path/rejected`` (the other rows with their verdict); both must be
+    new.  Returns the written table."""
+    from stockroom.sources.sinks import write_table
+    spark = existing.sparkSession
+    write_table(verdicts.filter(F.col(VERDICT) != ACCEPTED), f"{out_path}/rejected")
+    write_table(customers_after_add(existing, verdicts), f"{out_path}/table")
+    return spark.read.schema(existing.schema).parquet(f"{out_path}/table")

@@ -8,10 +8,16 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def _as_date(v):
-    if v is None or isinstance(v, (dt.date, dt.datetime)):
-        return v
-    return dt.date.fromisoformat(str(v))
+def _bound(v):
+    """A date, datetime or ISO text as a TIMESTAMP_NTZ literal, so that the
+    driver's time zone plays no part; a zoned value is refused."""
+    if not isinstance(v, (dt.date, dt.datetime)):
+        v = dt.datetime.fromisoformat(str(v))
+    if not isinstance(v, dt.datetime):
+        v = dt.datetime(v.year, v.month, v.day)
+    if v.tzinfo is not None:
+        raise ValueError(f"{v.isoformat()}: order dates have no time zone; give a bound without one")
+    return F.lit(v.isoformat(sep=" ")).cast("timestamp_ntz")
 
 
 def get_orders(orders: DataFrame, custkey: int, date_from=None, date_to=None) -> DataFrame:
@@ -22,9 +28,8 @@ def get_orders(orders: DataFrame, custkey: int, date_from=None, date_to=None) ->
     filter (one stage, no shuffle).
     """
     cond = F.col("o_custkey") == F.lit(int(custkey))
-    d0, d1 = _as_date(date_from), _as_date(date_to)
-    if d0 is not None:
-        cond = cond & (F.col("o_orderdate") >= F.lit(d0))
-    if d1 is not None:
-        cond = cond & (F.col("o_orderdate") < F.lit(d1))
+    if date_from is not None:
+        cond = cond & (F.col("o_orderdate") >= _bound(date_from))
+    if date_to is not None:
+        cond = cond & (F.col("o_orderdate") < _bound(date_to))
     return orders.filter(cond)

@@ -54,7 +54,8 @@ def upsert_products(current: DataFrame, batch: DataFrame, seq: str | None = None
     If ``seq`` is given the batch may repeat a key and its highest ``seq``
     wins; that reduction is a partial (map-side) aggregate, so a key that
     repeats in a third of the batch does not land whole on one task.
-    Without ``seq`` the batch keys must be unique.
+    Without ``seq`` the batch keys must be unique; a batch that repeats one
+    is refused with ``ValueError`` (a partial aggregate checks it).
 
     Plan: when the batch keys pass a size check, only they are broadcast
     and ``current`` (the big side) is scanned twice without a shuffle: an
@@ -73,7 +74,11 @@ def upsert_products(current: DataFrame, batch: DataFrame, seq: str | None = None
     # Size and key range from one scan of the batch (before any dedupe).
     st = new.agg(F.count(F.lit(1)).alias("n"), F.min(KEY).alias("k0"),
                  F.max(KEY).alias("k1")).first()
-    if seq is not None:
+    if seq is None:
+        repeats = new.groupBy(KEY).count().filter(F.col("count") > 1).count()
+        if repeats:
+            raise ValueError(f"{repeats} key(s) repeat in the batch; give seq to choose among their rows")
+    else:
         # max over (seq, attributes): a null seq sorts lowest, so a key whose
         # rows all lack a seq still keeps one of its rows
         new = (new.groupBy(KEY)

@@ -120,6 +120,28 @@ ORACLE = {
         WHERE o_custkey = 7 AND o_orderdate >= DATE '1996-01-01' AND o_orderdate < DATE '1998-01-01'
     """,
     "accept_orders": _ORDER_VERDICTS,
+    "accept_orders_repeats": """
+        WITH once AS (SELECT CASE WHEN o_orderkey % 50 <> 0 THEN o_orderkey END AS o_orderkey, o_custkey,
+                             o_orderstatus, o_totalprice, o_orderdate, o_orderpriority, o_orderkey * 2 AS seq
+                      FROM orders),
+             batch AS (SELECT * FROM once UNION ALL SELECT * REPLACE (seq + 1 AS seq) FROM once)
+        SELECT b.*, CASE WHEN o_orderkey IS NULL THEN 'null_key'
+                         WHEN seq % 2 = 1 THEN 'duplicate_in_batch'
+                         WHEN o_orderkey % 10 <> 0 AND o_orderkey % 3 = 0 THEN 'already_exists'
+                         WHEN o_custkey NOT IN (SELECT c_custkey FROM customer) THEN 'unknown_customer'
+                         ELSE 'accepted' END AS verdict
+        FROM batch b
+    """,
+    "upsert_products_seq": """
+        SELECT p_partkey, p_name, p_brand, p_type, p_size, p_retailprice + 3 AS p_retailprice,
+               CASE WHEN p_partkey % 4 = 0 THEN 'inserted' ELSE 'updated' END AS action
+        FROM part
+    """,
+    "call_orders_of_year": """
+        SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate, o_orderpriority FROM orders
+        WHERE o_custkey = 7 AND o_orderdate >= TIMESTAMP '1996-01-01 12:00:00'
+          AND o_orderdate < TIMESTAMP '1998-01-01 12:00:00'
+    """,
     "customer_orders": """
         SELECT c_custkey, c_name, c_mktsegment, o_orderkey, o_orderstatus, o_totalprice, o_orderdate
         FROM customer LEFT JOIN orders ON o_custkey = c_custkey
@@ -127,8 +149,8 @@ ORACLE = {
     "order_lines": """
         SELECT o_orderkey, o_custkey, o_orderdate, l_linenumber, l_partkey, p_name, p_brand,
                l_quantity, l_extendedprice, l_discount,
-               CAST(CAST(CAST(l_extendedprice AS DECIMAL(12,2)) * (1 - CAST(l_discount AS DECIMAL(4,2)))
-                         AS DECIMAL(18,4)) AS DOUBLE) AS amount
+               CAST(CAST(CAST(l_extendedprice AS DECIMAL(12,2)) * (1 - CAST(l_discount AS DECIMAL(7,6)))
+                         AS DECIMAL(20,8)) AS DOUBLE) AS amount
         FROM lineitem
         JOIN orders ON l_orderkey = o_orderkey
         JOIN part ON l_partkey = p_partkey

@@ -67,6 +67,16 @@ PROCEDURES: dict[str, Procedure] = {
                                                                     out_path, seq),
         required=("batch", "out_path"), optional=("seq",),
         doc="upsert a product batch and write the new product list to a new directory"),
+    "keep_customers": Procedure(
+        lambda s, batch, out_path, seq="seq": admission.store(
+            admission.add_customers(_t(s, "customer"), batch, _t(s, "nation"), seq), _t(s, "customer"), out_path),
+        required=("batch", "out_path"), optional=("seq",),
+        doc="add customers and write the new table and the rejected rows to a new directory"),
+    "keep_orders": Procedure(
+        lambda s, batch, out_path, seq="seq": admission.store(
+            admission.accept_orders(_t(s, "orders"), batch, _t(s, "customer"), seq), _t(s, "orders"), out_path),
+        required=("batch", "out_path"), optional=("seq",),
+        doc="accept orders and write the new table and the rejected rows to a new directory"),
     "customer_orders": Procedure(
         lambda s: views.customer_orders(_t(s, "customer"), _t(s, "orders")),
         doc="customers with their orders"),

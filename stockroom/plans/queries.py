@@ -1,7 +1,8 @@
 """Registered queries: one per operator, each over the whole given tables.
 
-Each query takes ``(spark, sf_dir)`` and returns a DataFrame without
-running it.  The DuckDB SQL that must return the same rows is in
+Each query takes ``(spark, sf_dir)`` and returns a DataFrame.  Admission and
+upsert run small jobs while they are built (size checks), triggers run their
+stream.  The DuckDB SQL that must return the same rows is in
 ``stockroom.plans.oracle`` (re-exported here as ``ORACLE``).
 """
 
@@ -74,6 +75,31 @@ def q_accept_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
                                    t["customer"])
 
 
+def q_accept_orders_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every order arrives twice; those of every 50th key without a key."""
+    o = _Tables(spark, sf_dir)["orders"]
+    key = F.when(F.col("o_orderkey") % 50 != 0, F.col("o_orderkey"))
+    once = o.withColumn("seq", F.col("o_orderkey") * 2).withColumn("o_orderkey", key)
+    batch = once.unionByName(once.withColumn("seq", F.col("seq") + 1))
+    return admission.accept_orders(batches.existing_orders(o).filter(F.col("o_orderkey") % 3 == 0), batch,
+                                   _Tables(spark, sf_dir)["customer"])
+
+
+def q_upsert_products_seq(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every product arrives three times; the last price stands."""
+    part = _Tables(spark, sf_dir)["part"]
+    batch = part.withColumn("seq", F.explode(F.array(F.lit(1), F.lit(3), F.lit(2)))) \
+                .withColumn("p_retailprice", F.col("p_retailprice") + F.col("seq"))
+    return products.upsert_products(part.filter(F.col("p_partkey") % 4 != 0), batch, seq="seq")
+
+
+def q_call_orders_of_year(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The orders procedures through the registry, with time-of-day bounds."""
+    t = load(spark, sf_dir, register=True)
+    return procedures.call(spark, "get_orders", custkey=7, date_from="1996-01-01 12:00:00",
+                           date_to="1998-01-01T12:00:00").select(*t["orders"].columns)
+
+
 def q_customer_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     t = _Tables(spark, sf_dir)
     return views.customer_orders(t["customer"], t["orders"])
@@ -182,6 +208,9 @@ QUERIES = {
     "customers_after_add": q_customers_after_add,
     "get_orders": q_get_orders,
     "accept_orders": q_accept_orders,
+    "accept_orders_repeats": q_accept_orders_repeats,
+    "upsert_products_seq": q_upsert_products_seq,
+    "call_orders_of_year": q_call_orders_of_year,
     "customer_orders": q_customer_orders,
     "order_lines": q_order_lines,
     "order_totals": q_order_totals,

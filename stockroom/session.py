@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -41,11 +42,14 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
 def shared_dir(spark: SparkSession) -> str:
     """The shared folder the cluster names in ``spark.checkpoint.dir``.
 
-    A local temporary folder is created only when the session has none,
-    which is the case for tests on one machine.
+    A local temporary folder is created only when the session has none and
+    runs on one machine (master ``local``).  On a cluster each executor would
+    write to its own disk, so there the setting is required.
     """
     d = spark.sparkContext.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
     if not d:
+        if not re.fullmatch(r"local(\[[^\]]*\])?", spark.sparkContext.master):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         d = tempfile.mkdtemp(prefix="stockroom-")
         spark.sparkContext.setCheckpointDir(d)
         d = spark.sparkContext.getCheckpointDir() or d
