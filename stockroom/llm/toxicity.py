@@ -8,8 +8,8 @@ that mark toxic examples (log-likelihood ratio of at least ``MIN_G2``,
 at most ``MAX_TERMS``) span a TF-IDF space.  Every document is scored by its
 ``NEIGHBOURS`` nearest examples by exact cosine: an inverted index holds the
 postings of a term in blocks of ``BLOCK`` examples with the largest weight of
-each block; blocks are visited from the highest bound on, and the search ends
-when no block can reach the worst neighbour so far, so it misses none.
+each block; the blocks of highest bound are scored first, then all blocks
+whose bound reaches the worst neighbour found there, so it misses none.
 Neighbours vote by their cosine squared, re-weighted from the sample to the
 class shares of all labelled rows, with ``PRIOR`` votes for the overall
 share.  A text without any term gets the toxic share of such examples.
@@ -42,6 +42,7 @@ MIN_G2 = 24.0
 MIN_TOXIC = 3          # toxic examples a term must occur in
 NEIGHBOURS = 15
 BLOCK = 64
+FIRST = 4              # blocks scored first
 PRIOR = 0.25
 THRESHOLD = 0.3
 PREFIXES = (4, 5, 6, 7)
@@ -148,7 +149,7 @@ class BlockMaxIndex:
                 self.top[t, e // BLOCK] = max(self.top[t, e // BLOCK], v)
         self.docs = [np.array([p[0] for p in ps], np.int64) for ps in posting]
         self.vals = [np.array([p[1] for p in ps]) for ps in posting]
-        self.cuts = [np.searchsorted(d, np.arange(blocks + 1) * BLOCK) for d in self.docs]
+        self.block = [d // BLOCK for d in self.docs]
 
     def search(self, idx: np.ndarray, val: np.ndarray, k: int) -> list[tuple[float, int]]:
         """The k examples of largest cosine (above 0), best first, ties to
@@ -156,19 +157,25 @@ class BlockMaxIndex:
         if not self.n or not len(idx):
             return []
         bound = val @ self.top[idx]
-        best: list[tuple[float, int]] = []
-        for b in np.argsort(-bound, kind="stable").tolist():
-            # a hair above the bound, for the rounding of sums in another order
-            if bound[b] <= 0 or (len(best) == k and bound[b] * (1 + 1e-12) < -best[-1][0]):
-                break
-            score = np.zeros(BLOCK)
+        score = np.zeros(self.n)
+
+        def add(blocks: np.ndarray) -> None:
             for t, v in zip(idx.tolist(), val.tolist()):
-                lo, hi = self.cuts[t][b], self.cuts[t][b + 1]
-                if hi > lo:
-                    score[self.docs[t][lo:hi] - b * BLOCK] += v * self.vals[t][lo:hi]
+                keep = blocks[self.block[t]]
+                score[self.docs[t][keep]] += v * self.vals[t][keep]
+        first = np.zeros(len(bound), bool)
+        first[np.argsort(-bound, kind="stable")[:FIRST]] = True
+        add(first & (bound > 0))
+        at = np.flatnonzero(score > 0)
+        worst = np.partition(score[at], len(at) - k)[len(at) - k] if len(at) >= k else 0.0
+        # a hair above the bound, for the rounding of sums in another order
+        rest = ~first & (bound > 0) & (bound * (1 + 1e-12) >= worst)
+        if rest.any():
+            add(rest)
             at = np.flatnonzero(score > 0)
-            best = sorted(best + [(-s, b * BLOCK + e) for s, e in zip(score[at].tolist(), at.tolist())])[:k]
-        return [(-s, e) for s, e in best]
+        if len(at) > k:
+            at = at[score[at] >= np.partition(score[at], len(at) - k)[len(at) - k]]
+        return [(float(score[e]), int(e)) for e in at[np.lexsort((at, -score[at]))][:k]]
 
 
 class Model:
