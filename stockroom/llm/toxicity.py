@@ -5,7 +5,7 @@ Method.  Examples are a bounded sample of labelled documents: at most
 of the id.  Terms are lower-case words, their first four to seven letters, and each
 of these with its density in the text (a power of two of words a use); those
 that mark toxic examples (log-likelihood ratio of at least ``MIN_G2``,
-at most ``MAX_TERMS``) span a TF-IDF space.  Every document is scored by its
+``MIN_LIFT`` times as frequent as in clean ones, at most ``MAX_TERMS``) span a TF-IDF space.  Every document is scored by its
 ``NEIGHBOURS`` nearest examples by exact cosine: an inverted index holds the
 postings of a term in blocks of ``BLOCK`` examples with the largest weight of
 each block; the blocks of highest bound are scored first, then all blocks
@@ -39,6 +39,7 @@ from pyspark.sql import types as T
 TOXIC_EXAMPLES, CLEAN_EXAMPLES = 4000, 8000
 MAX_TERMS = 4096
 MIN_G2 = 24.0
+MIN_LIFT = 4           # times as frequent in toxic as in clean examples
 MIN_TOXIC = 3          # toxic examples a term must occur in
 NEIGHBOURS = 15
 BLOCK = 64
@@ -247,7 +248,7 @@ def fit(docs: DataFrame, labels: DataFrame) -> Model:
               .groupBy("term").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))
               .filter(F.col("toxic") >= MIN_TOXIC)
               # more often in toxic than in clean examples; a proxy order that keeps the clearest
-              .filter(F.col("toxic") * n_clean > F.col("clean") * n_tox)
+              .filter(F.col("toxic") * n_clean > MIN_LIFT * F.col("clean") * n_tox)
               .orderBy((F.col("toxic") / n_tox - F.col("clean") / n_clean).desc(), "term").limit(8 * MAX_TERMS))
     scored = sorted(((log_likelihood(r["toxic"], r["clean"], n_tox, n_clean), r["term"], r["toxic"], r["clean"])
                      for r in counts.collect()), key=lambda x: (-x[0], x[1]))
