@@ -4,19 +4,19 @@ from __future__ import annotations
 
 import corpus_pipeline
 from stockroom.llm.kernels import stash
-from tests.conftest import SF001
+from tests.conftest import SF01
 
 
 def test_stages_keep_columns_and_take_effect(spark):
-    docs = spark.read.parquet(f"{SF001}/documents.parquet")
+    docs = spark.read.parquet(f"{SF01}/documents.parquet")
     columns, rows = docs.columns, docs.count()
     assert [n for n, _ in corpus_pipeline.STAGES] == ["toxicity", "near_duplicates", "repeated_passages", "secrets", "packing"]
     for name, stage in corpus_pipeline.STAGES[:-1]:
-        after = stash(stage(spark, docs, SF001), "test")
+        after = stash(stage(spark, docs, SF01), "test")
         assert after.columns == columns and after.schema == docs.schema
         n = after.count()
         assert n < rows if name in ("toxicity", "near_duplicates") else n == rows
         docs, rows = after, n
     assert docs.filter("text rlike 'AKIA[A-Z0-9]{14,}'").count() == 0
-    packed = corpus_pipeline.STAGES[-1][1](spark, docs, SF001)
+    packed = corpus_pipeline.STAGES[-1][1](spark, docs, SF01)
     assert packed.select("doc_id").distinct().count() == rows
