@@ -40,15 +40,17 @@ sorts instead of hashing).
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from stockroom.functions.money import MONEY
 from stockroom.plans.joins import LOOKUP_MAX_ROWS, keys_present, probe_limit, row_count_at_most
 
 VERDICT = "verdict"
 NULL_KEY = "null_key"
 DUPLICATE = "duplicate_in_batch"
 EXISTS = "already_exists"
+BAD_VALUE = "bad_value"
 ACCEPTED = "accepted"
 
 
@@ -58,8 +60,7 @@ def admit(batch: DataFrame, *, key: str, seq: str, existing: DataFrame, existing
           check_seq: bool = True) -> DataFrame:
     """Batch rows with a ``verdict`` column (see module doc).
 
-    ``existing`` may be any frame holding the keys already present (for a
-    trigger: the base table plus earlier accepted batches).
+    ``existing`` may be any frame holding the keys already present.
     ``small_reference`` marks a lookup table (such as nations) that is
     broadcast when its own size check allows.  ``check_seq`` first verifies
     that ``seq`` is never null and ``(key, seq)`` unique and raises
@@ -77,17 +78,32 @@ def admit(batch: DataFrame, *, key: str, seq: str, existing: DataFrame, existing
 
     first = (keyed.groupBy(key)
              .agg(F.min(seq).alias(seq), F.min_by(ref_col, seq).alias("_ref")))
+    decided = judge(first, keyed, key=key, existing=existing, existing_key=existing_key, ref_col=ref_col,
+                    reference=reference, reference_key=reference_key, unknown=unknown,
+                    small_reference=small_reference, probe_max_rows=probe_max_rows).select(key, seq, VERDICT)
+    # ``decided`` holds seq (for streams: file names), so its broadcast is
+    # left to AQE's measured size; the join back is batch-sized either way.
+    judged = (keyed.join(decided, [key, seq], "left")
+                   .withColumn(VERDICT, F.coalesce(F.col(VERDICT), F.lit(DUPLICATE))))
+    cols = batch.columns + [VERDICT]
+    return judged.select(*cols).unionByName(nulls.select(*cols))
+
+
+def judge(first: DataFrame, keyed: DataFrame, *, key: str, existing: DataFrame, existing_key: str,
+          ref_col: str, reference: DataFrame, reference_key: str, unknown: str,
+          small_reference: bool = False, probe_max_rows: int | None = None) -> DataFrame:
+    """``first`` (``key``, ``_ref`` and other columns; rows taken from
+    ``keyed``) with the verdict each row has on its own: already there,
+    unknown reference, or accepted."""
     # One scan with a global partial aggregate, no shuffle: the number of
     # keyed rows bounds the number of first rows, and the ranges over all
     # keyed rows contain those of the first rows.  Five numbers reach the
     # driver.
     st = keyed.agg(F.count(F.lit(1)).alias("n"), F.min(key).alias("k0"), F.max(key).alias("k1"),
                    F.min(ref_col).alias("r0"), F.max(ref_col).alias("r1")).first()
-    small = st["n"] <= probe_limit(batch.sparkSession, probe_max_rows)
-
     known = existing.select(F.col(existing_key).alias(key))
     ref_all = reference.select(F.col(reference_key).alias("_ref"))
-    if small:
+    if st["n"] <= probe_limit(keyed.sparkSession, probe_max_rows):
         # Probe hits are at most as many as the first rows: broadcast them
         # back and label the first rows with two broadcast joins.
         seen = keys_present(known, first, key, True, key_range=(st["k0"], st["k1"]))
@@ -97,25 +113,61 @@ def admit(batch: DataFrame, *, key: str, seq: str, existing: DataFrame, existing
         verdict = (F.when(F.col("_exists").isNotNull(), F.lit(EXISTS))
                     .when(F.col("_found").isNotNull(), F.lit(ACCEPTED))
                     .otherwise(F.lit(unknown)))
-        decided = (first.join(F.broadcast(seen.withColumn("_exists", F.lit(True))), key, "left")
-                        .join(F.broadcast(found.withColumn("_found", F.lit(True))), "_ref", "left")
-                        .select(key, seq, verdict.alias(VERDICT)))
-    else:
-        # Shuffled semi / anti joins straight against the big tables: they
-        # need no distinct (duplicates on the right do not multiply rows),
-        # and with both children plain shuffles AQE can split a hot
-        # reference value on the left side.
-        exists = first.join(known, key, "left_semi").withColumn(VERDICT, F.lit(EXISTS))
-        fresh = first.join(known, key, "left_anti")
-        if small_reference and row_count_at_most(ref_all, LOOKUP_MAX_ROWS):
-            ref_all = F.broadcast(ref_all)
-        ok = fresh.join(ref_all, "_ref", "left_semi").withColumn(VERDICT, F.lit(ACCEPTED))
-        missing = fresh.join(ref_all, "_ref", "left_anti").withColumn(VERDICT, F.lit(unknown))
-        decided = exists.unionByName(ok).unionByName(missing).select(key, seq, VERDICT)
-    # ``decided`` holds seq (for streams: file names), so its broadcast is
-    # left to AQE's measured size; the join back is batch-sized either way.
-    judged = (keyed.join(decided, [key, seq], "left")
-                   .withColumn(VERDICT, F.coalesce(F.col(VERDICT), F.lit(DUPLICATE))))
+        return (first.join(F.broadcast(seen.withColumn("_exists", F.lit(True))), key, "left")
+                     .join(F.broadcast(found.withColumn("_found", F.lit(True))), "_ref", "left")
+                     .withColumn(VERDICT, verdict).select(*first.columns, VERDICT))
+    # Shuffled semi / anti joins straight against the big tables: they
+    # need no distinct (duplicates on the right do not multiply rows),
+    # and with both children plain shuffles AQE can split a hot
+    # reference value on the left side.
+    exists = first.join(known, key, "left_semi").withColumn(VERDICT, F.lit(EXISTS))
+    fresh = first.join(known, key, "left_anti")
+    if small_reference and row_count_at_most(ref_all, LOOKUP_MAX_ROWS):
+        ref_all = F.broadcast(ref_all)
+    ok = fresh.join(ref_all, "_ref", "left_semi").withColumn(VERDICT, F.lit(ACCEPTED))
+    missing = fresh.join(ref_all, "_ref", "left_anti").withColumn(VERDICT, F.lit(unknown))
+    return exists.unionByName(ok).unionByName(missing)
+
+
+def admit_landed(batch: DataFrame, *, key: str, landed: str, existing: DataFrame, existing_key: str,
+                 ref_col: str, reference: DataFrame, reference_key: str, unknown: str,
+                 small_reference: bool = False, money_col: str | None = None,
+                 probe_max_rows: int | None = None) -> DataFrame:
+    """Verdicts of landed files as if they came one by one.
+
+    ``landed`` is the struct (time, file, row) a row came from.  Files count
+    in the order (time, file).  ``duplicate_in_batch`` is judged inside one
+    file; across files a key is ``already_exists`` only once an earlier
+    file's row was accepted.  So it does not matter which files are handed
+    over together.  A price (``money_col``) that no total can hold is
+    ``bad_value``, the last check ahead of ``accepted``.
+
+    The first row per (file, key) is a hash aggregate with partial combine.
+    The window over a key then holds one row a file, however many rows of
+    the key a file has.
+    """
+    nulls = batch.filter(F.col(key).isNull()).withColumn(VERDICT, F.lit(NULL_KEY))
+    keyed = batch.filter(F.col(key).isNotNull())
+    fits = F.lit(True)
+    if money_col:
+        fits = F.col(money_col).isNull() | F.col(money_col).try_cast(MONEY).isNotNull()
+    place = ["_time", "_file", "_row"]
+    placed = keyed.select("*", *[F.col(f"{landed}.{c[1:]}").alias(c) for c in place])
+    first = (placed.groupBy(key, "_time", "_file")
+             .agg(F.min("_row").alias("_row"), F.min_by(ref_col, "_row").alias("_ref"),
+                  F.min_by(fits, "_row").alias("_fits")))
+    alone = judge(first, keyed, key=key, existing=existing, existing_key=existing_key, ref_col=ref_col,
+                  reference=reference, reference_key=reference_key, unknown=unknown,
+                  small_reference=small_reference, probe_max_rows=probe_max_rows)
+    alone = alone.withColumn(VERDICT, F.when((F.col(VERDICT) == ACCEPTED) & ~F.col("_fits"), F.lit(BAD_VALUE))
+                             .otherwise(F.col(VERDICT)))
+    order = F.struct("_time", "_file")
+    won = F.min(F.when(F.col(VERDICT) == ACCEPTED, order)).over(Window.partitionBy(key))
+    decided = (alone.withColumn("_won", won)
+               .select(key, *place, F.when(F.col("_won") < order, F.lit(EXISTS))
+                       .otherwise(F.col(VERDICT)).alias(VERDICT)))
+    judged = (placed.join(decided, [key, *place], "left")
+                    .withColumn(VERDICT, F.coalesce(F.col(VERDICT), F.lit(DUPLICATE))))
     cols = batch.columns + [VERDICT]
     return judged.select(*cols).unionByName(nulls.select(*cols))
 

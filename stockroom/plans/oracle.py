@@ -179,8 +179,25 @@ ORACLE = {
         FROM orders WHERE o_orderdate >= DATE '1997-07-01'
     """,
     "trigger_order_totals": _ORDER_TOTALS,
+    # The parts land as files of their own: a repeat of a key that an earlier
+    # file brought in exists by then.
     "trigger_add_customers": f"""
         WITH v AS ({_CUSTOMER_VERDICTS})
-        SELECT c_custkey AS key, verdict, CAST(0 AS BIGINT) AS batch_id FROM v
+        SELECT c_custkey AS key,
+               CASE WHEN verdict = 'duplicate_in_batch'
+                     AND EXISTS (SELECT 1 FROM v e WHERE e.c_custkey = v.c_custkey AND e.seq < v.seq
+                                 AND e.verdict IN ('accepted', 'already_exists'))
+                    THEN 'already_exists' ELSE verdict END AS verdict,
+               CAST(0 AS BIGINT) AS batch_id
+        FROM v
+    """,
+    "trigger_orders_split": """
+        SELECT o_orderkey AS key, CASE WHEN o_orderkey % 10 = 0 THEN 'unknown_customer'
+                                       WHEN o_orderkey % 7 = 0 THEN 'bad_value' ELSE 'accepted' END AS verdict
+        FROM orders
+        UNION ALL
+        SELECT o_orderkey, CASE WHEN o_orderkey % 10 = 0 OR o_orderkey % 7 = 0 THEN 'accepted'
+                                ELSE 'already_exists' END
+        FROM orders
     """,
 }

@@ -147,7 +147,7 @@ def landed_orders_run(spark: SparkSession, sf_dir: str) -> str:
     """Land the two order files one after the other, firing the trigger
     after each; returns the trigger's output folder (one run per session
     and scale)."""
-    memo = (id(spark), sf_dir)
+    memo = (spark.sparkContext.applicationId, sf_dir)
     if memo in _TRIGGER_RUNS:
         return _TRIGGER_RUNS[memo]
     t = _Tables(spark, sf_dir)
@@ -180,7 +180,7 @@ def q_trigger_order_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
 def landed_customers_run(spark: SparkSession, sf_dir: str) -> str:
     """The customer batch lands as five files (one per part, in arrival
     order) over a base table of the existing customers; one trigger run."""
-    memo = (id(spark), sf_dir, "customers")
+    memo = (spark.sparkContext.applicationId, sf_dir, "customers")
     if memo in _TRIGGER_RUNS:
         return _TRIGGER_RUNS[memo]
     t = _Tables(spark, sf_dir)
@@ -200,6 +200,22 @@ def q_trigger_add_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
             .select("key", "verdict", "batch_id"))
 
 
+def q_trigger_orders_split(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All orders land twice, file names against arrival: first those of
+    every 10th key with an unknown customer and prices of every 7th key that
+    no total holds, then as they are.  What was refused comes in then."""
+    t = _Tables(spark, sf_dir)
+    work = scratch_dir(spark, "order-split")
+    in_dir, out_dir = f"{work}/landing", f"{work}/out"
+    k = F.col("o_orderkey")
+    (t["orders"].withColumn("o_custkey", F.when(k % 10 == 0, F.col("o_custkey") + 10000000).otherwise(F.col("o_custkey")))
+     .withColumn("o_totalprice", F.when(k % 7 == 0, F.lit(1e11)).otherwise(F.col("o_totalprice")))
+     .write.parquet(f"{in_dir}/b"))
+    t["orders"].write.parquet(f"{in_dir}/a")
+    triggers.InsertTrigger(spark, in_dir, out_dir, triggers.ORDER_RULES, reference=t["customer"]).run_available()
+    return triggers.audit_log(spark, out_dir).select("key", "verdict")
+
+
 QUERIES = {
     "product_list": q_product_list,
     "product_page": q_product_page,
@@ -220,4 +236,5 @@ QUERIES = {
     "trigger_audit": q_trigger_audit,
     "trigger_order_totals": q_trigger_order_totals,
     "trigger_add_customers": q_trigger_add_customers,
+    "trigger_orders_split": q_trigger_orders_split,
 }

@@ -1,34 +1,23 @@
 """Parquet sink for derived tables.
 
 Spark cannot overwrite a path it is reading in the same job: the files are
-deleted before they are read and the table is left empty.  ``write_table``
-refuses any target that holds one of the frame's input files, and by
-default refuses an existing target, so a new version of a table always
-goes to a new directory.
+deleted before they are read and the table is left empty.  A new version of
+a table therefore always goes to a new directory: ``write_table`` refuses
+an existing target unless rows are appended to it, however its path is
+spelled, so no source can be destroyed and no input files are listed.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
 
-
-def _norm(path: str) -> str:
-    for prefix in ("file://", "file:"):
-        if path.startswith(prefix):
-            path = path[len(prefix):]
-    return "/" + path.lstrip("/").rstrip("/")
-
-
-def reads_from(df: DataFrame, path: str) -> bool:
-    """True if any input file of ``df`` lies below ``path``."""
-    target = _norm(path) + "/"
-    return any(_norm(f).startswith(target) or _norm(f) == target[:-1] for f in df.inputFiles())
+from stockroom.streaming import files
 
 
 def write_table(df: DataFrame, path: str, mode: str = "errorifexists",
                 partition_by: list[str] | None = None) -> None:
-    if reads_from(df, path):
-        raise ValueError(f"refusing to write {path}: the data being written is read from it")
+    if mode == "overwrite" and files.exists(df.sparkSession, path):
+        raise ValueError(f"refusing to overwrite {path}: write the new version to a new directory")
     w = df.write.mode(mode)
     if partition_by:
         w = w.partitionBy(*partition_by)

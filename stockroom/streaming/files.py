@@ -23,3 +23,9 @@ def child_names(spark: SparkSession, path: str) -> list[str]:
     if not fs.exists(p):
         return []
     return [s.getPath().getName() for s in fs.listStatus(p)]
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a directory and what is in it."""
+    fs, p = _fs(spark, path)
+    fs.delete(p, True)

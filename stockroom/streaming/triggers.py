@@ -4,9 +4,12 @@ A database trigger fires inside the inserting transaction.  Here the
 "insert" is a file landing in ``in_dir`` and the trigger is a Structured
 Streaming query with ``foreachBatch``.  For micro-batch ``N``:
 
-* O10 (before insert, validate): every landed row gets a verdict from the
-  same ``admit`` operator the batch procedures use, against the base table
-  plus rows accepted by batches ``< N``.  All rows are written once to
+* O10 (before insert, validate): every landed row gets a verdict as if the
+  files came one by one, in the order (modification time, path): repeated
+  keys are judged inside a file, and against rows accepted from earlier
+  files, the base table and batches ``< N``.  How a backlog is cut into
+  micro-batches thus decides nothing (files of one millisecond excepted:
+  Spark does not say which of them it takes first).  All rows are written once to
   ``out_dir/rows/batch_id=N/verdict=<v>/``: accepted and rejected rows land
   apart, and ``verdict=accepted`` is the new data of the table.
 * O11 (after insert, audit): ``out_dir/audit/batch_id=N`` gets one row per
@@ -20,12 +23,18 @@ makes Spark run batch N again.  Each output is overwritten per batch id,
 and the key check reads accepted rows of earlier batches only, so a replay
 neither finds its own rows (and rejects them) nor doubles them.  The batch
 number belongs to the checkpoint, so a new checkpoint over an output that
-already holds batches is refused.  One writer per output directory.
+already holds batches is refused.  One writer per output directory.  Readers see committed
+batches only, as far as the checkpoint tells.
+
+``reference`` and ``base`` may be a path, a table name or a function that
+returns a frame: then each micro-batch opens them anew and sees rows that
+came since.  A frame given as such stays as it was.
 """
 
 from __future__ import annotations
 
 import zlib
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -33,12 +42,15 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from stockroom.operators.admission import ACCEPTED, VERDICT, admit
+from stockroom.operators.admission import ACCEPTED, VERDICT, admit_landed
 from stockroom.operators.totals import merge_totals, order_totals_partial
 from stockroom.schemas import CUSTOMER, ORDERS
 from stockroom.streaming import files
 
-LANDED = "landed"   # struct(file, row): where a row came from; also its insertion order
+LANDED = "landed"   # struct(time, file, row): where a row came from; also its insertion order
+COMPACT_EVERY = 20  # batches between two compactions
+
+Source = DataFrame | str | Callable[[], DataFrame]
 
 
 @dataclass(frozen=True)
@@ -52,10 +64,11 @@ class InsertRules:
     unknown: str
     small_reference: bool = False
     keeps_totals: bool = False
+    money_col: str | None = None
 
 
 ORDER_RULES = InsertRules("orders", ORDERS, "o_orderkey", "o_custkey", "c_custkey",
-                          "unknown_customer", small_reference=False, keeps_totals=True)
+                          "unknown_customer", small_reference=False, keeps_totals=True, money_col="o_totalprice")
 CUSTOMER_RULES = InsertRules("customer", CUSTOMER, "c_custkey", "c_nationkey", "n_nationkey",
                              "unknown_nation", small_reference=True)
 
@@ -65,28 +78,48 @@ def _rows_path(out_dir: str) -> str:
 
 
 def _row_schema(rules: InsertRules) -> T.StructType:
-    landed = T.StructType([T.StructField("file", T.StringType()),
+    landed = T.StructType([T.StructField("time", T.TimestampType()), T.StructField("file", T.StringType()),
                            T.StructField("row", T.LongType())])
     return T.StructType(list(rules.schema.fields) + [T.StructField(LANDED, landed)])
 
 
-def _read_rows(spark: SparkSession, out_dir: str, rules: InsertRules) -> DataFrame:
-    """All verdict rows of all batches, with ``batch_id`` and ``verdict``
-    as partition columns (so filters on them prune directories)."""
-    schema = T.StructType(list(_row_schema(rules).fields)
-                          + [T.StructField("batch_id", T.LongType()),
-                             T.StructField(VERDICT, T.StringType())])
-    path = _rows_path(out_dir)
-    if not files.exists(spark, path):
+def open_source(spark: SparkSession, source: Source) -> DataFrame:
+    """The frame of a path, a table name or a function, opened now."""
+    if isinstance(source, str):
+        return spark.read.parquet(source) if "/" in source else spark.table(source)
+    return source() if callable(source) else source
+
+
+def _accepted(spark: SparkSession, out_dir: str, rules: InsertRules, after: int, upto: int) -> DataFrame:
+    """Accepted rows of the batches ``after < batch_id <= upto``; only
+    their directories are listed."""
+    schema = T.StructType(list(rules.schema.fields) + [T.StructField("batch_id", T.LongType())])
+    root = _rows_path(out_dir)
+    dirs = [d for i in range(after + 1, upto + 1)
+            if files.exists(spark, d := f"{root}/batch_id={i}/{VERDICT}={ACCEPTED}")]
+    if not dirs:
         return spark.createDataFrame([], schema)
-    return spark.read.schema(schema).option("basePath", path).parquet(path)
+    return spark.read.schema(schema).option("basePath", root).parquet(*dirs).select(*schema.fieldNames())
+
 
+def _committed(spark: SparkSession, out_dir: str, checkpoint: str | None) -> int:
+    """Highest committed batch, -1 if there is none."""
+    n = committed_batch(spark, checkpoint or f"{out_dir.rstrip('/')}/_checkpoint")
+    return -1 if n is None else n
 
-def accepted_rows(spark: SparkSession, out_dir: str, rules: InsertRules = ORDER_RULES) -> DataFrame:
+
+def accepted_rows(spark: SparkSession, out_dir: str, rules: InsertRules = ORDER_RULES,
+                  checkpoint: str | None = None) -> DataFrame:
     """The rows the trigger let in, with the batch that accepted them."""
+    path = _rows_path(out_dir)
+    schema = T.StructType(list(_row_schema(rules).fields)
+                          + [T.StructField("batch_id", T.LongType()), T.StructField(VERDICT, T.StringType())])
     cols = [f.name for f in rules.schema.fields] + ["batch_id"]
-    return (_read_rows(spark, out_dir, rules)
-            .filter(F.col(VERDICT) == ACCEPTED).select(*cols))
+    if not files.exists(spark, path):
+        return spark.createDataFrame([], schema).select(*cols)
+    return (spark.read.schema(schema).option("basePath", path).parquet(path)
+            .filter((F.col(VERDICT) == ACCEPTED) & (F.col("batch_id") <= _committed(spark, out_dir, checkpoint)))
+            .select(*cols))
 
 
 AUDIT_SCHEMA = T.StructType([
@@ -98,11 +131,12 @@ AUDIT_SCHEMA = T.StructType([
 ])
 
 
-def audit_log(spark: SparkSession, out_dir: str) -> DataFrame:
+def audit_log(spark: SparkSession, out_dir: str, checkpoint: str | None = None) -> DataFrame:
     path = f"{out_dir}/audit"
     if not files.exists(spark, path):
         return spark.createDataFrame([], AUDIT_SCHEMA)
-    return spark.read.schema(AUDIT_SCHEMA).option("basePath", path).parquet(path)
+    return (spark.read.schema(AUDIT_SCHEMA).option("basePath", path).parquet(path)
+            .filter(F.col("batch_id") <= _committed(spark, out_dir, checkpoint)))
 
 
 TOTALS_SCHEMA = T.StructType([
@@ -113,10 +147,6 @@ TOTALS_SCHEMA = T.StructType([
 ])
 
 
-def _with_batch(schema: T.StructType) -> T.StructType:
-    return T.StructType(list(schema.fields) + [T.StructField("batch_id", T.LongType())])
-
-
 def _snapshot_path(out_dir: str, what: str) -> str:
     return f"{out_dir}/snapshots/{what}"
 
@@ -129,24 +159,17 @@ def latest_snapshot(spark: SparkSession, out_dir: str, what: str) -> int | None:
     return max(done) if done else None
 
 
-def _read_batches(spark: SparkSession, path: str, schema: T.StructType,
-                  after: int | None, before: int | None = None) -> DataFrame:
-    """Per-batch output under ``path`` with ``after < batch_id < before``."""
-    if not files.exists(spark, path):
-        return spark.createDataFrame([], _with_batch(schema))
-    df = spark.read.schema(_with_batch(schema)).option("basePath", path).parquet(path)
-    if after is not None:
-        df = df.filter(F.col("batch_id") > F.lit(after))
-    if before is not None:
-        df = df.filter(F.col("batch_id") < F.lit(before))
-    return df
+def _partials(spark: SparkSession, out_dir: str, after: int, upto: int) -> DataFrame:
+    """Totals partials of the batches ``after < batch_id <= upto``."""
+    dirs = [d for i in range(after + 1, upto + 1) if files.exists(spark, d := f"{out_dir}/totals/batch_id={i}")]
+    return spark.read.schema(TOTALS_SCHEMA).parquet(*dirs) if dirs else spark.createDataFrame([], TOTALS_SCHEMA)
 
 
-def kept_totals(spark: SparkSession, out_dir: str) -> DataFrame:
+def kept_totals(spark: SparkSession, out_dir: str, checkpoint: str | None = None) -> DataFrame:
     """O12 view: current per-customer totals, the latest snapshot merged
-    with the partials of the batches after it."""
+    with the partials of the committed batches after it."""
     m = latest_snapshot(spark, out_dir, "totals")
-    parts = _read_batches(spark, f"{out_dir}/totals", TOTALS_SCHEMA, after=m).drop("batch_id")
+    parts = _partials(spark, out_dir, -1 if m is None else m, _committed(spark, out_dir, checkpoint))
     if m is None:
         return merge_totals(parts)
     snap = spark.read.schema(TOTALS_SCHEMA).parquet(f"{_snapshot_path(out_dir, 'totals')}/upto={m}")
@@ -160,24 +183,21 @@ def committed_batch(spark: SparkSession, checkpoint: str) -> int | None:
     return max(ids) if ids else None
 
 
-# No cut by default: where a backlog is cut decides which of two rows of a
-# key is judged first, so a cap is the caller's choice.
-DEFAULT_MAX_FILES = None
-
-
 class InsertTrigger:
     """Validate-audit-total trigger for files landing in ``in_dir``.
 
     ``base`` is the table as it was before the trigger started (may be
     None), ``reference`` the table the reference column must point into
-    (customers for orders, nations for customers).  ``max_files_per_trigger``
-    bounds a micro-batch (None: everything new at once).
+    (customers for orders, nations for customers); see the module doc for
+    what they may be.  ``max_files_per_trigger`` bounds a micro-batch (None:
+    everything new at once); every ``compact_every`` batches the keys and
+    totals are compacted (None: only by ``compact``).
     """
 
     def __init__(self, spark: SparkSession, in_dir: str, out_dir: str, rules: InsertRules,
-                 reference: DataFrame, base: DataFrame | None = None,
-                 checkpoint: str | None = None,
-                 max_files_per_trigger: int | None = DEFAULT_MAX_FILES):
+                 reference: Source, base: Source | None = None,
+                 checkpoint: str | None = None, max_files_per_trigger: int | None = None,
+                 compact_every: int | None = COMPACT_EVERY):
         self.spark = spark
         self.in_dir = in_dir.rstrip("/")
         self.out_dir = out_dir.rstrip("/")
@@ -186,6 +206,7 @@ class InsertTrigger:
         self.base = base
         self.checkpoint = checkpoint or f"{self.out_dir}/_checkpoint"
         self.max_files = max_files_per_trigger
+        self.compact_every = compact_every
 
     # -- the stream --------------------------------------------------------
     def source(self) -> DataFrame:
@@ -196,7 +217,8 @@ class InsertTrigger:
             r = r.option("maxFilesPerTrigger", str(self.max_files))
         df = r.parquet(self.in_dir)
         return df.select(*[F.col(f.name) for f in self.rules.schema.fields],
-                         F.struct(F.col("_metadata.file_path").alias("file"),
+                         F.struct(F.col("_metadata.file_modification_time").alias("time"),
+                                  F.col("_metadata.file_path").alias("file"),
                                   F.col("_metadata.row_index").alias("row")).alias(LANDED))
 
     def _check_checkpoint(self) -> None:
@@ -238,16 +260,12 @@ class InsertTrigger:
         m = latest_snapshot(self.spark, self.out_dir, "keys")
         if m is not None and m >= batch_id:
             m = None
-        earlier = _read_rows(self.spark, self.out_dir, self.rules).filter(
-            (F.col("batch_id") < F.lit(batch_id)) & (F.col(VERDICT) == ACCEPTED))
-        if m is not None:
-            earlier = earlier.filter(F.col("batch_id") > F.lit(m))
-        keys = earlier.select(key)
+        keys = _accepted(self.spark, self.out_dir, self.rules, -1 if m is None else m, batch_id - 1).select(key)
         if m is not None:
             keys = keys.unionByName(self.spark.read.parquet(
                 f"{_snapshot_path(self.out_dir, 'keys')}/upto={m}").select(key))
         if self.base is not None:
-            keys = self.base.select(key).unionByName(keys)
+            keys = open_source(self.spark, self.base).select(key).unionByName(keys)
         return keys
 
     def compact(self) -> int | None:
@@ -262,11 +280,7 @@ class InsertTrigger:
         if n is None or (m is not None and m >= n):
             return m
         key = self.rules.key
-        accepted = _read_rows(self.spark, self.out_dir, self.rules).filter(
-            (F.col(VERDICT) == ACCEPTED) & (F.col("batch_id") <= F.lit(n)))
-        if m is not None:
-            accepted = accepted.filter(F.col("batch_id") > F.lit(m))
-        new_keys = accepted.select(key)
+        new_keys = _accepted(self.spark, self.out_dir, self.rules, -1 if m is None else m, n).select(key)
         if m is not None:
             new_keys = new_keys.unionByName(self.spark.read.parquet(
                 f"{_snapshot_path(self.out_dir, 'keys')}/upto={m}").select(key))
@@ -274,22 +288,31 @@ class InsertTrigger:
                  .write.mode("overwrite").parquet(f"{_snapshot_path(self.out_dir, 'keys')}/upto={n}"))
         if self.rules.keeps_totals:
             t = latest_snapshot(self.spark, self.out_dir, "totals")
-            parts = _read_batches(self.spark, f"{self.out_dir}/totals", TOTALS_SCHEMA,
-                                  after=t, before=n + 1).drop("batch_id")
+            parts = _partials(self.spark, self.out_dir, -1 if t is None else t, n)
             if t is not None:
                 parts = parts.unionByName(self.spark.read.schema(TOTALS_SCHEMA).parquet(
                     f"{_snapshot_path(self.out_dir, 'totals')}/upto={t}"))
             (merge_totals(parts).write.mode("overwrite")
              .parquet(f"{_snapshot_path(self.out_dir, 'totals')}/upto={n}"))
+        # The snapshot before this one stays for readers that have it open.
+        for what, last in (("keys", m), ("totals", m)):
+            path = _snapshot_path(self.out_dir, what)
+            for name in files.child_names(self.spark, path):
+                if name.startswith("upto=") and last is not None and int(name[len("upto="):]) < last:
+                    files.remove(self.spark, f"{path}/{name}")
         return n
 
     def handle(self, batch: DataFrame, batch_id: int) -> None:
         r = self.rules
-        verdicts = admit(batch, key=r.key, seq=LANDED,
-                         existing=self.existing_keys(batch_id), existing_key=r.key,
-                         ref_col=r.ref_col, reference=self.reference,
-                         reference_key=r.reference_key, unknown=r.unknown,
-                         small_reference=r.small_reference, check_seq=False)
+        if self.compact_every:
+            done = latest_snapshot(self.spark, self.out_dir, "keys")
+            if batch_id - 1 - (-1 if done is None else done) >= self.compact_every:
+                self.compact()
+        verdicts = admit_landed(batch, key=r.key, landed=LANDED,
+                                existing=self.existing_keys(batch_id), existing_key=r.key,
+                                ref_col=r.ref_col, reference=open_source(self.spark, self.reference),
+                                reference_key=r.reference_key, unknown=r.unknown,
+                                small_reference=r.small_reference, money_col=r.money_col)
         rows_n = f"{_rows_path(self.out_dir)}/batch_id={batch_id}"
         # O10: one pass over the batch; accepted and rejected rows go to
         # their own verdict=... directories.
@@ -314,24 +337,24 @@ class InsertTrigger:
 
 
 def register_trigger_views(spark: SparkSession, out_dir: str, rules: InsertRules = ORDER_RULES,
-                           prefix: str | None = None) -> None:
+                           prefix: str | None = None, checkpoint: str | None = None) -> None:
     """Temp views over a trigger's output for SQL users:
     ``<table>_accepted``, ``<table>_audit`` and, for orders,
     ``<table>_kept_totals``."""
     name = prefix or rules.table
-    accepted_rows(spark, out_dir, rules).createOrReplaceTempView(f"{name}_accepted")
-    audit_log(spark, out_dir).createOrReplaceTempView(f"{name}_audit")
+    accepted_rows(spark, out_dir, rules, checkpoint).createOrReplaceTempView(f"{name}_accepted")
+    audit_log(spark, out_dir, checkpoint).createOrReplaceTempView(f"{name}_audit")
     if rules.keeps_totals:
-        kept_totals(spark, out_dir).createOrReplaceTempView(f"{name}_kept_totals")
+        kept_totals(spark, out_dir, checkpoint).createOrReplaceTempView(f"{name}_kept_totals")
 
 
 def on_insert(spark: SparkSession, in_dir: str, out_dir: str, checkpoint: str | None = None,
-              rules: InsertRules = ORDER_RULES, reference: DataFrame | None = None,
-              base: DataFrame | None = None, available_now: bool = True) -> StreamingQuery:
+              rules: InsertRules = ORDER_RULES, reference: Source | None = None,
+              base: Source | None = None, available_now: bool = True) -> StreamingQuery:
     """O10-O12 in one call: start the insert trigger for files landing in
     ``in_dir``.  ``reference`` defaults to the session's registered table
     (``customer`` for orders, ``nation`` for customers)."""
     if reference is None:
-        reference = spark.table("customer" if rules.table == "orders" else "nation")
+        reference = "customer" if rules.table == "orders" else "nation"
     return InsertTrigger(spark, in_dir, out_dir, rules, reference=reference, base=base,
                          checkpoint=checkpoint).start(available_now=available_now)

@@ -13,7 +13,8 @@ from stockroom.streaming.triggers import LANDED
 
 def _landed(spark, path, rules):
     return (spark.read.schema(rules.schema).parquet(path)
-            .select("*", F.struct(F.col("_metadata.file_path").alias("file"),
+            .select("*", F.struct(F.col("_metadata.file_modification_time").alias("time"),
+                                  F.col("_metadata.file_path").alias("file"),
                                   F.col("_metadata.row_index").alias("row")).alias(LANDED)))
 
 
@@ -97,8 +98,11 @@ def test_replay_through_checkpoint(spark, tables001):
     orders.filter(F.col("o_orderkey").between(90, 149)).write.parquet(f"{in_dir}/1")
     with pytest.raises(Exception, match="simulated crash"):
         _CrashAfterWrites(spark, in_dir, out_dir, ORDER_RULES, reference=customer).run_available()
-    # batch 1's rows are written but not committed; a restart runs batch 1 again
-    assert accepted_rows(spark, out_dir).count() == 150
+    # batch 1's rows are written but not committed: no reader shows them, and
+    # a restart runs batch 1 again
+    assert accepted_rows(spark, out_dir).count() == 100
+    assert audit_log(spark, out_dir).count() == 100
+    assert kept_totals(spark, out_dir).agg(F.sum("n_orders")).first()[0] == 100
     InsertTrigger(spark, in_dir, out_dir, ORDER_RULES, reference=customer).run_available()
     acc = accepted_rows(spark, out_dir)
     assert acc.count() == 150
@@ -235,3 +239,62 @@ def test_on_insert_and_order_totals(spark, tables001):
     want = order_totals(orders.filter(k < 25), orders.filter(k.between(25, 49)))
     got = kept_totals(spark, out_dir)
     assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
+
+
+def _order(key, cust, price=1.0):
+    from datetime import datetime
+    return (key, cust, "O", price, datetime(1996, 1, 1), "1-URGENT")
+
+
+@pytest.mark.parametrize("cap", [None, 1, 2])
+def test_verdicts_do_not_depend_on_the_cut(spark, tables001, cap):
+    import time
+    work = scratch_dir(spark, "test-trigger-cut")
+    in_dir, out_dir = f"{work}/in", f"{work}/out"
+    # names against arrival; key 1 is first refused; key 2 comes twice in a file
+    landings = [("c", [_order(1, -5), _order(2, 1, 10.0), _order(2, 1, 11.0)]),
+                ("b", [_order(1, 1, 20.0), _order(2, 1, 12.0), _order(3, 1, 1e11)]),
+                ("a", [_order(1, 1, 30.0), _order(3, 1, 5.0), _order(None, 1)])]
+    for name, rows in landings:
+        spark.createDataFrame(rows, ORDER_RULES.schema).coalesce(1).write.parquet(f"{in_dir}/{name}")
+        time.sleep(0.02)
+    InsertTrigger(spark, in_dir, out_dir, ORDER_RULES, reference=tables001["customer"],
+                  max_files_per_trigger=cap).run_available()
+    got = sorted((r["o_orderkey"], r["o_totalprice"]) for r in accepted_rows(spark, out_dir).collect())
+    assert got == [(1, 20.0), (2, 10.0), (3, 5.0)]
+    verdicts = sorted((r["key"] or 0, r["verdict"]) for r in audit_log(spark, out_dir).collect())
+    assert verdicts == [(0, "null_key"), (1, "accepted"), (1, "already_exists"), (1, "unknown_customer"),
+                        (2, "accepted"), (2, "already_exists"), (2, "duplicate_in_batch"),
+                        (3, "accepted"), (3, "bad_value")]
+    assert kept_totals(spark, out_dir).agg(F.sum("total_price")).first()[0] == 35
+
+
+def test_reference_is_opened_for_each_batch(spark):
+    work = scratch_dir(spark, "test-trigger-ref")
+    in_dir, out_dir, ref = f"{work}/in", f"{work}/out", f"{work}/customer"
+    spark.createDataFrame([(1, "a", 1, 0.0, "S")], CUSTOMER).write.parquet(ref)
+    trig = InsertTrigger(spark, in_dir, out_dir, ORDER_RULES, reference=ref)
+    for i, key in enumerate((10, 11)):
+        spark.createDataFrame([_order(key, 2)], ORDER_RULES.schema).write.parquet(f"{in_dir}/{i}")
+        trig.run_available()
+        spark.createDataFrame([(2, "b", 1, 0.0, "S")], CUSTOMER).write.mode("append").parquet(ref)
+    assert [r["o_orderkey"] for r in accepted_rows(spark, out_dir).collect()] == [11]
+
+
+def test_compaction_runs_by_itself_and_bounds_what_is_listed(spark, tables001):
+    from stockroom.streaming import files
+    from stockroom.streaming.triggers import latest_snapshot
+    work = scratch_dir(spark, "test-trigger-auto")
+    in_dir, out_dir = f"{work}/in", f"{work}/out"
+    k = F.col("o_orderkey")
+    trig = InsertTrigger(spark, in_dir, out_dir, ORDER_RULES, reference=tables001["customer"], compact_every=2)
+    for i in range(7):
+        tables001["orders"].filter(k.between(10 * i, 10 * i + 14)).coalesce(1).write.parquet(f"{in_dir}/{i}")
+        trig.run_available()
+        done = latest_snapshot(spark, out_dir, "keys")
+        assert i - (-1 if done is None else done) <= 2
+        assert len(files.child_names(spark, f"{out_dir}/snapshots/keys")) <= 2
+        inputs = trig.existing_keys(i + 1).inputFiles()
+        assert not [f for f in inputs for b in range(0, (done or -1) + 1) if f"batch_id={b}/" in f]
+    assert accepted_rows(spark, out_dir).count() == 75
+    assert kept_totals(spark, out_dir).agg(F.sum("n_orders")).first()[0] == 75
