@@ -4,8 +4,9 @@ Method.  Examples are a bounded sample of labelled documents: at most
 ``TOXIC_EXAMPLES`` and ``CLEAN_EXAMPLES`` rows, taken in the order of a hash
 of the id.  Terms are lower-case words, their first four to seven letters, and each
 of these with its density in the text (a power of two of words a use); those
-that mark toxic examples (log-likelihood ratio of at least ``MIN_G2``,
-``MIN_LIFT`` times as frequent as in clean ones, at most ``MAX_TERMS``) span a TF-IDF space.  Every document is scored by its
+that tell the classes apart (log-likelihood ratio of at least ``MIN_G2``, at
+most ``MAX_TERMS`` that mark toxic examples and as many that mark clean ones)
+span a TF-IDF space.  Every document is scored by its
 ``NEIGHBOURS`` nearest examples by exact cosine: an inverted index holds the
 postings of a term in blocks of ``BLOCK`` examples with the largest weight of
 each block; the blocks of highest bound are scored first, then all blocks
@@ -37,10 +38,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 TOXIC_EXAMPLES, CLEAN_EXAMPLES = 4000, 8000
-MAX_TERMS = 4096
+MAX_TERMS = 4096       # of each sign
 MIN_G2 = 24.0
-MIN_LIFT = 4           # times as frequent in toxic as in clean examples
-MIN_TOXIC = 3          # toxic examples a term must occur in
+MIN_USES = 3           # examples of its class a term must occur in
 NEIGHBOURS = 15
 BLOCK = 64
 FIRST = 4              # blocks scored first
@@ -246,17 +246,19 @@ def fit(docs: DataFrame, labels: DataFrame) -> Model:
         return Model({}, [], [], [], share, (1.0, 1.0))
     counts = (sample.select("text", "y").mapInArrow(_count_terms, "term string, toxic long, clean long")
               .groupBy("term").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))
-              .filter(F.col("toxic") >= MIN_TOXIC)
-              # more often in toxic than in clean examples; a proxy order that keeps the clearest
-              .filter(F.col("toxic") * n_clean > MIN_LIFT * F.col("clean") * n_tox)
-              .orderBy((F.col("toxic") / n_tox - F.col("clean") / n_clean).desc(), "term").limit(8 * MAX_TERMS))
-    scored = sorted(((log_likelihood(r["toxic"], r["clean"], n_tox, n_clean), r["term"], r["toxic"], r["clean"])
-                     for r in counts.collect()), key=lambda x: (-x[0], x[1]))
+              .withColumn("more", F.col("toxic") / n_tox - F.col("clean") / n_clean)).cache()
+    # a proxy order that keeps the clearest of each sign
+    marks = [counts.filter((F.col("more") > 0) & (F.col("toxic") >= MIN_USES)).orderBy(F.col("more").desc(), "term"),
+             counts.filter((F.col("more") < 0) & (F.col("clean") >= MIN_USES)).orderBy("more", "term")]
     weight = (n.get(0, 0) / n_clean, n.get(1, 0) / n_tox)
     idf = {}
-    for g2, term, a, b in scored[:MAX_TERMS]:
-        if g2 >= MIN_G2:
-            idf[term] = (len(idf), 1 + math.log(total / max(1.0, a * weight[1] + b * weight[0])))
+    for part in marks:
+        scored = sorted(((abs(log_likelihood(r["toxic"], r["clean"], n_tox, n_clean)), r["term"], r["toxic"], r["clean"])
+                         for r in part.limit(8 * MAX_TERMS).collect()), key=lambda x: (-x[0], x[1]))
+        for g2, term, a, b in scored[:MAX_TERMS]:
+            if g2 >= MIN_G2:
+                idf[term] = (len(idf), 1 + math.log(total / max(1.0, a * weight[1] + b * weight[0])))
+    counts.unpersist()
     rows = sample.mapInArrow(_vectors(idf), "doc_id long, y int, idx array<long>, val array<double>").collect()
     rows.sort(key=lambda r: (r["doc_id"], r["y"], r["idx"]))
     sample.unpersist()
