@@ -14,7 +14,9 @@ Kinds: ``email``, ``iban`` (mod 97), ``date`` (ISO, d.m.y, d/m/y), ``ip``
 (IPv4), ``ssn``, ``card`` (13 to 19 digits, Luhn) and ``phone``.  Digits of
 the international prefix, an IBAN's country and a mail's last domain label
 stay.  Of overlapping finds the leftmost, then the first kind of this list,
-counts.
+then the longest that passes its check counts: a match that fails is tried
+again up to each of its spaces and hyphens, so what follows a number does not
+hide it.
 
 Defined cases.  Null and empty texts have no finds and stay as they are;
 every row is handled alone, so nulls, ties and repeats in other columns do
@@ -38,15 +40,17 @@ from pyspark.sql import types as T
 ROUNDS = 8
 KINDS = ["email", "iban", "date", "ip", "ssn", "card", "phone"]
 
-FIND = re.compile(
+PATTERNS = (
     r"(?P<email>(?<![A-Za-z0-9._%+-])[A-Za-z0-9][A-Za-z0-9._%+-]{0,63}@(?:[A-Za-z0-9-]+\.)+[A-Za-z]{2,})"
     r"|(?P<iban>\b[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]{4}){2,7}(?:\x20?[A-Z0-9]{1,3})?\b)"
     r"|(?P<date>(?<![0-9./-])(?:[0-9]{4}-[0-9]{2}-[0-9]{2}|[0-9]{2}\.[0-9]{2}\.[0-9]{4}|[0-9]{2}/[0-9]{2}/[0-9]{4})(?![0-9/-]))"
     r"|(?P<ip>(?<![0-9.])(?:[0-9]{1,3}\.){3}[0-9]{1,3}(?![0-9]|\.[0-9]))"
     r"|(?P<ssn>(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-]))"
     r"|(?P<card>(?<![A-Za-z0-9])[0-9](?:[\x20-]?[0-9]){12,18}(?![A-Za-z0-9]))"
-    r"|(?P<phone>(?<![A-Za-z0-9])(?:\+[0-9]{1,3}[\x20.-]?)?(?:\([0-9]{2,4}\)|[0-9]{2,4})[\x20.-][0-9]{3,4}[\x20.-]?[0-9]{3,4}(?![A-Za-z0-9]))",
-    re.A)
+    r"|(?P<phone>(?<![A-Za-z0-9])(?:\+[0-9]{1,3}[\x20.-]?)?(?:\([0-9]{2,4}\)|[0-9]{2,4})[\x20.-][0-9]{3,4}[\x20.-]?[0-9]{3,4}(?![A-Za-z0-9]))")
+FIND = re.compile(PATTERNS, re.A)
+FIND_KIND = {k: re.compile(p, re.A) for k, p in zip(KINDS, re.split(r"(?<=\))\|(?=\(\?P<)", PATTERNS))}
+BREAK = re.compile(r"[\x20-]")
 DAY0 = dt.date(1900, 1, 1).toordinal()
 DAYS = dt.date(2100, 1, 1).toordinal() - DAY0
 
@@ -182,18 +186,29 @@ class Pseudonyms:
             return None
         return (head[0] if head else "") + relaid(rest, self.permute.digits(flat, "phone"))
 
+    def _other(self, text: str, start: int) -> tuple[str | None, int, str | None]:
+        """(kind, end, pseudonym) of the first kind with a find at ``start``
+        that passes its check, the longest first."""
+        for kind, pattern in FIND_KIND.items():
+            if m := pattern.match(text, start):
+                for end in [m.end(), *sorted((b.start() for b in BREAK.finditer(text, start, m.end())), reverse=True)]:
+                    if pattern.fullmatch(text, start, end) and (new := self.of(kind, text[start:end])) is not None:
+                        return kind, end, new
+        return None, start, None
+
     def replace(self, text: str) -> tuple[str, list[tuple[str, int, int]]]:
         """(new text, [(kind, start, end) in the old text])."""
         out, at, found, pos = [], 0, [], 0
         while m := FIND.search(text, pos):
-            new = self.of(m.lastgroup, m[0])
+            kind, end, new = m.lastgroup, m.end(), self.of(m.lastgroup, m[0])
+            if new is None:
+                kind, end, new = self._other(text, m.start())
             if new is None:
-                # the check failed: another kind may start later in the same run
-                pos = m.start() + max(1, len(re.match(r"\+?[0-9A-Za-z]*", m[0])[0]))
+                pos = m.start() + 1
                 continue
             out += [text[at:m.start()], new]
-            found.append((m.lastgroup, m.start(), m.end()))
-            at = pos = m.end()
+            found.append((kind, m.start(), end))
+            at = pos = end
         return ("".join(out) + text[at:], found) if found else (text, found)
 
 
