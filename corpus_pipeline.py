@@ -16,6 +16,10 @@ from stockroom.llm import minhash_dedup, packing, secret_scan, substring_dedup,
 from stockroom.llm.kernels import stash
 
 
+#: Similarity of near duplicates in the stage; op3 takes 85.
+NEAR_PERCENT = 80
+
+
 def toxicity_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops the documents that are scored toxic."""
     labels = spark.read.parquet(f"{sf_dir.rstrip('/')}/labels.parquet").select("doc_id", "toxic")
@@ -23,8 +27,9 @@ def toxicity_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps the document with the smallest id of each near-duplicate group."""
-    return minhash_dedup.drop_near_duplicates(docs)
+    """Keeps the document with the smallest id of each near-duplicate group
+    (similarity of at least 0.8)."""
+    return minhash_dedup.drop_near_duplicates(docs, NEAR_PERCENT)
 
 
 def _with_text(docs: DataFrame, text) -> DataFrame:

@@ -4,22 +4,24 @@ Method.  A document is the set of its distinct 5-word shingles.  Documents
 with equal sets form a class; only classes are compared.  A class has a
 signature of ``M`` minimum hashes, posted under (coordinate, value) pairs.
 Two sets of similarity J agree in each coordinate with probability J, so a
-pair is a candidate when at least ``T`` coordinates agree (at J = 0.85, M =
-256, T = 192 the expected count is 217.6 with deviation 5.7; fewer than T has
-odds of about 1e-5, at J = 0.7 the odds of T or more are about 5 %).
+pair is a candidate when at least ``t`` coordinates agree (at J = 0.85, M =
+256, t = 192 the expected count is 217.6 with deviation 5.7; fewer than t has
+odds of about 1e-5, at J = 0.7 the odds of t or more are about 5 %).  The
+similarity is a parameter; ``limits`` derives t and the other bounds from it
+so that the odds of missing a link stay the same.
 
 *Skip*: values that only one class holds can't collide and are not posted,
 and a class that shares too few of its first coordinates with any other
-(``FUNNEL``) is left out before its other coordinates are made.  *Prefix*: in
-the common order (rarest pair first), two classes that share at least T of M
-pairs share one of the first M - T + 1 pairs of each, so the most frequent
+(``Limits.funnel``) is left out before its other coordinates are made.  *Prefix*: in
+the common order (rarest pair first), two classes that share at least t of M
+pairs share one of the first M - t + 1 pairs of each, so the most frequent
 pairs of a class - those of boilerplate lines - are never merged.  Within a
 posting list no all-pairs are made.  Members are joined with the hub of the
 list (first the member whose lists are longest in total, later rounds take
 others); confirmed links are closed into components, and rounds go on while
 the pairs of *different* components that meet in a list outnumber the
 postings and still shrink.  Then just those remaining pairs are compared,
-each at its first common list.  Sizes must allow J (100 * smaller >= 85 *
+each at its first common list.  Sizes must allow J (100 * smaller >= percent *
 larger), and every candidate is confirmed on full shingle sets.
 
 The joins that move sets and texts are always sort-merge joins, so the plan
@@ -34,7 +36,10 @@ through ``near_duplicates`` untouched (names of its own outputs excepted).
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
+from dataclasses import dataclass
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -48,12 +53,11 @@ from stockroom.llm.kernels import U, mix64, seeds, shingle_sets, signed, stash,
 
 SHINGLE = 5
 M = 256                # signature coordinates
-T = 192                # agreeing coordinates of a candidate pair
-LOW, APART = 1536, 164  # low bits compared, and how many may differ (at J = 0.85: 115.2, deviation 10.3)
-# (n, t): a class goes on if t of its first n coordinates are shared with others;
-# a class with a link of J = 0.85 fails with odds of about 1e-7 and 1e-6
-FUNNEL = ((16, 5), (64, 38))
-PERCENT = 85           # 100 * intersection >= PERCENT * union
+LOW = 1536             # low bits compared
+FUNNEL = (16, 64)      # first coordinates looked at before the others are made
+PERCENT = 85           # 100 * intersection >= percent * union
+# odds of missing a link of just this similarity: by coordinates, by low bits, by the steps of the funnel
+MISS, MISS_LOW, MISS_FUNNEL = 1.1e-5, 3.5e-6, 2e-7
 
 SIGNED = T_.StructType([
     T_.StructField("doc_id", T_.LongType()),
@@ -74,6 +78,37 @@ SKETCHED = T_.StructType([
 ])
 
 
+@dataclass(frozen=True)
+class Limits:
+    """Bounds for links of at least ``percent``.  ``t``: agreeing coordinates
+    of a candidate pair; ``apart``: low bits that may differ; ``funnel``:
+    (n, t), a class goes on if t of its first n coordinates are shared."""
+    percent: int
+    t: int
+    apart: int
+    funnel: tuple[tuple[int, int], ...]
+
+
+def _at_least(n: int, p: float, odds: float) -> int:
+    """The largest k that n trials of chance p fall short of with at most these odds."""
+    def exactly(k: int) -> float:
+        ways = math.lgamma(n + 1) - math.lgamma(k + 1) - math.lgamma(n - k + 1)
+        return math.exp(ways + k * math.log(p) + (n - k) * math.log(1 - p))
+    k, short = 0, exactly(0)
+    while short <= odds and k < n:
+        k += 1
+        short += exactly(k)
+    return k
+
+
+@lru_cache
+def limits(percent: int = PERCENT) -> Limits:
+    j = percent / 100
+    # an unequal coordinate has an unequal low bit half of the time
+    return Limits(percent, _at_least(M, j, MISS), LOW - _at_least(LOW, (1 + j) / 2, MISS_LOW),
+                  tuple((n, max(1, _at_least(n, j, MISS_FUNNEL))) for n in FUNNEL))
+
+
 def signature(s: np.ndarray, n: int) -> np.ndarray:
     """The first n coordinates of a non-empty set, as 32-bit values."""
     mul, add = (seeds(LOW, 11) | U(1))[:n, None], seeds(LOW, 12)[:n, None]
@@ -84,7 +119,7 @@ def signature(s: np.ndarray, n: int) -> np.ndarray:
 
 
 def _signatures(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    head = FUNNEL[-1][0]
+    head = FUNNEL[-1]
     for batch in batches:
         ids = batch.column(0)
         for d, e, w in word_groups(batch, "text", lower=True):
@@ -140,20 +175,20 @@ def _side(reps: DataFrame, name: str) -> DataFrame:
                        F.col("bits").alias("l" + name))
 
 
-def _may_link():
+def _may_link(lim: Limits):
     """Size, then packed low bits, then all coordinates."""
     apart = sum((F.bit_count(F.element_at("la", i).bitwiseXOR(F.element_at("lb", i))) for i in range(2, LOW // 64 + 1)),
                 F.bit_count(F.element_at("la", 1).bitwiseXOR(F.element_at("lb", 1))))
-    return ((100 * F.least("na", "nb") >= PERCENT * F.greatest("na", "nb")) & (apart <= APART)
-            & (_matches("sa", "sb") >= T))
+    return ((100 * F.least("na", "nb") >= lim.percent * F.greatest("na", "nb")) & (apart <= lim.apart)
+            & (_matches("sa", "sb") >= lim.t))
 
 
-def _candidates(pairs: DataFrame, reps: DataFrame) -> DataFrame:
+def _candidates(pairs: DataFrame, reps: DataFrame, lim: Limits) -> DataFrame:
     """Pairs (a, b) whose signatures and set sizes agree enough."""
-    return pairs.join(_side(reps, "a"), "a").join(_side(reps, "b"), "b").filter(_may_link()).select("a", "b")
+    return pairs.join(_side(reps, "a"), "a").join(_side(reps, "b"), "b").filter(_may_link(lim)).select("a", "b")
 
 
-def _confirm(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+def _confirm(pairs: DataFrame, sets: DataFrame, lim: Limits) -> DataFrame:
     """Pairs (a, b) of class ids whose full sets are similar enough."""
     pairs = stash(pairs, "pairs")
     sa = sets.select(F.col("doc_id").alias("a"), F.col("hashes").alias("ha"))
@@ -161,7 +196,7 @@ def _confirm(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     inter = F.size(F.array_intersect("ha", "hb"))
     return stash(pairs.join(sa.hint("merge"), "a").join(sb.hint("merge"), "b")
                  .withColumn("i", inter)
-                 .filter(100 * F.col("i") >= PERCENT * (F.size("ha") + F.size("hb") - F.col("i")))
+                 .filter(100 * F.col("i") >= lim.percent * (F.size("ha") + F.size("hb") - F.col("i")))
                  .select("a", "b"), "confirmed")
 
 
@@ -174,14 +209,14 @@ def _shared(posts: DataFrame) -> DataFrame:
     return posts.groupBy("key").agg(F.count("*").alias("n")).filter("n > 1")
 
 
-def postings(reps: DataFrame) -> DataFrame:
+def postings(reps: DataFrame, lim: Limits) -> DataFrame:
     """(cls, key, n): the prefix postings; n is the length of the whole list."""
     mine = Window.partitionBy("cls")
     posts = _post(reps, M)
     return (posts.join(_shared(posts).hint("merge"), "key")
             .select("cls", "key", "n", F.count("*").over(mine).alias("k"),
                     F.row_number().over(mine.orderBy("n", "key")).alias("r"))
-            .filter(F.col("r") <= F.col("k") - (T - 1))
+            .filter(F.col("r") <= F.col("k") - (lim.t - 1))
             .select("cls", "key", "n"))
 
 
@@ -192,8 +227,8 @@ def _open_pairs(lab: DataFrame) -> int:
     return int((per.agg(F.sum("p")).first()[0] or 0) / 2)
 
 
-def _through_funnel(reps: DataFrame) -> DataFrame:
-    for n, t in FUNNEL:
+def _through_funnel(reps: DataFrame, lim: Limits) -> DataFrame:
+    for n, t in lim.funnel:
         posts = _post(reps, n)
         some = (posts.join(_shared(posts).hint("merge"), "key").groupBy("cls").agg(F.count("*").alias("c"))
                 .filter(F.col("c") >= t).select("cls"))
@@ -201,13 +236,13 @@ def _through_funnel(reps: DataFrame) -> DataFrame:
     return reps
 
 
-def class_components(reps: DataFrame, texts: DataFrame) -> DataFrame:
+def class_components(reps: DataFrame, texts: DataFrame, lim: Limits) -> DataFrame:
     """(node, component) of the linked class representatives.  ``reps``:
-    (cls, sig), one row per class, with the coordinates that FUNNEL needs;
+    (cls, sig), one row per class, with the coordinates that the funnel needs;
     ``texts``: (doc_id, text)."""
-    sets = _sets_of(_through_funnel(reps).select(F.col("cls").alias("doc_id")), texts)
+    sets = _sets_of(_through_funnel(reps, lim).select(F.col("cls").alias("doc_id")), texts)
     reps = stash(sets.mapInArrow(_sketches, SKETCHED), "sketches")
-    lists = stash(postings(reps), "postings")
+    lists = stash(postings(reps, lim), "postings")
     n_posts = lists.count()
     sets = _sets_of(lists.select(F.col("cls").alias("doc_id")).distinct(), texts)
     weight = lists.groupBy("cls").agg(F.sum("n").alias("w"))
@@ -223,7 +258,7 @@ def class_components(reps: DataFrame, texts: DataFrame) -> DataFrame:
         hub = stash(members.groupBy("key").agg(F.max_by(F.struct("cls", "comp"), first).alias("hub")), "hubs")
         star = (lab.join(hub, "key").filter("comp <> hub.comp")
                 .select(F.least("cls", "hub.cls").alias("a"), F.greatest("cls", "hub.cls").alias("b")).distinct())
-        links = _confirm(_candidates(star, reps), sets)
+        links = _confirm(_candidates(star, reps, lim), sets, lim)
         if comp is not None:
             links = links.unionByName(comp.select(F.col("node").alias("a"), F.col("component").alias("b")))
         comp = connected_components(links)
@@ -244,9 +279,9 @@ def class_components(reps: DataFrame, texts: DataFrame) -> DataFrame:
                      F.col("sig").alias("sa"), F.col("size").alias("na"), F.col("bits").alias("la"))
     y = open_.select("key", F.col("comp").alias("cb"), F.col("keys").alias("kb"), F.col("cls").alias("b"),
                      F.col("sig").alias("sb"), F.col("size").alias("nb"), F.col("bits").alias("lb"))
-    cond = ((x.key == y.key) & (x.a < y.b) & (x.ca != y.cb) & _may_link()
+    cond = ((x.key == y.key) & (x.a < y.b) & (x.ca != y.cb) & _may_link(lim)
             & (F.element_at(F.array_intersect("ka", "kb"), 1) == x.key))
-    rest = _confirm(x.join(y, cond).select("a", "b"), sets)
+    rest = _confirm(x.join(y, cond).select("a", "b"), sets, lim)
     return connected_components(rest.unionByName(
         comp.select(F.col("node").alias("a"), F.col("component").alias("b"))))
 
@@ -257,8 +292,9 @@ def signatures(docs: DataFrame) -> DataFrame:
                        F.col("text").cast("string").alias("text")).mapInArrow(_signatures, SIGNED)
 
 
-def near_duplicate_groups(docs: DataFrame) -> DataFrame:
-    """Per row of ``docs``: doc_id, n_shingles, component_id, kept."""
+def near_duplicate_groups(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
+    """Per row of ``docs``: doc_id, n_shingles, component_id, kept.  Links
+    have a similarity of at least ``percent`` / 100."""
     signed_docs = stash(signatures(docs), "signatures")
     classes = stash(signed_docs.filter("n_shingles > 0 and doc_id is not null")
                     .groupBy("c1", "c2", "n_shingles")
@@ -266,7 +302,7 @@ def near_duplicate_groups(docs: DataFrame) -> DataFrame:
     # a doc_id that repeats with other texts stands once
     reps = classes.select("cls", "sig").dropDuplicates(["cls"])
     comp = class_components(reps, docs.select(F.col("doc_id").cast("long").alias("doc_id"),
-                                              F.col("text").cast("string").alias("text")))
+                                              F.col("text").cast("string").alias("text")), limits(percent))
     named = stash(classes.join(comp, F.col("cls") == F.col("node"), "left")
                   .select("c1", "c2", "n_shingles", F.coalesce("component", "cls").alias("component")),
                   "components")
@@ -277,7 +313,7 @@ def near_duplicate_groups(docs: DataFrame) -> DataFrame:
         F.coalesce(F.coalesce("component", "doc_id") == F.col("doc_id"), F.lit(True)).alias("kept"))
 
 
-def drop_near_duplicates(docs: DataFrame) -> DataFrame:
+def drop_near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     """``docs`` without the documents that are near copies of a smaller id."""
-    gone = near_duplicate_groups(docs).filter("not kept").select(F.col("doc_id").alias("_gone"))
+    gone = near_duplicate_groups(docs, percent).filter("not kept").select(F.col("doc_id").alias("_gone"))
     return docs.join(gone.distinct(), F.col("doc_id") == F.col("_gone"), "left_anti")
