@@ -6,8 +6,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stockroom.llm import (byte_bpe, fingerprints, forest_search, infill, minhash_dedup, mixing_lm, packing, pii,
-                           secret_scan, substring_dedup, toxicity)
+from stockroom.llm import (alignment, byte_bpe, fingerprints, forest_search, infill, minhash_dedup, mixing_lm,
+                           packing, pii, secret_scan, substring_dedup, toxicity)
+from stockroom.llm.kernels import stash
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -92,6 +93,15 @@ def op11_infill(spark: SparkSession, sf_dir: str) -> DataFrame:
                       F.sha2(infill.restore("output", "form"), 256).alias("restored_sha256"))
 
 
+def op13_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    aligned = alignment.align(table(spark, sf_dir, "documents").select("doc_id", "text"),
+                              public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model"))
+    digest = F.when(F.col("n_a") > 0, F.sha2("groups", 256)).otherwise(F.lit(""))
+    kept = stash(aligned.withColumn("groups_sha256", digest).drop("groups"), "aligned")
+    return kept.join(alignment.score_links(kept), "rid").select(
+        "doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256")
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     from corpus_pipeline import run
     return run(spark, sf_dir)
@@ -109,6 +119,7 @@ QUERIES = {
     "op9_fingerprints": op9_fingerprints,
     "op10_mixing_lm": op10_mixing_lm,
     "op11_infill": op11_infill,
+    "op13_alignment": op13_alignment,
     "pipeline": pipeline,
 }
 
