@@ -6,8 +6,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stockroom.llm import (alignment, byte_bpe, fingerprints, forest_search, infill, minhash_dedup, mixing_lm,
-                           packing, pii, secret_scan, substring_dedup, toxicity)
+from stockroom.llm import (alignment, byte_bpe, fingerprints, forest_search, infill, language_crf,
+                           minhash_dedup, mixing_lm, packing, pii, secret_scan, substring_dedup, toxicity)
 from stockroom.llm.kernels import stash
 
 
@@ -93,6 +93,15 @@ def op11_infill(spark: SparkSession, sf_dir: str) -> DataFrame:
                       F.sha2(infill.restore("output", "form"), 256).alias("restored_sha256"))
 
 
+def op12_language_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    model = language_crf.fit(docs.filter(F.coalesce(id_crc(4) != 2, F.lit(True))))
+    spans = F.array_join(F.transform("spans", lambda p: F.concat_ws(
+        ":", p["lang"], p["start"].cast("string"), p["end"].cast("string"))), ",")
+    return language_crf.label(docs.select("doc_id", "text"), model).select(
+        "doc_id", F.coalesce(id_crc(4) == 2, F.lit(False)).alias("held_out"), "lang_pred", "score", spans.alias("spans"))
+
+
 def op13_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     aligned = alignment.align(table(spark, sf_dir, "documents").select("doc_id", "text"),
                               public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model"))
@@ -119,6 +128,7 @@ QUERIES = {
     "op9_fingerprints": op9_fingerprints,
     "op10_mixing_lm": op10_mixing_lm,
     "op11_infill": op11_infill,
+    "op12_language_crf": op12_language_crf,
     "op13_alignment": op13_alignment,
     "pipeline": pipeline,
 }
