@@ -14,7 +14,8 @@ often it holds each.  Products of large groups are made in slices of
 
 Encoding.  Neither tokenizer joins anything across a change from other
 characters to ASCII white space (checked for B's pieces when it is opened;
-texts with white space beyond ASCII are encoded whole), so each distinct
+texts with white space that one of its pieces joins, or with white space
+beyond ASCII, are encoded whole), so each distinct
 chunk is encoded once per worker (at most ``CACHE`` are kept) and a
 document's ids are taken from the chunks' lists.
 
@@ -32,10 +33,13 @@ the longest text and the distinct pairs of one document.
 
 from __future__ import annotations
 
+import json
 import os
 import re
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import chain
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -46,13 +50,17 @@ from pyspark.sql import types as T
 
 from stockroom.llm.kernels import groups, stash, text_column
 
-CACHE = 500_000            # chunks kept by a worker
-CACHE_BYTES = 48 << 20     # and their bytes
+CACHE = 150_000            # chunks kept by a worker
+CACHE_BYTES = 12 << 20     # and their bytes
+GROUP_BYTES = 1 << 19      # texts that go through the pipeline at once
 COMMON = 1 << 18           # pairs sent to all tasks
 SLICE = 1 << 21            # rows of a product made at once
 FLUSH = 1 << 20            # partial counts a task holds
 SHIFT = 20                 # a pair is (A id << SHIFT) + B id
 
+# The fixed word pattern of byte-level pre-tokenization.
+WORDS = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+
 CHUNK = re.compile(rb"[ \t-\r]*[^ \t-\r]+|[ \t-\r]+")
 # White space beyond ASCII, in UTF-8, and characters that some tables count as white space.
 WIDE_SPACE = re.compile(rb"[\x1c-\x1f]|\xc2[\x85\xa0]|\xe1(?:\x9a\x80|\xa0\x8e)|\xe2(?:\x80[\x80-\x8b\xa8\xa9\xaf]|\x81\x9f)"
@@ -76,7 +84,13 @@ def byte_level_bytes() -> dict[str, int]:
 
 
 class ByteBpe:
-    """Tokenizer A and the bytes of its entries."""
+    """Tokenizer A and the bytes of its entries.
+
+    If the file's merges make its entries in the order of their ids, as they
+    do in a byte-level BPE trained from 256 bytes, the ids are ranks, and the
+    faster library for ranks gives the same ids; else the file's own library
+    encodes.
+    """
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
@@ -89,8 +103,31 @@ class ByteBpe:
         for token, i in vocab.items():
             if all(c in to_byte for c in token):
                 self.piece[i] = bytes(to_byte[c] for c in token)
+        self.ranks = self._by_rank(json.loads(Path(path).read_text()), to_byte)
+        if self.ranks is not None:
+            self.tokenizer = None
+
+    @staticmethod
+    def _by_rank(spec: dict, to_byte: dict[str, int]):
+        model, before = spec["model"], spec["pre_tokenizer"] or {}
+        plain = (spec["normalizer"] is None and before.get("type") == "ByteLevel" and before.get("use_regex")
+                 and not before.get("add_prefix_space") and model["type"] == "BPE" and not model.get("ignore_merges")
+                 and not model.get("unk_token") and not model.get("dropout")
+                 and not model.get("continuing_subword_prefix") and not model.get("end_of_word_suffix"))
+        if not plain:
+            return None
+        vocab = model["vocab"]
+        made = [vocab.get("".join(m if isinstance(m, list) else m.split(" "))) for m in model["merges"]]
+        if made != list(range(256, 256 + len(made))) or not {vocab.get(c) for c in to_byte} == set(range(256)):
+            return None
+        import tiktoken
+        added = {t["content"] for t in spec["added_tokens"]}
+        ranks = {bytes(to_byte[c] for c in t): i for t, i in vocab.items() if t not in added}
+        return tiktoken.Encoding("ranks", pat_str=WORDS, mergeable_ranks=ranks, special_tokens={})
 
     def encode(self, chunks: list[str]) -> list[list[int]]:
+        if self.ranks is not None:
+            return [*map(self.ranks.encode_ordinary, chunks)]
         return [e.ids for e in self.tokenizer.encode_batch(chunks, add_special_tokens=False)]
 
 
@@ -104,13 +141,16 @@ class PieceBpe:
         self.space = self.model.piece_to_id("▁")
         self.piece = [bytes([int(n[3:5], 16)]) if self.model.is_byte(i) else n.replace("▁", " ").encode()
                       for i, n in enumerate(names)]
-        # pieces that join other characters with white space behind them would forbid chunks
-        self.cuts = not any("▁" in n.lstrip("▁") or re.search("[\t-\r]", n)
-                            for i, n in enumerate(names) if not self.model.is_byte(i))
+        # white space that no piece has behind another character can begin a chunk
+        joined = {c for i, n in enumerate(names) if not self.model.is_byte(i) for c in n.lstrip("▁")[1:] + n[n.startswith("▁"):]}
+        self.tied = "".join(c for c in "\t\n\x0b\x0c\r" if c in joined)
+        self.cuts = not any("▁" in n.lstrip("▁") for i, n in enumerate(names) if not self.model.is_byte(i))
 
     def encode(self, chunks: list[str]) -> list[list[int]]:
+        # the model puts no space in front of nothing
         got = self.model.encode([c[1:] if c[:1] == " " else c for c in chunks], num_threads=1)
-        return [ids if c[:1] == " " else ids[1:] if ids[:1] == [self.space] else [] for c, ids in zip(chunks, got)]
+        return [[self.space] if c == " " else ids if c[:1] == " " else ids[1:] if ids[:1] == [self.space] else []
+                for c, ids in zip(chunks, got)]
 
 
 class Lists:
@@ -128,7 +168,7 @@ class Lists:
             self.values = np.concatenate([self.values, np.zeros_like(self.values)])
         while self.n + len(lists) + 1 > len(self.ends):
             self.ends = np.concatenate([self.ends, np.zeros_like(self.ends)])
-        self.values[used:used + more] = np.fromiter((i for x in lists for i in x), np.int32, more)
+        self.values[used:used + more] = np.fromiter(chain.from_iterable(lists), np.int32, more)
         self.ends[self.n + 1:self.n + 1 + len(lists)] = used + np.cumsum(size)
         self.n += len(lists)
 
@@ -143,6 +183,8 @@ class Encoders:
     def __init__(self, path_a: str, path_b: str):
         self.a, self.b = ByteBpe(path_a), PieceBpe(path_b)
         self.length_a, self.length_b = (pa.array([len(p) for p in x.piece], pa.int64()) for x in (self.a, self.b))
+        tied = b"[" + re.escape(self.b.tied).encode() + b"]|" if self.b.tied else b""
+        self.odd = re.compile(tied + WIDE_SPACE.pattern)
         self.name_a, self.name_b = (pa.array([str(i) for i in range(len(x.piece))]) for x in (self.a, self.b))
         self.clear()
 
@@ -152,7 +194,7 @@ class Encoders:
         self.lists_a, self.lists_b, self.fits = Lists(), Lists(), np.zeros(0, bool)
 
     def chunks(self, text: bytes) -> list[bytes]:
-        whole = not self.b.cuts or WIDE_SPACE.search(text)
+        whole = not self.b.cuts or self.odd.search(text)
         return [b" " + text] if whole else CHUNK.findall(b" " + text)
 
     def learn(self, chunks: list[bytes]) -> np.ndarray:
@@ -162,10 +204,8 @@ class Encoders:
         if new := list(dict.fromkeys(c for c in chunks if c not in self.place)):
             texts = [c.decode("utf-8", "replace") for c in new]
             got_a, got_b = self.a.encode(texts), self.b.encode(texts)
-            fits = np.zeros(len(new), bool)
-            of_a, of_b = self.a.piece.__getitem__, self.b.piece.__getitem__
-            for k, (c, a, b) in enumerate(zip(new, got_a, got_b)):
-                fits[k] = b"".join(map(of_a, a)) == c and b"".join(map(of_b, b)) == c
+            join, of_a, of_b = b"".join, self.a.piece.__getitem__, self.b.piece.__getitem__
+            fits = [join(map(of_a, a)) == c == join(map(of_b, b)) for c, a, b in zip(new, got_a, got_b)]
             self.lists_a.extend(got_a)
             self.lists_b.extend(got_b)
             self.fits = np.concatenate([self.fits, fits])
@@ -278,7 +318,7 @@ def _align(path_a: str, path_b: str):
         enc = _encoders(path_a, path_b)
         for batch in batches:
             off, data = text_column(batch, "text")
-            for d, e in groups(off):
+            for d, e in groups(off, GROUP_BYTES):
                 raw = data[off[d]:off[e]].tobytes()
                 at = (off[d:e + 1] - off[d]).tolist()
                 cols = group(enc, [raw[x:y] for x, y in zip(at, at[1:])])

@@ -20,7 +20,7 @@ CHARS = ["a", "the", " ", "  ", "\n", "\t", "\r\n", "é", "日本", "😀", "\0"
 
 def corpus():
     r = random.Random(11)
-    texts = [None, "", " ", "\n", "plain words here", "plain words here", "a literal ▁ mark", "  leading", "trailing  \n ",
+    texts = [None, "", " ", "\n", "plain words here", "plain words here", "a literal ▁ mark", "  leading", "trailing  \n ", "ends in a space ",
              "x" * 5000, "日本" * 900, "word " * 4000, "<|endoftext|> and </s>", "tab\tand\n\n \nlines", "　 \nwide"]
     texts += ["".join(r.choice(CHARS) for _ in range(r.randrange(1, 40))) for _ in range(400)]
     return [(i, t) for i, t in enumerate(texts)] + [(None, "null id here"), (4, "plain words here")]
