@@ -1,3 +1,3 @@
-from stockroom.functions.money import AMOUNT, MONEY, TOTAL, as_double, line_amount, money, total
+from stockroom.functions.money import AMOUNT, MONEY, TOTAL, WIDE, as_double, is_price, line_amount, total, unfit, wide
 
-__all__ = ["AMOUNT", "MONEY", "TOTAL", "as_double", "line_amount", "money", "total"]
+__all__ = ["AMOUNT", "MONEY", "TOTAL", "WIDE", "as_double", "is_price", "line_amount", "total", "unfit", "wide"]

@@ -8,7 +8,8 @@ verdict, the first that applies in this fixed order:
                            lower ``seq`` (even if that row is itself rejected)
 3. ``already_exists``      the key is in the existing table
 4. ``unknown_<ref>``       the reference value is not in the reference table
-5. ``accepted``
+5. ``bad_value``           (orders) a price that is no price (functions.money)
+6. ``accepted``
 
 Every input row appears exactly once in the output.
 
@@ -16,14 +17,18 @@ Plan shape, chosen so that one key holding a third of the batch never
 lands on one task, and so that the existing and reference tables (which
 grow with the warehouse) are scanned but not shuffled for a bounded batch:
 
+* the batch is read once and written to scratch; whatever follows reads that,
+  so size checks, key ranges and verdicts speak of the same rows even if the
+  batch would not come out the same twice;
 * null keys are split off first (a shuffle sends all nulls to one task);
 * the first row of each key is found by ``min(seq)`` / ``min_by(ref, seq)``
   grouped by key: a hash aggregate with map-side partial combine, so a hot
-  key collapses before the shuffle;
-* if the number of keyed rows passes a size check, the first rows' keys and
-  reference values are broadcast and probed against the existing and
+  key collapses before the shuffle.  The first rows (key, seq, reference) are
+  written once as well and read by the size check and by all probes;
+* if their number passes the size check, their keys and reference values are
+  broadcast and probed against the existing and
   reference tables (semi joins over a scan, no shuffle of the big side),
-  and the scans carry the batch's key range as a pushed filter so parquet
+  and the scans carry the first rows' key range as a pushed filter so parquet
   skips row groups that cannot match.  The hits are at most as many as the
   probe, so joining them back is a broadcast too;
 * above the bound the first rows go through shuffled semi / anti joins
@@ -33,9 +38,10 @@ grow with the warehouse) are scanned but not shuffled for a bounded batch:
   row, so the rows of a hot key spread over all partitions.
 
 ``seq`` must be non-null and unique among the rows of a key (an insertion
-number).  This is checked first, by an aggregate on ``(key, seq)``, and a
-batch that breaks it is refused: no verdict would be right for it.  It may be any orderable column, a struct included (then the aggregate
-sorts instead of hashing).
+number).  The aggregate that finds the first rows goes by ``(key, seq)``
+first and counts on the way; a batch that breaks the rule is refused: no
+verdict would be right for it.  It may be any orderable column, a struct
+included (then the aggregate sorts instead of hashing).
 """
 
 from __future__ import annotations
@@ -43,8 +49,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from stockroom.functions.money import MONEY
+from stockroom.functions.money import is_price
 from stockroom.plans.joins import LOOKUP_MAX_ROWS, keys_present, probe_limit, row_count_at_most
+from stockroom.session import materialise
 
 VERDICT = "verdict"
 NULL_KEY = "null_key"
@@ -56,29 +63,35 @@ ACCEPTED = "accepted"
 
 def admit(batch: DataFrame, *, key: str, seq: str, existing: DataFrame, existing_key: str,
           ref_col: str, reference: DataFrame, reference_key: str, unknown: str,
-          small_reference: bool = False, probe_max_rows: int | None = None,
+          small_reference: bool = False, money_col: str | None = None, probe_max_rows: int | None = None,
           check_seq: bool = True) -> DataFrame:
     """Batch rows with a ``verdict`` column (see module doc).
 
     ``existing`` may be any frame holding the keys already present.
     ``small_reference`` marks a lookup table (such as nations) that is
-    broadcast when its own size check allows.  ``check_seq`` first verifies
-    that ``seq`` is never null and ``(key, seq)`` unique and raises
-    ``ValueError`` otherwise (one extra aggregate, grouped by both columns, so
-    a hot key still spreads).  Pass False only for a ``seq`` that is unique by
-    how it is made, such as a file and row number.
+    broadcast when its own size check allows.  ``money_col`` must hold a
+    price or null.  ``check_seq`` verifies that ``seq`` is never null and
+    ``(key, seq)`` unique and raises ``ValueError`` otherwise.  Pass False
+    only for a ``seq`` that is unique by how it is made, such as a file and
+    row number.
     """
-    if check_seq:
-        bad = (batch.filter(F.col(key).isNotNull()).groupBy(key, seq).count()
-                    .filter((F.col("count") > 1) | F.col(seq).isNull()).count())
-        if bad:
-            raise ValueError(f"{bad} (key, seq) pair(s) repeat or have a null seq; seq must be unique and not null")
+    batch = materialise(batch, "batch")
     nulls = batch.filter(F.col(key).isNull()).withColumn(VERDICT, F.lit(NULL_KEY))
     keyed = batch.filter(F.col(key).isNotNull())
 
-    first = (keyed.groupBy(key)
-             .agg(F.min(seq).alias(seq), F.min_by(ref_col, seq).alias("_ref")))
-    decided = judge(first, keyed, key=key, existing=existing, existing_key=existing_key, ref_col=ref_col,
+    fits = is_price(money_col) if money_col else F.lit(True)
+    rows = keyed.select(key, seq, F.col(ref_col).alias("_ref"), fits.alias("_fits"), F.lit(0).alias("_bad"))
+    if check_seq:
+        # by (key, seq): a hot key still spreads, and repeats show
+        rows = (rows.groupBy(key, seq)
+                .agg(F.max("_ref").alias("_ref"), F.min("_fits").alias("_fits"), F.count(F.lit(1)).alias("_n"))
+                .withColumn("_bad", F.when((F.col("_n") > 1) | F.col(seq).isNull(), 1).otherwise(0)))
+    first = materialise(rows.groupBy(key).agg(F.min(seq).alias(seq), F.min_by("_ref", seq).alias("_ref"),
+                                              F.min_by("_fits", seq).alias("_fits"), F.sum("_bad").alias("_bad")),
+                        "first-rows")
+    if check_seq and (bad := first.agg(F.sum("_bad")).first()[0]):
+        raise ValueError(f"{bad} (key, seq) pair(s) repeat or have a null seq; seq must be unique and not null")
+    decided = judge(first, key=key, existing=existing, existing_key=existing_key, ref_col=ref_col,
                     reference=reference, reference_key=reference_key, unknown=unknown,
                     small_reference=small_reference, probe_max_rows=probe_max_rows).select(key, seq, VERDICT)
     # ``decided`` holds seq (for streams: file names), so its broadcast is
@@ -89,21 +102,19 @@ def admit(batch: DataFrame, *, key: str, seq: str, existing: DataFrame, existing
     return judged.select(*cols).unionByName(nulls.select(*cols))
 
 
-def judge(first: DataFrame, keyed: DataFrame, *, key: str, existing: DataFrame, existing_key: str,
+def judge(first: DataFrame, *, key: str, existing: DataFrame, existing_key: str,
           ref_col: str, reference: DataFrame, reference_key: str, unknown: str,
           small_reference: bool = False, probe_max_rows: int | None = None) -> DataFrame:
-    """``first`` (``key``, ``_ref`` and other columns; rows taken from
-    ``keyed``) with the verdict each row has on its own: already there,
-    unknown reference, or accepted."""
-    # One scan with a global partial aggregate, no shuffle: the number of
-    # keyed rows bounds the number of first rows, and the ranges over all
-    # keyed rows contain those of the first rows.  Five numbers reach the
-    # driver.
-    st = keyed.agg(F.count(F.lit(1)).alias("n"), F.min(key).alias("k0"), F.max(key).alias("k1"),
-                   F.min(ref_col).alias("r0"), F.max(ref_col).alias("r1")).first()
+    """``first`` (``key``, ``_ref``, ``_fits`` and other columns; written to
+    scratch, as it is read several times) with the verdict each row has on
+    its own: already there, unknown reference, bad value, or accepted."""
+    # One scan of the first rows; five numbers reach the driver.
+    st = first.agg(F.count(F.lit(1)).alias("n"), F.min(key).alias("k0"), F.max(key).alias("k1"),
+                   F.min("_ref").alias("r0"), F.max("_ref").alias("r1")).first()
     known = existing.select(F.col(existing_key).alias(key))
     ref_all = reference.select(F.col(reference_key).alias("_ref"))
-    if st["n"] <= probe_limit(keyed.sparkSession, probe_max_rows):
+    good = F.when(F.col("_fits"), F.lit(ACCEPTED)).otherwise(F.lit(BAD_VALUE))
+    if st["n"] <= probe_limit(first.sparkSession, probe_max_rows):
         # Probe hits are at most as many as the first rows: broadcast them
         # back and label the first rows with two broadcast joins.
         seen = keys_present(known, first, key, True, key_range=(st["k0"], st["k1"]))
@@ -111,8 +122,8 @@ def judge(first: DataFrame, keyed: DataFrame, *, key: str, existing: DataFrame,
         found = keys_present(ref_all, first.select("_ref"), "_ref", True,
                              key_range=(st["r0"], st["r1"]))
         verdict = (F.when(F.col("_exists").isNotNull(), F.lit(EXISTS))
-                    .when(F.col("_found").isNotNull(), F.lit(ACCEPTED))
-                    .otherwise(F.lit(unknown)))
+                    .when(F.col("_found").isNull(), F.lit(unknown))
+                    .otherwise(good))
         return (first.join(F.broadcast(seen.withColumn("_exists", F.lit(True))), key, "left")
                      .join(F.broadcast(found.withColumn("_found", F.lit(True))), "_ref", "left")
                      .withColumn(VERDICT, verdict).select(*first.columns, VERDICT))
@@ -124,7 +135,7 @@ def judge(first: DataFrame, keyed: DataFrame, *, key: str, existing: DataFrame,
     fresh = first.join(known, key, "left_anti")
     if small_reference and row_count_at_most(ref_all, LOOKUP_MAX_ROWS):
         ref_all = F.broadcast(ref_all)
-    ok = fresh.join(ref_all, "_ref", "left_semi").withColumn(VERDICT, F.lit(ACCEPTED))
+    ok = fresh.join(ref_all, "_ref", "left_semi").withColumn(VERDICT, good)
     missing = fresh.join(ref_all, "_ref", "left_anti").withColumn(VERDICT, F.lit(unknown))
     return exists.unionByName(ok).unionByName(missing)
 
@@ -139,8 +150,8 @@ def admit_landed(batch: DataFrame, *, key: str, landed: str, existing: DataFrame
     in the order (time, file).  ``duplicate_in_batch`` is judged inside one
     file; across files a key is ``already_exists`` only once an earlier
     file's row was accepted.  So it does not matter which files are handed
-    over together.  A price (``money_col``) that no total can hold is
-    ``bad_value``, the last check ahead of ``accepted``.
+    over together.  A price (``money_col``) that is no price is
+    ``bad_value``, the last check ahead of ``accepted``, as for a batch.
 
     The first row per (file, key) is a hash aggregate with partial combine.
     The window over a key then holds one row a file, however many rows of
@@ -148,19 +159,15 @@ def admit_landed(batch: DataFrame, *, key: str, landed: str, existing: DataFrame
     """
     nulls = batch.filter(F.col(key).isNull()).withColumn(VERDICT, F.lit(NULL_KEY))
     keyed = batch.filter(F.col(key).isNotNull())
-    fits = F.lit(True)
-    if money_col:
-        fits = F.col(money_col).isNull() | F.col(money_col).try_cast(MONEY).isNotNull()
+    fits = is_price(money_col) if money_col else F.lit(True)
     place = ["_time", "_file", "_row"]
     placed = keyed.select("*", *[F.col(f"{landed}.{c[1:]}").alias(c) for c in place])
-    first = (placed.groupBy(key, "_time", "_file")
-             .agg(F.min("_row").alias("_row"), F.min_by(ref_col, "_row").alias("_ref"),
-                  F.min_by(fits, "_row").alias("_fits")))
-    alone = judge(first, keyed, key=key, existing=existing, existing_key=existing_key, ref_col=ref_col,
+    first = materialise(placed.groupBy(key, "_time", "_file")
+                        .agg(F.min("_row").alias("_row"), F.min_by(ref_col, "_row").alias("_ref"),
+                             F.min_by(fits, "_row").alias("_fits")), "first-rows")
+    alone = judge(first, key=key, existing=existing, existing_key=existing_key, ref_col=ref_col,
                   reference=reference, reference_key=reference_key, unknown=unknown,
                   small_reference=small_reference, probe_max_rows=probe_max_rows)
-    alone = alone.withColumn(VERDICT, F.when((F.col(VERDICT) == ACCEPTED) & ~F.col("_fits"), F.lit(BAD_VALUE))
-                             .otherwise(F.col(VERDICT)))
     order = F.struct("_time", "_file")
     won = F.min(F.when(F.col(VERDICT) == ACCEPTED, order)).over(Window.partitionBy(key))
     decided = (alone.withColumn("_won", won)
@@ -186,7 +193,7 @@ def accept_orders(existing: DataFrame, batch: DataFrame, customer: DataFrame,
     it grows with the data)."""
     return admit(batch, key="o_orderkey", seq=seq, existing=existing, existing_key="o_orderkey",
                  ref_col="o_custkey", reference=customer, reference_key="c_custkey",
-                 unknown="unknown_customer", check_seq=check_seq)
+                 unknown="unknown_customer", money_col="o_totalprice", check_seq=check_seq)
 
 
 def accepted_rows(verdicts: DataFrame) -> DataFrame:
@@ -197,14 +204,3 @@ def accepted_rows(verdicts: DataFrame) -> DataFrame:
 def customers_after_add(existing: DataFrame, verdicts: DataFrame) -> DataFrame:
     """Existing customers UNION ALL the accepted ones."""
     return existing.unionByName(accepted_rows(verdicts).select(*existing.columns))
-
-
-def store(verdicts: DataFrame, existing: DataFrame, out_path: str) -> DataFrame:
-    """Write ``out_path/table`` (existing and accepted rows) and
-    ``out_path/rejected`` (the other rows with their verdict); both must be
-    new.  Returns the written table."""
-    from stockroom.sources.sinks import write_table
-    spark = existing.sparkSession
-    write_table(verdicts.filter(F.col(VERDICT) != ACCEPTED), f"{out_path}/rejected")
-    write_table(customers_after_add(existing, verdicts), f"{out_path}/table")
-    return spark.read.schema(existing.schema).parquet(f"{out_path}/table")

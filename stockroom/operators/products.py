@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from stockroom.plans.joins import probe_limit
+from stockroom.session import materialise
 
 KEY = "p_partkey"
 ATTRS = ["p_name", "p_brand", "p_type", "p_size", "p_retailprice"]
@@ -57,7 +58,8 @@ def upsert_products(current: DataFrame, batch: DataFrame, seq: str | None = None
     Without ``seq`` the batch keys must be unique; a batch that repeats one
     is refused with ``ValueError`` (a partial aggregate checks it).
 
-    Plan: when the batch keys pass a size check, only they are broadcast
+    Plan: the batch, reduced to one row a key, is written once; size, key
+    range and the joins read that.  When the batch keys pass a size check, only they are broadcast
     and ``current`` (the big side) is scanned twice without a shuffle: an
     anti join gives the kept rows, a semi join (its scan pruned to the
     batch's key range) the current rows the batch touches.  Those are at
@@ -67,37 +69,36 @@ def upsert_products(current: DataFrame, batch: DataFrame, seq: str | None = None
     The result is a new table: write it to a new directory, never over the
     one ``current`` is read from.
     """
-    cur_null = current.filter(F.col(KEY).isNull()).select(*COLUMNS).withColumn("action", F.lit(KEPT))
-    new_null = batch.filter(F.col(KEY).isNull()).select(*COLUMNS).withColumn("action", F.lit(REJECTED))
-
-    new = batch.filter(F.col(KEY).isNotNull())
-    # Size and key range from one scan of the batch (before any dedupe).
-    st = new.agg(F.count(F.lit(1)).alias("n"), F.min(KEY).alias("k0"),
-                 F.max(KEY).alias("k1")).first()
-    if seq is None:
-        repeats = new.groupBy(KEY).count().filter(F.col("count") > 1).count()
-        if repeats:
-            raise ValueError(f"{repeats} key(s) repeat in the batch; give seq to choose among their rows")
-    else:
-        # max over (seq, attributes): a null seq sorts lowest, so a key whose
-        # rows all lack a seq still keeps one of its rows
-        new = (new.groupBy(KEY)
-                  .agg(F.max(F.struct(F.col(seq).alias("_seq"), *ATTRS)).alias("_row"))
-                  .select(KEY, *[F.col(f"_row.{c}").alias(c) for c in ATTRS]))
+    reduced = (batch.filter(F.col(KEY).isNotNull()).groupBy(KEY)
+               .agg(F.max(F.struct(*([F.col(seq).alias("_seq")] if seq else []), *ATTRS)).alias("_row"),
+                    F.count(F.lit(1)).alias("_n"))
+               .select(KEY, *[F.col(f"_row.{c}").alias(c) for c in ATTRS], "_n"))
+    # a null seq sorts lowest in the maximum, so a key whose rows all lack a
+    # seq still keeps one of its rows
+    kept_rows = materialise(reduced.unionByName(
+        batch.filter(F.col(KEY).isNull()).select(*COLUMNS, F.lit(1).cast("bigint").alias("_n"))), "products")
+    new = kept_rows.filter(F.col(KEY).isNotNull())
+    new_null = kept_rows.filter(F.col(KEY).isNull()).select(*COLUMNS).withColumn("action", F.lit(REJECTED))
+    # Size, key range and repeats from one scan of what was written.
+    st = new.agg(F.count(F.lit(1)).alias("n"), F.min(KEY).alias("k0"), F.max(KEY).alias("k1"),
+                 F.count_if(F.col("_n") > 1).alias("repeats")).first()
+    if seq is None and st["repeats"]:
+        raise ValueError(f"{st['repeats']} key(s) repeat in the batch; give seq to choose among their rows")
     new = new.select(KEY, *[F.col(c).alias(f"_new_{c}") for c in ATTRS], F.lit(True).alias("_in_new"))
-    cur = current.filter(F.col(KEY).isNotNull()).select(
-        KEY, *[F.col(c).alias(f"_cur_{c}") for c in ATTRS], F.lit(True).alias("_in_cur"))
+    cur = current.select(KEY, *[F.col(c).alias(f"_cur_{c}") for c in ATTRS], F.lit(True).alias("_in_cur"))
 
+    nothing_new = [*[F.lit(None).alias(f"_new_{c}") for c in ATTRS], F.lit(None).cast("boolean").alias("_in_new")]
     if st["n"] <= probe_limit(batch.sparkSession, probe_max_rows):
+        # a null key matches nothing, so the anti join keeps those rows too
         keys = F.broadcast(new.select(KEY))
-        kept = (cur.join(keys, KEY, "left_anti")
-                   .select("*", *[F.lit(None).alias(f"_new_{c}") for c in ATTRS],
-                           F.lit(None).cast("boolean").alias("_in_new")))
+        kept = cur.join(keys, KEY, "left_anti").select("*", *nothing_new)
         hit = (cur.filter(F.col(KEY).between(F.lit(st["k0"]), F.lit(st["k1"])))
                   .join(keys, KEY, "left_semi"))
         merged = kept.unionByName(new.join(hit, KEY, "left"))
     else:
-        merged = cur.join(new, KEY, "full_outer")
+        # null keys apart: a shuffle would send them all to one task
+        merged = cur.filter(F.col(KEY).isNotNull()).join(new, KEY, "full_outer").unionByName(
+            cur.filter(F.col(KEY).isNull()).select("*", *nothing_new))
 
     same: Column = F.lit(True)
     for c in ATTRS:
@@ -111,16 +112,4 @@ def upsert_products(current: DataFrame, batch: DataFrame, seq: str | None = None
         KEY,
         *[F.when(in_new, F.col(f"_new_{c}")).otherwise(F.col(f"_cur_{c}")).alias(c) for c in ATTRS],
         action.alias("action"))
-    return out.unionByName(cur_null).unionByName(new_null)
-
-
-def keep_products(current: DataFrame, batch: DataFrame, out_path: str,
-                  seq: str | None = None) -> DataFrame:
-    """Upsert and write the new product list to ``out_path`` (a new
-    directory; never the one ``current`` is read from).  Rejected batch
-    rows are not part of the table.  Returns the written table."""
-    from stockroom.schemas import PART
-    from stockroom.sources.sinks import write_table
-    merged = upsert_products(current, batch, seq)
-    write_table(merged.filter(F.col("action") != REJECTED).select(*COLUMNS), out_path)
-    return current.sparkSession.read.schema(PART).parquet(out_path)
+    return out.unionByName(new_null)

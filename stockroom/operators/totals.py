@@ -7,13 +7,14 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from stockroom.functions.money import TOTAL, as_double, total
+from stockroom.functions.money import TOTAL, as_double, total, unfit
 
-TOTAL_COLUMNS = ["o_custkey", "n_orders", "total_price", "last_order_date"]
+TOTAL_COLUMNS = ["o_custkey", "n_orders", "total_price", "last_order_date", "n_unfit"]
 
 
 def order_totals_partial(accepted_orders: DataFrame) -> DataFrame:
-    """Per customer: order count, exact price total, last order date.
+    """Per customer: order count, exact price total, last order date, and
+    how many prices no total can hold (they are in the count alone).
 
     A grouped aggregate with map-side partial combine: a customer that holds
     a third of the orders shrinks to one row per map task before the shuffle.
@@ -21,16 +22,19 @@ def order_totals_partial(accepted_orders: DataFrame) -> DataFrame:
     return (accepted_orders.groupBy("o_custkey")
             .agg(F.count(F.lit(1)).alias("n_orders"),
                  total("o_totalprice").alias("total_price"),
-                 F.max("o_orderdate").alias("last_order_date")))
+                 F.max("o_orderdate").alias("last_order_date"),
+                 unfit("o_totalprice").alias("n_unfit")))
 
 
 def merge_totals(*partials: DataFrame) -> DataFrame:
-    """Re-aggregate partials (one per trigger batch) into current totals."""
+    """Re-aggregate partials (one per trigger batch) into current totals.
+    Partials written before ``n_unfit`` was kept count as without any."""
     allp = reduce(DataFrame.unionByName, [p.select(*TOTAL_COLUMNS) for p in partials])
     return (allp.groupBy("o_custkey")
             .agg(F.sum("n_orders").alias("n_orders"),
                  F.sum("total_price").cast(TOTAL).alias("total_price"),
-                 F.max("last_order_date").alias("last_order_date")))
+                 F.max("last_order_date").alias("last_order_date"),
+                 F.coalesce(F.sum("n_unfit"), F.lit(0)).alias("n_unfit")))
 
 
 def present_totals(totals: DataFrame) -> DataFrame:

@@ -70,10 +70,15 @@ _ORDER_VERDICTS = """
 _ORDER_TOTALS = """
     SELECT o_custkey, COUNT(*) AS n_orders,
            CAST(SUM(CAST(o_totalprice AS DECIMAL(12,2))) AS DOUBLE) AS total_price,
-           MAX(o_orderdate) AS last_order_date
+           MAX(o_orderdate) AS last_order_date, CAST(0 AS BIGINT) AS n_unfit
     FROM orders GROUP BY o_custkey
 """
 
+_PRICED = """
+    SELECT * REPLACE (CASE WHEN o_orderkey % 7 = 0 THEN 1e11 WHEN o_orderkey % 11 = 0 THEN 1e30
+                           WHEN o_orderkey % 13 = 0 THEN NULL ELSE o_totalprice END AS o_totalprice) FROM orders
+"""
+
 _PRODUCT_COLS = "p_partkey, p_name, p_brand, p_type, p_size, p_retailprice"
 
 ORACLE = {
@@ -156,6 +161,64 @@ ORACLE = {
         JOIN part ON l_partkey = p_partkey
     """,
     "order_totals": _ORDER_TOTALS,
+    "order_totals_wide": f"""
+        SELECT o_custkey, COUNT(*) AS n_orders,
+               CAST(SUM(TRY_CAST(o_totalprice AS DECIMAL(28,2))) AS DOUBLE) AS total_price,
+               MAX(o_orderdate) AS last_order_date,
+               COUNT(*) FILTER (WHERE abs(o_totalprice) >= 1e26) AS n_unfit
+        FROM ({_PRICED}) GROUP BY o_custkey
+    """,
+    "order_lines_wide": """
+        SELECT o_orderkey, o_custkey, o_orderdate, l_linenumber, l_partkey, p_name, p_brand, l_quantity,
+               CASE WHEN l_orderkey % 7 = 0 THEN 1e11 WHEN l_orderkey % 11 = 0 THEN 1e30
+                    ELSE l_extendedprice END AS l_extendedprice,
+               l_discount,
+               CAST(CASE WHEN l_orderkey % 7 = 0 THEN CAST(100000000000 AS DECIMAL(28,2))
+                         WHEN l_orderkey % 11 = 0 THEN NULL
+                         ELSE CAST(l_extendedprice AS DECIMAL(28,2)) END
+                    * CAST(1 - CAST(l_discount AS DECIMAL(7,6)) AS DECIMAL(8,6)) AS DOUBLE) AS amount
+        FROM lineitem
+        JOIN orders ON l_orderkey = o_orderkey
+        JOIN part ON l_partkey = p_partkey
+    """,
+    "accept_orders_prices": f"""
+        SELECT * REPLACE (CASE WHEN o_orderkey % 7 = 0 THEN 1e11 ELSE o_totalprice END AS o_totalprice,
+                          CASE WHEN verdict = 'accepted' AND o_orderkey % 7 = 0 THEN 'bad_value'
+                               ELSE verdict END AS verdict)
+        FROM ({_ORDER_VERDICTS})
+    """,
+    "keep_customers": f"""
+        WITH v AS ({_CUSTOMER_VERDICTS})
+        SELECT c_custkey, c_name, c_nationkey, c_acctbal, c_mktsegment
+        FROM customer WHERE c_custkey % 10 <> 0
+        UNION ALL
+        SELECT c_custkey, c_name, c_nationkey, c_acctbal, c_mktsegment FROM v WHERE verdict = 'accepted'
+    """,
+    "keep_orders": f"""
+        SELECT *, 'stored' AS verdict FROM orders WHERE o_orderkey % 10 <> 0
+        UNION ALL
+        SELECT * EXCLUDE (seq) REPLACE (CASE verdict WHEN 'accepted' THEN 'stored' ELSE verdict END AS verdict)
+        FROM ({_ORDER_VERDICTS})
+    """,
+    "keep_products": """
+        WITH one AS (
+          SELECT * REPLACE (CASE WHEN p_partkey % 10 = 0 THEN p_retailprice + 1 ELSE p_retailprice END AS p_retailprice)
+          FROM part
+          UNION ALL
+          SELECT * REPLACE (p_partkey + 1000000 AS p_partkey) FROM part WHERE p_partkey % 20 = 5
+        )
+        SELECT one.p_partkey, one.p_name, one.p_brand, one.p_type, one.p_size,
+               CASE WHEN part.p_partkey % 3 = 0 THEN part.p_retailprice * 2 ELSE one.p_retailprice END AS p_retailprice
+        FROM one LEFT JOIN part USING (p_partkey)
+    """,
+    "call_customer_orders": """
+        SELECT c_custkey, c_name, c_mktsegment, o_orderkey, o_orderstatus, o_totalprice, o_orderdate
+        FROM customer LEFT JOIN orders ON o_custkey = c_custkey
+    """,
+    "call_product_page": f"""
+        SELECT {_PRODUCT_COLS}, CAST(CASE WHEN place <= 20 THEN 1 ELSE 2 END AS INTEGER) AS page
+        FROM (SELECT *, row_number() OVER (ORDER BY p_name, p_partkey) AS place FROM part) WHERE place <= 40
+    """,
     "call_get_orders": """
         SELECT c_custkey, c_name, o_orderkey, o_orderstatus, o_totalprice, o_orderdate
         FROM customer JOIN orders ON o_custkey = c_custkey

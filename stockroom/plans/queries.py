@@ -8,6 +8,8 @@ stream.  The DuckDB SQL that must return the same rows is in
 
 from __future__ import annotations
 
+import zlib
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -15,7 +17,9 @@ from stockroom.operators import admission, products, totals
 from stockroom.operators.orders import get_orders as _get_orders
 from stockroom.plans import procedures, views
 from stockroom.plans.oracle import ORACLE  # noqa: F401  (re-exported)
+from stockroom.schemas import ORDERS
 from stockroom.sources import batches
+from stockroom.sources.stored import StoredTable
 from stockroom.sources.tables import load, read_table
 from stockroom.session import scratch_dir
 from stockroom.streaming import triggers
@@ -95,9 +99,8 @@ def q_upsert_products_seq(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def q_call_orders_of_year(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The orders procedures through the registry, with time-of-day bounds."""
-    t = load(spark, sf_dir, register=True)
-    return procedures.call(spark, "get_orders", custkey=7, date_from="1996-01-01 12:00:00",
-                           date_to="1998-01-01T12:00:00").select(*t["orders"].columns)
+    return procedures.call(spark, "get_orders", tables=_Tables(spark, sf_dir).__getitem__, custkey=7,
+                           date_from="1996-01-01 12:00:00", date_to="1998-01-01T12:00:00")
 
 
 def q_customer_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -117,26 +120,105 @@ def q_order_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
                                                      totals.order_totals_partial(second)))
 
 
+def _sql_names(spark: SparkSession, sf_dir: str) -> str:
+    """Views and SQL functions under names of their own, so that the
+    caller's views stay as they are; the prefix of those names."""
+    prefix = f"stockroom_{zlib.crc32(sf_dir.encode()):08x}_"
+    load(spark, sf_dir, prefix=prefix)
+    procedures.register_sql_functions(spark, prefix)
+    return prefix
+
+
+def q_keep_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The storing procedure over the existing customers, its batch given
+    twice: the second call finds nothing to add."""
+    t = _Tables(spark, sf_dir)
+    given = {"customer": batches.existing_customers(t["customer"]), "nation": t["nation"]}
+    batch, out = batches.customer_batch(t["customer"]), scratch_dir(spark, "keep-customers")
+    for _ in range(2):
+        after = procedures.call(spark, "keep_customers", tables=given.__getitem__, batch=batch, out_path=out)
+    return after
+
+
+def q_keep_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the storing procedure did with each order: let in (with those
+    that were there) or refused, and why."""
+    t = _Tables(spark, sf_dir)
+    given = {"orders": batches.existing_orders(t["orders"]), "customer": t["customer"]}
+    out = scratch_dir(spark, "keep-orders")
+    after = procedures.call(spark, "keep_orders", tables=given.__getitem__, out_path=out, request="landing 1",
+                            batch=batches.order_batch(t["orders"]))
+    refused = StoredTable(spark, out, ORDERS).refused()
+    return after.withColumn("verdict", F.lit("stored")).unionByName(refused.drop("seq"))
+
+
+def q_keep_products(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two product batches, one after the other, into one stored list."""
+    part = _Tables(spark, sf_dir)["part"]
+    given, out = {"part": part}, scratch_dir(spark, "keep-products")
+    procedures.call(spark, "keep_products", tables=given.__getitem__, batch=batches.product_batch(part), out_path=out)
+    again = part.withColumn("p_retailprice", F.col("p_retailprice") * 2).filter(F.col("p_partkey") % 3 == 0)
+    return procedures.call(spark, "keep_products", tables=given.__getitem__, batch=again, out_path=out)
+
+
+def q_accept_orders_prices(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders of every 7th key cost more than a price may be."""
+    o = _Tables(spark, sf_dir)["orders"]
+    price = F.when(F.col("o_orderkey") % 7 == 0, F.lit(1e11)).otherwise(F.col("o_totalprice"))
+    batch = batches.order_batch(o).withColumn("o_totalprice", price)
+    return admission.accept_orders(batches.existing_orders(o), batch, _Tables(spark, sf_dir)["customer"])
+
+
+def q_order_totals_wide(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Totals over a table that holds prices of 1e11 and ones no decimal holds."""
+    k = F.col("o_orderkey")
+    price = (F.when(k % 7 == 0, F.lit(1e11)).when(k % 11 == 0, F.lit(1e30)).when(k % 13 == 0, F.lit(None).cast("double"))
+             .otherwise(F.col("o_totalprice")))
+    return totals.present_totals(totals.order_totals(_Tables(spark, sf_dir)["orders"].withColumn("o_totalprice", price)))
+
+
+def q_order_lines_wide(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines with prices of 1e11 and ones no decimal holds."""
+    t = _Tables(spark, sf_dir)
+    k = F.col("l_orderkey")
+    price = F.when(k % 7 == 0, F.lit(1e11)).when(k % 11 == 0, F.lit(1e30)).otherwise(F.col("l_extendedprice"))
+    return views.order_lines(t["orders"], t["lineitem"].withColumn("l_extendedprice", price), t["part"])
+
+
 def q_call_get_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The get_orders procedure as a SQL table function, called per customer."""
-    load(spark, sf_dir, register=True)
-    procedures.register_sql_functions(spark)
-    return spark.sql("""
+    p = _sql_names(spark, sf_dir)
+    return spark.sql(f"""
         SELECT c.c_custkey, c.c_name, g.o_orderkey, g.o_orderstatus, g.o_totalprice, g.o_orderdate
-        FROM customer c, LATERAL get_orders(c.c_custkey) g
+        FROM {p}customer c, LATERAL {p}get_orders(c.c_custkey) g
     """)
 
 
 def q_call_order_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Lines of every order through the order_lines_of table function."""
-    load(spark, sf_dir, register=True)
-    procedures.register_sql_functions(spark)
-    return spark.sql("""
+    p = _sql_names(spark, sf_dir)
+    return spark.sql(f"""
         SELECT o.o_orderkey, o.o_custkey, l.l_linenumber, l.l_partkey, l.l_quantity
-        FROM orders o, LATERAL order_lines_of(o.o_orderkey) l
+        FROM {p}orders o, LATERAL {p}order_lines_of(o.o_orderkey) l
     """)
 
 
+def q_call_customer_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The customer_orders_of table function, called per customer."""
+    p = _sql_names(spark, sf_dir)
+    return spark.sql(f"SELECT g.* FROM {p}customer c, LATERAL {p}customer_orders_of(c.c_custkey) g")
+
+
+def q_call_product_page(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pages of the product_page table function: the first, and the one
+    behind its last product."""
+    p = _sql_names(spark, sf_dir)
+    first = spark.sql(f"SELECT * FROM {p}product_page(20)")
+    last = first.orderBy(F.col("p_name").desc_nulls_first(), F.col("p_partkey").desc_nulls_first()).first()
+    second = spark.sql(f"SELECT * FROM {p}product_page(20, :name, :k)", args={"name": last["p_name"], "k": last["p_partkey"]})
+    return first.withColumn("page", F.lit(1)).unionByName(second.withColumn("page", F.lit(2)))
+
+
 # Landings for the trigger queries: all orders arrive in two files split by
 # order date; the second overlaps the first by half a year (repeated keys).
 LANDING_SPLIT = ("1998-01-01", "1997-07-01")
@@ -232,6 +314,14 @@ QUERIES = {
     "order_totals": q_order_totals,
     "call_get_orders": q_call_get_orders,
     "call_order_lines": q_call_order_lines,
+    "call_customer_orders": q_call_customer_orders,
+    "call_product_page": q_call_product_page,
+    "keep_customers": q_keep_customers,
+    "keep_orders": q_keep_orders,
+    "keep_products": q_keep_products,
+    "accept_orders_prices": q_accept_orders_prices,
+    "order_totals_wide": q_order_totals_wide,
+    "order_lines_wide": q_order_lines_wide,
     "trigger_accepted_orders": q_trigger_accepted_orders,
     "trigger_audit": q_trigger_audit,
     "trigger_order_totals": q_trigger_order_totals,

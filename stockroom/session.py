@@ -6,7 +6,7 @@ import re
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings the library relies on.  AQE re-plans joins from runtime sizes
 # (broadcast when a side turns out small, skew split when a key is hot) and
@@ -58,5 +58,24 @@ def shared_dir(spark: SparkSession) -> str:
 
 def scratch_dir(spark: SparkSession, name: str) -> str:
     """A fresh folder below the shared folder, one per call."""
-    base = shared_dir(spark)
-    return base.rstrip("/") + f"/stockroom/{name}-{uuid.uuid4().hex[:12]}"
+    return f"{_own_scratch(spark)}/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def _own_scratch(spark: SparkSession) -> str:
+    return f"{shared_dir(spark).rstrip('/')}/stockroom/{spark.sparkContext.applicationId}"
+
+
+def materialise(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written once to scratch and read back: every later reader sees
+    the same rows, also if ``df`` would not give them twice, and a lost
+    executor loses nothing."""
+    path = scratch_dir(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def clear_scratch(spark: SparkSession) -> None:
+    """Remove what this application wrote to scratch.  Frames that were
+    built on it (verdicts, trigger runs of the registered queries) end here."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(_own_scratch(spark))
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)

@@ -16,7 +16,7 @@ from stockroom.streaming import files
 
 def write_table(df: DataFrame, path: str, mode: str = "errorifexists",
                 partition_by: list[str] | None = None) -> None:
-    if mode == "overwrite" and files.exists(df.sparkSession, path):
+    if mode != "append" and files.exists(df.sparkSession, path):
         raise ValueError(f"refusing to overwrite {path}: write the new version to a new directory")
     w = df.write.mode(mode)
     if partition_by:

@@ -17,10 +17,11 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.schema(SCHEMAS[name]).parquet(table_path(sf_dir, name))
 
 
-def load(spark: SparkSession, sf_dir: str, register: bool = True) -> dict[str, DataFrame]:
-    """All warehouse tables; registered as temp views when ``register``."""
+def load(spark: SparkSession, sf_dir: str, register: bool = True, prefix: str = "") -> dict[str, DataFrame]:
+    """All warehouse tables; registered as temp views (their names behind
+    ``prefix``) when ``register``."""
     tables = {name: read_table(spark, sf_dir, name) for name in SCHEMAS}
     if register:
         for name, df in tables.items():
-            df.createOrReplaceTempView(name)
+            df.createOrReplaceTempView(prefix + name)
     return tables

@@ -144,6 +144,7 @@ TOTALS_SCHEMA = T.StructType([
     T.StructField("n_orders", T.LongType()),
     T.StructField("total_price", T.DecimalType(38, 2)),
     T.StructField("last_order_date", T.TimestampNTZType()),
+    T.StructField("n_unfit", T.LongType()),
 ])
 
 
