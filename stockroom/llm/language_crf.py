@@ -39,9 +39,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from stockroom.llm.infill import ExceptionIndex
-from stockroom.llm.kernels import R1, Words, groups, mix64, text_column
+from stockroom.llm.kernels import R1, Words, groups, text_column
 
-ROWS = 1 << 18
+ROW_BITS = 18
+ROWS = (1 << ROW_BITS) + 1
 SAMPLE = 500           # labelled rows of a language
 SPAN = 2500            # characters of a labelled row
 GRAMS = (2, 3, 4)      # bytes
@@ -87,29 +88,52 @@ def words_of(data: np.ndarray, bounds: np.ndarray) -> Words:
 
 
 def _rows(packed: np.ndarray, kind: int) -> np.ndarray:
-    """Rows of weights; row 0 is left for what is no feature."""
-    h = mix64(packed + U(kind << 40))
-    return (h % U(ROWS - 1)).astype(np.int64) + 1
+    """Rows of weights by multiplicative hash; row 0 is left for what is no
+    feature."""
+    return ((((packed + U(kind << 40)) * U(0x9E3779B97F4A7C15)) >> U(64 - ROW_BITS)) + U(1)).astype(np.int32)
 
 
-def features(w: Words) -> tuple[np.ndarray, np.ndarray]:
-    """(rows of all words one after the other, how many each word has)."""
+@dataclass
+class Features:
+    """Rows of the words' features: ``grams`` of every byte of a word (those
+    of word i from ``first[i]`` on), ``affixes`` of every word."""
+    first: np.ndarray
+    size: np.ndarray
+    grams: list[np.ndarray]
+    affixes: list[np.ndarray]
+
+    def total(self, weights: np.ndarray) -> np.ndarray:
+        """Summed weights (words, languages)."""
+        inner = weights[self.grams[0]]
+        for g in self.grams[1:]:
+            inner += weights[g]
+        out = np.add.reduceat(inner, self.first)
+        for a in self.affixes:
+            out += weights[a]
+        return out
+
+    def flat(self) -> tuple[np.ndarray, np.ndarray]:
+        """(row, word) of every feature."""
+        n = len(self.first)
+        of_byte = np.repeat(np.arange(n), self.size)
+        row = np.concatenate(self.grams + self.affixes)
+        word = np.concatenate([of_byte] * len(self.grams) + [np.arange(n)] * len(self.affixes))
+        return row[row > 0], word[row > 0]
+
+
+def features(w: Words) -> Features:
     size = (w.end - w.start).astype(np.int64)
     first = np.cumsum(size) - size
-    total = int(size.sum())
-    rel = np.arange(total) - np.repeat(first, size)          # place in the word
-    at = rel + np.repeat(w.start, size)
-    left = np.repeat(size, size) - rel                       # bytes to the word's end
+    at = np.arange(int(size.sum())) - np.repeat(first - w.start, size)
+    left = np.repeat(w.end, size) - at                       # bytes to the word's end
     padded = np.concatenate([w.data, np.zeros(4, np.uint8)]).astype(U)
     packed = {1: padded[at]}
     for n in range(2, max(GRAMS + PREFIXES + SUFFIXES) + 1):
         packed[n] = (packed[n - 1] << U(8)) | padded[at + n - 1]
-    cols = [np.where(left >= n, _rows(packed[n], n), 0) for n in GRAMS]
-    cols += [np.where((rel == 0) & (left >= n), _rows(packed[n], 16 + n), 0) for n in PREFIXES]
-    cols += [np.where(left == n, _rows(packed[n], 32 + n), 0) for n in SUFFIXES]
-    every = np.stack(cols, 1)
-    keep = every > 0
-    return every[keep], np.add.reduceat(keep.sum(1), first) if total else np.zeros(0, np.int64)
+    grams = [np.where(left >= n, _rows(packed[n], n), np.int32(0)) for n in GRAMS]
+    affixes = [np.where(size >= n, _rows(packed[n][first], 16 + n), np.int32(0)) for n in PREFIXES]
+    affixes += [np.where(size >= n, _rows(packed[n][first + np.maximum(size - n, 0)], 32 + n), np.int32(0)) for n in SUFFIXES]
+    return Features(first, size, grams, affixes)
 
 
 @dataclass
@@ -138,8 +162,7 @@ class Model:
         for lo in range(0, len(out), step):
             hi = min(lo + step, len(out))
             part = Words(w.data, w.bounds, w.start[lo:hi], w.end[lo:hi], w.first, w.h[lo:hi])
-            rows, size = features(part)
-            out[lo:hi] = np.add.reduceat(self.weights[rows], np.cumsum(size) - size) + self.lexical(part.h) @ self.by_holder
+            out[lo:hi] = features(part).total(self.weights) + self.lexical(part.h) @ self.by_holder
         return out
 
 
@@ -250,15 +273,13 @@ def fit_texts(texts: list[tuple[str, str]]) -> Model:
     k = len(langs)
     data, bounds = _join([t for _, t in texts])
     w = words_of(data, bounds)
-    doc = np.repeat(np.arange(len(texts)), np.diff(w.first))
+    doc = np.repeat(np.arange(len(texts), dtype=np.int32), np.diff(w.first))
     lang = np.array([langs.index(x) for x, _ in texts], np.int64)
     lexicon, holders = lexicon_of(w.h, doc, lang, k)
     model = Model(langs, np.zeros((ROWS, k), np.float32), lexicon, holders, np.zeros((k + 1, k), np.float32),
                   np.zeros(k), np.zeros((k, k)))
     if k < 2 or not len(w.start):
         return model
-    rows, size = features(w)
-    first = np.cumsum(size) - size
     lexical = model.lexical(w.h)
     label = lang[doc]
     rng = np.random.default_rng(1)
@@ -284,17 +305,17 @@ def fit_texts(texts: list[tuple[str, str]]) -> Model:
             heads = np.cumsum(n) - n
             fresh[heads[begins[mine]]] = True
             fresh[0] = True
-            m = size[at]
-            f = rows[np.arange(m.sum()) - np.repeat(np.cumsum(m) - m, m) + np.repeat(first[at], m)]
-            emit = np.add.reduceat(model.weights[f], np.cumsum(m) - m) + lexical[at] @ model.by_holder
+            # made anew for each batch: memory follows BATCH, not the sample
+            f = features(Words(w.data, w.bounds, w.start[at], w.end[at], w.first, w.h[at]))
+            emit = f.total(model.weights) + lexical[at] @ model.by_holder
             gamma, pairs = marginals(emit.astype(np.float64), fresh, model.start, model.trans)
             y = label[at]
             wrong = gamma.copy()
             wrong[np.arange(len(at)), y] -= 1
             inner = np.flatnonzero(~fresh)
             np.subtract.at(pairs, (y[inner - 1], y[inner]), 1)
-            spread = np.repeat(wrong, m, 0)
-            g = [np.stack([np.bincount(f, spread[:, j], ROWS) for j in range(k)], 1), lexical[at].T @ wrong,
+            row, word = f.flat()
+            g = [np.stack([np.bincount(row, wrong[word, j], ROWS) for j in range(k)], 1), lexical[at].T @ wrong,
                  wrong[fresh].sum(0), pairs]
             for p, s, grad in zip(params, seen, g):
                 grad = grad / len(at) * 100
@@ -333,7 +354,8 @@ def _label(shared):
         doc = np.repeat(np.arange(n), n_words)
         sums = np.stack([np.bincount(doc, p[:, j], n) for j in range(p.shape[1])], 1)
         best = np.where(known, sums.argmax(1), len(langs) - 1)
-        score = np.where(known, sums.max(1) / np.maximum(n_words, 1), 0.0).clip(0, 1)
+        # rounded: the last bits depend on how texts fell into blocks
+        score = np.round(np.where(known, sums.max(1) / np.maximum(n_words, 1), 0.0).clip(0, 1), 9)
         # runs of one label inside a text
         label = p.argmax(1)
         keep = known[doc]

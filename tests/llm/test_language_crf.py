@@ -70,14 +70,18 @@ def test_features_are_affixes_and_grams():
     w = crf.words_of(raw, np.array([0, len(raw)]))
     words = [bytes(w.data[s:e]).decode() for s, e in zip(w.start, w.end)]
     assert words == ["ab", "éclair", "été"]
-    f, n = crf.features(w)
+    row, word = crf.features(w).flat()
     want = []
-    for word in (x.encode() for x in words):
-        m = len(word)
+    for text in (x.encode() for x in words):
+        m = len(text)
         want.append(sum(max(0, m - g + 1) for g in crf.GRAMS) + sum(m >= g for g in crf.PREFIXES) + sum(m >= g for g in crf.SUFFIXES))
-    assert n.tolist() == want and f.min() > 0
+    assert np.bincount(word).tolist() == want and row.min() > 0
     same = crf.features(crf.words_of(raw[:2], np.array([0, 2])))
-    assert sorted(same[0]) == sorted(f[:n[0]])
+    assert sorted(same.flat()[0]) == sorted(row[word == 0])
+    weights = np.random.default_rng(0).normal(size=(crf.ROWS, 3))
+    weights[0] = 0
+    total = crf.features(w).total(weights)
+    assert np.allclose(total, [weights[row[word == i]].sum(0) for i in range(3)])
 
 
 def test_held_out_accuracy(spark, rows, model):
