@@ -46,6 +46,8 @@ included (then the aggregate sorts instead of hashing).
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -64,7 +66,7 @@ ACCEPTED = "accepted"
 def admit(batch: DataFrame, *, key: str, seq: str, existing: DataFrame, existing_key: str,
           ref_col: str, reference: DataFrame, reference_key: str, unknown: str,
           small_reference: bool = False, money_col: str | None = None, probe_max_rows: int | None = None,
-          check_seq: bool = True) -> DataFrame:
+          check_seq: bool = True, scratch: str | None = None) -> DataFrame:
     """Batch rows with a ``verdict`` column (see module doc).
 
     ``existing`` may be any frame holding the keys already present.
@@ -73,9 +75,10 @@ def admit(batch: DataFrame, *, key: str, seq: str, existing: DataFrame, existing
     price or null.  ``check_seq`` verifies that ``seq`` is never null and
     ``(key, seq)`` unique and raises ``ValueError`` otherwise.  Pass False
     only for a ``seq`` that is unique by how it is made, such as a file and
-    row number.
+    row number.  ``scratch`` is a scratch folder of the caller's own, to be
+    removed once the verdicts are written.
     """
-    batch = materialise(batch, "batch")
+    batch = materialise(batch, "batch", scratch)
     nulls = batch.filter(F.col(key).isNull()).withColumn(VERDICT, F.lit(NULL_KEY))
     keyed = batch.filter(F.col(key).isNotNull())
 
@@ -88,7 +91,7 @@ def admit(batch: DataFrame, *, key: str, seq: str, existing: DataFrame, existing
                 .withColumn("_bad", F.when((F.col("_n") > 1) | F.col(seq).isNull(), 1).otherwise(0)))
     first = materialise(rows.groupBy(key).agg(F.min(seq).alias(seq), F.min_by("_ref", seq).alias("_ref"),
                                               F.min_by("_fits", seq).alias("_fits"), F.sum("_bad").alias("_bad")),
-                        "first-rows")
+                        "first-rows", scratch)
     if check_seq and (bad := first.agg(F.sum("_bad")).first()[0]):
         raise ValueError(f"{bad} (key, seq) pair(s) repeat or have a null seq; seq must be unique and not null")
     decided = judge(first, key=key, existing=existing, existing_key=existing_key, ref_col=ref_col,
@@ -102,15 +105,19 @@ def admit(batch: DataFrame, *, key: str, seq: str, existing: DataFrame, existing
     return judged.select(*cols).unionByName(nulls.select(*cols))
 
 
-def judge(first: DataFrame, *, key: str, existing: DataFrame, existing_key: str,
+def judge(first: DataFrame, *, key: str, existing: DataFrame | Callable[[DataFrame, int], DataFrame], existing_key: str,
           ref_col: str, reference: DataFrame, reference_key: str, unknown: str,
           small_reference: bool = False, probe_max_rows: int | None = None) -> DataFrame:
     """``first`` (``key``, ``_ref``, ``_fits`` and other columns; written to
     scratch, as it is read several times) with the verdict each row has on
-    its own: already there, unknown reference, bad value, or accepted."""
+    its own: already there, unknown reference, bad value, or accepted.
+    ``existing`` may be a function of the first keys and their number that
+    gives a frame with at least those of them that exist."""
     # One scan of the first rows; five numbers reach the driver.
     st = first.agg(F.count(F.lit(1)).alias("n"), F.min(key).alias("k0"), F.max(key).alias("k1"),
                    F.min("_ref").alias("r0"), F.max("_ref").alias("r1")).first()
+    if callable(existing):
+        existing = existing(first.select(key), st["n"])
     known = existing.select(F.col(existing_key).alias(key))
     ref_all = reference.select(F.col(reference_key).alias("_ref"))
     good = F.when(F.col("_fits"), F.lit(ACCEPTED)).otherwise(F.lit(BAD_VALUE))
@@ -140,10 +147,11 @@ def judge(first: DataFrame, *, key: str, existing: DataFrame, existing_key: str,
     return exists.unionByName(ok).unionByName(missing)
 
 
-def admit_landed(batch: DataFrame, *, key: str, landed: str, existing: DataFrame, existing_key: str,
+def admit_landed(batch: DataFrame, *, key: str, landed: str,
+                 existing: DataFrame | Callable[[DataFrame, int], DataFrame], existing_key: str,
                  ref_col: str, reference: DataFrame, reference_key: str, unknown: str,
                  small_reference: bool = False, money_col: str | None = None,
-                 probe_max_rows: int | None = None) -> DataFrame:
+                 probe_max_rows: int | None = None, scratch: str | None = None) -> DataFrame:
     """Verdicts of landed files as if they came one by one.
 
     ``landed`` is the struct (time, file, row) a row came from.  Files count
@@ -164,7 +172,7 @@ def admit_landed(batch: DataFrame, *, key: str, landed: str, existing: DataFrame
     placed = keyed.select("*", *[F.col(f"{landed}.{c[1:]}").alias(c) for c in place])
     first = materialise(placed.groupBy(key, "_time", "_file")
                         .agg(F.min("_row").alias("_row"), F.min_by(ref_col, "_row").alias("_ref"),
-                             F.min_by(fits, "_row").alias("_fits")), "first-rows")
+                             F.min_by(fits, "_row").alias("_fits")), "first-rows", scratch)
     alone = judge(first, key=key, existing=existing, existing_key=existing_key, ref_col=ref_col,
                   reference=reference, reference_key=reference_key, unknown=unknown,
                   small_reference=small_reference, probe_max_rows=probe_max_rows)
@@ -180,20 +188,20 @@ def admit_landed(batch: DataFrame, *, key: str, landed: str, existing: DataFrame
 
 
 def add_customers(existing: DataFrame, batch: DataFrame, nation: DataFrame,
-                  seq: str = "seq", check_seq: bool = True) -> DataFrame:
+                  seq: str = "seq", check_seq: bool = True, scratch: str | None = None) -> DataFrame:
     """O4: verdicts for incoming customers (reference: nation)."""
     return admit(batch, key="c_custkey", seq=seq, existing=existing, existing_key="c_custkey",
                  ref_col="c_nationkey", reference=nation, reference_key="n_nationkey",
-                 unknown="unknown_nation", small_reference=True, check_seq=check_seq)
+                 unknown="unknown_nation", small_reference=True, check_seq=check_seq, scratch=scratch)
 
 
 def accept_orders(existing: DataFrame, batch: DataFrame, customer: DataFrame,
-                  seq: str = "seq", check_seq: bool = True) -> DataFrame:
+                  seq: str = "seq", check_seq: bool = True, scratch: str | None = None) -> DataFrame:
     """O6: verdicts for incoming orders (reference: customer, not broadcast:
     it grows with the data)."""
     return admit(batch, key="o_orderkey", seq=seq, existing=existing, existing_key="o_orderkey",
                  ref_col="o_custkey", reference=customer, reference_key="c_custkey",
-                 unknown="unknown_customer", money_col="o_totalprice", check_seq=check_seq)
+                 unknown="unknown_customer", money_col="o_totalprice", check_seq=check_seq, scratch=scratch)
 
 
 def accepted_rows(verdicts: DataFrame) -> DataFrame:

@@ -43,7 +43,7 @@ INSERTED, UPDATED, UNCHANGED, KEPT, REJECTED = "inserted", "updated", "unchanged
 
 
 def upsert_products(current: DataFrame, batch: DataFrame, seq: str | None = None,
-                    probe_max_rows: int | None = None) -> DataFrame:
+                    probe_max_rows: int | None = None, scratch: str | None = None) -> DataFrame:
     """Keep the product list: merge ``batch`` into ``current``, batch wins.
 
     One row per key in the result, with ``action``:
@@ -58,9 +58,9 @@ def upsert_products(current: DataFrame, batch: DataFrame, seq: str | None = None
     Without ``seq`` the batch keys must be unique; a batch that repeats one
     is refused with ``ValueError`` (a partial aggregate checks it).
 
-    Plan: the batch, reduced to one row a key, is written once; size, key
-    range and the joins read that.  When the batch keys pass a size check, only they are broadcast
-    and ``current`` (the big side) is scanned twice without a shuffle: an
+    Plan: the batch, reduced to one row a key, is written once (to ``scratch``
+    if given); size, key range and the joins read that.  When the batch keys
+    pass a size check, only they are broadcast and ``current`` (the big side) is scanned twice without a shuffle: an
     anti join gives the kept rows, a semi join (its scan pruned to the
     batch's key range) the current rows the batch touches.  Those are at
     most as many as the batch, so meeting them with the batch is a
@@ -76,7 +76,7 @@ def upsert_products(current: DataFrame, batch: DataFrame, seq: str | None = None
     # a null seq sorts lowest in the maximum, so a key whose rows all lack a
     # seq still keeps one of its rows
     kept_rows = materialise(reduced.unionByName(
-        batch.filter(F.col(KEY).isNull()).select(*COLUMNS, F.lit(1).cast("bigint").alias("_n"))), "products")
+        batch.filter(F.col(KEY).isNull()).select(*COLUMNS, F.lit(1).cast("bigint").alias("_n"))), "products", scratch)
     new = kept_rows.filter(F.col(KEY).isNotNull())
     new_null = kept_rows.filter(F.col(KEY).isNull()).select(*COLUMNS).withColumn("action", F.lit(REJECTED))
     # Size, key range and repeats from one scan of what was written.

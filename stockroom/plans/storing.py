@@ -4,7 +4,7 @@ Each gives every row of the batch its verdict against the stored table (or,
 on the first call, against the given one), writes the rows once, apart by
 verdict, and makes all of them count with one commit.  A call that fails may
 be made again; with a ``request`` name it is applied once.  Scratch that the
-verdicts were built on is not needed after the commit.
+verdicts were built on is removed after the call.
 """
 
 from __future__ import annotations
@@ -21,7 +21,7 @@ def keep_customers(customer: DataFrame, batch: DataFrame, nation: DataFrame, out
     """Add customers to the table stored at ``out_path``, which begins as
     ``customer``.  Returns the table after the call."""
     table = StoredTable(customer.sparkSession, out_path, CUSTOMER)
-    return table.change(lambda existing: admission.add_customers(existing, batch, nation, seq),
+    return table.change(lambda existing, scratch: admission.add_customers(existing, batch, nation, seq, scratch=scratch),
                         by=admission.VERDICT, accepted={admission.ACCEPTED}, request=request, base=customer)
 
 
@@ -30,7 +30,7 @@ def keep_orders(orders: DataFrame, batch: DataFrame, customer: DataFrame, out_pa
     """Accept orders into the table stored at ``out_path``, which begins as
     ``orders``.  Returns the table after the call."""
     table = StoredTable(orders.sparkSession, out_path, ORDERS)
-    return table.change(lambda existing: admission.accept_orders(existing, batch, customer, seq),
+    return table.change(lambda existing, scratch: admission.accept_orders(existing, batch, customer, seq, scratch=scratch),
                         by=admission.VERDICT, accepted={admission.ACCEPTED}, request=request, base=orders)
 
 
@@ -40,6 +40,6 @@ def keep_products(part: DataFrame, batch: DataFrame, out_path: str, seq: str | N
     begins as ``part``.  The merged list is written whole (copy on write);
     rows without a key are refused.  Returns the list after the call."""
     table = StoredTable(part.sparkSession, out_path, PART)
-    return table.change(lambda current: products.upsert_products(current, batch, seq), by="action",
+    return table.change(lambda current, scratch: products.upsert_products(current, batch, seq, scratch=scratch), by="action",
                         accepted={products.INSERTED, products.UPDATED, products.UNCHANGED, products.KEPT},
                         request=request, base=part, replace=True)

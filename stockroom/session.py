@@ -65,11 +65,12 @@ def _own_scratch(spark: SparkSession) -> str:
     return f"{shared_dir(spark).rstrip('/')}/stockroom/{spark.sparkContext.applicationId}"
 
 
-def materialise(df: DataFrame, name: str) -> DataFrame:
+def materialise(df: DataFrame, name: str, within: str | None = None) -> DataFrame:
     """``df`` written once to scratch and read back: every later reader sees
     the same rows, also if ``df`` would not give them twice, and a lost
-    executor loses nothing."""
-    path = scratch_dir(df.sparkSession, name)
+    executor loses nothing.  ``within`` is a scratch folder of the caller,
+    who removes it; else ``clear_scratch`` does."""
+    path = f"{within}/{name}-{uuid.uuid4().hex[:12]}" if within else scratch_dir(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 

@@ -22,6 +22,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from stockroom.session import scratch_dir
 from stockroom.sources.manifest import KEEP, ConflictError, Manifest
 from stockroom.streaming import files
 
@@ -85,10 +86,10 @@ class StoredTable:
         return {n.split("=", 1)[1]: f"{name}/{n}" for n in files.child_names(self.spark, f"{self.path}/{name}")
                 if n.startswith(f"{by}=")}
 
-    def change(self, judge: Callable[[DataFrame | None], DataFrame], by: str, accepted: set[str],
+    def change(self, judge: Callable[[DataFrame | None, str], DataFrame], by: str, accepted: set[str],
                request: str | None = None, base: DataFrame | None = None, replace: bool = False) -> DataFrame:
-        """Apply one call: ``judge(existing)`` gives its rows with the column
-        ``by``; those with a value of ``accepted`` join the table (``replace``:
+        """Apply one call: ``judge(existing, scratch)`` gives its rows with the
+        column ``by`` (``scratch`` is a folder that is removed when they are written); those with a value of ``accepted`` join the table (``replace``:
         become the table), the others are kept as refused.  ``base`` is the
         table before the first call, copied once (``adopt`` instead copies
         nothing).  If another writer commits meanwhile the rows are judged again."""
@@ -103,8 +104,12 @@ class StoredTable:
                 base.select(*self.schema.fieldNames()).write.parquet(f"{self.path}/{name}")
                 kept = [name]
             existing = self._open(kept, self.schema) if version >= 0 or kept else base
-            rows = judge(existing)
-            got = self.write(rows, by)
+            scratch = scratch_dir(self.spark, "call")
+            try:
+                rows = judge(existing, scratch)
+                got = self.write(rows, by)
+            finally:
+                files.remove(self.spark, scratch)
             new = [d for v, d in sorted(got.items()) if v in accepted]
             refused_schema = StructType([f for f in rows.schema.fields if f.name != by])
             after = {"rows": new if replace else kept + new,

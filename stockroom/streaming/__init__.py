@@ -1,6 +1,6 @@
 from stockroom.streaming.triggers import (CUSTOMER_RULES, ORDER_RULES, InsertRules, InsertTrigger,
                                           accepted_rows, audit_log, kept_totals, on_insert,
-                                          register_trigger_views)
+                                          register_trigger_views, rejected_rows)
 
 __all__ = ["CUSTOMER_RULES", "ORDER_RULES", "InsertRules", "InsertTrigger",
-           "accepted_rows", "audit_log", "kept_totals", "on_insert", "register_trigger_views"]
+           "accepted_rows", "audit_log", "kept_totals", "on_insert", "register_trigger_views", "rejected_rows"]

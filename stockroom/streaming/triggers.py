@@ -18,6 +18,13 @@ Streaming query with ``foreachBatch``.  For micro-batch ``N``:
   per-customer partial aggregate of the rows accepted in batch N;
   ``kept_totals`` re-aggregates the partials.
 
+Folding: batches leave small folders.  Every ``compact_every`` committed
+batches a thread beside the stream folds what they wrote (keys, totals,
+audit log, rows) into segments that grow level by level
+(``streaming.segments``); the folders of folded batches go a round later.  Key segments carry
+filters, so that a batch opens only the key files that may hold its keys
+(``streaming.keyfilters``).
+
 Replay safety: a crash after the writes and before the stream commits
 makes Spark run batch N again.  Each output is overwritten per batch id,
 and the key check reads accepted rows of earlier batches only, so a replay
@@ -33,6 +40,8 @@ came since.  A frame given as such stays as it was.
 
 from __future__ import annotations
 
+import threading
+import warnings
 import zlib
 from collections.abc import Callable
 from dataclasses import dataclass
@@ -45,10 +54,14 @@ from pyspark.sql.streaming import StreamingQuery
 from stockroom.operators.admission import ACCEPTED, VERDICT, admit_landed
 from stockroom.operators.totals import merge_totals, order_totals_partial
 from stockroom.schemas import CUSTOMER, ORDERS
-from stockroom.streaming import files
+from stockroom.session import scratch_dir
+from stockroom.streaming import files, keyfilters
+from stockroom.streaming.segments import FULL_BYTES, Segments
 
 LANDED = "landed"   # struct(time, file, row): where a row came from; also its insertion order
-COMPACT_EVERY = 20  # batches between two compactions
+COMPACT_EVERY = 20  # committed batches between two rounds of folding
+PACK_BYTES = 128 << 20   # files of folded rows and audit logs
+KEYS, TOTALS, AUDIT, ROWS = "keys", "totals", "audit", "rows"
 
 Source = DataFrame | str | Callable[[], DataFrame]
 
@@ -90,16 +103,40 @@ def open_source(spark: SparkSession, source: Source) -> DataFrame:
     return source() if callable(source) else source
 
 
-def _accepted(spark: SparkSession, out_dir: str, rules: InsertRules, after: int, upto: int) -> DataFrame:
-    """Accepted rows of the batches ``after < batch_id <= upto``; only
-    their directories are listed."""
-    schema = T.StructType(list(rules.schema.fields) + [T.StructField("batch_id", T.LongType())])
-    root = _rows_path(out_dir)
-    dirs = [d for i in range(after + 1, upto + 1)
-            if files.exists(spark, d := f"{root}/batch_id={i}/{VERDICT}={ACCEPTED}")]
-    if not dirs:
-        return spark.createDataFrame([], schema)
-    return spark.read.schema(schema).option("basePath", root).parquet(*dirs).select(*schema.fieldNames())
+def segments_of(spark: SparkSession, out_dir: str, what: str) -> Segments:
+    # a key segment takes part in every probe, so no size ends its folding
+    return Segments(spark, f"{out_dir}/segments/{what}", full_bytes=FULL_BYTES if what in (AUDIT, ROWS) else 1 << 62)
+
+
+def _batch_dirs(spark: SparkSession, out_dir: str, what: str, after: int, upto: int, below: str = "") -> list[str]:
+    """Folders of the batches ``after < batch_id <= upto`` that exist; only
+    they are looked at."""
+    return [d for i in range(after + 1, upto + 1)
+            if files.exists(spark, d := f"{out_dir}/{what}/batch_id={i}{below}")]
+
+
+def _stored_schema(rules: InsertRules) -> T.StructType:
+    return T.StructType(list(_row_schema(rules).fields)
+                        + [T.StructField("batch_id", T.LongType()), T.StructField(VERDICT, T.StringType())])
+
+
+def _read_rows(spark: SparkSession, out_dir: str, rules: InsertRules, segments: list[dict], after: int, upto: int,
+               accepted: bool) -> DataFrame:
+    """Rows of segments and of the batches behind them."""
+    schema = _stored_schema(rules)
+    below = f"/{VERDICT}={ACCEPTED}" if accepted else ""
+    part = spark.createDataFrame([], schema)
+    if dirs := _batch_dirs(spark, out_dir, ROWS, after, upto, below):
+        part = spark.read.schema(schema).option("basePath", _rows_path(out_dir)).parquet(*dirs)
+    got = [part.select(*schema.fieldNames())]
+    for s in segments:
+        path = segments_of(spark, out_dir, ROWS).path(s)
+        if not below or files.exists(spark, path + below):
+            got.append(spark.read.schema(schema).option("basePath", path).parquet(path + below).select(*schema.fieldNames()))
+    out = got[0]
+    for g in got[1:]:
+        out = out.unionByName(g)
+    return out
 
 
 def _committed(spark: SparkSession, out_dir: str, checkpoint: str | None) -> int:
@@ -108,18 +145,22 @@ def _committed(spark: SparkSession, out_dir: str, checkpoint: str | None) -> int
     return -1 if n is None else n
 
 
+def _all_rows(spark: SparkSession, out_dir: str, rules: InsertRules, checkpoint: str | None, accepted: bool) -> DataFrame:
+    upto, segments = segments_of(spark, out_dir, ROWS).current()
+    return _read_rows(spark, out_dir, rules, segments, upto, _committed(spark, out_dir, checkpoint), accepted)
+
+
 def accepted_rows(spark: SparkSession, out_dir: str, rules: InsertRules = ORDER_RULES,
                   checkpoint: str | None = None) -> DataFrame:
     """The rows the trigger let in, with the batch that accepted them."""
-    path = _rows_path(out_dir)
-    schema = T.StructType(list(_row_schema(rules).fields)
-                          + [T.StructField("batch_id", T.LongType()), T.StructField(VERDICT, T.StringType())])
-    cols = [f.name for f in rules.schema.fields] + ["batch_id"]
-    if not files.exists(spark, path):
-        return spark.createDataFrame([], schema).select(*cols)
-    return (spark.read.schema(schema).option("basePath", path).parquet(path)
-            .filter((F.col(VERDICT) == ACCEPTED) & (F.col("batch_id") <= _committed(spark, out_dir, checkpoint)))
-            .select(*cols))
+    return _all_rows(spark, out_dir, rules, checkpoint, True).select(*[f.name for f in rules.schema.fields], "batch_id")
+
+
+def rejected_rows(spark: SparkSession, out_dir: str, rules: InsertRules = ORDER_RULES,
+                  checkpoint: str | None = None) -> DataFrame:
+    """The rows the trigger refused, with the reason and the batch."""
+    return (_all_rows(spark, out_dir, rules, checkpoint, False).filter(F.col(VERDICT) != ACCEPTED)
+            .select(*[f.name for f in rules.schema.fields], "batch_id", VERDICT))
 
 
 AUDIT_SCHEMA = T.StructType([
@@ -131,12 +172,16 @@ AUDIT_SCHEMA = T.StructType([
 ])
 
 
+def _read_audit(spark: SparkSession, out_dir: str, segments: list[dict], after: int, upto: int) -> DataFrame:
+    """The log of segments and of the batches behind them."""
+    at = segments_of(spark, out_dir, AUDIT)
+    paths = [at.path(s) for s in segments] + _batch_dirs(spark, out_dir, AUDIT, after, upto)
+    return spark.read.schema(AUDIT_SCHEMA).parquet(*paths) if paths else spark.createDataFrame([], AUDIT_SCHEMA)
+
+
 def audit_log(spark: SparkSession, out_dir: str, checkpoint: str | None = None) -> DataFrame:
-    path = f"{out_dir}/audit"
-    if not files.exists(spark, path):
-        return spark.createDataFrame([], AUDIT_SCHEMA)
-    return (spark.read.schema(AUDIT_SCHEMA).option("basePath", path).parquet(path)
-            .filter(F.col("batch_id") <= _committed(spark, out_dir, checkpoint)))
+    upto, segments = segments_of(spark, out_dir, AUDIT).current()
+    return _read_audit(spark, out_dir, segments, upto, _committed(spark, out_dir, checkpoint))
 
 
 TOTALS_SCHEMA = T.StructType([
@@ -148,33 +193,18 @@ TOTALS_SCHEMA = T.StructType([
 ])
 
 
-def _snapshot_path(out_dir: str, what: str) -> str:
-    return f"{out_dir}/snapshots/{what}"
-
-
-def latest_snapshot(spark: SparkSession, out_dir: str, what: str) -> int | None:
-    """Highest N of a complete ``snapshots/<what>/upto=N`` (one with _SUCCESS)."""
-    path = _snapshot_path(out_dir, what)
-    done = [int(n[len("upto="):]) for n in files.child_names(spark, path)
-            if n.startswith("upto=") and files.exists(spark, f"{path}/{n}/_SUCCESS")]
-    return max(done) if done else None
-
-
-def _partials(spark: SparkSession, out_dir: str, after: int, upto: int) -> DataFrame:
-    """Totals partials of the batches ``after < batch_id <= upto``."""
-    dirs = [d for i in range(after + 1, upto + 1) if files.exists(spark, d := f"{out_dir}/totals/batch_id={i}")]
-    return spark.read.schema(TOTALS_SCHEMA).parquet(*dirs) if dirs else spark.createDataFrame([], TOTALS_SCHEMA)
+def _read_totals(spark: SparkSession, out_dir: str, segments: list[dict], after: int, upto: int) -> DataFrame:
+    """Partials of segments and of the batches behind them."""
+    at = segments_of(spark, out_dir, TOTALS)
+    paths = [at.path(s) for s in segments] + _batch_dirs(spark, out_dir, TOTALS, after, upto)
+    return spark.read.schema(TOTALS_SCHEMA).parquet(*paths) if paths else spark.createDataFrame([], TOTALS_SCHEMA)
 
 
 def kept_totals(spark: SparkSession, out_dir: str, checkpoint: str | None = None) -> DataFrame:
-    """O12 view: current per-customer totals, the latest snapshot merged
-    with the partials of the committed batches after it."""
-    m = latest_snapshot(spark, out_dir, "totals")
-    parts = _partials(spark, out_dir, -1 if m is None else m, _committed(spark, out_dir, checkpoint))
-    if m is None:
-        return merge_totals(parts)
-    snap = spark.read.schema(TOTALS_SCHEMA).parquet(f"{_snapshot_path(out_dir, 'totals')}/upto={m}")
-    return merge_totals(snap, parts)
+    """O12 view: current per-customer totals, the segments merged with the
+    partials of the committed batches behind them."""
+    upto, segments = segments_of(spark, out_dir, TOTALS).current()
+    return merge_totals(_read_totals(spark, out_dir, segments, upto, _committed(spark, out_dir, checkpoint)))
 
 
 def committed_batch(spark: SparkSession, checkpoint: str) -> int | None:
@@ -191,8 +221,8 @@ class InsertTrigger:
     None), ``reference`` the table the reference column must point into
     (customers for orders, nations for customers); see the module doc for
     what they may be.  ``max_files_per_trigger`` bounds a micro-batch (None:
-    everything new at once); every ``compact_every`` batches the keys and
-    totals are compacted (None: only by ``compact``).
+    everything new at once); every ``compact_every`` committed batches a thread
+    beside the stream folds them (None: only by ``compact``).
     """
 
     def __init__(self, spark: SparkSession, in_dir: str, out_dir: str, rules: InsertRules,
@@ -208,6 +238,8 @@ class InsertTrigger:
         self.checkpoint = checkpoint or f"{self.out_dir}/_checkpoint"
         self.max_files = max_files_per_trigger
         self.compact_every = compact_every
+        self.folding: threading.Thread | None = None
+        self.opened: dict[int, tuple[int, int]] = {}    # by batch: key parts that were opened, and all
 
     # -- the stream --------------------------------------------------------
     def source(self) -> DataFrame:
@@ -251,69 +283,110 @@ class InsertTrigger:
         q.awaitTermination()
         if q.exception() is not None:
             raise q.exception()
+        if self.folding is not None:
+            self.folding.join()
 
     # -- one micro-batch ---------------------------------------------------
-    def existing_keys(self, batch_id: int) -> DataFrame:
-        """Base table keys plus keys accepted by earlier batches only: the
-        latest key snapshot (if it is older than this batch) and the rows of
-        the batches after it."""
+    def existing_keys(self, batch_id: int, first: DataFrame | None = None, n: int = 0) -> DataFrame:
+        """Base table keys plus keys accepted by earlier batches only: of the
+        key segments the parts that may hold one of ``first`` (``n`` keys; all
+        parts without it), and the rows of the batches behind the segments."""
         key = self.rules.key
-        m = latest_snapshot(self.spark, self.out_dir, "keys")
-        if m is not None and m >= batch_id:
-            m = None
-        keys = _accepted(self.spark, self.out_dir, self.rules, -1 if m is None else m, batch_id - 1).select(key)
-        if m is not None:
-            keys = keys.unionByName(self.spark.read.parquet(
-                f"{_snapshot_path(self.out_dir, 'keys')}/upto={m}").select(key))
+        at = segments_of(self.spark, self.out_dir, KEYS)
+        upto, segments = at.current()
+        if upto >= batch_id:                 # an old batch again, by hand: only what was before it
+            segments = [s for s in segments if s["hi"] < batch_id]
+            upto = max([-1, *(s["hi"] for s in segments)])
+        keys = _read_rows(self.spark, self.out_dir, self.rules, [], upto, batch_id - 1, True).select(key)
+        paths = [at.path(s) for s in segments]
+        if paths and first is not None and n <= keyfilters.PROBE_KEYS:
+            paths, total = keyfilters.parts_with(paths, first, key)
+            self.opened[batch_id] = (len(paths), total)
+        else:
+            paths = [f"{p}/keys" for p in paths]
+        if paths:
+            schema = T.StructType([self.rules.schema[key]])
+            keys = keys.unionByName(self.spark.read.schema(schema).option("recursiveFileLookup", "true").parquet(*paths))
         if self.base is not None:
             keys = open_source(self.spark, self.base).select(key).unionByName(keys)
         return keys
 
     def compact(self) -> int | None:
-        """Fold the committed batches into snapshots: all accepted keys
-        (range-partitioned and sorted, so parquet statistics prune probes)
-        and merged totals.  Later batches and ``kept_totals`` read the
-        snapshot instead of every earlier batch.  Each snapshot goes to a
-        new ``upto=N`` directory and counts only once complete (_SUCCESS),
-        so compaction may run beside the stream.  Returns N."""
+        """Fold the committed batches (see ``streaming.segments``): accepted
+        keys with their filters, merged totals, the audit log and the rows.  Each becomes visible
+        by a manifest of its own, so this may run beside the stream and may
+        fail anywhere.  Returns the last folded batch."""
         n = committed_batch(self.spark, self.checkpoint)
-        m = latest_snapshot(self.spark, self.out_dir, "keys")
-        if n is None or (m is not None and m >= n):
-            return m
-        key = self.rules.key
-        new_keys = _accepted(self.spark, self.out_dir, self.rules, -1 if m is None else m, n).select(key)
-        if m is not None:
-            new_keys = new_keys.unionByName(self.spark.read.parquet(
-                f"{_snapshot_path(self.out_dir, 'keys')}/upto={m}").select(key))
-        (new_keys.repartitionByRange(key).sortWithinPartitions(key)
-                 .write.mode("overwrite").parquet(f"{_snapshot_path(self.out_dir, 'keys')}/upto={n}"))
+        if n is None:
+            return None
+        spark, out, key = self.spark, self.out_dir, self.rules.key
+
+        def keys(segments: list[dict], after: int, path: str) -> None:
+            rows = _read_rows(spark, out, self.rules, [], after, n, True).select(key)
+            for s in segments:
+                rows = rows.unionByName(spark.read.schema(T.StructType([self.rules.schema[key]]))
+                                        .parquet(f"{segments_of(spark, out, KEYS).path(s)}/keys").select(key))
+            keyfilters.write_parts(rows, key, path)
+
+        def totals(segments: list[dict], after: int, path: str) -> None:
+            merge_totals(_read_totals(spark, out, segments, after, n)).write.parquet(path)
+
+        def packed(df: DataFrame, segments: list[dict], dirs: list[str], path: str, by: str | None = None) -> None:
+            held = sum(s["bytes"] for s in segments) + sum(sum(files.sizes(spark, d).values()) for d in dirs)
+            df = df.coalesce(max(1, -(-held // PACK_BYTES)))
+            (df.write.partitionBy(by) if by else df.write).parquet(path)
+
+        def audit(segments: list[dict], after: int, path: str) -> None:
+            packed(_read_audit(spark, out, segments, after, n), segments, _batch_dirs(spark, out, AUDIT, after, n), path)
+
+        def rows(segments: list[dict], after: int, path: str) -> None:
+            packed(_read_rows(spark, out, self.rules, segments, after, n, False), segments,
+                   _batch_dirs(spark, out, ROWS, after, n), path, VERDICT)
+        segments_of(spark, out, KEYS).round(n, keys)
         if self.rules.keeps_totals:
-            t = latest_snapshot(self.spark, self.out_dir, "totals")
-            parts = _partials(self.spark, self.out_dir, -1 if t is None else t, n)
-            if t is not None:
-                parts = parts.unionByName(self.spark.read.schema(TOTALS_SCHEMA).parquet(
-                    f"{_snapshot_path(self.out_dir, 'totals')}/upto={t}"))
-            (merge_totals(parts).write.mode("overwrite")
-             .parquet(f"{_snapshot_path(self.out_dir, 'totals')}/upto={n}"))
-        # The snapshot before this one stays for readers that have it open.
-        for what, last in (("keys", m), ("totals", m)):
-            path = _snapshot_path(self.out_dir, what)
-            for name in files.child_names(self.spark, path):
-                if name.startswith("upto=") and last is not None and int(name[len("upto="):]) < last:
-                    files.remove(self.spark, f"{path}/{name}")
+            segments_of(spark, out, TOTALS).round(n, totals)
+        segments_of(spark, out, AUDIT).round(n, audit)
+        segments_of(spark, out, ROWS).round(n, rows)
+        # key segments read the rows of batches, so those stay until both have them
+        for what, needed in ((TOTALS, [TOTALS]), (AUDIT, [AUDIT]), (ROWS, [ROWS, KEYS])):
+            settled = min(segments_of(spark, out, w).settled() for w in needed)
+            for name in files.child_names(spark, f"{out}/{what}"):
+                if name.startswith("batch_id=") and int(name[len("batch_id="):]) <= settled:
+                    files.remove(spark, f"{out}/{what}/{name}")
         return n
 
+    def _fold_beside(self) -> None:
+        """Start a round in a thread of its own if one is due and none runs.
+        A round that fails counts for nothing; the next one does its work."""
+        if not self.compact_every or (self.folding is not None and self.folding.is_alive()):
+            return
+        upto = segments_of(self.spark, self.out_dir, KEYS).current()[0]
+        if _committed(self.spark, self.out_dir, self.checkpoint) - upto < self.compact_every:
+            return
+
+        def run() -> None:
+            try:
+                self.compact()
+            except Exception as e:
+                warnings.warn(f"folding of {self.out_dir} failed and will be tried again: {e}", stacklevel=1)
+        self.folding = threading.Thread(target=run, daemon=True, name=f"fold-{self.rules.table}")
+        self.folding.start()
+
     def handle(self, batch: DataFrame, batch_id: int) -> None:
+        scratch = scratch_dir(self.spark, "trigger")
+        try:
+            self._handle(batch, batch_id, scratch)
+        finally:
+            files.remove(self.spark, scratch)
+        self._fold_beside()
+
+    def _handle(self, batch: DataFrame, batch_id: int, scratch: str) -> None:
         r = self.rules
-        if self.compact_every:
-            done = latest_snapshot(self.spark, self.out_dir, "keys")
-            if batch_id - 1 - (-1 if done is None else done) >= self.compact_every:
-                self.compact()
         verdicts = admit_landed(batch, key=r.key, landed=LANDED,
-                                existing=self.existing_keys(batch_id), existing_key=r.key,
+                                existing=lambda first, n: self.existing_keys(batch_id, first, n), existing_key=r.key,
                                 ref_col=r.ref_col, reference=open_source(self.spark, self.reference),
                                 reference_key=r.reference_key, unknown=r.unknown,
-                                small_reference=r.small_reference, money_col=r.money_col)
+                                small_reference=r.small_reference, money_col=r.money_col, scratch=scratch)
         rows_n = f"{_rows_path(self.out_dir)}/batch_id={batch_id}"
         # O10: one pass over the batch; accepted and rejected rows go to
         # their own verdict=... directories.

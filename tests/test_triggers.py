@@ -151,7 +151,7 @@ def test_empty_landing_and_no_landing(spark, tables001):
 
 
 def test_compaction_keeps_results(spark, tables001):
-    from stockroom.streaming.triggers import latest_snapshot
+    from stockroom.streaming.triggers import segments_of
     work = scratch_dir(spark, "test-trigger-compact")
     in_dir, out_dir = f"{work}/in", f"{work}/out"
     orders = tables001["orders"]
@@ -174,15 +174,17 @@ def test_compaction_keeps_results(spark, tables001):
     land(0, 0, 59)
     land(1, 50, 109)
     assert trig.compact() == 1
-    assert latest_snapshot(spark, out_dir, "keys") == 1
+    assert segments_of(spark, out_dir, "keys").current()[0] == 1
     assert totals_match(109)
-    land(2, 100, 159)            # its repeats are found through the key snapshot
+    land(2, 100, 159)            # its repeats are found through the key segment
     assert verdicts(2) == {"accepted": 50, "already_exists": 10}
     assert totals_match(159)
-    assert trig.compact() == 2   # incremental: snapshot 1 + batch 2
+    assert trig.compact() == 2   # incremental: batch 2 alone
     assert trig.compact() == 2   # nothing new committed
-    snap = spark.read.parquet(f"{out_dir}/snapshots/keys/upto=2")
-    assert snap.count() == 160 and snap.distinct().count() == 160
+    at = segments_of(spark, out_dir, "keys")
+    assert [(s["lo"], s["hi"]) for s in at.current()[1]] == [(0, 1), (2, 2)]
+    keys = spark.read.option("recursiveFileLookup", "true").parquet(*[f"{at.path(s)}/keys" for s in at.current()[1]]).select("o_orderkey")
+    assert keys.count() == 160 and keys.distinct().count() == 160
     land(3, 150, 199)
     assert verdicts(3) == {"accepted": 40, "already_exists": 10}
     assert accepted_rows(spark, out_dir).count() == 200
@@ -283,7 +285,7 @@ def test_reference_is_opened_for_each_batch(spark):
 
 def test_compaction_runs_by_itself_and_bounds_what_is_listed(spark, tables001):
     from stockroom.streaming import files
-    from stockroom.streaming.triggers import latest_snapshot
+    from stockroom.streaming.triggers import segments_of
     work = scratch_dir(spark, "test-trigger-auto")
     in_dir, out_dir = f"{work}/in", f"{work}/out"
     k = F.col("o_orderkey")
@@ -291,10 +293,12 @@ def test_compaction_runs_by_itself_and_bounds_what_is_listed(spark, tables001):
     for i in range(7):
         tables001["orders"].filter(k.between(10 * i, 10 * i + 14)).coalesce(1).write.parquet(f"{in_dir}/{i}")
         trig.run_available()
-        done = latest_snapshot(spark, out_dir, "keys")
-        assert i - (-1 if done is None else done) <= 2
-        assert len(files.child_names(spark, f"{out_dir}/snapshots/keys")) <= 2
+        at = segments_of(spark, out_dir, "keys")
+        done, segments = at.current()
+        assert i - done <= 2
+        assert len(files.child_names(spark, f"{at.folder}/data")) <= 2 * at.fanout
         inputs = trig.existing_keys(i + 1).inputFiles()
-        assert not [f for f in inputs for b in range(0, (done or -1) + 1) if f"batch_id={b}/" in f]
+        assert not [f for f in inputs for b in range(0, done + 1) if f"batch_id={b}/" in f]
     assert accepted_rows(spark, out_dir).count() == 75
     assert kept_totals(spark, out_dir).agg(F.sum("n_orders")).first()[0] == 75
+    assert audit_log(spark, out_dir).count() == 105
