@@ -11,7 +11,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 
-from stockroom.streaming import files
+from stockroom import files
 
 
 def write_table(df: DataFrame, path: str, mode: str = "errorifexists",

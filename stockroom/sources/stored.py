@@ -24,7 +24,7 @@ from pyspark.sql.types import StructType
 
 from stockroom.session import scratch_dir
 from stockroom.sources.manifest import KEEP, ConflictError, Manifest
-from stockroom.streaming import files
+from stockroom import files
 
 REQUESTS = 10_000      # latest requests that are remembered
 FILE_BYTES = 128 << 20

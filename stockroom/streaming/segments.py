@@ -23,7 +23,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from stockroom.sources.manifest import Manifest
-from stockroom.streaming import files
+from stockroom import files
 
 FANOUT = 4
 FULL_BYTES = 1 << 30

@@ -55,7 +55,8 @@ from stockroom.operators.admission import ACCEPTED, VERDICT, admit_landed
 from stockroom.operators.totals import merge_totals, order_totals_partial
 from stockroom.schemas import CUSTOMER, ORDERS
 from stockroom.session import scratch_dir
-from stockroom.streaming import files, keyfilters
+from stockroom import files
+from stockroom.streaming import keyfilters
 from stockroom.streaming.segments import FULL_BYTES, Segments
 
 LANDED = "landed"   # struct(time, file, row): where a row came from; also its insertion order

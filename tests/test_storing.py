@@ -10,7 +10,7 @@ from stockroom.sources import stored
 from stockroom.sources.batches import customer_batch, existing_customers, existing_orders, order_batch, product_batch
 from stockroom.sources.manifest import ConflictError, Manifest
 from stockroom.sources.stored import StoredTable
-from stockroom.streaming import files
+from stockroom import files
 
 
 def _rows(df):

@@ -284,7 +284,7 @@ def test_reference_is_opened_for_each_batch(spark):
 
 
 def test_compaction_runs_by_itself_and_bounds_what_is_listed(spark, tables001):
-    from stockroom.streaming import files
+    from stockroom import files
     from stockroom.streaming.triggers import segments_of
     work = scratch_dir(spark, "test-trigger-auto")
     in_dir, out_dir = f"{work}/in", f"{work}/out"
