@@ -22,7 +22,8 @@ Defined cases.  Null vectors, and those that are zero, empty or hold null or
 non-finite components, take no part; nor do rows with a null ``vec_id``.
 Vectors of different lengths do not meet.  A row is not its own neighbour:
 rows of the query's ``vec_id`` are left out.  Queries with no other row give
-no result.  Repeated ``vec_id`` with different vectors are rows of their own.
+no result.  Rows that repeat a ``vec_id`` are rows of
+their own: each is found, and each query row gets its own results.
 """
 
 from __future__ import annotations
@@ -93,7 +94,8 @@ class Forest:
         sure = np.flatnonzero(votes > cut)
         return np.append(sure, np.flatnonzero(votes == cut)[:self.wanted - len(sure)])
 
-    def search(self, ids: np.ndarray, vectors: np.ndarray) -> Iterator[tuple[int, list, list]]:
+    def search(self, ids: np.ndarray, vectors: np.ndarray) -> Iterator[tuple[list, list]]:
+        """(ids, cosines) of the nearest rows of each query."""
         unit = vectors / np.linalg.norm(vectors, axis=1, keepdims=True)
         low, high = self.ranges(hash_strings(unit))
         for i, (q, v) in enumerate(zip(ids.tolist(), vectors)):
@@ -102,7 +104,7 @@ class Forest:
             x = self.vectors[c]
             cos = (x * v).sum(axis=1) / (np.sqrt((x * x).sum(axis=1)) * np.sqrt((v * v).sum()))
             best = np.lexsort((self.ids[c], -cos))[:NEAREST]
-            yield q, self.ids[c][best].tolist(), cos[best].tolist()
+            yield self.ids[c][best].tolist(), cos[best].tolist()
 
 
 def _usable(df: DataFrame, id_col: str, vector_col: str) -> DataFrame:
@@ -118,7 +120,8 @@ def _pack(names: list[str]):
     def run(key: tuple, rows: pa.Table) -> pa.Table:
         v = rows.column("v").combine_chunks()
         flat = v.flatten().to_numpy(zero_copy_only=False).astype("<f8")
-        return pa.table({**{n: pa.array([k.as_py()], pa.int32()) for n, k in zip(names, key)},
+        row = {"q": pa.array([rows.column("q").to_pylist()], pa.list_(pa.int64()))} if "q" in rows.column_names else {}
+        return pa.table({**{n: pa.array([k.as_py()], pa.int32()) for n, k in zip(names, key)}, **row,
                          "ids": pa.array([rows.column("id").to_pylist()], pa.list_(pa.int64())),
                          "v": pa.array([flat.tobytes()], pa.large_binary()).cast(pa.binary())})
     return run
@@ -137,8 +140,9 @@ def _search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 built = (dim, shard)
             got = list(forest.search(np.array(batch.column("q_ids")[row].values, np.int64), matrix("q_v")))
             yield pa.RecordBatch.from_arrays(
-                [pa.array([g[0] for g in got], pa.int64()), pa.array([g[1] for g in got], pa.list_(pa.int64())),
-                 pa.array([g[2] for g in got], pa.list_(pa.float64()))], names=["query_id", "ids", "scores"])
+                [batch.column("q")[row].values, batch.column("q_ids")[row].values,
+                 pa.array([g[0] for g in got], pa.list_(pa.int64())),
+                 pa.array([g[1] for g in got], pa.list_(pa.float64()))], names=["q", "query_id", "ids", "scores"])
 
 
 def nearest(rows: DataFrame, queries: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding") -> DataFrame:
@@ -150,14 +154,15 @@ def nearest(rows: DataFrame, queries: DataFrame, id_col: str = "vec_id", vector_
     part = lambda k, salt: F.pmod(F.xxhash64("id", "v", F.lit(salt)), F.lit(k)).cast("int")
     packed = (data.groupBy("dim", part(shards, 1).alias("shard"))
               .applyInArrow(_pack(["dim", "shard"]), "dim int, shard int, ids array<long>, v binary"))
-    asked = (asked.groupBy("dim", part(blocks, 2).alias("block"))
-             .applyInArrow(_pack(["dim", "block"]), "dim int, block int, ids array<long>, v binary")
+    # queries are told apart by their place: their ids may repeat
+    asked = (asked.withColumn("q", F.monotonically_increasing_id()).groupBy("dim", part(blocks, 2).alias("block"))
+             .applyInArrow(_pack(["dim", "block"]), "dim int, block int, q array<long>, ids array<long>, v binary")
              .select("dim", F.explode(F.sequence(F.lit(0), F.lit(shards - 1))).alias("shard"),
-                     F.col("ids").alias("q_ids"), F.col("v").alias("q_v")))
+                     "q", F.col("ids").alias("q_ids"), F.col("v").alias("q_v")))
     pairs = packed.hint("merge").join(asked, ["dim", "shard"])
-    found = pairs.mapInArrow(_search, "query_id long, ids array<long>, scores array<double>")
-    best = (found.select("query_id", F.explode(F.arrays_zip("ids", "scores")).alias("x"))
-            .groupBy("query_id").agg(F.slice(F.sort_array(F.collect_list(
+    found = pairs.mapInArrow(_search, "q long, query_id long, ids array<long>, scores array<double>")
+    best = (found.select("q", "query_id", F.explode(F.arrays_zip("ids", "scores")).alias("x"))
+            .groupBy("q", "query_id").agg(F.slice(F.sort_array(F.collect_list(
                 F.struct((-F.col("x.scores")).alias("far"), F.col("x.ids").alias("id")))), 1, NEAREST).alias("best")))
     return best.select("query_id", F.posexplode("best").alias("k", "b")).select(
         "query_id", (F.col("k") + 1).cast("int").alias("rank"), F.col("b.id").alias("vec_id"),

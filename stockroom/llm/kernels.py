@@ -46,8 +46,8 @@ def powers(r: int, n: int) -> np.ndarray:
     return np.multiply.accumulate(out)
 
 
-R1, R2 = 0x9E3779B97F4A7C15, 0xD1342543DE82EF95   # odd multipliers of the word hashes
-RW1, RW2 = 0xA0761D6478BD642F, 0xE7037ED1A0B428DB  # and of the window hashes
+R1, R2 = 0x9E3779B97F4A7C15, 0xD1342543DE82EF95   # salts of the word hashes
+RW1, RW2 = 0xA0761D6478BD642F, 0xE7037ED1A0B428DB  # odd multipliers of the window hashes
 
 
 @dataclass
@@ -65,15 +65,18 @@ class Words:
     h: np.ndarray
 
     def hash(self, r: int) -> np.ndarray:
+        """Each byte with its place in the word goes through the finaliser
+        with the salt ``r``; a word's hash is the sum, finalised.  (A
+        polynomial modulo 2**64 would give equal values for words that can be
+        written down, whatever its base.)"""
         if not len(self.start):
             return np.zeros(0, U)
-        gap = np.diff(np.append(self.start, len(self.data)))
-        at = np.arange(self.start[0], len(self.data), dtype=np.int64) - np.repeat(self.start, gap)
-        tail = self.data[self.start[0]:]
-        part = (tail.astype(U) + U(1)) * powers(r, int(gap.max()))[at]
-        part[at >= np.repeat(self.end - self.start, gap)] = 0
-        return mix64(np.add.reduceat(part, self.start - self.start[0])
-                     + (self.end - self.start).astype(U) * U(r))
+        size = self.end - self.start
+        first = np.cumsum(size) - size
+        at = np.arange(int(size.sum()), dtype=np.int64) - np.repeat(first, size)
+        byte = self.data[at + np.repeat(self.start, size)].astype(U)
+        part = mix64(((at.astype(U) << U(8)) | byte) ^ U(r))
+        return mix64(np.add.reduceat(part, first) + size.astype(U) * U(r))
 
 
 def text_column(batch: pa.RecordBatch, name: str) -> tuple[np.ndarray, np.ndarray]:
@@ -178,6 +181,15 @@ def discard(spark: SparkSession, path: str) -> None:
     where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
 
 
+def unused(name: str, columns: list[str]) -> str:
+    """``name`` with as many underscores in front as make it none of
+    ``columns`` (Spark tells names apart without case)."""
+    taken = {c.lower() for c in columns}
+    while name.lower() in taken:
+        name = "_" + name
+    return name
+
+
 def signed(a: np.ndarray) -> np.ndarray:
     """64-bit hashes as Spark longs."""
     return a.view(np.int64) if a.flags.c_contiguous else np.ascontiguousarray(a).view(np.int64)

@@ -49,7 +49,7 @@ from pyspark.sql import types as T_
 from pyspark.sql.window import Window
 
 from stockroom.llm.components import connected_components
-from stockroom.llm.kernels import U, mix64, seeds, shingle_sets, signed, stash, word_groups
+from stockroom.llm.kernels import U, mix64, seeds, shingle_sets, signed, stash, unused, word_groups
 
 SHINGLE = 5
 M = 256                # signature coordinates
@@ -61,13 +61,14 @@ MISS, MISS_LOW, MISS_FUNNEL = 1.1e-5, 3.5e-6, 2e-7
 
 SIGNED = T_.StructType([
     T_.StructField("doc_id", T_.LongType()),
+    T_.StructField("th", T_.LongType()),
     T_.StructField("n_shingles", T_.LongType()),
     T_.StructField("c1", T_.LongType()),
     T_.StructField("c2", T_.LongType()),
     T_.StructField("sig", T_.ArrayType(T_.IntegerType(), False)),
 ])
 SETS = T_.StructType([
-    T_.StructField("doc_id", T_.LongType()),
+    T_.StructField("cls", T_.LongType()),
     T_.StructField("hashes", T_.ArrayType(T_.LongType(), False)),
 ])
 SKETCHED = T_.StructType([
@@ -121,7 +122,7 @@ def signature(s: np.ndarray, n: int) -> np.ndarray:
 def _signatures(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     head = FUNNEL[-1]
     for batch in batches:
-        ids = batch.column(0)
+        ids, th = batch.column(0), batch.column(1)
         for d, e, w in word_groups(batch, "text", lower=True):
             sets = shingle_sets(w, SHINGLE)
             c1 = [np.add.reduce(s) for s in sets]
@@ -129,7 +130,7 @@ def _signatures(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             sig = [signature(s, head) for s in sets if len(s)]
             at = np.append(0, np.cumsum([head if len(s) else 0 for s in sets])).astype(np.int32)
             yield pa.RecordBatch.from_arrays([
-                ids.slice(d, e - d),
+                ids.slice(d, e - d), th.slice(d, e - d),
                 pa.array(np.array([len(s) for s in sets], np.int64)),
                 pa.array(signed(np.array(c1, U))),
                 pa.array(signed(np.array(c2, U))),
@@ -164,10 +165,12 @@ def _matches(x: str, y: str):
     return F.aggregate(F.zip_with(x, y, lambda p, q: (p == q).cast("int")), F.lit(0), lambda s, v: s + v)
 
 
-def _sets_of(ids: DataFrame, texts: DataFrame) -> DataFrame:
-    """(doc_id, hashes) of the texts with these ids."""
-    return stash(texts.hint("merge").join(ids, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-                 .mapInArrow(_sets, SETS), "sets")
+def _sets_of(ids: DataFrame, where: DataFrame, texts: DataFrame) -> DataFrame:
+    """(cls, hashes) of the classes ``ids`` (cls).  ``where``: (cls, doc_id,
+    th), a row of ``texts`` (doc_id, th, text) that holds the class's set."""
+    at = where.join(ids, "cls", "left_semi")
+    return stash(texts.hint("merge").join(at, ["doc_id", "th"]).dropDuplicates(["cls"])
+                 .select("cls", "text").mapInArrow(_sets, SETS), "sets")
 
 
 def _side(reps: DataFrame, name: str) -> DataFrame:
@@ -191,8 +194,8 @@ def _candidates(pairs: DataFrame, reps: DataFrame, lim: Limits) -> DataFrame:
 def _confirm(pairs: DataFrame, sets: DataFrame, lim: Limits) -> DataFrame:
     """Pairs (a, b) of class ids whose full sets are similar enough."""
     pairs = stash(pairs, "pairs")
-    sa = sets.select(F.col("doc_id").alias("a"), F.col("hashes").alias("ha"))
-    sb = sets.select(F.col("doc_id").alias("b"), F.col("hashes").alias("hb"))
+    sa = sets.select(F.col("cls").alias("a"), F.col("hashes").alias("ha"))
+    sb = sets.select(F.col("cls").alias("b"), F.col("hashes").alias("hb"))
     inter = F.size(F.array_intersect("ha", "hb"))
     return stash(pairs.join(sa.hint("merge"), "a").join(sb.hint("merge"), "b")
                  .withColumn("i", inter)
@@ -236,15 +239,15 @@ def _through_funnel(reps: DataFrame, lim: Limits) -> DataFrame:
     return reps
 
 
-def class_components(reps: DataFrame, texts: DataFrame, lim: Limits) -> DataFrame:
+def class_components(reps: DataFrame, where: DataFrame, texts: DataFrame, lim: Limits) -> DataFrame:
     """(node, component) of the linked class representatives.  ``reps``:
     (cls, sig), one row per class, with the coordinates that the funnel needs;
-    ``texts``: (doc_id, text)."""
-    sets = _sets_of(_through_funnel(reps, lim).select(F.col("cls").alias("doc_id")), texts)
+    ``where`` and ``texts`` as for ``_sets_of``."""
+    sets = _sets_of(_through_funnel(reps, lim).select("cls"), where, texts)
     reps = stash(sets.mapInArrow(_sketches, SKETCHED), "sketches")
     lists = stash(postings(reps, lim), "postings")
     n_posts = lists.count()
-    sets = _sets_of(lists.select(F.col("cls").alias("doc_id")).distinct(), texts)
+    sets = _sets_of(lists.select("cls").distinct(), where, texts)
     weight = lists.groupBy("cls").agg(F.sum("n").alias("w"))
     lab = lists.withColumn("comp", F.col("cls"))
     comp, rounds, last = None, 0, None
@@ -286,34 +289,73 @@ def class_components(reps: DataFrame, texts: DataFrame, lim: Limits) -> DataFram
         comp.select(F.col("node").alias("a"), F.col("component").alias("b"))))
 
 
+def _texts(docs: DataFrame) -> DataFrame:
+    text = F.col("text").cast("string")
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(text).alias("th"), text.alias("text"))
+
+
 def signatures(docs: DataFrame) -> DataFrame:
-    """(doc_id, n_shingles, c1, c2, sig) of every row; c1 and c2 identify the set."""
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"),
-                       F.col("text").cast("string").alias("text")).mapInArrow(_signatures, SIGNED)
+    """(doc_id, th, n_shingles, c1, c2, sig) of every row; c1 and c2 identify
+    the set, th the text."""
+    return _texts(docs).mapInArrow(_signatures, SIGNED)
+
+
+KEY = ["c1", "c2", "n_shingles"]
+
+
+def set_classes(signed_docs: DataFrame) -> tuple[DataFrame, DataFrame | None]:
+    """Classes of equal sets: (c1, c2, n_shingles, cls, doc_id, th, sig), with
+    a row that holds the set; and links (a, b) between classes that rows of
+    one ``doc_id`` belong to (None if no id has two).  ``cls`` is the smallest
+    ``doc_id`` of the class; where classes have the same, all but one take a
+    hash instead."""
+    some = signed_docs.filter("n_shingles > 0 and doc_id is not null")
+    classes = stash(some.groupBy(*KEY).agg(F.min(F.struct("doc_id", "th")).alias("rep"), F.first("sig").alias("sig"))
+                    .select(*KEY, "rep.doc_id", "rep.th", "sig"), "classes")
+    key = F.struct(*KEY)
+    crowded = stash(classes.groupBy("doc_id").agg(F.min(key).alias("one"), F.count("*").alias("k")).filter("k > 1")
+                    .select("doc_id", "one"), "crowded")
+    classes = classes.withColumn("cls", F.col("doc_id"))
+    if not crowded.isEmpty():
+        classes = stash(classes.drop("cls").join(crowded, "doc_id", "left").withColumn(
+            "cls", F.when(F.col("one").isNull() | (F.col("one") == key), F.col("doc_id"))
+            .otherwise(F.xxhash64("doc_id", *KEY))).drop("one"), "classes")
+    several = stash(some.groupBy("doc_id").agg(F.min(key).alias("lo"), F.max(key).alias("hi"))
+                    .filter("lo <> hi").select("doc_id"), "several")
+    if several.isEmpty():
+        return classes, None
+    held = stash(some.select("doc_id", *KEY).join(several, "doc_id").join(classes.select(*KEY, "cls"), KEY)
+                 .select("doc_id", "cls").distinct(), "held")
+    least = held.groupBy("doc_id").agg(F.min("cls").alias("a"))
+    return classes, held.join(least, "doc_id").filter("a <> cls").select("a", F.col("cls").alias("b"))
 
 
 def near_duplicate_groups(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     """Per row of ``docs``: doc_id, n_shingles, component_id, kept.  Links
     have a similarity of at least ``percent`` / 100."""
     signed_docs = stash(signatures(docs), "signatures")
-    classes = stash(signed_docs.filter("n_shingles > 0 and doc_id is not null")
-                    .groupBy("c1", "c2", "n_shingles")
-                    .agg(F.min("doc_id").alias("cls"), F.first("sig").alias("sig")), "classes")
-    # a doc_id that repeats with other texts stands once
-    reps = classes.select("cls", "sig").dropDuplicates(["cls"])
-    comp = class_components(reps, docs.select(F.col("doc_id").cast("long").alias("doc_id"),
-                                              F.col("text").cast("string").alias("text")), limits(percent))
+    classes, same_id = set_classes(signed_docs)
+    where = classes.select("cls", "doc_id", "th")
+    comp = class_components(classes.select("cls", "sig"), where, _texts(docs), limits(percent))
+    if same_id is not None:
+        comp = connected_components(same_id.unionByName(comp.select(F.col("node").alias("a"), F.col("component").alias("b"))))
     named = stash(classes.join(comp, F.col("cls") == F.col("node"), "left")
-                  .select("c1", "c2", "n_shingles", F.coalesce("component", "cls").alias("component")),
+                  .select(*KEY, F.col("doc_id").alias("own"), F.coalesce("component", "cls").alias("component")),
                   "components")
-    out = signed_docs.join(named, ["c1", "c2", "n_shingles"], "left")
+    if same_id is not None:
+        # a class may be named by a hash: the smallest doc_id of the component instead
+        least = named.groupBy("component").agg(F.min("own").alias("least"))
+        named = named.join(least, "component").select(*KEY, F.col("least").alias("component"))
+    out = signed_docs.join(named.select(*KEY, "component"), KEY, "left")
     # equal sets share a class, so component is its smallest doc_id or less
     return out.select(
-        "doc_id", "n_shingles", F.coalesce("component", "doc_id").alias("component_id"),
+        "doc_id", "n_shingles", F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "doc_id")).alias("component_id"),
         F.coalesce(F.coalesce("component", "doc_id") == F.col("doc_id"), F.lit(True)).alias("kept"))
 
 
 def drop_near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
-    """``docs`` without the documents that are near copies of a smaller id."""
-    gone = near_duplicate_groups(docs, percent).filter("not kept").select(F.col("doc_id").alias("_gone"))
-    return docs.join(gone.distinct(), F.col("doc_id") == F.col("_gone"), "left_anti")
+    """``docs`` without the documents that are near copies of a smaller id.
+    Rows that repeat an id are one document: they stay or go together."""
+    name = unused("gone", docs.columns)
+    gone = near_duplicate_groups(docs, percent).filter("not kept").select(F.col("doc_id").alias(name))
+    return docs.join(gone.distinct(), F.col("doc_id") == F.col(name), "left_anti")

@@ -70,7 +70,8 @@ class ChunkEncoder:
         level = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
         # the tokenizer's character of each byte of two-byte letters
         self.level = lambda s: "".join(p for p, _ in level.pre_tokenize_str(s))
-        self.cache: dict[bytes, bytes] = {}
+        self.cache: dict[bytes, bytes] = {}        # whole chunks
+        self.words: dict[bytes, bytes] = {}        # words by the merge model; a whole chunk may be none
         self.mark = {m: self._whole(m) for m in (b".", b",")}
 
     def _whole(self, chunk: bytes) -> bytes:
@@ -88,16 +89,17 @@ class ChunkEncoder:
         return array("I", [t.id for t in self.model.tokenize(word)]).tobytes()
 
     def learn(self, chunk: bytes) -> bytes:
-        if len(self.cache) > CACHE:
+        if len(self.cache) + len(self.words) > CACHE:
             self.cache.clear()
+            self.words.clear()
         low = chunk.lower() if chunk.isascii() else chunk
         tail = low[-1:] if low[-1:] in self.mark else b""
         core = low[:len(low) - len(tail)]
         ids = None
         if core:
-            ids = self.cache.get(core) if core != chunk else None
-            if ids is None and (ids := self._word(core.decode())) is not None:
-                self.cache[core] = ids
+            ids = self.words.get(core)
+            if ids is None and (ids := self._word(core.decode())) is not None and core != chunk:
+                self.words[core] = ids
         ids = self._whole(chunk) if ids is None else ids + self.mark.get(tail, b"")
         self.cache[chunk] = ids
         return ids

@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from stockroom.llm.kernels import stash
+from stockroom.llm.kernels import stash, unused
 
 REACH = 200            # code points between parts of one credential
 
@@ -152,38 +152,41 @@ def spans_text(spans):
         ":", F.element_at(kinds, p["rank"] + 1), p["start"].cast("string"), p["end"].cast("string"))), ",")
 
 
-def _redact(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        names = batch.schema.names
-        texts, cuts = batch.column(names.index("text")), batch.column(names.index("_cuts"))
-        new = []
-        for t, c in zip(texts, cuts):
-            t, c = t.as_py(), c.as_py()
-            if c:
-                out, at = [], 0
-                for p in sorted(c, key=lambda p: (p["start"], -p["end"])):
-                    if p["end"] <= at:
-                        continue
-                    if p["start"] >= at:
-                        out += [t[at:p["start"]], "[SECRET]"]
-                    at = p["end"]
-                t = "".join(out) + t[at:]
-            new.append(t)
-        cols = [pa.array(new, pa.string()) if n == "text" else batch.column(i)
-                for i, n in enumerate(names) if n != "_cuts"]
-        yield pa.RecordBatch.from_arrays(cols, names=[n for n in names if n != "_cuts"])
+def _redact(at_cuts: str):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            names = batch.schema.names
+            texts, cuts = batch.column(names.index("text")), batch.column(names.index(at_cuts))
+            new = []
+            for t, c in zip(texts, cuts):
+                t, c = t.as_py(), c.as_py()
+                if c:
+                    out, at = [], 0
+                    for p in sorted(c, key=lambda p: (p["start"], -p["end"])):
+                        if p["end"] <= at:
+                            continue
+                        if p["start"] >= at:
+                            out += [t[at:p["start"]], "[SECRET]"]
+                        at = p["end"]
+                    t = "".join(out) + t[at:]
+                new.append(t)
+            cols = [pa.array(new, pa.string()) if n == "text" else batch.column(i)
+                    for i, n in enumerate(names) if n != at_cuts]
+            yield pa.RecordBatch.from_arrays(cols, names=[n for n in names if n != at_cuts])
+    return run
 
 
 def redact(docs: DataFrame) -> DataFrame:
     """``docs`` with every reported span replaced by ``[SECRET]`` in ``text``
-    (overlapping spans by one); all columns stay."""
+    (overlapping spans by one); all columns stay, whatever their names."""
+    own, th, at_cuts = (unused(n, docs.columns) for n in ("id_of_cuts", "th_of_cuts", "cuts"))
     cuts = (scan(docs).filter((F.size("spans") > 0) | (F.size("linked") > 0))
-            .select(F.col("doc_id").alias("_id"), F.col("th").alias("_th"),
-                    F.concat("spans", "linked").alias("_cuts"))
-            .dropDuplicates(["_id", "_th"]))
+            .select(F.col("doc_id").alias(own), F.col("th").alias(th),
+                    F.concat("spans", "linked").alias(at_cuts))
+            .dropDuplicates([own, th]))
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
-    joined = docs.join(cuts, F.col("doc_id").cast("long").eqNullSafe(F.col("_id")) & (F.xxhash64(text) == F.col("_th")),
-                       "left").drop("_id", "_th")
-    return joined.mapInArrow(_redact, T.StructType(
+    joined = docs.join(cuts, F.col("doc_id").cast("long").eqNullSafe(F.col(own)) & (F.xxhash64(text) == F.col(th)),
+                       "left").drop(own, th)
+    return joined.mapInArrow(_redact(at_cuts), T.StructType(
         [T.StructField("text", T.StringType()) if f.name == "text" else f for f in joined.schema.fields
-         if f.name != "_cuts"]))
+         if f.name != at_cuts]))

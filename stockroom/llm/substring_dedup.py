@@ -39,7 +39,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from stockroom.llm.kernels import (RW1, RW2, U, discard, mix64, seeds, signed, stash, stash_at, text_column,
-                                   window_hashes, word_groups)
+                                   unused, window_hashes, word_groups)
 
 WINDOW = 50            # words
 KEY_SHINGLE = 8        # words of the shingles a window is counted under
@@ -284,16 +284,16 @@ def remove_repeats(docs: DataFrame, only: list[str] | None = None) -> DataFrame:
     """Columns ``only`` of ``docs`` (all by default) with ``n_words``,
     ``n_removed`` and ``kept_text`` (kept words joined by one space).  A
     column of ``docs`` with one of these names is replaced."""
-    cols = [c for c in (only or docs.columns) if c not in ("n_words", "n_removed", "kept_text", "_starts")]
+    cols = [c for c in (only or docs.columns) if c not in ("n_words", "n_removed", "kept_text")]
     base = docs.select(*[F.col(c) for c in dict.fromkeys([*cols, "doc_id", "text"])])
-    cuts = repeated_windows(docs).select(F.col("doc_id").alias("_id"), F.col("th").alias("_th"),
-                                         F.col("starts").alias("_starts")).hint("merge")
-    text = F.coalesce(base["text"].cast("string"), F.lit(""))
-    joined = (base.join(cuts, (base["doc_id"].cast("long") == cuts["_id"]) & (F.xxhash64(text) == cuts["_th"]), "left")
-              .drop("_id", "_th"))
+    own, th, starts = (unused(n, docs.columns) for n in ("id_of_starts", "th_of_starts", "starts"))
+    cuts = repeated_windows(docs).select(F.col("doc_id").alias(own), F.col("th").alias(th),
+                                         F.col("starts").alias(starts)).hint("merge")
+    text = F.coalesce(F.col("text").cast("string"), F.lit(""))
+    joined = (base.join(cuts, (F.col("doc_id").cast("long") == F.col(own)) & (F.xxhash64(text) == F.col(th)), "left")
+              .drop(own, th))
     names = joined.columns
-    out = T.StructType([f for f in joined.schema.fields if f.name != "_starts"]
+    out = T.StructType([f for f in joined.schema.fields if f.name != starts]
                        + [T.StructField("n_words", T.LongType()), T.StructField("n_removed", T.LongType()),
                           T.StructField("kept_text", T.StringType())])
-    return joined.mapInArrow(_remove(out, names.index("text"), names.index("_starts")), out)
-
+    return joined.mapInArrow(_remove(out, names.index("text"), names.index(starts)), out)

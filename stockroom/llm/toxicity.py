@@ -37,6 +37,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from stockroom.llm.kernels import unused
+
 TOXIC_EXAMPLES, CLEAN_EXAMPLES = 4000, 8000
 MAX_TERMS = 4096       # of each sign
 MIN_G2 = 24.0
@@ -233,9 +235,11 @@ def fit(docs: DataFrame, labels: DataFrame) -> Model:
     for y, most in ((1, TOXIC_EXAMPLES), (0, CLEAN_EXAMPLES)):
         part = known.filter(F.col("y") == y).orderBy(F.xxhash64("lid"), "lid").limit(most)
         pick = part if pick is None else pick.unionByName(part)
-    # at most TOXIC_EXAMPLES + CLEAN_EXAMPLES rows of (id, label): a bounded broadcast
+    # at most TOXIC_EXAMPLES + CLEAN_EXAMPLES rows of (id, label): a bounded
+    # broadcast; a doc_id that repeats is one example, its smallest text
     sample = (docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
               .join(F.broadcast(pick), F.col("doc_id") == F.col("lid"))
+              .groupBy("doc_id", "y").agg(F.min("text").alias("text"))
               .select("text", "y", "doc_id")).cache()
     s = {r["y"]: r["n"] for r in sample.groupBy("y").agg(F.count("*").alias("n")).collect()}
     n_tox, n_clean = s.get(1, 0), s.get(0, 0)
@@ -295,9 +299,12 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
 
 
 def drop_toxic(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """``docs`` without the documents scored toxic; the columns stay."""
+    """``docs`` without the documents scored toxic; the columns stay, also
+    those with names of the operator's own."""
     model = fit(docs, labels)
-    base = docs.select(*docs.columns)
-    flagged = score(base.withColumnsRenamed({c: f"_{c}" for c in ("score", "predicted", "evidence") if c in docs.columns}),
-                    model).filter("predicted = 0").drop("score", "predicted", "evidence")
-    return flagged.withColumnsRenamed({f"_{c}": c for c in ("score", "predicted", "evidence") if c in docs.columns})
+    aside: dict[str, str] = {}
+    for c in docs.columns:
+        if c in ("score", "predicted", "evidence"):
+            aside[c] = unused(f"_{c}", [*docs.columns, *aside.values()])
+    flagged = score(docs.withColumnsRenamed(aside), model).filter("predicted = 0").drop("score", "predicted", "evidence")
+    return flagged.withColumnsRenamed({v: k for k, v in aside.items()}).select(*docs.columns)
