@@ -46,11 +46,13 @@ included (then the aggregate sorts instead of hashing).
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from stockroom import files
 from stockroom.functions.money import is_price
 from stockroom.plans.joins import LOOKUP_MAX_ROWS, keys_present, probe_limit, row_count_at_most
 from stockroom.session import materialise
@@ -212,3 +214,20 @@ def accepted_rows(verdicts: DataFrame) -> DataFrame:
 def customers_after_add(existing: DataFrame, verdicts: DataFrame) -> DataFrame:
     """Existing customers UNION ALL the accepted ones."""
     return existing.unionByName(accepted_rows(verdicts).select(*existing.columns))
+
+
+def store(verdicts: DataFrame, existing: DataFrame, out_path: str) -> DataFrame:
+    """Write ``out_path/table`` (existing and accepted rows) and
+    ``out_path/rejected`` (the other rows with their verdict), a new folder.
+    Both are written beside it and appear with one rename, so a failure leaves
+    no ``out_path`` and the call may be repeated.  Returns the written table.
+    (``plans.storing`` keeps a table that grows call by call.)"""
+    spark, draft = existing.sparkSession, f"{out_path.rstrip('/')}-draft-{uuid.uuid4().hex}"
+    if files.exists(spark, out_path):
+        raise ValueError(f"refusing to overwrite {out_path}: write the new version to a new directory")
+    verdicts.filter(F.col(VERDICT) != ACCEPTED).write.parquet(f"{draft}/rejected")
+    customers_after_add(existing, verdicts).write.parquet(f"{draft}/table")
+    if not files.rename_new(spark, draft, out_path):
+        files.remove(spark, draft)
+        raise ValueError(f"refusing to overwrite {out_path}: another writer made it")
+    return spark.read.schema(existing.schema).parquet(f"{out_path}/table")

@@ -264,3 +264,7 @@ ORACLE = {
         FROM orders
     """,
 }
+ORACLE["order_lines_salted"] = ORACLE["order_lines"]
+ORACLE["sql_add_customers"] = _CUSTOMER_VERDICTS
+ORACLE["sql_customers_after"] = ORACLE["customers_after_add"]
+ORACLE["sql_accept_orders"] = _ORDER_VERDICTS

@@ -8,6 +8,7 @@ stream.  The DuckDB SQL that must return the same rows is in
 
 from __future__ import annotations
 
+import uuid
 import zlib
 
 from pyspark.sql import DataFrame, SparkSession
@@ -15,10 +16,10 @@ from pyspark.sql import functions as F
 
 from stockroom.operators import admission, products, totals
 from stockroom.operators.orders import get_orders as _get_orders
-from stockroom.plans import procedures, views
+from stockroom.plans import procedures, scripts, views
 from stockroom.plans.oracle import ORACLE  # noqa: F401  (re-exported)
 from stockroom.schemas import ORDERS
-from stockroom.sources import batches
+from stockroom.sources import batches, layout
 from stockroom.sources.stored import StoredTable
 from stockroom.sources.tables import load, read_table
 from stockroom.session import scratch_dir
@@ -185,6 +186,45 @@ def q_order_lines_wide(spark: SparkSession, sf_dir: str) -> DataFrame:
     return views.order_lines(t["orders"], t["lineitem"].withColumn("l_extendedprice", price), t["part"])
 
 
+def _script_verdicts(spark: SparkSession, sf_dir: str, name: str, existing: DataFrame, batch: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(verdicts, table after) of a SQL script over views of its own."""
+    p, tag = _sql_names(spark, sf_dir), uuid.uuid4().hex[:12]
+    existing.createOrReplaceTempView(f"{p}existing_{name}")
+    batch.createOrReplaceTempView(f"{p}batch_{name}")
+    verdicts, after = f"stockroom_verdicts_{tag}", f"{p}after_{name}"
+    spark.sql(scripts.script(name, location=scratch_dir(spark, "script"), existing=f"{p}existing_{name}",
+                             batch=f"{p}batch_{name}", verdicts=verdicts, after=after,
+                             reference=p + ("nation" if name == "add_customers" else "customer"))).collect()
+    return spark.table(verdicts), spark.table(after)
+
+
+def q_sql_add_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The storing procedure as a SQL script."""
+    c = _Tables(spark, sf_dir)["customer"]
+    return _script_verdicts(spark, sf_dir, "add_customers", batches.existing_customers(c), batches.customer_batch(c))[0]
+
+
+def q_sql_customers_after(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The table that the script leaves."""
+    c = _Tables(spark, sf_dir)["customer"]
+    return _script_verdicts(spark, sf_dir, "add_customers", batches.existing_customers(c), batches.customer_batch(c))[1]
+
+
+def q_sql_accept_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    o = _Tables(spark, sf_dir)["orders"]
+    return _script_verdicts(spark, sf_dir, "accept_orders", batches.existing_orders(o), batches.order_batch(o))[0]
+
+
+def q_order_lines_salted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """order_lines over the salted layout; pieces are small here, so that
+    many orders have several."""
+    t, tag = _Tables(spark, sf_dir), uuid.uuid4().hex[:12]
+    lines, orders = layout.write_salted(
+        t["lineitem"], "l_orderkey", t["orders"], "o_orderkey", (f"stockroom_lines_{tag}", f"stockroom_orders_{tag}"),
+        scratch_dir(spark, "salted"), buckets=8, piece_rows=5)
+    return views.order_lines(orders, lines, t["part"], salt=layout.SALT)
+
+
 def q_call_get_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The get_orders procedure as a SQL table function, called per customer."""
     p = _sql_names(spark, sf_dir)
@@ -322,6 +362,10 @@ QUERIES = {
     "accept_orders_prices": q_accept_orders_prices,
     "order_totals_wide": q_order_totals_wide,
     "order_lines_wide": q_order_lines_wide,
+    "order_lines_salted": q_order_lines_salted,
+    "sql_add_customers": q_sql_add_customers,
+    "sql_customers_after": q_sql_customers_after,
+    "sql_accept_orders": q_sql_accept_orders,
     "trigger_accepted_orders": q_trigger_accepted_orders,
     "trigger_audit": q_trigger_audit,
     "trigger_order_totals": q_trigger_order_totals,

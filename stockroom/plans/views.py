@@ -44,19 +44,22 @@ def customer_orders(customer: DataFrame, orders: DataFrame) -> DataFrame:
                    .unionByName(lonely.select(*cols, *no_order)))
 
 
-def order_lines(orders: DataFrame, lineitem: DataFrame, part: DataFrame) -> DataFrame:
+def order_lines(orders: DataFrame, lineitem: DataFrame, part: DataFrame, salt: str | None = None) -> DataFrame:
     """Order x line x product with the discounted amount (computed exactly
-    in decimal, presented as a double like the source prices).
+    in decimal, presented as a double like the source prices; null if the
+    price or the discount fits no decimal).  ``salt`` is the column that a salted
+    layout (``sources.layout``) has besides the key.
 
     Two inner equi-joins; Spark picks broadcast or sort-merge from sizes
     (AQE re-decides at runtime and splits a hot order or product key).
     Lines are not deduplicated: (l_orderkey, l_linenumber) is not a key.
     """
-    o = orders.select("o_orderkey", "o_custkey", "o_orderdate")
+    also = [salt] if salt else []
+    o = orders.select("o_orderkey", "o_custkey", "o_orderdate", *also)
     li = lineitem.select(F.col("l_orderkey").alias("o_orderkey"), "l_linenumber", "l_partkey",
-                         "l_quantity", "l_extendedprice", "l_discount")
+                         "l_quantity", "l_extendedprice", "l_discount", *also)
     p = part.select(F.col("p_partkey").alias("l_partkey"), "p_name", "p_brand")
-    return (li.join(o, "o_orderkey", "inner")
+    return (li.join(o, ["o_orderkey", *also], "inner")
               .join(p, "l_partkey", "inner")
               .withColumn("amount", as_double(line_amount()))
               .select(*ORDER_LINE_COLUMNS))

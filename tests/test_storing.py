@@ -173,3 +173,21 @@ def test_queries_leave_the_callers_views_alone(spark):
     finally:
         spark.catalog.dropTempView("customer")
         spark.catalog.dropTempView("orders")
+
+
+def test_store_that_fails_leaves_no_folder(spark, tables001, monkeypatch):
+    from stockroom.operators import admission
+    o = tables001["orders"]
+    verdicts = admission.accept_orders(o.limit(0), o.limit(3).withColumn("seq", F.col("o_orderkey")), tables001["customer"])
+    out = scratch_dir(spark, "test-store")
+
+    def fails(*a):
+        raise OSError("simulated")
+    with monkeypatch.context() as m:
+        m.setattr(files, "rename_new", fails)
+        with pytest.raises(OSError):
+            admission.store(verdicts, o.limit(0), out)
+    assert not files.exists(spark, out)
+    assert admission.store(verdicts, o.limit(0), out).count() == 3
+    with pytest.raises(ValueError, match="refusing"):
+        admission.store(verdicts, o.limit(0), out)
