@@ -16,3 +16,15 @@ def test_queries_and_oracles_pair_up():
     assert set(QUERIES) == set(ORACLE) and set(QUERIES) <= set(q) and set(o) <= set(q)
     assert all(callable(f) for f in q.values())
     assert all(isinstance(s, str) and "SELECT" in s.upper() for s in o.values())
+
+
+def test_core_queries_stay_if_the_subpackage_cannot_be_imported(tmp_path):
+    """A library that only the training-data queries need is missing."""
+    import subprocess
+    import sys
+    from pathlib import Path
+    code = ("import sys; sys.modules['public_tokenizers'] = None; sys.modules['stockroom.llm.kernels'] = None\n"
+            "import __spark_entry__ as e; print(len(e.queries()), len(e.oracle_sql()))")
+    out = subprocess.run([sys.executable, "-c", code], capture_output=True, text=True, cwd=Path(entry_mod.__file__).parent)
+    from stockroom.plans.queries import QUERIES
+    assert out.stdout.split() == [str(len(QUERIES))] * 2 and "left out" in out.stderr
