@@ -134,8 +134,8 @@ RETURN SELECT c.c_custkey, c.c_name, c.c_mktsegment, o.o_orderkey, o.o_orderstat
        WHERE c.c_custkey = k
 """,
     # a page of at most n products behind (name, key); SQL functions take no
-    # parameter in LIMIT, so the page is cut by rank: a limit of the window
-    # that Spark pushes below the sort
+    # parameter in LIMIT, so the page is cut by rank, which Spark plans as a
+    # top-k below the window
     "product_page": """
 CREATE OR REPLACE TEMPORARY FUNCTION {p}product_page(
     n INT DEFAULT 50, name STRING DEFAULT NULL, k BIGINT DEFAULT NULL)

@@ -129,3 +129,17 @@ def test_hot_reference_in_a_big_batch_is_split_by_aqe(spark):
     assert unknown == sum(1 for r in rows if r["o_custkey"] >= 4000)
     assert "isFinalPlan=true" in text
     assert "isSkewJoin=true" in text or "skew=true" in text, text
+
+
+def test_batch_is_read_once_from_its_source(spark):
+    """What follows the first read of a batch reads what was written of it:
+    the batch twice (keyed rows, null keys), the first rows three times."""
+    from stockroom.operators.admission import accept_orders
+    from stockroom.sources import batches
+    from stockroom.sources.tables import read_table
+    o = read_table(spark, SF01, "orders")
+    batch = batches.order_batch(o)
+    v = accept_orders(o.filter("o_orderkey < 0"), batch, read_table(spark, SF01, "customer"))
+    scans = [ln for ln in _formatted(spark, v).splitlines() if ln.startswith("Location:")]
+    assert sum("/batch-" in s for s in scans) == 2 and sum("/first-rows-" in s for s in scans) == 3
+    assert sum("orders.parquet" in s for s in scans) == 1          # the existing table
