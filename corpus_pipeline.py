@@ -4,6 +4,15 @@ Each stage takes (spark, docs, sf_dir) and returns a DataFrame; all but the
 last keep the columns of ``documents``.  ``run`` writes the result of each
 stage to the shared folder and reads it again as the next stage's input.
 Stages that change a text also set ``n_chars`` to its new length.
+
+Defined cases.  An empty table gives no rows, whatever the stage.  Null and
+empty texts are never toxic by their words, link with nothing, hold neither
+passages nor secrets, and pack as their one end id.  Rows that repeat a
+``doc_id`` are one document to the near-duplicate stage (they stay or go
+together, and links of any of their texts count) and rows of their own to the
+others.  Rows with a null ``doc_id`` are no one's copies and stay.  Other columns come
+through the first four stages untouched, whatever their names; ties go to the
+smaller ``doc_id``.
 """
 
 from __future__ import annotations
