@@ -11,10 +11,14 @@ for which the fold's cost (the square of the length) has no bound, go
 through the tokenizer library instead, also once each.  Decoding looks each
 id up in the literal table of byte pieces and concatenates them.
 
-A text is put together from its words: the ``COMMON`` most frequent words
-(of at most ``LONG`` bytes each, so bounded) are sent to all tasks; words
-beyond come by an exact join on the word, so the result never depends on the
-bound.
+A text is put together from its words.  The ``COMMON`` most frequent words
+(of at most ``LONG`` bytes each, so bounded) are folded first and sent to all tasks.  All others
+are folded where they stand, in one stage without a shuffle: a first step over the texts
+names the words that its task has not yet named, the fold runs over these
+arrays, and a second step over the same rows, in the same order, keeps what was folded and
+puts the texts together.  The first step forgets after ``FLUSH`` words, and
+tells the second to forget with it, so memory is bounded and the result
+never depends on the bounds.  No text moves between tasks.
 
 Defined cases.  Null and empty texts have no ids; both digests are those of
 nothing.  Null and repeated ``doc_id`` stay as rows.  Special-token strings in a text are ordinary text.  Other columns are
@@ -29,6 +33,7 @@ import json
 import zlib
 from collections import Counter
 from collections.abc import Iterator
+from functools import lru_cache
 from pathlib import Path
 
 import pyarrow as pa
@@ -36,14 +41,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from stockroom.llm.kernels import stash
+from stockroom.llm.kernels import discard, stash_at
 
 LONG = 48              # bytes; longer words are rare
 COMMON = 150_000       # words sent to all tasks
 PLACES = 1 << 17       # maps of the literal rank map
-FLUSH = 300_000        # distinct words a task holds while counting
-
-WORDS = "word string, ids array<int>, bytes binary"
+FLUSH = 300_000        # distinct words a task holds, while counting and while putting texts together
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -160,114 +163,121 @@ def _count_words(pattern: str):
     return run
 
 
-def _encode_long(path: str, pattern: str):
+def common_words(texts: DataFrame, path: str, pattern: str, common: int) -> dict[str, tuple[int, str, bytes]]:
+    """(number of ids, ids, bytes) of the most frequent words of ``texts``
+    (text); at most ``common`` of LONG bytes."""
+    ranks = read_ranks(path)
+    most, at = stash_at(texts.select("text").mapInArrow(_count_words(pattern), "word string, n long")
+                        .groupBy("word").agg(F.sum("n").alias("n")).filter(F.octet_length("word") <= LONG)
+                        .orderBy(F.col("n").desc(), "word").limit(common).select("word"), "common")
+    # the limit leaves one partition; few tasks, as each opens the literal map
+    folded = most.repartition(6, "word").select("word", fold_merges(F.col("word"), ranks).alias("ids"))
+    folded = folded.select("word", "ids", decode(F.col("ids"), piece_table(ranks)).alias("bytes"))
+    out = _entries(folded.toLocalIterator())
+    discard(texts.sparkSession, at)
+    return out
+
+
+def _entries(rows) -> dict[str, tuple[int, str, bytes]]:
+    return {r["word"]: (len(r["ids"]), ",".join(map(str, r["ids"])), bytes(r["bytes"])) for r in rows}
+
+
+NAMED = T.StructType([
+    T.StructField("doc_id", T.LongType()), T.StructField("text", T.StringType()),
+    T.StructField("forget", T.BooleanType()), T.StructField("unknown", T.ArrayType(T.StringType())),
+])
+
+
+def _name_unknown(pattern: str, shared, flush: int):
+    """Task: with each text the words that are neither common nor named yet."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        import tiktoken
-        enc = tiktoken.Encoding("words", pat_str=pattern, mergeable_ranks=read_ranks(path), special_tokens={})
+        import regex
+        find = regex.compile(pattern).findall
+        common = shared.value
+        named: set[str] = set()
         for batch in batches:
-            words = batch.column(0).to_pylist()
+            forget, unknown = [], []
+            for t in batch.column(1):
+                new = set(find(t.as_py())) - common
+                forget.append(len(named) > flush)
+                if forget[-1]:
+                    named.clear()
+                new -= named
+                named |= new
+                unknown.append([w for w in new if len(w.encode()) <= LONG])
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array([enc.encode_ordinary(w) for w in words], pa.list_(pa.int32()))],
-                names=["word", "ids"])
+                [batch.column(0), batch.column(1), pa.array(forget, pa.bool_()), pa.array(unknown, pa.list_(pa.string()))],
+                names=NAMED.fieldNames())
     return run
 
 
-def encoded_words(texts: DataFrame, path: str, pattern: str) -> DataFrame:
-    """(word, n, ids, bytes) of every distinct word of ``texts`` (text)."""
-    words = stash(texts.select("text").mapInArrow(_count_words(pattern), "word string, n long")
-                  .groupBy("word").agg(F.sum("n").alias("n")), "words")
-    ranks = read_ranks(path)
-    short = F.octet_length("word") <= LONG
-    fold = words.filter(short).select("word", "n", fold_merges(F.col("word"), ranks).alias("ids"))
-    far = words.filter(~short)
-    far = far.select("word").mapInArrow(_encode_long(path, pattern), "word string, ids array<int>").join(far, "word") \
-             .select("word", "n", "ids")
-    both = fold.unionByName(far)
-    return stash(both.select("word", "n", "ids", decode(F.col("ids"), piece_table(ranks)).alias("bytes")), "encoded")
+DONE = T.StructType([
+    T.StructField("doc_id", T.LongType()), T.StructField("n_tokens", T.LongType()),
+    T.StructField("ids_sha256", T.StringType()), T.StructField("decoded_sha256", T.StringType()),
+])
 
 
 class Assembler:
     """Puts texts together from their words."""
 
-    def __init__(self, pattern: str, known: dict[str, tuple[int, str, bytes]]):
+    def __init__(self, path: str, pattern: str, known: dict[str, tuple[int, str, bytes]]):
         import regex
         self.find = regex.compile(pattern).findall
-        self.known = known
-
-    def digest(self, text: str, extra: dict | None = None):
-        """(n_tokens, ids_sha256, decoded_sha256), or the unknown words."""
-        words = self.find(text)
-        known = {**self.known, **extra} if extra and len(extra) > 1000 else self.known
-        if extra and known is self.known:
-            got = [extra.get(w) or known[w] for w in words]
-        else:
-            try:
-                got = [known[w] for w in words]
-            except KeyError:
-                return sorted({w for w in words if w not in known})
-        ids = ",".join([g[1] for g in got])
-        return (sum([g[0] for g in got]), hashlib.sha256(ids.encode()).hexdigest(),
-                hashlib.sha256(b"".join([g[2] for g in got])).hexdigest())
-
+        self.path, self.pattern, self.common = path, pattern, known
+        self.forget()
 
-def _entries(rows) -> dict[str, tuple[int, str, bytes]]:
-    return {r["word"]: (len(r["ids"]), ",".join(map(str, r["ids"])), bytes(r["bytes"])) for r in rows}
+    def forget(self) -> None:
+        self.known = dict(self.common)
 
+    def far(self, word: str) -> tuple[int, str, bytes]:
+        """A word of more than LONG bytes, by the tokenizer library."""
+        ids = _library(self.path, self.pattern).encode_ordinary(word)
+        return len(ids), ",".join(map(str, ids)), _library(self.path, self.pattern).decode_bytes(ids)
 
-DONE = T.StructType([
-    T.StructField("th", T.LongType()), T.StructField("doc_id", T.LongType()),
-    T.StructField("n_tokens", T.LongType()), T.StructField("ids_sha256", T.StringType()),
-    T.StructField("decoded_sha256", T.StringType()), T.StructField("unknown", T.ArrayType(T.StringType())),
-])
+    def digest(self, text: str) -> tuple[int, str, str]:
+        """(n_tokens, ids_sha256, decoded_sha256)."""
+        known, far = self.known, self.far
+        got = [known.get(w) or far(w) for w in self.find(text)]
+        ids = ",".join([g[1] for g in got])
+        return (sum([g[0] for g in got]), hashlib.sha256(ids.encode()).hexdigest(),
+                hashlib.sha256(b"".join([g[2] for g in got])).hexdigest())
 
 
-def _assemble(pattern: str, shared):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        to = Assembler(pattern, shared.value)
-        for batch in batches:
-            n, a, b, unknown = [], [], [], []
-            for t in batch.column(2):
-                got = to.digest(t.as_py())
-                lost = isinstance(got, list)
-                unknown.append(got if lost else None)
-                for col, v in zip((n, a, b), (None,) * 3 if lost else got):
-                    col.append(v)
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(1), pa.array(n, pa.int64()), pa.array(a, pa.string()),
-                 pa.array(b, pa.string()), pa.array(unknown, pa.list_(pa.string()))], names=DONE.fieldNames())
-    return run
+@lru_cache(1)
+def _library(path: str, pattern: str):
+    import tiktoken
+    return tiktoken.Encoding("words", pat_str=pattern, mergeable_ranks=read_ranks(path), special_tokens={})
 
 
-def _assemble_rest(pattern: str, shared):
+def _assemble(path: str, pattern: str, shared):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        to = Assembler(pattern, shared.value)
+        to = Assembler(path, pattern, shared.value)
         for batch in batches:
-            got = [to.digest(t.as_py(), _entries(w.as_py())) for t, w in zip(batch.column(1), batch.column(2))]
+            got = []
+            for text, forget, words in zip(batch.column(1), batch.column(2).to_pylist(), batch.column(3)):
+                if forget:
+                    to.forget()
+                to.known.update(_entries(words.as_py()))
+                got.append(to.digest(text.as_py()))
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array([g[0] for g in got], pa.int64()), pa.array([g[1] for g in got]),
-                 pa.array([g[2] for g in got])], names=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
+                [batch.column(0), pa.array([g[0] for g in got], pa.int64()), pa.array([g[1] for g in got], pa.string()),
+                 pa.array([g[2] for g in got], pa.string())], names=DONE.fieldNames())
     return run
 
 
-def encode_digests(docs: DataFrame, path: str, pattern: str, common: int = COMMON) -> DataFrame:
+def encode_digests(docs: DataFrame, path: str, pattern: str, common: int = COMMON, flush: int = FLUSH) -> DataFrame:
     """Per row of ``docs``: doc_id, n_tokens, ids_sha256, decoded_sha256."""
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"),
                         F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
-    words = encoded_words(texts, path, pattern)
-    most = words.filter(F.octet_length("word") <= LONG).orderBy(F.col("n").desc(), "word").limit(common)
-    # at most COMMON words of LONG bytes
-    shared = docs.sparkSession.sparkContext.broadcast(_entries(most.select("word", "ids", "bytes").toLocalIterator()))
-    keyed = texts.select(F.xxhash64("text").alias("th"), "doc_id", "text")
-    first = stash(keyed.mapInArrow(_assemble(pattern, shared), DONE), "assembled")
-    later = first.filter("unknown is not null")
-    key = ["th", "doc_id"]
-    # one text for each (hash, id), with its words: at most a text's words
-    have = (later.dropDuplicates(key).select(*key, F.explode("unknown").alias("word"))
-            .join(words.hint("merge"), "word").groupBy(*key)
-            .agg(F.collect_list(F.struct("word", "ids", "bytes")).alias("words"))
-            .select(F.col("th").alias("h"), F.col("doc_id").alias("d"), "words"))
-    rest = (keyed.hint("merge").join(have, (F.col("th") == F.col("h")) & F.col("doc_id").eqNullSafe(F.col("d")))
-            .select("doc_id", "text", "words")
-            .mapInArrow(_assemble_rest(pattern, shared), "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"))
-    return (first.filter("unknown is null").select("doc_id", "n_tokens", "ids_sha256", "decoded_sha256")
-            .unionByName(rest))
+    known = common_words(texts, path, pattern, common)
+    context = docs.sparkSession.sparkContext
+    names, entries = context.broadcast(set(known)), context.broadcast(known)
+    ranks = read_ranks(path)
+    pieces = piece_table(ranks)
+
+    def folded(word: Column) -> Column:
+        return bind(fold_merges(word, ranks), lambda ids: F.struct(word.alias("word"), ids.alias("ids"),
+                                                                   decode(ids, pieces).alias("bytes")))
+    return (texts.mapInArrow(_name_unknown(pattern, names, flush), NAMED)
+            .select("doc_id", "text", "forget", F.transform("unknown", folded).alias("words"))
+            .mapInArrow(_assemble(path, pattern, entries), DONE))

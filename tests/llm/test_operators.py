@@ -261,18 +261,19 @@ def test_feistel_is_a_permutation(n):
     assert sorted(p(x, n, "t") for x in range(n)) == list(range(n))
 
 
-@pytest.mark.parametrize("common", [5, 100000])
-def test_byte_bpe_round_trip(spark, docs, common):
+@pytest.mark.parametrize("common,flush", [(5, byte_bpe.FLUSH), (100000, byte_bpe.FLUSH), (3, 20)])
+def test_byte_bpe_round_trip(spark, docs, common, flush):
     import tiktoken
     path = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
     enc = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=byte_bpe.read_ranks(path), special_tokens={})
-    got = byte_bpe.encode_digests(docs, path, public_tokenizers.PATTERN, common).collect()
+    got = byte_bpe.encode_digests(docs, path, public_tokenizers.PATTERN, common, flush).collect()
     text = dict(corpus())
     assert len(got) == len(text)
     for r in got:
         ids = enc.encode_ordinary(text[r.doc_id] or "")
         assert r.n_tokens == len(ids) and r.ids_sha256 == hashlib.sha256(",".join(map(str, ids)).encode()).hexdigest()
         assert r.decoded_sha256 == hashlib.sha256((text[r.doc_id] or "").encode()).hexdigest()
+    assert byte_bpe.encode_digests(empty(spark), path, public_tokenizers.PATTERN, common).collect() == []
 
 
 def test_fingerprints(spark, docs):
