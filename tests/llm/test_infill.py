@@ -8,7 +8,6 @@ import re
 
 import numpy as np
 import pytest
-from pyspark.sql import functions as F
 
 from stockroom.llm import infill, queries
 from tests.conftest import SF001
