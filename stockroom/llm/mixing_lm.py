@@ -18,8 +18,10 @@ it gives bits per byte.
 Training counts cover all training texts: each task fills its own tables and
 emits them in blocks, Spark adds the blocks up.  What is sent to tasks is
 bounded by the parameters: the counts, in the narrowest type and compressed,
-which each worker opens once.  First weights come from
-``WEIGHT_SAMPLE`` training texts, each without its own share of the counts.
+which each worker opens once.  First weights come from all training texts,
+each predicted without its own share of the counts: a gate's weights are the
+logistic regression of its bits, one Newton step from ``START`` (tasks add up
+gradients and curvatures, a few numbers a gate).
 Weights then adapt inside segments of ``SEGMENT`` bits, which run side by side as vector lanes; contexts go on
 across segments and whole texts are scored.
 
@@ -42,19 +44,21 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from stockroom.llm.kernels import U, groups, mix64, stash, text_column
+from stockroom.llm.kernels import U, discard, groups, mix64, stash, stash_at, text_column
 
 VOCABULARY = 131_000
 LOG2_SLOTS = (14, 22)  # fewest and most slots of a table
 SLOTS_A_TOKEN = 8      # a word has some ten bits, each with a slot of its own in a context
 BLOCK = 1 << 15        # slots of an emitted block
 SEGMENT = 768          # bits of a lane
-GROUP_BYTES = 2 << 20  # of text handled at once
-WEIGHT_SAMPLE = 2000
+GROUP_BYTES = 3 << 17  # of text handled at once
+START = np.array([0.6, 0.3, 0.3])  # weights from which the first ones are fitted
+RIDGE = 4.0            # what holds a gate of few bits to START
 RATE, SCALE_RATE = 0.015, 0.002
 SEEN = np.array([1, 8])            # slot counts at which the gate changes
 GATES = 2 * 9
@@ -118,6 +122,14 @@ class Coder:
         s = np.array(sides or [(1, 1)], np.float64)
         self.order0 = np.log((s[:, 1] + 0.1) / (s[:, 0] + 0.1)).astype(np.float32)
 
+    def __getstate__(self):
+        return {k: v for k, v in self.__dict__.items() if k not in ("index", "spread")}
+
+    def __setstate__(self, state):
+        self.__dict__.update(state)
+        self.index = {w: i for i, w in enumerate(self.words)}
+        self.spread = self.nodes.astype(U) * U(0xD1342543DE82EF95)
+
     def stream(self, docs: list[bytes]):
         """Bits of texts: (word ids, words of each text, bits, place in the
         codes, slots of both contexts, spelling?, bits of each text, unknown words)."""
@@ -181,102 +193,171 @@ class Coder:
             slots.append(mixed.view(np.int64))
         per_doc = np.add.reduceat(np.add.reduceat(k, at), ends - n_words + 1) if len(docs) else k
         return (ids, n_words, self.bits[inside], inside, slots, inner[which], per_doc,
-                [(int(np.searchsorted(ends, i)), flat[i]) for i in lost])
+                list(zip(np.searchsorted(ends, lost).tolist(), spell)))
 
 
 @dataclass
-class Model:
-    coder: Coder
-    blocks: dict[int, bytes]            # compressed bit counts of the slots that were touched
-    weights: np.ndarray                 # (GATES, 4)
-    opened: bool = False
-    counts: list[np.ndarray] | None = None   # while weights are fitted
-
-    def open(self, with_counts: bool = False) -> "Model":
-        """Predictions of the slots and how often each was seen (0, 1, 2), in
-        a worker; with the counts themselves to fit weights."""
-        if self.opened and (self.counts is not None or not with_counts):
-            return self
-        size = 1 << self.coder.log2
-        block = min(BLOCK, size)
-        raw = np.zeros(4 * size, np.uint32) if with_counts else None
-        tables, seen = np.zeros(2 * size, np.float32), np.zeros(2 * size, np.uint8)
+class Counts:
+    """Bit counts of the slots of both contexts; opened in a worker."""
+    log2: int
+    blocks: dict[int, bytes]            # compressed; of the slots that were touched
+    opened: tuple | None = None
+
+    def _each(self) -> Iterator[tuple[int, np.ndarray]]:
+        block = min(BLOCK, 1 << self.log2)
         for b, packed in self.blocks.items():
-            c = np.minimum(_unpacked(packed), 2 ** 32 - 1).reshape(-1, 2)
-            at = b * block
-            if raw is not None:
-                raw[2 * at:2 * (at + block)] = c.ravel()
-            tables[at:at + block] = np.log((c[:, 1] + 0.4) / (c[:, 0] + 0.4))
-            seen[at:at + block] = np.searchsorted(SEEN, c.sum(axis=1), "right")
-        self.tables, self.seen = [tables[:size], tables[size:]], [seen[:size], seen[size:]]
-        self.counts = None if raw is None else [raw[:2 * size], raw[2 * size:]]
-        self.opened = True
-        return self
-
-    def without_own(self, t: int, slots: np.ndarray, bits: np.ndarray, doc: np.ndarray):
-        """(prediction, seen) of context t for each bit, from the counts
-        without those that the bit's own document made."""
-        key = (doc.astype(np.int64) << (self.coder.log2 + 1)) + 2 * slots
-        own, n = np.unique(key + bits, return_counts=True)
-
-        def count(k: np.ndarray) -> np.ndarray:
-            at = np.minimum(np.searchsorted(own, k), len(own) - 1)
-            return np.where(own[at] == k, n[at], 0)
-        c = [np.maximum(0.0, self.counts[t][2 * slots + b].astype(np.float64) - count(key + b)) for b in (0, 1)]
-        return np.log((c[1] + 0.4) / (c[0] + 0.4)), np.searchsorted(SEEN, c[0] + c[1], "right").astype(np.uint8)
-
-    def run(self, docs: list[bytes], adapt_to: np.ndarray | None = None):
-        """(ids, n_words, ln probability of each doc, unknown words)."""
-        ids, n_words, bits, inside, slots, spelled, per_doc, lost = self.coder.stream(docs)
-        lanes_of = -(-per_doc // SEGMENT)
-        n_lanes = int(lanes_of.sum())
-        doc = np.repeat(np.arange(len(docs)), lanes_of)
-        count = np.full(n_lanes, SEGMENT, np.int64)          # bits of each lane
-        last = lanes_of.cumsum() - 1
-        some = lanes_of > 0
-        count[last[some]] = (per_doc - (lanes_of - 1) * SEGMENT)[some]
-        order = np.argsort(-count, kind="stable")
-        rank = np.empty(n_lanes, np.int64)
-        rank[order] = np.arange(n_lanes)
-        lane = np.repeat(np.arange(n_lanes, dtype=np.int32), count)
-        step = np.arange(len(lane)) - (count.cumsum() - count)[lane]
-        active = np.bincount(step, minlength=1) if len(step) else np.zeros(0, np.int64)
-        begin = active.cumsum() - active
-        to = begin[step]
-        to += rank[lane]
-        x = np.empty((len(lane), 3), np.float32)
-        x[to, 0] = self.coder.order0[self.coder.nodes[inside]]
-        if adapt_to is None:
-            got = [(self.tables[t][slots[t]], self.seen[t][slots[t]]) for t in range(2)]
-        else:
-            got = [self.without_own(t, slots[t], bits, doc[lane]) for t in range(2)]
-        x[to, 1], x[to, 2] = got[0][0], got[1][0]
-        gate = np.empty(len(lane), np.int32)
-        gate[to] = spelled * np.uint8(9) + got[0][1] * np.uint8(3) + got[1][1]
-        bit = np.empty(len(lane), np.float32)
-        bit[to] = bits
-        w = np.tile(self.weights[:, :3], (n_lanes, 1)).astype(np.float32)
-        scale = np.tile(self.weights[:, 3], n_lanes).astype(np.float32)
-        base = (np.arange(n_lanes) * GATES).astype(np.int32)
-        out = np.empty(len(lane), np.float32)
+            yield b * block, _unpacked(packed).reshape(-1, 2)
+
+    def raw(self) -> list[np.ndarray]:
+        """Of each context the two counts of a slot as one number."""
+        size = 1 << self.log2
+        out = np.zeros((2 * size, 2), np.uint32)
+        for at, c in self._each():
+            out[at:at + len(c)] = np.minimum(c, 2 ** 32 - 1)
+        out = out.view(U)[:, 0]
+        return [out[:size], out[size:]]
+
+    def predictions(self) -> tuple[list[np.ndarray], list[np.ndarray]]:
+        """Of each context: predictions of the slots, and how often each was
+        seen (0, 1, 2)."""
+        if self.opened is None:
+            size = 1 << self.log2
+            tables, seen = np.zeros(2 * size, np.float32), np.zeros(2 * size, np.uint8)
+            for at, c in self._each():
+                tables[at:at + len(c)] = np.log((c[:, 1] + 0.4) / (c[:, 0] + 0.4))
+                seen[at:at + len(c)] = np.searchsorted(SEEN, c.sum(axis=1), "right")
+            self.opened = [tables[:size], tables[size:]], [seen[:size], seen[size:]]
+        return self.opened
+
+
+class Fitter:
+    """Gradient and curvature of the gates' log loss at ``START``."""
+
+    def __init__(self, coder: Coder, counts: Counts):
+        self.coder, self.raw = coder, counts.raw()
+        self.own = np.zeros(1 << coder.log2, U)
+        self.one = np.array([[1, 0], [0, 1]], np.uint32).view(U)[:, 0]
+        self.total = np.zeros((GATES, 3, 4))    # curvature, gradient
+
+    def _without_own(self, t: int, slots: np.ndarray, one: np.ndarray, ends: list[int]) -> np.ndarray:
+        """(bits, 2) counts of context t for each bit, without those that the
+        bit's own document made.  (Neither half of a difference is negative.)"""
+        c, own = self.raw[t][slots], self.own
+        a = 0
+        for b in ends:
+            s = slots[a:b]
+            np.add.at(own, s, one[a:b])
+            c[a:b] -= own[s]
+            own[s] = 0
+            a = b
+        return c.view(np.uint32).reshape(-1, 2)
+
+    def add(self, docs: list[bytes]) -> None:
+        _, _, bits, inside, slots, spelled, per_doc, _ = self.coder.stream(docs)
+        x = np.empty((len(bits), 3), np.float32)
+        one, ends = self.one[bits], per_doc.cumsum().tolist()
+        x[:, 0] = self.coder.order0[self.coder.nodes[inside]]
+        gate = spelled * np.uint8(9)
+        for t in range(2):
+            c = self._without_own(t, slots[t], one, ends)
+            n = c[:, 0] + c[:, 1]
+            for k, least in enumerate(SEEN):
+                gate += (n >= least).astype(np.uint8) * np.uint8(3 if t == 0 else 1)
+            c = c.astype(np.float32)
+            c += np.float32(0.4)
+            x[:, 1 + t] = np.log(c[:, 1] / c[:, 0])
+        p = 1 / (1 + np.exp(-(x @ START.astype(np.float32))))
+        err, curve = bits - p, np.sqrt(p * (1 - p))
+        order = np.argsort(gate, kind="stable")       # a radix sort of small numbers
+        upto = np.bincount(gate, minlength=GATES).cumsum()
+        x, err, curve = x[order], err[order], curve[order]
+        a = 0
+        for g, b in enumerate(upto.tolist()):
+            if b > a:
+                y = x[a:b] * curve[a:b, None]
+                self.total[g, :, :3] += y.T @ y
+                self.total[g, :, 3] += err[a:b] @ x[a:b]
+            a = b
+
+
+def weights(total: np.ndarray) -> np.ndarray:
+    """(GATES, 4) first weights and scales from the sums of all tasks."""
+    out = np.ones((GATES, 4))
+    for g in range(GATES):
+        out[g, :3] = START + np.linalg.solve(total[g, :, :3] + RIDGE * np.eye(3), total[g, :, 3])
+    return out
+
+
+def log_probabilities(coder: Coder, counts: Counts, first: np.ndarray, docs: list[bytes]):
+    """(ids, n_words, ln probability of each doc, unknown words).
+
+    Predictions are turned to the side of the bit that comes, so an update
+    goes up the gradient of its log probability whatever the bit is."""
+    ids, n_words, bits, inside, slots, spelled, per_doc, lost = coder.stream(docs)
+    tables, seen = counts.predictions()
+    lanes_of = -(-per_doc // SEGMENT)
+    n_lanes = int(lanes_of.sum())
+    count = np.full(n_lanes, SEGMENT, np.int64)          # bits of each lane
+    last = lanes_of.cumsum() - 1
+    some = lanes_of > 0
+    count[last[some]] = (per_doc - (lanes_of - 1) * SEGMENT)[some]
+    order = np.argsort(-count, kind="stable")
+    rank = np.empty(n_lanes, np.int64)
+    rank[order] = np.arange(n_lanes)
+    # the bits of one step lie together, longest lane first
+    step = np.arange(len(bits)) - np.repeat(count.cumsum() - count, count)
+    active = np.bincount(step, minlength=1) if len(step) else np.zeros(0, np.int64)
+    begin = active.cumsum() - active
+    to = begin[step]
+    to += np.repeat(rank, count)
+    side = bits.astype(np.float32)
+    side *= 2
+    side -= 1
+    row = np.empty((len(bits), 4), np.float32)           # three predictions, gate
+    np.multiply(coder.order0[coder.nodes[inside]], side, out=row[:, 0])
+    np.multiply(tables[0][slots[0]], side, out=row[:, 1])
+    np.multiply(tables[1][slots[1]], side, out=row[:, 2])
+    row[:, 3] = spelled * np.uint8(9) + seen[0][slots[0]] * np.uint8(3) + seen[1][slots[1]]
+    placed = np.empty(len(bits), np.complex128)          # four numbers moved as one
+    placed[to] = row.view(np.complex128)[:, 0]
+    row = placed.view(np.float32).reshape(-1, 4)
+    x0, x1, x2 = (np.ascontiguousarray(row[:, k]) for k in range(3))
+    place = row[:, 3].astype(np.int64)
+    place *= n_lanes
+    w0, w1, w2, scale = (np.repeat(first[:, k].astype(np.float32), n_lanes) for k in range(4))
+    lane = np.arange(n_lanes)
+    loss = np.zeros(n_lanes)
+    rate, scale_rate, low = np.float32(RATE), np.float32(SCALE_RATE), np.float32(-60)
+    with np.errstate(over="ignore"):                     # 1 / (1 + inf) is the 0 that is meant
         for b, n in zip(begin.tolist(), active.tolist()):
-            xs, at, y = x[b:b + n], base[:n] + gate[b:b + n], bit[b:b + n]
-            ws, sc = w[at], scale[at]
-            z = np.einsum("ij,ij->i", ws, xs)
-            err = y - 1 / (1 + np.exp(-z))
-            w[at] = ws + (RATE * err)[:, None] * xs
+            at = place[b:b + n]
+            at += lane[:n]
+            y0, y1, y2 = x0[b:b + n], x1[b:b + n], x2[b:b + n]
+            a0, a1, a2, sc = w0[at], w1[at], w2[at], scale[at]
+            z = a0 * y0
+            z += a1 * y1
+            z += a2 * y2
+            err = np.exp(z)
+            err += 1
+            np.divide(rate, err, out=err)
+            a0 += err * y0
+            a1 += err * y1
+            a2 += err * y2
+            w0[at], w1[at], w2[at] = a0, a1, a2
             fine = sc * z
-            out[b:b + n] = fine
-            scale[at] = sc + SCALE_RATE * (y - 1 / (1 + np.exp(-fine))) * z
-        ln = -np.log1p(np.exp(np.where(bit > 0, -out, out).clip(-60, 60).astype(np.float64)))
-        of_lane = np.bincount(lane, weights=ln[to], minlength=n_lanes)
-        if adapt_to is not None:
-            # lanes in which a gate was used say where its weights should start
-            used = np.bincount(base[rank[lane]] + gate[to], minlength=n_lanes * GATES).reshape(n_lanes, GATES)
-            final = np.concatenate([w, scale[:, None]], axis=1).reshape(n_lanes, GATES, 4)
-            adapt_to[:, :4] += (final * used[:, :, None]).sum(axis=0)
-            adapt_to[:, 4] += used.sum(axis=0)
-        return ids, n_words, np.bincount(doc, weights=of_lane, minlength=len(docs)), lost
+            np.maximum(fine, low, out=fine)
+            np.negative(fine, out=fine)
+            miss = np.exp(fine)
+            total = miss + 1
+            loss[:n] += np.log(total)
+            miss /= total
+            miss *= z
+            miss *= scale_rate
+            sc += miss
+            scale[at] = sc
+    ln = np.zeros(len(docs))
+    np.add.at(ln, np.repeat(np.arange(len(docs)), lanes_of), -loss[rank])
+    return ids, n_words, ln, lost
 
 
 def _lowered(batch: pa.RecordBatch) -> Iterator[tuple[int, int, list[bytes]]]:
@@ -349,49 +430,53 @@ def _add_blocks(key: tuple, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Re
                                          names=["block", "counts"])
 
 
-def _fit_weights(shared):
+def _fit_weights(coder, counts):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros((GATES, 5))
-        model = shared.value.open(with_counts=True)
+        fitter = None
         for batch in batches:
             for _, _, docs in _lowered(batch):
-                model.run(docs, total)
-        model.counts, model.opened = None, False      # the worker scores with less
-        yield pa.RecordBatch.from_arrays([pa.array([total.ravel().tolist()], pa.list_(pa.float64()))], names=["w"])
+                fitter = fitter or Fitter(coder.value, counts.value)
+                fitter.add(docs)
+        if fitter:
+            yield pa.RecordBatch.from_arrays([pa.array([fitter.total.ravel().tolist()], pa.list_(pa.float64()))], names=["w"])
     return run
 
 
-def fit(texts: DataFrame) -> tuple[Model, DataFrame, int, int]:
-    """(model, counts of all words, tokens, distinct tokens) of training
-    ``texts`` (text)."""
+@dataclass
+class Model:
+    coder: Broadcast
+    counts: Broadcast
+    weights: np.ndarray                 # (GATES, 4)
+    n_tokens: int
+    n_distinct: int
+
+
+def fit(texts: DataFrame) -> tuple[Model, DataFrame]:
+    """(model, counts of all words) of training ``texts`` (text)."""
     spark = texts.sparkSession
+    context = spark.sparkContext
     words = stash(texts.mapInArrow(_count_words, "word binary, n long")
                   .groupBy("word").agg(F.sum("n").alias("n")), "words")
     total = words.agg(F.sum("n").alias("n"), F.count("*").alias("v")).first()
     ends = texts.count()
     n_tokens, n_distinct = (total["n"] or 0) + ends, total["v"] + (1 if ends else 0)
-    # bounded: VOCABULARY words of MAX_WORD bytes
-    most = (words.filter(F.length("word") <= MAX_WORD).orderBy(F.col("n").desc(), "word").limit(VOCABULARY)).collect()
-    known = [r["n"] for r in most]
+    # bounded: VOCABULARY words of MAX_WORD bytes; written first, as the tasks'
+    # candidates would else meet in the driver
+    most, at = stash_at(words.filter(F.length("word") <= MAX_WORD).orderBy(F.col("n").desc(), "word").limit(VOCABULARY), "vocabulary")
+    most = most.orderBy(F.col("n").desc(), "word").toArrow()
+    known = most["n"].to_pylist()
     log2 = int(np.clip(np.ceil(np.log2(max(1, SLOTS_A_TOKEN * n_tokens))), *LOG2_SLOTS))
-    coder = Coder([bytes(r["word"]) for r in most], known, ends, n_tokens - ends - sum(known), log2)
+    coder = context.broadcast(Coder(most["word"].to_pylist(), known, ends, n_tokens - ends - sum(known), log2))
+    discard(spark, at)
     blocks = "block int, counts binary"
-    sent = spark.sparkContext.broadcast(coder)
     # a task emits a block once, so a block's group is one row a task, added as they come
-    parts = texts.mapInArrow(_count_bits(sent), blocks).groupBy("block").applyInArrow(_add_blocks, blocks)
+    parts = texts.mapInArrow(_count_bits(coder), blocks).groupBy("block").applyInArrow(_add_blocks, blocks)
     # bounded: two tables of 2 ** log2 slots
-    counts = {row["block"]: bytes(row["counts"]) for row in parts.toLocalIterator()}
-    start = np.tile(np.array([0.6, 0.3, 0.3, 1.0]), (GATES, 1))
-    sample = texts.orderBy(F.xxhash64("text")).limit(WEIGHT_SAMPLE)
-    first = spark.sparkContext.broadcast(Model(coder, counts, start))
-    got = np.zeros((GATES, 5))
-    for row in sample.repartition(8).mapInArrow(_fit_weights(first), "w array<double>").toLocalIterator():
-        got += np.array(row["w"]).reshape(GATES, 5)
-    used = got[:, 4] > 0
-    start[used] = got[used, :4] / got[used, 4:]
-    first.destroy()
-    sent.destroy()
-    return Model(coder, counts, start), words, n_tokens, n_distinct
+    counts = context.broadcast(Counts(log2, {row["block"]: bytes(row["counts"]) for row in parts.toLocalIterator()}))
+    got = np.zeros((GATES, 3, 4))
+    for row in texts.mapInArrow(_fit_weights(coder, counts), "w array<double>").collect():   # a few numbers a task
+        got += np.array(row["w"]).reshape(got.shape)
+    return Model(coder, counts, weights(got), n_tokens, n_distinct), words
 
 
 SCORED = T.StructType([
@@ -401,15 +486,14 @@ SCORED = T.StructType([
 ])
 
 
-def _score(shared, n_tokens: int, n_distinct: int):
+def _score(model: Model):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model = shared.value.open()
-        coder = model.coder
+        coder, counts = model.coder.value, model.counts.value
         c = np.array([*coder.counts, 0, coder.ends], np.float64)
-        log_p = np.log10((c + 0.1) / (n_tokens + 0.1 * (n_distinct + 1)))
+        log_p = np.log10((c + 0.1) / (model.n_tokens + 0.1 * (model.n_distinct + 1)))
         for batch in batches:
             for d, e, docs in _lowered(batch):
-                ids, n_words, ln, lost = model.run(docs)
+                ids, n_words, ln, lost = log_probabilities(coder, counts, model.weights, docs)
                 doc = np.repeat(np.arange(len(docs)), n_words)
                 there = ids >= 0
                 rare: list[list] = [[] for _ in docs]
@@ -429,10 +513,10 @@ def score(docs: DataFrame, train) -> DataFrame:
     base_score, score, bits_per_byte.  ``train``: condition on ``doc_id`` of
     the rows to learn from."""
     base = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    model, words, n, v = fit(base.filter(train).select("text"))
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+    model, words = fit(base.filter(train).select("text"))
+    n, v = model.n_tokens, model.n_distinct
     done = stash(base.select("doc_id", F.monotonically_increasing_id().alias("row"), "text")
-                 .mapInArrow(_score(shared, n, v), SCORED), "scored")
+                 .mapInArrow(_score(model), SCORED), "scored")
     rare = (done.select("row", F.explode("rare").alias("word")).groupBy("row", "word").agg(F.count("*").alias("tf"))
             .join(words.hint("merge"), "word", "left")
             .select("row", "tf", F.coalesce("n", F.lit(0)).alias("c"))

@@ -326,3 +326,34 @@ def test_codes_are_a_distribution():
     coder = mixing_lm.Coder([b"a", b"b", b"cc"], [5, 3, 1], 4, 2)
     half = 0.5 ** coder.length.astype(float)
     assert abs(half[:coder.n + 2].sum() - 1) < 1e-12 and abs(half[coder.n + 2:].sum() - 1) < 1e-12
+
+
+def test_first_weights_come_from_all_texts(spark):
+    """One Newton step over every bit of every training text, each predicted
+    by the counts of all other texts."""
+    rng = random.Random(3)
+    texts = [words(rng, rng.randrange(1, 9)) + (" only" * 40 if i % 7 else " others") for i in range(2600)]
+    df = spark.createDataFrame([(t,) for t in texts], "text string").repartition(5)
+    model, _ = mixing_lm.fit(df)
+    coder, raw = model.coder.value, model.counts.value.raw()
+    start = mixing_lm.START
+    total = np.zeros((mixing_lm.GATES, 3, 4))
+    for t in texts:
+        _, _, bits, inside, slots, spelled, _, _ = coder.stream([t.lower().encode()])
+        seen, x = [], [coder.order0[coder.nodes[inside]]]
+        for k in range(2):
+            own = Counter(zip(slots[k].tolist(), bits.tolist()))
+            pair = raw[k].view(np.uint32).reshape(-1, 2)[slots[k]].astype(int)
+            pair -= np.array([[own[s, 0], own[s, 1]] for s in slots[k].tolist()])
+            assert pair.min() >= 0
+            seen.append(np.searchsorted(mixing_lm.SEEN, pair.sum(axis=1), "right"))
+            x.append(np.log((pair[:, 1] + 0.4) / (pair[:, 0] + 0.4)))
+        x = np.array(x).T
+        p = 1 / (1 + np.exp(-x @ start))
+        gate = spelled * 9 + seen[0] * 3 + seen[1]
+        for g in np.unique(gate):
+            at = gate == g
+            total[g, :, :3] += (x[at] * (p * (1 - p))[at, None]).T @ x[at]
+            total[g, :, 3] += (bits - p)[at] @ x[at]
+    assert np.allclose(model.weights, mixing_lm.weights(total), rtol=1e-3, atol=1e-3)
+    assert np.abs(model.weights[:, :3] - start).max() > 0.05
