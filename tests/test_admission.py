@@ -1,11 +1,14 @@
 """O4 / O6 verdicts: hand-made rows, properties, and a brute-force model."""
 
 import datetime as dt
+from collections import Counter
 
 import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
+from stockroom.operators import admission
 from stockroom.operators.admission import add_customers, accept_orders, admit
 from stockroom.schemas import CUSTOMER, NATION, ORDERS
 
@@ -159,3 +162,43 @@ def test_check_seq_rejects_repeated_pairs(spark):
     bad = spark.createDataFrame([(3, "a", 1, 0.0, "X", 1), (3, "b", 1, 0.0, "X", 1)], BATCH)
     with pytest.raises(ValueError, match="seq must be unique"):
         add_customers(existing, bad, _nation(spark), check_seq=True)
+
+
+def test_landed_rows_are_dealt_by_their_number(spark, monkeypatch):
+    """Tasks follow the rows of a batch, and a hot key spreads; verdicts are
+    those of files that come one by one, null keys included."""
+    monkeypatch.setattr(admission, "PART_ROWS", 100)
+    paths = ["/z/" + "long" * 40, "/a/" + "long" * 40, "/m/" + "long" * 40]     # names against arrival
+    when = dt.datetime(2024, 1, 1)
+    rows = []
+    for f, path in enumerate(paths):
+        for i in range(1000):
+            key = None if i % 50 == 7 else 5 if i % 3 == 0 else i + 300 * f
+            ref = 1 if (i + f) % 4 else 99
+            rows.append((key, ref, "x" * 30, (when + dt.timedelta(seconds=f), path, i)))
+    schema = "k long, ref long, note string, landed struct<time: timestamp, file: string, row: long>"
+    batch = spark.createDataFrame(rows, schema)
+    known = spark.createDataFrame([(310,), (620,)], "k long")
+    got = admission.admit_landed(batch, key="k", landed="landed", existing=known, existing_key="k", ref_col="ref",
+                                 reference=spark.createDataFrame([(1,)], "id long"), reference_key="id", unknown="unknown")
+    assert got.columns == batch.columns + ["verdict"]
+    out = got.withColumn("part", F.spark_partition_id()).collect()
+    want, taken = {}, {310, 620}
+    for f in range(3):
+        seen = set()
+        for key, ref, _, (_, path, i) in rows[f * 1000:(f + 1) * 1000]:
+            if key is None:
+                v = "null_key"
+            elif key in seen:
+                v = "duplicate_in_batch"
+            elif key in taken:
+                v = "already_exists"
+            else:
+                v = "accepted" if ref == 1 else "unknown"
+            seen.add(key)
+            if v == "accepted":
+                taken.add(key)
+            want[path, i] = (key, v)
+    assert len(out) == 3000 and {(r.landed.file, r.landed.row): (r.k, r.verdict) for r in out} == want
+    assert {(r.landed.file, r.landed.time) for r in out} == {(p, when + dt.timedelta(seconds=f)) for f, p in enumerate(paths)}
+    assert max(Counter(r.part for r in out).values()) < 300
