@@ -5,8 +5,8 @@ distinct words (pieces of the pattern) and Spark adds the counts up.  Each
 distinct word is encoded once: its bytes are one character each, the
 character of their id, and are folded with ``aggregate``; a step joins the
 leftmost adjacent pair of lowest rank to the character of the joint id.  Pairs
-are looked up in a literal rank map (an array of small maps, placed by crc32,
-as Spark looks a map up entry by entry).  Words of more than ``LONG`` bytes,
+are looked up in a literal rank map (an array of short strings, placed by
+crc32, as Spark looks a map up entry by entry and every task opens the literal).  Words of more than ``LONG`` bytes,
 for which the fold's cost (the square of the length) has no bound, go
 through the tokenizer library instead, also once each.  Decoding looks each
 id up in the literal table of byte pieces and concatenates them.
@@ -37,6 +37,7 @@ from functools import lru_cache
 from pathlib import Path
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -59,16 +60,17 @@ def char(i: int) -> str:
 
 
 def rank_map(ranks: dict[bytes, int]) -> Column:
-    """Literal array of maps from two characters (a pair of ids) to the rank
-    of the joint bytes: all ways to cut a token in two tokens."""
-    places: list[dict[str, int]] = [{} for _ in range(PLACES)]
+    """Literal array of strings of entries: two characters (a pair of ids) and
+    one that stands for the rank of the joint bytes, larger for lower ranks
+    (``TOP``); all ways to cut a token in two tokens."""
+    places = [""] * PLACES
     for token, rank in ranks.items():
         for k in range(1, len(token)):
             a, b = ranks.get(token[:k]), ranks.get(token[k:])
             if a is not None and b is not None:
                 pair = char(a) + char(b)
-                places[zlib.crc32(pair.encode()) % PLACES][pair] = rank
-    return F.from_json(F.lit(json.dumps(places, ensure_ascii=False)), "array<map<string,int>>")
+                places[zlib.crc32(pair.encode()) % PLACES] += pair + chr(TOP - rank)
+    return F.from_json(F.lit(json.dumps(places, ensure_ascii=False)), "array<string>")
 
 
 def join_in_rank_order(word: bytes, ranks: dict[bytes, int]) -> list[bytes]:
@@ -104,8 +106,8 @@ def bind(value: Column, body) -> Column:
     return F.element_at(F.transform(F.array(value), body), 1)
 
 
-NONE = 2 ** 31 - 1
 BASE = 0x400           # ids as characters start here
+RANKS, TOP = 0x10000, 0x10FFFF   # characters that stand for ranks; no id is one
 
 
 def fold_merges(word: Column, ranks: dict[bytes, int]) -> Column:
@@ -113,17 +115,19 @@ def fold_merges(word: Column, ranks: dict[bytes, int]) -> Column:
     pairs, chars = rank_map(ranks), char_table(ranks)
 
     def rank(pair: Column) -> Column:
+        """The character of the pair's rank, as a number; below RANKS: none.
+        (What is behind the pair in its place, or the place itself.)"""
         place = F.element_at(pairs, (F.crc32(pair.cast("binary")) % PLACES + 1).cast("int"))
-        return F.coalesce(F.element_at(place, pair), F.lit(NONE))
+        return F.ascii(F.call_function("substring_index", place, pair, F.lit(-1)))
 
     def step(s: Column, _: Column) -> Column:
         of_pairs = F.transform(F.sequence(F.lit(1), F.length(s) - 1), lambda i: rank(F.substring(s, i, F.lit(2))))
 
         def join(r: Column) -> Column:
-            low = F.array_min(r)
-            at = F.array_position(r, low).cast("int")
-            return F.when(low < NONE, F.concat(F.substring(s, F.lit(1), at - 1), F.element_at(chars, low + 1),
-                                               F.substring(s, at + 2, F.length(s)))).otherwise(s)
+            best = F.array_max(r)
+            at = F.array_position(r, best).cast("int")
+            return F.when(best >= RANKS, F.concat(F.substring(s, F.lit(1), at - 1), F.element_at(chars, F.lit(TOP + 1) - best),
+                                                  F.substring(s, at + 2, F.length(s)))).otherwise(s)
         return F.when(F.length(s) > 1, bind(of_pairs, join)).otherwise(s)
 
     latin = F.decode(word.cast("binary"), "ISO-8859-1")
@@ -173,13 +177,22 @@ def common_words(texts: DataFrame, path: str, pattern: str, common: int) -> dict
     # the limit leaves one partition; few tasks, as each opens the literal map
     folded = most.repartition(6, "word").select("word", fold_merges(F.col("word"), ranks).alias("ids"))
     folded = folded.select("word", "ids", decode(F.col("ids"), piece_table(ranks)).alias("bytes"))
-    out = _entries(folded.toLocalIterator())
+    table = folded.toArrow().combine_chunks()
+    out = dict(_entries(*(table.column(c) for c in ("word", "ids", "bytes"))))
     discard(texts.sparkSession, at)
     return out
 
 
-def _entries(rows) -> dict[str, tuple[int, str, bytes]]:
-    return {r["word"]: (len(r["ids"]), ",".join(map(str, r["ids"])), bytes(r["bytes"])) for r in rows}
+def _entries(words, ids, pieces) -> list[tuple[str, tuple[int, str, bytes]]]:
+    """From columns of words, their ids and bytes; a column at once, as rows
+    one by one cost more than the rest."""
+    size = pc.list_value_length(ids).to_pylist()
+    flat = list(map(str, pc.list_flatten(ids).to_pylist()))
+    out, at = [], 0
+    for word, n, piece in zip(words.to_pylist(), size, pieces.to_pylist()):
+        out.append((word, (n, ",".join(flat[at:at + n]), piece)))
+        at += n
+    return out
 
 
 NAMED = T.StructType([
@@ -254,10 +267,14 @@ def _assemble(path: str, pattern: str, shared):
         to = Assembler(path, pattern, shared.value)
         for batch in batches:
             got = []
-            for text, forget, words in zip(batch.column(1), batch.column(2).to_pylist(), batch.column(3)):
+            flat, at = pc.list_flatten(batch.column(3)), 0
+            new = _entries(flat.field("word"), flat.field("ids"), flat.field("bytes")) if len(flat) else []
+            for text, forget, n in zip(batch.column(1), batch.column(2).to_pylist(),
+                                       pc.list_value_length(batch.column(3)).to_pylist()):
                 if forget:
                     to.forget()
-                to.known.update(_entries(words.as_py()))
+                to.known.update(new[at:at + n])
+                at += n
                 got.append(to.digest(text.as_py()))
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array([g[0] for g in got], pa.int64()), pa.array([g[1] for g in got], pa.string()),

@@ -357,3 +357,21 @@ def test_first_weights_come_from_all_texts(spark):
             total[g, :, 3] += (bits - p)[at] @ x[at]
     assert np.allclose(model.weights, mixing_lm.weights(total), rtol=1e-3, atol=1e-3)
     assert np.abs(model.weights[:, :3] - start).max() > 0.05
+
+
+def test_rank_map_holds_every_pair_in_short_strings(spark):
+    """Each way to cut a token is found behind its two characters, and what
+    tasks open is one string a place."""
+    ranks = byte_bpe.read_ranks(public_tokenizers.path("byte_bpe_multi_50k.tiktoken"))
+    pairs = {}
+    for token, r in list(ranks.items())[256::40]:
+        for k in range(1, len(token)):
+            if token[:k] in ranks and token[k:] in ranks:
+                pairs[byte_bpe.char(ranks[token[:k]]) + byte_bpe.char(ranks[token[k:]])] = r
+    places = spark.range(1).select(byte_bpe.rank_map(ranks).alias("p")).first().p
+    assert len(pairs) > 1000 and all(isinstance(p, str) for p in places)
+    for pair, r in pairs.items():
+        place = places[zlib.crc32(pair.encode()) % byte_bpe.PLACES]
+        assert place.count(pair) == 1 and ord(place[place.index(pair) + 2]) == byte_bpe.TOP - r >= byte_bpe.RANKS
+    none = places[zlib.crc32("zz".encode()) % byte_bpe.PLACES]
+    assert "zz" not in none
