@@ -55,24 +55,38 @@ PIECES = T.StructType([
 ])
 
 
+MARKS = b".,;:!?*%&$#)"
+SHOWN = [*range(33, 127), *range(161, 173), *range(174, 256)]
+# the tokenizer's character of each byte: itself, or the next one from 256 on
+LEVEL = {b: 256 + i for i, b in enumerate(b for b in range(256) if b not in SHOWN)}
+
+
+class Chunks(dict):
+    """Ids of whole chunks, learnt when first asked for."""
+
+    def __init__(self, learn):
+        super().__init__()
+        self.learn = learn
+
+    def __missing__(self, chunk: bytes) -> bytes:
+        return self.learn(chunk)
+
+
 class ChunkEncoder:
     """Little-endian 32-bit ids of texts, with a cache of chunks.
 
-    A chunk of lower-case letters, with or without one full stop or comma
-    behind, is one word to the tokenizer (and one punctuation mark), so the
-    merge model alone encodes it; any other chunk takes the whole tokenizer.
+    A chunk of letters, with or without a run of ``MARKS`` behind, is one word
+    to the tokenizer (and one run of punctuation), so the merge model alone
+    encodes it; any other chunk takes the whole tokenizer.
     """
 
     def __init__(self, path: str):
-        from tokenizers import Tokenizer, pre_tokenizers
+        from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
         self.model = self.tokenizer.model
-        level = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
-        # the tokenizer's character of each byte of two-byte letters
-        self.level = lambda s: "".join(p for p, _ in level.pre_tokenize_str(s))
-        self.cache: dict[bytes, bytes] = {}        # whole chunks
+        self.cache = Chunks(self.learn)
         self.words: dict[bytes, bytes] = {}        # words by the merge model; a whole chunk may be none
-        self.mark = {m: self._whole(m) for m in (b".", b",")}
+        self.marks: dict[bytes, bytes] = {b"": b""}  # runs behind words
 
     def _whole(self, chunk: bytes) -> bytes:
         ids = self.tokenizer.encode(chunk.decode(), add_special_tokens=False).ids
@@ -85,28 +99,35 @@ class ChunkEncoder:
         elif not (word.isalpha() and word == word.lower() and unicodedata.is_normalized("NFC", word)):
             return None
         else:
-            word = self.level(word)
+            word = word.encode().decode("latin-1").translate(LEVEL)
         return array("I", [t.id for t in self.model.tokenize(word)]).tobytes()
 
     def learn(self, chunk: bytes) -> bytes:
-        if len(self.cache) + len(self.words) > CACHE:
+        if len(self.cache) + len(self.words) + len(self.marks) > CACHE:
             self.cache.clear()
             self.words.clear()
-        low = chunk.lower() if chunk.isascii() else chunk
-        tail = low[-1:] if low[-1:] in self.mark else b""
-        core = low[:len(low) - len(tail)]
+            self.marks = {b"": b""}
+        core = chunk.rstrip(MARKS)
         ids = None
         if core:
-            ids = self.words.get(core)
-            if ids is None and (ids := self._word(core.decode())) is not None and core != chunk:
-                self.words[core] = ids
-        ids = self._whole(chunk) if ids is None else ids + self.mark.get(tail, b"")
+            tail = chunk[len(core):]
+            low = core.lower()
+            if not low.isascii() and (word := low.decode()) and max(word) <= "\xff":
+                low = word.lower().encode()         # one letter for one
+            ids = self.words.get(low)
+            if ids is None and (ids := self._word(low.decode())) is not None and low != chunk:
+                self.words[low] = ids
+            if ids is not None:
+                if tail not in self.marks:
+                    self.marks[tail] = self._whole(tail)
+                ids += self.marks[tail]
+        if ids is None:
+            ids = self._whole(chunk)
         self.cache[chunk] = ids
         return ids
 
     def encode(self, text: bytes) -> bytes:
-        cache, learn = self.cache, self.learn
-        return b"".join([cache[c] if c in cache else learn(c) for c in text.split()])
+        return b"".join(map(self.cache.__getitem__, text.split()))
 
 
 @lru_cache(1)

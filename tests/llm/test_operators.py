@@ -375,3 +375,19 @@ def test_rank_map_holds_every_pair_in_short_strings(spark):
         assert place.count(pair) == 1 and ord(place[place.index(pair) + 2]) == byte_bpe.TOP - r >= byte_bpe.RANKS
     none = places[zlib.crc32("zz".encode()) % byte_bpe.PLACES]
     assert "zz" not in none
+
+
+def test_chunks_of_letters_and_marks_need_the_merge_model_alone():
+    """Words with runs of punctuation behind, capitals of Latin-1 among them,
+    do not go through the whole tokenizer, and get its ids."""
+    encoder = packing.ChunkEncoder(public_tokenizers.path("word_bpe_49k.json"))
+    whole = encoder._whole
+    asked = []
+    encoder._whole = lambda c: asked.append(c) or whole(c)
+    plain = ["tion***", "aile,***", "Élan.", "ÀÉ%%", "mot&&&", "Mot&&&", "ÿ,", "ß?", "S)"]
+    for c in plain:
+        assert encoder.learn(c.encode()) == whole(c.encode()), c
+    assert not set(asked) & {c.encode() for c in plain}
+    for c in ["it's.", "l'été.", "İ.", "ẞ!", "µ.", "ª%", "Σας.", "ȩ́.", "ﬁn.", "日本.", "<|endoftext|>.", "a<|endoftext|>", "'s.",
+              "a1**", "×.", "Å:", "Å.", "***", "..."]:
+        assert encoder.learn(c.encode()) == whole(c.encode()), c
