@@ -56,8 +56,10 @@ LOG2_SLOTS = (14, 22)  # fewest and most slots of a table
 SLOTS_A_TOKEN = 8      # a word has some ten bits, each with a slot of its own in a context
 BLOCK = 1 << 15        # slots of an emitted block
 SEGMENT = 768          # bits of a lane
-GROUP_BYTES = 3 << 17  # of text handled at once
+GROUP_BYTES = 3 << 17  # of text scored at once (its segments are the lanes)
+COUNT_BYTES = 1 << 16  # of text counted or fitted at once: nothing there gains by more
 START = np.array([0.6, 0.3, 0.3])  # weights from which the first ones are fitted
+PIECE = 1 << 16        # bits that are fitted at once
 RIDGE = 4.0            # what holds a gate of few bits to START
 RATE, SCALE_RATE = 0.015, 0.002
 SEEN = np.array([1, 8])            # slot counts at which the gate changes
@@ -118,17 +120,15 @@ class Coder:
         self.at = np.append(0, self.length.cumsum())[:-1]
         self.bits = np.array([x for b in bits for x in b], np.uint8)
         self.nodes = np.array([x for v in nodes for x in v], np.int32)
-        self.spread = self.nodes.astype(U) * U(0xD1342543DE82EF95)
         s = np.array(sides or [(1, 1)], np.float64)
         self.order0 = np.log((s[:, 1] + 0.1) / (s[:, 0] + 0.1)).astype(np.float32)
 
     def __getstate__(self):
-        return {k: v for k, v in self.__dict__.items() if k not in ("index", "spread")}
+        return {k: v for k, v in self.__dict__.items() if k != "index"}
 
     def __setstate__(self, state):
         self.__dict__.update(state)
         self.index = {w: i for i, w in enumerate(self.words)}
-        self.spread = self.nodes.astype(U) * U(0xD1342543DE82EF95)
 
     def stream(self, docs: list[bytes]):
         """Bits of texts: (word ids, words of each text, bits, place in the
@@ -181,18 +181,19 @@ class Coder:
         # bits
         k = self.length[sym]
         total = int(k.sum())
-        which = np.repeat(np.arange(len(sym), dtype=np.int32), k)
-        inside = np.arange(total, dtype=np.int64) + (self.at[sym] - (k.cumsum() - k))[which]
-        spread = self.spread[inside]
+        inside = np.repeat(self.at[sym] - (k.cumsum() - k), k)
+        inside += np.arange(total)
+        spread = self.nodes[inside].astype(U)
+        spread *= U(0xD1342543DE82EF95)
         slots = []
         for c in (c1, c2):
-            mixed = c[which]
+            mixed = np.repeat(c, k)
             mixed ^= spread
             mixed *= U(0x9FB21C651E98DF25)
             mixed >>= U(64 - self.log2)
             slots.append(mixed.view(np.int64))
         per_doc = np.add.reduceat(np.add.reduceat(k, at), ends - n_words + 1) if len(docs) else k
-        return (ids, n_words, self.bits[inside], inside, slots, inner[which], per_doc,
+        return (ids, n_words, self.bits[inside], inside, slots, np.repeat(inner, k), per_doc,
                 list(zip(np.searchsorted(ends, lost).tolist(), spell)))
 
 
@@ -235,31 +236,61 @@ class Fitter:
 
     def __init__(self, coder: Coder, counts: Counts):
         self.coder, self.raw = coder, counts.raw()
-        self.own = np.zeros(1 << coder.log2, U)
+        self.tag, self.own = np.zeros(0, np.int64), np.zeros(0, U)
         self.one = np.array([[1, 0], [0, 1]], np.uint32).view(U)[:, 0]
         self.total = np.zeros((GATES, 3, 4))    # curvature, gradient
 
     def _without_own(self, t: int, slots: np.ndarray, one: np.ndarray, ends: list[int]) -> np.ndarray:
         """(bits, 2) counts of context t for each bit, without those that the
         bit's own document made.  (Neither half of a difference is negative.)"""
-        c, own = self.raw[t][slots], self.own
+        c = self.raw[t][slots]
         a = 0
         for b in ends:
-            s = slots[a:b]
-            np.add.at(own, s, one[a:b])
-            c[a:b] -= own[s]
-            own[s] = 0
+            c[a:b] -= self._own(slots[a:b], one[a:b])
             a = b
         return c.view(np.uint32).reshape(-1, 2)
 
+    def _own(self, slots: np.ndarray, one: np.ndarray) -> np.ndarray:
+        """For each bit the sum of ``one`` over the bits of its slot.  Slots
+        are added up in a small table; a bit whose place there belongs to
+        another slot is sorted out."""
+        size = min(1 << self.coder.log2, 1 << (8 * len(slots)).bit_length())
+        if size > len(self.own):
+            self.tag, self.own = np.zeros(size, np.int64), np.zeros(size, U)
+        tag, own = self.tag, self.own
+        place = slots & (size - 1)
+        tag[place] = slots
+        fits = tag[place] == slots
+        if fits.all():
+            np.add.at(own, place, one)
+            out = own[place]
+            own[place] = 0
+            return out
+        out = np.empty(len(slots), U)
+        kept = place[fits]
+        np.add.at(own, kept, one[fits])
+        out[fits] = own[kept]
+        own[kept] = 0
+        _, which = np.unique(slots[~fits], return_inverse=True)
+        rest = np.zeros(len(which), U)
+        np.add.at(rest, which, one[~fits])
+        out[~fits] = rest[which]
+        return out
+
     def add(self, docs: list[bytes]) -> None:
         _, _, bits, inside, slots, spelled, per_doc, _ = self.coder.stream(docs)
-        x = np.empty((len(bits), 3), np.float32)
         one, ends = self.one[bits], per_doc.cumsum().tolist()
+        counts = [self._without_own(t, slots[t], one, ends) for t in range(2)]
+        del slots, one
+        for a in range(0, len(bits), PIECE):         # memory follows what a bit is, not what is made of it
+            part = slice(a, a + PIECE)
+            self._sum(bits[part], inside[part], spelled[part], [c[part] for c in counts])
+
+    def _sum(self, bits: np.ndarray, inside: np.ndarray, spelled: np.ndarray, counts: list[np.ndarray]) -> None:
+        x = np.empty((len(bits), 3), np.float32)
         x[:, 0] = self.coder.order0[self.coder.nodes[inside]]
         gate = spelled * np.uint8(9)
-        for t in range(2):
-            c = self._without_own(t, slots[t], one, ends)
+        for t, c in enumerate(counts):
             n = c[:, 0] + c[:, 1]
             for k, least in enumerate(SEEN):
                 gate += (n >= least).astype(np.uint8) * np.uint8(3 if t == 0 else 1)
@@ -270,7 +301,8 @@ class Fitter:
         err, curve = bits - p, np.sqrt(p * (1 - p))
         order = np.argsort(gate, kind="stable")       # a radix sort of small numbers
         upto = np.bincount(gate, minlength=GATES).cumsum()
-        x, err, curve = x[order], err[order], curve[order]
+        # summed in double precision: predictions of one gate are nearly collinear
+        x, err, curve = (v[order].astype(np.float64) for v in (x, err, curve))
         a = 0
         for g, b in enumerate(upto.tolist()):
             if b > a:
@@ -324,7 +356,7 @@ def log_probabilities(coder: Coder, counts: Counts, first: np.ndarray, docs: lis
     x0, x1, x2 = (np.ascontiguousarray(row[:, k]) for k in range(3))
     place = row[:, 3].astype(np.int64)
     place *= n_lanes
-    w0, w1, w2, scale = (np.repeat(first[:, k].astype(np.float32), n_lanes) for k in range(4))
+    state = np.repeat(first.astype(np.float32), n_lanes, axis=0).view(np.complex128)[:, 0]
     lane = np.arange(n_lanes)
     loss = np.zeros(n_lanes)
     rate, scale_rate, low = np.float32(RATE), np.float32(SCALE_RATE), np.float32(-60)
@@ -333,7 +365,8 @@ def log_probabilities(coder: Coder, counts: Counts, first: np.ndarray, docs: lis
             at = place[b:b + n]
             at += lane[:n]
             y0, y1, y2 = x0[b:b + n], x1[b:b + n], x2[b:b + n]
-            a0, a1, a2, sc = w0[at], w1[at], w2[at], scale[at]
+            now = state.take(at)
+            a0, a1, a2, sc = now.view(np.float32).reshape(-1, 4).T
             z = a0 * y0
             z += a1 * y1
             z += a2 * y2
@@ -343,7 +376,6 @@ def log_probabilities(coder: Coder, counts: Counts, first: np.ndarray, docs: lis
             a0 += err * y0
             a1 += err * y1
             a2 += err * y2
-            w0[at], w1[at], w2[at] = a0, a1, a2
             fine = sc * z
             np.maximum(fine, low, out=fine)
             np.negative(fine, out=fine)
@@ -354,17 +386,18 @@ def log_probabilities(coder: Coder, counts: Counts, first: np.ndarray, docs: lis
             miss *= z
             miss *= scale_rate
             sc += miss
-            scale[at] = sc
+            state[at] = now
     ln = np.zeros(len(docs))
     np.add.at(ln, np.repeat(np.arange(len(docs)), lanes_of), -loss[rank])
     return ids, n_words, ln, lost
 
 
-def _lowered(batch: pa.RecordBatch) -> Iterator[tuple[int, int, list[bytes]]]:
+def _lowered(batch: pa.RecordBatch, limit: int = GROUP_BYTES) -> Iterator[tuple[int, int, list[bytes]]]:
     off, data = text_column(batch, "text")
-    raw = data.tobytes().lower()
-    for d, e in groups(off, GROUP_BYTES):
-        yield d, e, [raw[off[i]:off[i + 1]] for i in range(d, e)]
+    for d, e in groups(off, limit):
+        raw = data[off[d]:off[e]].tobytes().lower()     # a group at a time: no copy of the whole batch
+        at = (off[d:e + 1] - off[d]).tolist()
+        yield d, e, [raw[a:b] for a, b in zip(at, at[1:])]
 
 
 def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -392,7 +425,7 @@ def _count_bits(shared):
         block = min(BLOCK, size)
         counts = np.zeros((2, 2 * size), np.uint32)
         for batch in batches:
-            for _, _, docs in _lowered(batch):
+            for _, _, docs in _lowered(batch, COUNT_BYTES):
                 _, _, bits, _, slots, *_ = coder.stream(docs)
                 for t in range(2):
                     np.add.at(counts[t], 2 * slots[t] + bits, np.uint32(1))
@@ -434,7 +467,7 @@ def _fit_weights(coder, counts):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         fitter = None
         for batch in batches:
-            for _, _, docs in _lowered(batch):
+            for _, _, docs in _lowered(batch, COUNT_BYTES):
                 fitter = fitter or Fitter(coder.value, counts.value)
                 fitter.add(docs)
         if fitter:

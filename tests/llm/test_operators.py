@@ -7,11 +7,14 @@ import hashlib
 import math
 import random
 import re
+import tracemalloc
 import zlib
 from collections import Counter
+from types import SimpleNamespace
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -391,3 +394,33 @@ def test_chunks_of_letters_and_marks_need_the_merge_model_alone():
     for c in ["it's.", "l'été.", "İ.", "ẞ!", "µ.", "ª%", "Σας.", "ȩ́.", "ﬁn.", "日本.", "<|endoftext|>.", "a<|endoftext|>", "'s.",
               "a1**", "×.", "Å:", "Å.", "***", "..."]:
         assert encoder.learn(c.encode()) == whole(c.encode()), c
+
+
+def test_fit_memory_follows_a_text_not_a_batch():
+    """What a task of the fit holds beside the model does not grow with its batch."""
+    rng = random.Random(8)
+    vocabulary = [f"w{i}".encode() for i in range(400)]
+    coder = mixing_lm.Coder(vocabulary, [400 - i for i in range(400)], 10, 20, 14)
+    text = b" ".join(rng.choices(vocabulary, k=4000)).decode()
+    batch = pa.RecordBatch.from_pydict({"text": [text] * 60})
+    tell, counts = SimpleNamespace(value=coder), SimpleNamespace(value=mixing_lm.Counts(coder.log2, {}))
+    tracemalloc.start()
+    for _ in mixing_lm._fit_weights(tell, counts)(iter([batch])):
+        pass
+    _, peak = tracemalloc.get_traced_memory()
+    tracemalloc.stop()
+    assert peak < 12_000_000, peak
+
+
+def test_own_counts_where_slots_share_a_place():
+    rng = random.Random(4)
+    coder = mixing_lm.Coder([b"a", b"b"], [2, 1], 1, 1, 22)
+    fitter = mixing_lm.Fitter(coder, mixing_lm.Counts(22, {}))
+    for n in (1, 7, 5000):
+        slots = np.array([rng.randrange(40) * 65_536 + rng.randrange(n) for _ in range(n)])
+        one = fitter.one[np.array([rng.randrange(2) for _ in range(n)])]
+        want = Counter()
+        for s, x in zip(slots.tolist(), one.tolist()):
+            want[s] += x
+        assert fitter._own(slots, one).tolist() == [want[s] for s in slots.tolist()]
+        assert not fitter.own.any()
