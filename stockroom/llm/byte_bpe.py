@@ -14,9 +14,9 @@ id up in the literal table of byte pieces and concatenates them.
 A text is put together from its words.  The ``COMMON`` most frequent words
 (of at most ``LONG`` bytes each, so bounded) are folded first and sent to all tasks.  All others
 are folded where they stand, in one stage without a shuffle: a first step over the texts
-names the words that its task has not yet named, the fold runs over these
+writes each text as the numbers of its words and names the words that its task has not yet named, the fold runs over these
 arrays, and a second step over the same rows, in the same order, keeps what was folded and
-puts the texts together.  The first step forgets after ``FLUSH`` words, and
+puts the texts together by number.  The first step forgets after ``FLUSH`` words, and
 tells the second to forget with it, so memory is bounded and the result
 never depends on the bounds.  No text moves between tasks.
 
@@ -31,9 +31,11 @@ import base64
 import hashlib
 import json
 import zlib
+from array import array
 from collections import Counter
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import chain
 from pathlib import Path
 
 import pyarrow as pa
@@ -45,7 +47,8 @@ from pyspark.sql import types as T
 from stockroom.llm.kernels import discard, stash_at
 
 LONG = 48              # bytes; longer words are rare
-COMMON = 150_000       # words sent to all tasks
+COMMON = 600_000       # words sent to all tasks
+MOST = 1 << 16         # word counts beyond are not told apart
 PLACES = 1 << 17       # maps of the literal rank map
 FLUSH = 300_000        # distinct words a task holds, while counting and while putting texts together
 
@@ -167,60 +170,100 @@ def _count_words(pattern: str):
     return run
 
 
-def common_words(texts: DataFrame, path: str, pattern: str, common: int) -> dict[str, tuple[int, str, bytes]]:
-    """(number of ids, ids, bytes) of the most frequent words of ``texts``
-    (text); at most ``common`` of LONG bytes."""
+Table = tuple[list[str], list[int], list[bytes], list[bytes]]   # words, numbers of ids, ids, bytes
+
+
+def common_words(texts: DataFrame, path: str, pattern: str, common: int) -> Table:
+    """The most frequent words of ``texts`` (text) that occur twice or more, as many
+    whole counts as give at most ``common`` of them, of LONG bytes."""
     ranks = read_ranks(path)
-    most, at = stash_at(texts.select("text").mapInArrow(_count_words(pattern), "word string, n long")
-                        .groupBy("word").agg(F.sum("n").alias("n")).filter(F.octet_length("word") <= LONG)
-                        .orderBy(F.col("n").desc(), "word").limit(common).select("word"), "common")
-    # the limit leaves one partition; few tasks, as each opens the literal map
-    folded = most.repartition(6, "word").select("word", fold_merges(F.col("word"), ranks).alias("ids"))
+    counted, at = stash_at(texts.select("text").mapInArrow(_count_words(pattern), "word string, n long")
+                           .groupBy("word").agg(F.least(F.sum("n"), F.lit(MOST)).alias("n"))
+                           .filter((F.octet_length("word") <= LONG) & (F.col("n") > 1)), "common")
+    least, room = MOST + 1, common
+    for row in counted.groupBy("n").agg(F.count("*").alias("words")).orderBy(F.col("n").desc()).toLocalIterator():
+        room -= row["words"]                    # at most MOST rows
+        if room < 0:
+            break
+        least = row["n"]
+    # few tasks, as each opens the literal map
+    folded = counted.filter(F.col("n") >= least).repartition(6, "word").select("word", fold_merges(F.col("word"), ranks).alias("ids"))
     folded = folded.select("word", "ids", decode(F.col("ids"), piece_table(ranks)).alias("bytes"))
     table = folded.toArrow().combine_chunks()
-    out = dict(_entries(*(table.column(c) for c in ("word", "ids", "bytes"))))
+    size, ids, pieces = _entries(*(table.column(c).combine_chunks() for c in ("ids", "bytes")))
     discard(texts.sparkSession, at)
-    return out
+    return table.column("word").to_pylist(), size, ids, pieces
 
 
-def _entries(words, ids, pieces) -> list[tuple[str, tuple[int, str, bytes]]]:
-    """From columns of words, their ids and bytes; a column at once, as rows
-    one by one cost more than the rest."""
+def _entries(ids, pieces) -> tuple[list[int], list[bytes], list[bytes]]:
+    """(number of ids, ids, bytes) of each row of the columns; a column at
+    once, as rows one by one cost more than the rest."""
     size = pc.list_value_length(ids).to_pylist()
     flat = list(map(str, pc.list_flatten(ids).to_pylist()))
-    out, at = [], 0
-    for word, n, piece in zip(words.to_pylist(), size, pieces.to_pylist()):
-        out.append((word, (n, ",".join(flat[at:at + n]), piece)))
+    joined, at = [], 0
+    for n in size:
+        joined.append(",".join(flat[at:at + n]).encode())
         at += n
-    return out
+    return size, joined, pieces.to_pylist()
 
 
 NAMED = T.StructType([
-    T.StructField("doc_id", T.LongType()), T.StructField("text", T.StringType()),
-    T.StructField("forget", T.BooleanType()), T.StructField("unknown", T.ArrayType(T.StringType())),
+    T.StructField("doc_id", T.LongType()), T.StructField("forget", T.BooleanType()),
+    T.StructField("numbers", T.BinaryType()),                        # of its words, 4 bytes each
+    T.StructField("unknown", T.ArrayType(T.StringType())), T.StructField("far", T.ArrayType(T.StringType())),
 ])
 
 
+class Numbers:
+    """Texts as numbers of words: the common ones, then those that the task
+    has named, in that order; -1 for a word of more than LONG bytes."""
+
+    def __init__(self, pattern: str, common: list[str]):
+        import regex
+        self.find = regex.compile(pattern).findall
+        self.number = {w: i for i, w in enumerate(common)}
+        self.n_common = len(common)
+        self.named: list[str] = []
+
+    def forget(self) -> None:
+        for word in self.named:
+            del self.number[word]
+        self.named = []
+
+    def of_text(self, text: str) -> tuple[list[int], list[str], list[str]]:
+        """(numbers, words named first here, long words in their order)."""
+        words, number, far, before = self.find(text), self.number, [], len(self.named)
+        got = list(map(number.get, words))
+        for i, n in enumerate(got):
+            if n is None:
+                word = words[i]
+                n = number.get(word)
+                if n is None and len(word.encode()) > LONG:
+                    n = -1
+                    far.append(word)
+                elif n is None:
+                    n = number[word] = self.n_common + len(self.named)
+                    self.named.append(word)
+                got[i] = n
+        return got, self.named[before:], far
+
+
 def _name_unknown(pattern: str, shared, flush: int):
-    """Task: with each text the words that are neither common nor named yet."""
+    """Task: each text as numbers, with the words that are neither common nor named yet."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        import regex
-        find = regex.compile(pattern).findall
-        common = shared.value
-        named: set[str] = set()
+        to = Numbers(pattern, shared.value)
         for batch in batches:
-            forget, unknown = [], []
+            forget, rows = [], []
             for t in batch.column(1):
-                new = set(find(t.as_py())) - common
-                forget.append(len(named) > flush)
+                forget.append(len(to.named) > flush)
                 if forget[-1]:
-                    named.clear()
-                new -= named
-                named |= new
-                unknown.append([w for w in new if len(w.encode()) <= LONG])
+                    to.forget()
+                numbers, unknown, far = to.of_text(t.as_py())
+                rows.append((array("i", numbers).tobytes(), unknown, far))
+            strings = pa.list_(pa.string())
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(1), pa.array(forget, pa.bool_()), pa.array(unknown, pa.list_(pa.string()))],
-                names=NAMED.fieldNames())
+                [batch.column(0), pa.array(forget, pa.bool_()), pa.array([r[0] for r in rows], pa.binary()),
+                 pa.array([r[1] for r in rows], strings), pa.array([r[2] for r in rows], strings)], names=NAMED.fieldNames())
     return run
 
 
@@ -233,27 +276,28 @@ DONE = T.StructType([
 class Assembler:
     """Puts texts together from their words."""
 
-    def __init__(self, path: str, pattern: str, known: dict[str, tuple[int, str, bytes]]):
-        import regex
-        self.find = regex.compile(pattern).findall
-        self.path, self.pattern, self.common = path, pattern, known
-        self.forget()
+    def __init__(self, path: str, pattern: str, common: tuple[list[int], list[bytes], list[bytes]]):
+        self.path, self.pattern, self.n_common = path, pattern, len(common[0])
+        self.size, self.ids, self.pieces = common     # of words by number
 
     def forget(self) -> None:
-        self.known = dict(self.common)
+        for column in (self.size, self.ids, self.pieces):
+            del column[self.n_common:]
 
-    def far(self, word: str) -> tuple[int, str, bytes]:
+    def far(self, word: str) -> tuple[int, bytes, bytes]:
         """A word of more than LONG bytes, by the tokenizer library."""
         ids = _library(self.path, self.pattern).encode_ordinary(word)
-        return len(ids), ",".join(map(str, ids)), _library(self.path, self.pattern).decode_bytes(ids)
+        return len(ids), ",".join(map(str, ids)).encode(), _library(self.path, self.pattern).decode_bytes(ids)
 
-    def digest(self, text: str) -> tuple[int, str, str]:
+    def digest(self, numbers: list[int], far: list[str]) -> tuple[int, str, str]:
         """(n_tokens, ids_sha256, decoded_sha256)."""
-        known, far = self.known, self.far
-        got = [known.get(w) or far(w) for w in self.find(text)]
-        ids = ",".join([g[1] for g in got])
-        return (sum([g[0] for g in got]), hashlib.sha256(ids.encode()).hexdigest(),
-                hashlib.sha256(b"".join([g[2] for g in got])).hexdigest())
+        if far:
+            words = iter(far)
+            size, ids, pieces = zip(*(self.far(next(words)) if n < 0 else (self.size[n], self.ids[n], self.pieces[n])
+                                      for n in numbers), strict=True)
+        else:
+            size, ids, pieces = (map(column.__getitem__, numbers) for column in (self.size, self.ids, self.pieces))
+        return sum(size), hashlib.sha256(b",".join(ids)).hexdigest(), hashlib.sha256(b"".join(pieces)).hexdigest()
 
 
 @lru_cache(1)
@@ -264,18 +308,21 @@ def _library(path: str, pattern: str):
 
 def _assemble(path: str, pattern: str, shared):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        to = Assembler(path, pattern, shared.value)
+        # lists of this task's own: what it names is put behind
+        to = Assembler(path, pattern, tuple(map(list, shared.value)))
         for batch in batches:
             got = []
             flat, at = pc.list_flatten(batch.column(3)), 0
-            new = _entries(flat.field("word"), flat.field("ids"), flat.field("bytes")) if len(flat) else []
-            for text, forget, n in zip(batch.column(1), batch.column(2).to_pylist(),
-                                       pc.list_value_length(batch.column(3)).to_pylist()):
+            size, ids, pieces = _entries(flat.field("ids"), flat.field("bytes")) if len(flat) else ([], [], [])
+            for numbers, forget, n, far in zip(batch.column(1), batch.column(2).to_pylist(),
+                                               pc.list_value_length(batch.column(3)).to_pylist(), batch.column(4).to_pylist()):
                 if forget:
                     to.forget()
-                to.known.update(new[at:at + n])
+                to.size += size[at:at + n]
+                to.ids += ids[at:at + n]
+                to.pieces += pieces[at:at + n]
                 at += n
-                got.append(to.digest(text.as_py()))
+                got.append(to.digest(array("i", numbers.as_py()).tolist(), far))
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array([g[0] for g in got], pa.int64()), pa.array([g[1] for g in got], pa.string()),
                  pa.array([g[2] for g in got], pa.string())], names=DONE.fieldNames())
@@ -286,15 +333,14 @@ def encode_digests(docs: DataFrame, path: str, pattern: str, common: int = COMMO
     """Per row of ``docs``: doc_id, n_tokens, ids_sha256, decoded_sha256."""
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"),
                         F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
-    known = common_words(texts, path, pattern, common)
+    words, *entries = common_words(texts, path, pattern, common)
     context = docs.sparkSession.sparkContext
-    names, entries = context.broadcast(set(known)), context.broadcast(known)
+    names, known = context.broadcast(words), context.broadcast(entries)
     ranks = read_ranks(path)
     pieces = piece_table(ranks)
 
     def folded(word: Column) -> Column:
-        return bind(fold_merges(word, ranks), lambda ids: F.struct(word.alias("word"), ids.alias("ids"),
-                                                                   decode(ids, pieces).alias("bytes")))
+        return bind(fold_merges(word, ranks), lambda ids: F.struct(ids.alias("ids"), decode(ids, pieces).alias("bytes")))
     return (texts.mapInArrow(_name_unknown(pattern, names, flush), NAMED)
-            .select("doc_id", "text", "forget", F.transform("unknown", folded).alias("words"))
-            .mapInArrow(_assemble(path, pattern, entries), DONE))
+            .select("doc_id", "numbers", "forget", F.transform("unknown", folded).alias("words"), "far")
+            .mapInArrow(_assemble(path, pattern, known), DONE))

@@ -424,3 +424,34 @@ def test_own_counts_where_slots_share_a_place():
             want[s] += x
         assert fitter._own(slots, one).tolist() == [want[s] for s in slots.tolist()]
         assert not fitter.own.any()
+
+
+def test_byte_bpe_puts_texts_together_by_number(spark, docs, capsys):
+    """The second step gets the numbers of a text's words, not the text to cut once more."""
+    path = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+    byte_bpe.encode_digests(docs, path, public_tokenizers.PATTERN, 5).explain("formatted")
+    last = re.findall(r"\(\d+\) MapInArrow\n(?:Arguments|Input)[^\n]*\n(?:[^\n]*\n)*?\n", capsys.readouterr().out)[-1]
+    assert "doc_id#" in last and "text#" not in last
+
+
+@pytest.mark.parametrize("common", [0, 1, 3, 7, 100])
+def test_byte_bpe_common_words(spark, common):
+    path = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+    df = spark.createDataFrame([(" ".join(w for i, w in enumerate("abcdefgh") for _ in range(n if i < 6 else 1)),) for n in (3, 4)], "text string")
+    words, size, ids, pieces = byte_bpe.common_words(df, path, public_tokenizers.PATTERN, common)
+    count = Counter(w for r in df.collect() for w in re.findall(" ?[a-h]", r.text))
+    want = [w for w in count if count[w] > 1 and sum(n >= count[w] for n in count.values()) <= common]
+    assert sorted(words) == sorted(want) and [p.decode() for p in pieces] == words and len(size) == len(ids) == len(words)
+
+
+def test_byte_bpe_long_words_alone(spark):
+    import tiktoken
+    path = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+    enc = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=byte_bpe.read_ranks(path), special_tokens={})
+    texts = ["q" * 80, "a " + "q" * 80 + " b " + "w" * 60 + " a", "é" * 40 + "\n\n" + "z" * 49]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    for rows in (df.limit(1), df):
+        for r in byte_bpe.encode_digests(rows, path, public_tokenizers.PATTERN, 1).collect():
+            ids = enc.encode_ordinary(texts[r.doc_id])
+            assert r.n_tokens == len(ids) and r.ids_sha256 == hashlib.sha256(",".join(map(str, ids)).encode()).hexdigest()
+            assert r.decoded_sha256 == hashlib.sha256(texts[r.doc_id].encode()).hexdigest()
