@@ -35,7 +35,6 @@ from array import array
 from collections import Counter
 from collections.abc import Iterator
 from functools import lru_cache
-from itertools import chain
 from pathlib import Path
 
 import pyarrow as pa
